@@ -29,7 +29,7 @@ from .common import pick, table
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 #: Words that one Python worker remembers; beyond that the memory starts anew.
-WORDS_REMEMBERED = 150_000
+WORDS_REMEMBERED = 400_000
 
 
 def byte_symbols() -> list[str]:
@@ -49,7 +49,7 @@ class MergeAutomaton:
         self.target = [-1] * n_tokens  # by label: the state that all its arcs lead to
         self.spine: list[tuple[tuple[int, int], ...]] = [()] * n_tokens  # left parts, with the merge that used each up
         self._losses: dict[int, dict[int, int]] = {}
-        self._arcs: dict[tuple[int, int], bool] = {}
+        self._arcs: dict[int, bool] = {}  # by state << 20 | label
         for t in base:
             self.target[t] = 0
         left: dict[int, tuple[int, int]] = {}
@@ -90,7 +90,7 @@ class MergeAutomaton:
 
     def arc(self, q: int, t: int) -> bool:
         """Does state q have an arc t? Filled into the transition table on first use."""
-        key = (q, t)
+        key = q << 20 | t
         found = self._arcs.get(key)
         if found is None:
             if len(self._arcs) > 2_000_000:
@@ -102,24 +102,41 @@ class MergeAutomaton:
             found = self._arcs[key] = self._has(q, self.spine[t], losses)
         return found
 
-    def path(self, symbols: list[str], ids: dict[str, int], longest: int) -> list[int]:
-        """Labels of the only path that spells `symbols`."""
-        n = len(symbols)
-        state, came = [0] + [-1] * n, [(0, 0)] * (n + 1)
-        for i in range(1, n + 1):
-            for j in range(max(0, i - longest), i):
-                if state[j] >= 0:
-                    t = ids.get("".join(symbols[j:i]))
-                    if t is not None and self.target[t] >= 0 and self.arc(state[j], t):
-                        state[i], came[i] = self.target[t], (j, t)
+    def path(self, word: str, inner: dict[str, int], final: dict[str, int], reach: dict[str, int]) -> list[int]:
+        """Labels of the only path that spells `word`.
+
+        `inner` has the labels that end before the word does, `final` those that end it; `reach` has the
+        length of the longest label for its first two symbols. Every path from the start is the only
+        one that spells its prefix, so a place that leads nowhere needs no second visit.
+        """
+        n, target, arcs = len(word), self.target, self._arcs
+        if (t := final.get(word)) is not None and target[t] >= 0 and self.arc(0, t):
+            return [t]
+        ends, out, tried = [0], [], [min(n, reach.get(word[:2], 1)) + 1]
+        dead: set[int] = set()
+        while ends[-1] < n:
+            j, i = ends[-1], tried[-1] - 1
+            q = target[out[-1]] if out else 0
+            while i > j:
+                t = final.get(word[j:]) if i == n else inner.get(word[j:i])
+                if t is not None and i not in dead and target[t] >= 0:
+                    ok = arcs.get(q << 20 | t)
+                    if ok if ok is not None else self.arc(q, t):
                         break
-        if state[n] < 0:
-            raise ValueError(f"no path spells {symbols}")
-        out: list[int] = []
-        while n:
-            n, t = came[n]
-            out.append(t)
-        return out[::-1]
+                i -= 1
+            if i > j:
+                tried[-1] = i
+                ends.append(i)
+                out.append(t)
+                tried.append(min(n, i + reach.get(word[i : i + 2], 1)) + 1)
+            elif j:
+                dead.add(j)
+                ends.pop()
+                out.pop()
+                tried.pop()
+            else:
+                raise ValueError(f"no path spells {word!r}")
+        return out
 
 
 class WordBpe:
@@ -142,8 +159,13 @@ class WordBpe:
         made = {a + b for a, b in pairs}
         base = [i for t, i in vocab.items() if t not in made and t not in self.special]
         self.automaton = MergeAutomaton(len(self.labels), base, [(vocab[a], vocab[b], vocab[a + b]) for a, b in pairs])
-        self.ids = {t: i for t, i in vocab.items() if t not in self.special}
-        self.longest = max(len(t.removesuffix(self.suffix)) for t in self.ids)
+        ordinary = {t: i for t, i in vocab.items() if t not in self.special}
+        n = len(self.suffix)
+        self.final = {t[: len(t) - n]: i for t, i in ordinary.items() if t.endswith(self.suffix)}
+        self.inner = {t: i for t, i in ordinary.items() if not (n and t.endswith(self.suffix))}
+        self.reach: dict[str, int] = {}
+        for t in [*self.final, *self.inner]:
+            self.reach[t[:2]] = max(len(t), self.reach.get(t[:2], 1))
         self.bytes = byte_symbols()
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{self.SPACE}\p{{L}}\p{{N}}]+")
@@ -164,11 +186,10 @@ class WordBpe:
         key = f"\0{word}" if spelled else word
         found = self._known.get(key)
         if found is None:
-            symbols = [*word] if spelled else [self.bytes[b] for b in word.encode()]
-            symbols[-1] += self.suffix
+            symbols = word if spelled or word.isascii() and word.isprintable() else "".join([self.bytes[b] for b in word.encode()])
             if len(self._known) >= WORDS_REMEMBERED:
                 self._known.clear()
-            found = np.array(self.automaton.path(symbols, self.ids, self.longest), "<u4").tobytes()
+            found = np.array(self.automaton.path(symbols, self.inner, self.final, self.reach), "<u4").tobytes()
             if len(word) <= 64:
                 self._known[key] = found
         return found
