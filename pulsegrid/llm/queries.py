@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from .bpe_automaton import op5_bpe_automaton
 from .quality_nbsvm import op4_quality_nbsvm
+from .secret_scan import op8_secret_scan
 from .token_counts import op9_token_counts
 
 QUERIES = {
     "op4_quality_nbsvm": op4_quality_nbsvm,
     "op5_bpe_automaton": op5_bpe_automaton,
+    "op8_secret_scan": op8_secret_scan,
     "op9_token_counts": op9_token_counts,
 }
 
