@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def col(name: str) -> Column:
@@ -61,3 +66,56 @@ def remove(spark: SparkSession, df: DataFrame) -> None:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+class Numbered(NamedTuple):
+    """Rows in a global order. `rows` has, beside its own columns, `_pid` (the partition, in order),
+    `_idx` (place in it) and `_before` (weight of the rows before it in the partition); `parts` has
+    (pid, rows, weight, rows before, weight before) of each partition that isn't empty."""
+
+    rows: DataFrame
+    parts: list[tuple[int, int, int, int, int]]
+
+    def totals(self) -> tuple[int, int]:
+        return sum(p[1] for p in self.parts), sum(p[2] for p in self.parts)
+
+    def placed(self) -> DataFrame:
+        """Rows with `_at` and `_weight_at`: rows and weight before each in the whole order.
+
+        What is broadcast has one row for each partition."""
+        spark = self.rows.sparkSession
+        starts = spark.createDataFrame([(p[0], p[3], p[4]) for p in self.parts] or [(-1, 0, 0)], "_pid int, _r long, _w long")
+        return self.rows.join(F.broadcast(starts), "_pid").select("*", (F.col("_r") + F.col("_idx")).alias("_at"), (F.col("_w") + F.col("_before")).alias("_weight_at")).drop("_r", "_w")
+
+
+ROWS_A_PARTITION = 2_000_000
+
+
+def number_rows(df: DataFrame, order: list[str], weight: str, label: str) -> Numbered:
+    """Put rows into a global order and number them, without a task that gets them all.
+
+    The rows are dealt by ranges of the whole order, so that many rows that tie in its first
+    columns are still spread; each partition numbers its own, and only the partitions' counts
+    come to the driver. The numbered rows are written, so later reads see the same numbers.
+    """
+    spark = df.sparkSession
+    source = materialize(df, f"{label}-source")  # ranges are sampled: don't compute the input twice
+    n = max(shuffle_partitions(spark), -(-source.count() // ROWS_A_PARTITION))
+    dealt = source.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    schema = T.StructType([*df.schema.fields, T.StructField("_pid", T.IntegerType()), T.StructField("_idx", T.LongType()), T.StructField("_before", T.LongType())])
+
+    def run(batches):
+        pid = TaskContext.get().partitionId()
+        rows = before = 0
+        for b in batches:
+            w = np.nan_to_num(b.column(b.schema.get_field_index(weight)).to_numpy(zero_copy_only=False)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(w), pid, np.int32)), pa.array(np.arange(rows, rows + len(w))), pa.array(np.cumsum(w) - w + before)], names=[*b.schema.names, "_pid", "_idx", "_before"])
+            rows, before = rows + len(w), before + int(w.sum())
+
+    numbered = materialize(dealt.mapInArrow(run, schema), label)
+    counts = sorted(tuple(r) for r in numbered.groupBy("_pid").agg(F.count("*"), F.sum(F.coalesce(F.col(weight), F.lit(0)).cast("long"))).collect())
+    parts, rows, total = [], 0, 0
+    for pid, n_rows, w in counts:
+        parts.append((pid, n_rows, w, rows, total))
+        rows, total = rows + n_rows, total + w
+    return Numbered(numbered, parts)

@@ -3,15 +3,21 @@
 from __future__ import annotations
 
 from .bpe_automaton import op5_bpe_automaton
+from .packing import op1_length_buckets, pack_sql
 from .quality_nbsvm import op4_quality_nbsvm
 from .secret_scan import op8_secret_scan
+from .sharding import op7_minimax_shards
 from .token_counts import op9_token_counts
 
 QUERIES = {
+    "op1_length_buckets": op1_length_buckets,
     "op4_quality_nbsvm": op4_quality_nbsvm,
     "op5_bpe_automaton": op5_bpe_automaton,
+    "op7_minimax_shards": op7_minimax_shards,
     "op8_secret_scan": op8_secret_scan,
     "op9_token_counts": op9_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_length_buckets": pack_sql(),
+}
