@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe_automaton import op5_bpe_automaton
+from .minhash_dedup import op3_minhash_dedup
 from .packing import op1_length_buckets, pack_sql
 from .quality_nbsvm import op4_quality_nbsvm
 from .secret_scan import op8_secret_scan
@@ -11,6 +12,7 @@ from .token_counts import op9_token_counts
 
 QUERIES = {
     "op1_length_buckets": op1_length_buckets,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op4_quality_nbsvm": op4_quality_nbsvm,
     "op5_bpe_automaton": op5_bpe_automaton,
     "op7_minimax_shards": op7_minimax_shards,
