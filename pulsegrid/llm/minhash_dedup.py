@@ -2,13 +2,15 @@
 
 1. Each text's set of word shingles is hashed; equal sets fall together and go on as one.
 2. HASHES minima of universal hash functions make a signature, cut into bands of ROWS minima.
-   With 32 bands of 4, two texts of similarity 0.8 share no band with probability 5e-8.
+   With 32 bands of 5, two texts of similarity 0.8 share no band with probability 3e-6.
 3. Each bucket of a band links its members to its smallest one: as many links as members, never
    all pairs. Links are checked on the full shingle sets, and components are formed.
 4. Buckets whose members are still in different components are looked at again: members outside
    the bucket's largest component are compared by signature, in blocks, with the members of other
-   components; what the signatures allow is checked on the full sets, and the components are joined.
-   So a link is lost only if no band shows it, or if the signature is off by five deviations.
+   components. What the signatures allow is gathered into families (a block reports no more links
+   than it has members), and in each family, in blocks again, members of different components are
+   compared on their full sets. So a link is lost only if no band shows it, or if the signature is
+   off by five deviations.
 """
 
 from __future__ import annotations
@@ -28,11 +30,11 @@ from .components import components
 WORDS = 5
 #: Least similarity, in hundredths.
 PERCENT = 80
-HASHES, ROWS = 128, 4
+HASHES, ROWS = 160, 5
 BANDS = HASHES // ROWS
 #: Signature agreements, of HASHES, below which a pair of similarity 0.8 is five deviations off.
-AGREE = 80
-#: Members of a bucket that one comparison block holds, and links of one text that one task checks.
+AGREE = 103
+#: Members of a bucket or family that one comparison block holds, and links of one text that one task checks.
 BLOCK = 512
 _CHUNK = 1 << 20
 _rng = np.random.default_rng(20240607)
@@ -127,27 +129,38 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
     return _mix(x + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(_BAND)).view(np.int64)
 
 
-def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, fingerprint, signature, bands) of (doc_id, text); the last three null or
-    empty where there is no word. Equal fingerprints mean equal sets."""
+def shingled(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, n_shingles, fingerprint, bands) of (doc_id, text); no fingerprint and no bands
+    where there is no word. Equal fingerprints mean equal sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 sets = shingle_hashes([(x.as_py() or "").encode() for x in part.column(1)], words)
-                sigs = [minima(s) if len(s) else None for s in sets]
-                keys = [band_keys(s)[0] if s is not None else np.zeros(0, np.int64) for s in sigs]
+                keys = [band_keys(minima(s))[0] if len(s) else np.zeros(0, np.int64) for s in sets]
                 ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
-                    pa.array([s.tobytes() if s is not None else None for s in sigs], pa.binary()),
                     pa.ListArray.from_arrays(ends, np.concatenate(keys) if keys else np.zeros(0, np.int64)),
-                ], names=["doc_id", "n_shingles", "fingerprint", "signature", "bands"])
+                ], names=["doc_id", "n_shingles", "fingerprint", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, fingerprint binary, signature binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, fingerprint binary, bands array<long>")
+
+
+def signed(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, text, signature) of (doc_id, text) with at least one word each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                sets = shingle_hashes([(x.as_py() or "").encode() for x in part.column(1)], words)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([minima(s).tobytes() for s in sets], pa.binary())], names=["doc_id", "text", "signature"])
+
+    return docs.mapInArrow(run, "doc_id long, text string, signature binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -183,41 +196,102 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     return met.mapInArrow(run, "u long, v long")
 
 
-def _signature_pairs(probes: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (u, v) of a probe and a member of its block, of different components, whose signatures
-    agree in AGREE places at least; each pair in the first band it shares only."""
-    both = members.select("key", "block", F.lit(False).alias("ask"), "doc_id", "component", "probe", "band", "signature").unionByName(probes.select("key", "block", F.lit(True).alias("ask"), "doc_id", "component", "probe", "band", "signature"))
-    met = both.repartition("key", "block").sortWithinPartitions("key", "block", "ask")
+class _Sets:
+    """A union-find over what one block has seen."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _blocked(rows: DataFrame, group: str) -> DataFrame:
+    """Members dealt to the blocks of their group, and after them the probes, which go to every block.
+
+    `rows` has the group, doc_id, component and more; the group's largest component is no probe.
+    Groups within one component are left out."""
+    each = rows.groupBy(group, "component").agg(F.count("*").alias("n"))
+    split = each.groupBy(group).agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("all"), F.count("*").alias("kinds")).where("kinds > 1").select(group, "largest", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"))
+    return rows.join(split, group).withColumn("probe", F.col("component") != F.col("largest")).drop("largest")
+
+
+def _meet(rows: DataFrame, group: str, columns: list[str]) -> DataFrame:
+    members = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("ask", F.lit(False))
+    probes = rows.where("probe").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("ask", F.lit(True))
+    keep = [group, "block", "ask", "doc_id", "component", "probe", *columns]
+    return members.select(*keep).unionByName(probes.select(*keep)).repartition(group, "block").sortWithinPartitions(group, "block", "ask")
+
+
+def _alike(met: DataFrame) -> DataFrame:
+    """Links (u, v) that span, in each block, the pairs of a probe and a member of another component
+    whose signatures agree in AGREE places at least."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, comps, asks, sigs, table = None, [], [], [], [], None
+        at, ids, comps, sigs, table, joined = None, [], [], [], None, _Sets()
         for b in batches:
             us, vs = [], []
-            for key, block, ask, doc, comp, probe, band, sig in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for key, block, ask, doc, comp, _, sig in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if at != (key, block):
-                    at, ids, comps, asks, sigs, table = (key, block), [], [], [], [], None
+                    at, ids, comps, sigs, table, joined = (key, block), [], [], [], None, _Sets()
                 s = np.frombuffer(sig, np.uint32)
                 if not ask:
                     ids.append(doc)
                     comps.append(comp)
-                    asks.append(probe)
                     sigs.append(s)
                     continue
                 if table is None:
-                    if not ids:
-                        continue
-                    table = (np.array(ids), np.array(comps), np.array(asks), np.array(sigs))
-                i, c, p, m = table
-                same = m == s
-                good = np.flatnonzero((c != comp) & (same.sum(1) >= AGREE) & (~p | (i > doc)))
-                if len(good):
-                    shared = same[good].reshape(len(good), BANDS, ROWS).all(2)
-                    for k in i[good[shared.argmax(1) == band]].tolist():
+                    table = np.array(ids, np.int64), np.array(comps, np.int64), np.array(sigs, np.uint32).reshape(-1, HASHES)
+                i, c, m = table
+                for k in i[(c != comp) & ((m == s).sum(1) >= AGREE)].tolist():
+                    if joined.join(doc, k):
                         us.append(doc)
                         vs.append(k)
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
-    return met.mapInArrow(run, "u long, v long").distinct()
+    return met.mapInArrow(run, "u long, v long")
+
+
+def _compared(met: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (u, v) that span, in each block, the pairs of a probe and a member of another component
+    whose full sets reach the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ids, comps, sets, table, joined = None, [], [], [], None, _Sets()
+        for b in batches:
+            us, vs = [], []
+            for key, block, ask, doc, comp, _, text in zip(*(b.column(k) for k in range(7)), strict=True):
+                key, block, ask, doc, comp = key.as_py(), block.as_py(), ask.as_py(), doc.as_py(), comp.as_py()
+                if at != (key, block):
+                    at, ids, comps, sets, table, joined = (key, block), [], [], [], None, _Sets()
+                own = _hash_group([(text.as_py() or "").encode()], words)[0]
+                if not ask:
+                    ids.append(doc)
+                    comps.append(comp)
+                    sets.append(own)
+                    continue
+                if not ids or not len(own):
+                    continue
+                if table is None:
+                    sizes = np.array([len(x) for x in sets])
+                    table = np.array(ids, np.int64), np.array(comps, np.int64), sizes, np.concatenate(sets), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                i, c, n, flat, starts = table
+                where = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+                both = np.add.reduceat((own[where] == flat).astype(np.int64), np.minimum(starts, max(len(flat) - 1, 0))) if len(flat) else np.zeros(len(i), np.int64)
+                for k in np.flatnonzero((c != comp) & (n > 0) & (100 * both >= percent * (n + len(own) - both))).tolist():
+                    if joined.join(comp, int(c[k])):
+                        us.append(doc)
+                        vs.append(int(i[k]))
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+    return met.mapInArrow(run, "u long, v long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -230,7 +304,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     spark = df.sparkSession
     docs = pick(df, doc_id=id_col, text=text_col).selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
-    sigs = materialize(signatures(docs, words), "minhash-signatures")
+    sigs = materialize(shingled(docs, words), "minhash-shingled")
     named = sigs.where("doc_id is not null and fingerprint is not null")
 
     # equal sets: one goes on, the others are linked to it
@@ -238,27 +312,28 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     copies = materialize(named.select("doc_id", "fingerprint").join(twins, "fingerprint").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct(), "minhash-copies")
 
     # a bucket links its members to its smallest
-    banded = named.select("doc_id", "bands").join(copies.select(F.col("u").alias("doc_id")), "doc_id", "left_anti").select("doc_id", F.posexplode("bands").alias("band", "key"))
+    banded = named.select("doc_id", "bands").join(copies.select(F.col("u").alias("doc_id")), "doc_id", "left_anti").select("doc_id", F.explode("bands").alias("key"))
     crowded = banded.groupBy("key").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("most"), F.count("*").alias("n")).where("center < most").drop("most")
     members = materialize(banded.join(crowded, "key").where("doc_id <> center"), "minhash-buckets")
-    stars = members.select(F.col("center").alias("u"), F.col("doc_id").alias("v")).distinct()
-    links = materialize(verified(stars, docs, words, percent), "minhash-links")
-    label = materialize(components(copies.unionByName(links), "minhash-stars"), "minhash-components")
+    stars = materialize(members.select(F.col("center").alias("u"), F.col("doc_id").alias("v")).distinct(), "minhash-stars")
+    # from here on only the texts that share a bucket with another one are moved
+    needed = stars.select(F.col("u").alias("doc_id")).unionByName(stars.select(F.col("v").alias("doc_id"))).distinct()
+    texts = materialize(signed(docs.where("text is not null").join(needed, "doc_id").select("doc_id", "text"), words), "minhash-texts")
+    links = materialize(verified(stars, texts.select("doc_id", "text"), words, percent), "minhash-links")
+    label = components(copies.unionByName(links), "minhash-components")
 
     # members that their bucket's smallest did not bring together
-    found = members.where("n > 2").join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    each = found.groupBy("key", "component").agg(F.count("*").alias("n"))
-    split = each.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("all"), F.count("*").alias("kinds")).where("kinds > 1").select("key", "largest", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"))
-    left = found.select("key", "band", "doc_id", "component").join(split, "key").withColumn("probe", F.col("component") != F.col("largest"))
-    left = materialize(left.join(named.select("doc_id", "signature").dropDuplicates(["doc_id"]), "doc_id"), "minhash-split")
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    pairs = _signature_pairs(left.where("probe").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))), left.withColumn("block", block))
-    more = materialize(verified(materialize(pairs, "minhash-pairs"), docs, words, percent), "minhash-more")
+    labelled = lambda rows: rows.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    split = _blocked(labelled(members.where("n > 2").select("doc_id", "key")), "key")
+    alike = materialize(_alike(_meet(split.join(texts.select("doc_id", "signature"), "doc_id"), "key", ["signature"])).distinct(), "minhash-alike")
+    family = components(alike, "minhash-families").select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+    split = _blocked(labelled(family), "family")
+    more = materialize(_compared(_meet(split.join(texts.select("doc_id", "text"), "doc_id"), "family", ["text"]), words, percent), "minhash-more")
     if not more.isEmpty():
-        label = materialize(components(label.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "minhash-joined"), "minhash-components")
+        label = components(label.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "minhash-joined")
 
     out = sigs.select("doc_id", "n_shingles").join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-    for x in (members, left, links):
+    for x in (members, stars, texts, links, alike, more):
         remove(spark, x)
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
