@@ -36,7 +36,7 @@ BANDS = HASHES // ROWS
 AGREE = 103
 #: Members of a bucket or family that one comparison block holds, and links of one text that one task checks.
 BLOCK = 512
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 _BASE, _LEFT, _FIRST, _BAND = (int(x) | 1 for x in _rng.integers(1 << 40, 1 << 63, 4, np.uint64))
@@ -311,14 +311,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     twins = named.groupBy("fingerprint").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("most")).where("v < most").drop("most")
     copies = materialize(named.select("doc_id", "fingerprint").join(twins, "fingerprint").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct(), "minhash-copies")
 
-    # a bucket links its members to its smallest
+    # a bucket links its members to its smallest; joins that grow with the table are merge joins at any size
     banded = named.select("doc_id", "bands").join(copies.select(F.col("u").alias("doc_id")), "doc_id", "left_anti").select("doc_id", F.explode("bands").alias("key"))
     crowded = banded.groupBy("key").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("most"), F.count("*").alias("n")).where("center < most").drop("most")
-    members = materialize(banded.join(crowded, "key").where("doc_id <> center"), "minhash-buckets")
+    members = materialize(banded.join(crowded.hint("merge"), "key").where("doc_id <> center"), "minhash-buckets")
     stars = materialize(members.select(F.col("center").alias("u"), F.col("doc_id").alias("v")).distinct(), "minhash-stars")
     # from here on only the texts that share a bucket with another one are moved
     needed = stars.select(F.col("u").alias("doc_id")).unionByName(stars.select(F.col("v").alias("doc_id"))).distinct()
-    texts = materialize(signed(docs.where("text is not null").join(needed, "doc_id").select("doc_id", "text"), words), "minhash-texts")
+    texts = materialize(signed(docs.where("text is not null").join(needed.hint("merge"), "doc_id").select("doc_id", "text"), words), "minhash-texts")
     links = materialize(verified(stars, texts.select("doc_id", "text"), words, percent), "minhash-links")
     label = components(copies.unionByName(links), "minhash-components")
 

@@ -26,6 +26,8 @@ NGRAMS = (1, 2, 3)
 #: Most labelled rows that the model is fitted on, chosen by a hash of the id. A bound of the
 #: method, not of the data: every row is scored.
 MAX_TRAIN_ROWS = 8_000
+#: A filter rejects what scores below this: less than a half, so that clean texts near the border stay.
+REJECT_BELOW = 0.3
 _MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
@@ -180,6 +182,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: float = REJECT_BELOW) -> DataFrame:
+    """Rows, with all their columns, whose text scores at least `least`. Columns may have any names."""
+    spark, at = docs.sparkSession, docs.columns.index(text_col)
+    sent = spark.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = sent.value
+        for b in batches:
+            yield b.filter(pa.array([m.score(x.as_py()) >= least for x in b.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op4_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
