@@ -41,7 +41,8 @@ def decode_signals(records: DataFrame, value: str = "value") -> DataFrame:
     out, as nothing was sent; use `split_quarantine` for the rest.
     """
     text = F.col(value).cast("string")
-    rows = records.where(F.length(text) > 0).select(text.alias("_raw"), F.from_json(text, _WIRE)[0].alias("_s"))
+    # behind a generator the JSON is parsed once for a row, not once for each field
+    rows = records.where(F.length(text) > 0).select(text.alias("_raw"), F.explode_outer(F.slice(F.from_json(text, _WIRE), 1, 1)).alias("_s"))
     numbers = {out: to_long(F.col(f"_s.{wire}")) for wire, out in _NUMBERS.items()}
     ts = F.try_to_timestamp(F.col("_s.Timestamp"))
     problems = [F.when(F.col("_s").isNull(), "payload"), F.when(F.col("_s").isNotNull() & ts.isNull(), "Timestamp")]
@@ -72,7 +73,7 @@ def encode_signals(signals: DataFrame) -> DataFrame:
 def decode_events(records: DataFrame, value: str = "value") -> DataFrame:
     """Events with `problems`: required fields that are missing, ids that aren't UUIDs, sequence 0, unknown types."""
     text = F.col(value).cast("string")
-    e = records.where(F.length(text) > 0).select(text.alias("raw"), F.from_json(text, _EVENT_WIRE).alias("e"))
+    e = records.where(F.length(text) > 0).select(text.alias("raw"), F.explode_outer(F.array(F.from_json(text, _EVENT_WIRE))).alias("e"))
     sequence, ts = to_long(F.col("e.sequence")), F.try_to_timestamp(F.col("e.timestamp"))
     missing = lambda c: c.isNull() | (c == "")
     problems = [
