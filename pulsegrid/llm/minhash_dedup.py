@@ -36,6 +36,8 @@ BANDS = HASHES // ROWS
 AGREE = 103
 #: Members of a bucket or family that one comparison block holds, and links of one text that one task checks.
 BLOCK = 512
+#: Bits of the filter that keeps texts from being moved in vain.
+BITS = 1 << 26
 _CHUNK = 1 << 19
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
@@ -163,6 +165,20 @@ def signed(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text string, signature binary")
 
 
+def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id may be among `ids`: none of those is lost, few others stay.
+
+    The ids are hashed into a bitmap of BITS bits, kept as rows of 4 KB: 8 MB at most, however many
+    ids there are, so it can be broadcast. With far more ids than bits it lets all rows pass.
+    """
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS)) + 1
+    maps = ids.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
+    place = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1
+    return docs.join(F.broadcast(maps), (F.bitmap_bucket_number(bit) == F.col("bucket")) & is_set, "left_semi")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Of distinct pairs (u, v) those whose full shingle sets reach the similarity.
 
@@ -311,14 +327,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     twins = named.groupBy("fingerprint").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("most")).where("v < most").drop("most")
     copies = materialize(named.select("doc_id", "fingerprint").join(twins, "fingerprint").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct(), "minhash-copies")
 
-    # a bucket links its members to its smallest; joins that grow with the table are merge joins at any size
+    # a bucket links its members to its smallest
     banded = named.select("doc_id", "bands").join(copies.select(F.col("u").alias("doc_id")), "doc_id", "left_anti").select("doc_id", F.explode("bands").alias("key"))
     crowded = banded.groupBy("key").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("most"), F.count("*").alias("n")).where("center < most").drop("most")
-    members = materialize(banded.join(crowded.hint("merge"), "key").where("doc_id <> center"), "minhash-buckets")
+    members = materialize(banded.join(crowded, "key").where("doc_id <> center"), "minhash-buckets")
     stars = materialize(members.select(F.col("center").alias("u"), F.col("doc_id").alias("v")).distinct(), "minhash-stars")
     # from here on only the texts that share a bucket with another one are moved
-    needed = stars.select(F.col("u").alias("doc_id")).unionByName(stars.select(F.col("v").alias("doc_id"))).distinct()
-    texts = materialize(signed(docs.where("text is not null").join(needed.hint("merge"), "doc_id").select("doc_id", "text"), words), "minhash-texts")
+    needed = materialize(stars.select(F.col("u").alias("doc_id")).unionByName(stars.select(F.col("v").alias("doc_id"))).distinct(), "minhash-needed")
+    texts = materialize(signed(maybe_in(docs.where("text is not null"), needed).join(needed, "doc_id").select("doc_id", "text"), words), "minhash-texts")
     links = materialize(verified(stars, texts.select("doc_id", "text"), words, percent), "minhash-links")
     label = components(copies.unionByName(links), "minhash-components")
 
@@ -333,7 +349,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         label = components(label.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "minhash-joined")
 
     out = sigs.select("doc_id", "n_shingles").join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-    for x in (members, stars, texts, links, alike, more):
+    for x in (members, stars, needed, texts, links, alike, more):
         remove(spark, x)
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
