@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import pick, table
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-#: Words that one Python worker remembers; beyond that the memory starts anew.
+#: Words of each kind that one Python worker remembers; beyond that the memory starts anew.
 WORDS_REMEMBERED = 400_000
 
 
@@ -171,7 +171,7 @@ class WordBpe:
         self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{self.SPACE}\p{{L}}\p{{N}}]+")
         self.rare = regex.compile("[^\0-\u024f\u2010-\u2027]")
         self._path, self._rules = path, None
-        self._known: dict[str, bytes] = {}
+        self._known: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}  # of words as text, and as byte symbols
 
     def rules(self):
         """The library's normalizer and pre-tokenizer for this file; its model isn't used."""
@@ -183,15 +183,15 @@ class WordBpe:
 
     def word(self, word: str, spelled: bool = False) -> bytes:
         """Ids of a word, given as text or spelled in byte symbols."""
-        key = f"\0{word}" if spelled else word
-        found = self._known.get(key)
+        known = self._known[spelled]
+        found = known.get(word)
         if found is None:
             symbols = word if spelled or word.isascii() and word.isprintable() else "".join([self.bytes[b] for b in word.encode()])
-            if len(self._known) >= WORDS_REMEMBERED:
-                self._known.clear()
+            if len(known) >= WORDS_REMEMBERED:
+                known.clear()
             found = np.array(self.automaton.path(symbols, self.inner, self.final, self.reach), "<u4").tobytes()
             if len(word) <= 64:
-                self._known[key] = found
+                known[word] = found
         return found
 
     def _plain(self, text: str) -> list[bytes]:

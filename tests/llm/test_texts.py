@@ -39,6 +39,13 @@ def test_bpe_ids_and_texts(awkward):
     assert {r.doc_id: r.decoded for r in bpe_automaton.decode(coded).collect()}[4] == "a</w>"
 
 
+def test_bpe_tells_words_from_spelled_words():
+    """A word that starts with a null character, beside the same word without it in a text of rare characters."""
+    lib, bpe = _library(bpe_automaton.DEFAULT_VOCABULARY), bpe_automaton.WordBpe(public_tokenizers.path(bpe_automaton.DEFAULT_VOCABULARY))
+    for text in ("日本 !! #", "\x00!! \x00#", "日本 \x00!!", "\x00\x00!!"):
+        assert bpe.encode(text).tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
 def test_automaton_by_brute_force():
     """Every string over two symbols, against merging pair by pair."""
     from itertools import product
