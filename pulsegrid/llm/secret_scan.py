@@ -28,6 +28,10 @@ RUN = r"[A-Za-z0-9+/_-]{16,}"
 CHARACTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 #: Least mean log-likelihood ratio of a transition, in thousandths of a nat.
 THRESHOLD = 350
+#: Spans gathered at once; a text may have any number of them.
+SPANS_A_BLOCK = 256
+#: Characters behind the last span that are still kept at hand.
+CHARS_BEHIND = 16_384
 MARK = "[SECRET]"
 
 
@@ -86,10 +90,14 @@ def _found(kind: str, pattern: str, ok: str) -> Column:
     """Spans of one kind: lengths of what lies between matches and of the matches, added up."""
     p = pattern.replace("\\", "\\\\").replace("'", "\\'")
     here = f"filter(zip_with(split(text, '{p}', -1), regexp_extract_all(text, '{p}', 0), (gap, m) -> named_struct('gap', length(gap), 'm', m)), x -> x.m is not null)"
-    kept = f"if({ok}, array(named_struct('start', a.at + x.gap, 'end', a.at + x.gap + length(x.m), 'rank', {KINDS.index(kind)})), cast(array() as array<struct<start:int,end:int,rank:int>>))"
-    spans = f"aggregate({here}, named_struct('at', 0, 'out', cast(array() as array<struct<start:int,end:int,rank:int>>)), (a, x) -> named_struct('at', a.at + x.gap + length(x.m), 'out', concat(a.out, {kept})), a -> a.out)"
+    kind_of = "array<struct<start:int,end:int,rank:int>>"
+    kept = f"if({ok}, array(named_struct('start', a.at + x.gap, 'end', a.at + x.gap + length(x.m), 'rank', {KINDS.index(kind)})), cast(array() as {kind_of}))"
+    # in blocks: appending to one long array would copy it for every span
+    full = f"size(a.block) >= {SPANS_A_BLOCK}"
+    step = f"named_struct('at', a.at + x.gap + length(x.m), 'block', if({full}, {kept}, concat(a.block, {kept})), 'out', if({full}, concat(a.out, array(a.block)), a.out))"
+    spans = f"aggregate({here}, named_struct('at', 0, 'block', cast(array() as {kind_of}), 'out', cast(array() as array<{kind_of}>)), (a, x) -> {step}, a -> flatten(concat(a.out, array(a.block))))"
     # most texts have none: one look tells, and only the others are taken apart
-    return F.expr(f"if(text rlike '{p}', {spans}, cast(array() as array<struct<start:int,end:int,rank:int>>))")
+    return F.expr(f"if(text rlike '{p}', {spans}, cast(array() as {kind_of}))")
 
 
 def scan(df: DataFrame, model: MarkovModel, text_col: str = "text", out_col: str = "secret_spans") -> DataFrame:
@@ -117,10 +125,16 @@ def scan(df: DataFrame, model: MarkovModel, text_col: str = "text", out_col: str
 def redact(df: DataFrame, spans_col: str = "secret_spans", text_col: str = "text", mark: str = MARK) -> DataFrame:
     """Replace every stretch covered by spans with one mark. Texts without spans stay as they are."""
     t, s = f"`{text_col}`", f"`{spans_col}`"
-    cut = f"""aggregate({s}, named_struct('at', 0, 'out', ''),
+    # a piece is looked up in what is left of the text, which is cut off now and then, so no piece
+    # is sought from the text's beginning
+    far, full = f"a.at - a.off >= {CHARS_BEHIND}", f"size(a.block) >= {SPANS_A_BLOCK}"
+    opens = "x.start >= a.at and (x.start > a.at or a.at = 0)"
+    new = f"if({opens}, array(substring(a.rest, a.at - a.off + 1, x.start - a.at), '{mark}'), cast(array() as array<string>))"
+    cut = f"""aggregate({s}, named_struct('at', 0, 'off', 0, 'rest', {t}, 'block', cast(array() as array<string>), 'out', cast(array() as array<array<string>>)),
       (a, x) -> named_struct('at', greatest(a.at, x.end),
-                             'out', if(x.start >= a.at and (x.start > a.at or a.at = 0), concat(a.out, substring({t}, a.at + 1, x.start - a.at), '{mark}'), a.out)),
-      a -> concat(a.out, substring({t}, a.at + 1, length({t}))))"""
+                             'off', if({far}, a.at, a.off), 'rest', if({far}, substring(a.rest, a.at - a.off + 1), a.rest),
+                             'block', if({full}, {new}, concat(a.block, {new})), 'out', if({full}, concat(a.out, array(a.block)), a.out)),
+      a -> concat(array_join(flatten(concat(a.out, array(a.block))), ''), substring(a.rest, a.at - a.off + 1)))"""
     return df.withColumn(text_col, F.expr(f"if({t} is null or size({s}) = 0, {t}, {cut})"))
 
 

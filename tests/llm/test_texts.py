@@ -121,6 +121,16 @@ def test_redaction(spark, awkward):
     assert secret_scan.scan(awkward, model).columns == [*awkward.columns, "secret_spans"]
 
 
+def test_texts_with_very_many_secrets(spark):
+    """More spans than a block holds, adjacent ones too, and pieces far from the text's beginning."""
+    secrets = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(1500)]
+    text = "".join(f"é{i}: {x}" + ("\n" if i % 3 else "." * (i * 20)) for i, x in enumerate(secrets))
+    found = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), secret_scan.train(secret_scan.default_samples(spark)), out_col="s")
+    row = found.first()
+    assert [(s.start, s.end) for s in row.s if s.kind == "hex"] == [m.span() for m in re.finditer("[0-9a-f]{24,}", text)]
+    assert secret_scan.redact(found, "s").first().text == re.sub("[0-9a-f]{24,}", secret_scan.MARK, text)
+
+
 def test_quality_holds_out(spark):
     d = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{d}/labels.parquet")
