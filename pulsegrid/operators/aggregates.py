@@ -49,11 +49,38 @@ def merged(partials: DataFrame, *by: str) -> DataFrame:
     return found.withColumn("avg", F.when(F.col("count") > 0, F.col("sum") / F.col("count")).otherwise(F.lit(0.0)))
 
 
+#: Group of a time series: columns that are never null, so that joins and windows share one exchange.
+_GROUP = ["_key", "_none", "_day"]
+
+
+def _by_day(rows: DataFrame, key: str, ts: str) -> DataFrame:
+    """Rows with the columns of _GROUP: their key's and day's. Null times are in one first day."""
+    k = F.col(key)
+    day = F.coalesce(F.unix_date(F.col(ts).cast("date")), F.lit(-(1 << 31)))
+    return rows.withColumns({"_key": F.coalesce(k.cast("string"), F.lit("")), "_none": k.isNull(), "_day": day})
+
+
 def running(readings: DataFrame) -> DataFrame:
-    """Sum and count so far of each tag, by time and id (batch only). Sums are exact decimals."""
-    w = Window.partitionBy("opc_tag_id").orderBy("timestamp", "id").rowsBetween(Window.unboundedPreceding, 0)
-    v = F.col("value").cast("decimal(18,2)")
-    return readings.select("opc_tag_id", "timestamp", "id", F.sum(v).over(w).cast("decimal(28,2)").alias("running_sum"), F.count(v).over(w).alias("running_count"))
+    """Sum and count so far of each tag, by time and id (batch only). Sums are exact decimals; null
+    values add nothing, and the sum is null before the first value.
+
+    A tag's days are summed apart and the days before are added from their totals, so no task gets
+    all readings of a tag, however large its share is.
+    """
+    rows = _by_day(readings.select("opc_tag_id", "timestamp", "id", F.col("value").cast("decimal(18,2)").alias("_v")), "opc_tag_id", "timestamp")
+    days = rows.groupBy(*_GROUP).agg(F.sum("_v").alias("_s"), F.count("_v").alias("_n"))
+    earlier = Window.partitionBy(*_GROUP[:2]).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    starts = days.select(*_GROUP, F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_s0"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n0"))
+    w = Window.partitionBy(*_GROUP).orderBy("timestamp", "id").rowsBetween(Window.unboundedPreceding, 0)
+    n = F.col("_n0") + F.count("_v").over(w)
+    total = F.col("_s0") + F.coalesce(F.sum("_v").over(w), F.lit(0))
+    return rows.join(starts, _GROUP).select("opc_tag_id", "timestamp", "id", F.when(n > 0, total).cast("decimal(28,2)").alias("running_sum"), n.alias("running_count"))
+
+
+def weighted_average(pairs: DataFrame, *by: str, sums: str = "sum", counts: str = "count") -> DataFrame:
+    """The average that (sum, count) pairs make together; null where they count nothing."""
+    total = pairs.groupBy(*by).agg(F.sum(sums).alias("sum"), F.sum(counts).alias("count"))
+    return total.withColumn("avg", F.try_divide("sum", "count"))
 
 
 def latest_per_key(readings: DataFrame, day: Column) -> DataFrame:
@@ -79,7 +106,16 @@ def offset_ranges(records: DataFrame, offset: str = "offset") -> DataFrame:
 
 
 def cycles(events: DataFrame, key: str, ts: str, kind: str, start: str, end: str, tie: str) -> DataFrame:
-    """Each start that the same key's next event ends, with the seconds between (batch only)."""
-    w = Window.partitionBy(key).orderBy(ts, tie)
-    ahead = events.select(key, F.col(ts).alias("started"), kind, tie, F.lead(ts).over(w).alias("ended"), F.lead(kind).over(w).alias("_next"))
-    return ahead.where((F.col(kind) == start) & (F.col("_next") == end)).select(key, tie, "started", "ended", (F.unix_micros(F.col("ended").cast("timestamp")) - F.unix_micros(F.col("started").cast("timestamp"))).alias("micros"))
+    """Each start that the same key's next event ends, with the microseconds between (batch only).
+
+    The next event is looked for within the key's day; the day's last event goes on with the first
+    of the key's next day, so no task gets all events of a key.
+    """
+    at = F.struct(F.col(ts).alias("ts"), F.col(kind).alias("kind"))
+    rows = _by_day(events.select(key, ts, kind, tie), key, ts)
+    firsts = rows.groupBy(*_GROUP).agg(F.min_by(at, F.struct(ts, tie)).alias("_first"))
+    later = firsts.select(*_GROUP, F.lead("_first").over(Window.partitionBy(*_GROUP[:2]).orderBy("_day")).alias("_later"))
+    following = F.lead(at).over(Window.partitionBy(*_GROUP).orderBy(ts, tie))
+    ahead = rows.join(later, _GROUP).select(key, F.col(ts).alias("started"), kind, tie, F.coalesce(following, "_later").alias("_next"))
+    micros = F.unix_micros(F.col("_next.ts").cast("timestamp")) - F.unix_micros(F.col("started").cast("timestamp"))
+    return ahead.where((F.col(kind) == start) & (F.col("_next.kind") == end)).select(key, tie, "started", F.col("_next.ts").alias("ended"), micros.alias("micros"))

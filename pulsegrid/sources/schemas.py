@@ -33,18 +33,20 @@ class Table:
     schema: T.StructType
     key: tuple[str, ...]
     clustering: tuple[tuple[str, bool], ...] = ()  # column, descending
-    partition_by: tuple[str, ...] = ()
+    #: SQL over key columns: the part of the table that a row lives in. A batch rewrites whole parts.
+    part: str = "'all'"
 
 
 _AGGREGATE = dict(opc_tag_id=_L, aggregate=_TS, count=_L, sum=_L, min=_L, max=_L)
+_DAY = "date_format(aggregate, 'yyyy-MM-dd')"
 
 TABLES: dict[str, Table] = {
-    "signals": Table(SIGNAL, ("opc_tag_id", "day", "timestamp"), (("opc_tag_id", False), ("timestamp", True)), ("day",)),
-    "signal_aggregate": Table(_fields(**_AGGREGATE), ("opc_tag_id", "aggregate"), (("opc_tag_id", False), ("aggregate", True))),
-    "ss_signal_aggregation": Table(_fields(**_AGGREGATE, avg=_D), ("opc_tag_id", "aggregate"), (("opc_tag_id", False), ("aggregate", True))),
+    "signals": Table(SIGNAL, ("opc_tag_id", "day", "timestamp"), (("opc_tag_id", False), ("timestamp", True)), "substring(day, 1, 10)"),
+    "signal_aggregate": Table(_fields(**_AGGREGATE), ("opc_tag_id", "aggregate"), (("opc_tag_id", False), ("aggregate", True)), _DAY),
+    "ss_signal_aggregation": Table(_fields(**_AGGREGATE, avg=_D), ("opc_tag_id", "aggregate"), (("opc_tag_id", False), ("aggregate", True)), _DAY),
     "signal_validation": Table(_fields(id=_S, producer_count=_L, producer_error_count=_L, spark_count=_L), ("id",)),
     "ss_signal_validation": Table(_fields(id=_S, topic=_S, spark_count=_L), ("id", "topic")),
     "offsets": Table(_fields(topic=_S, partition=T.IntegerType(), from_offset=_L, to_offset=_L), ("topic", "partition"), (("topic", False), ("partition", False))),
-    "query_statistics": Table(_fields(id=_S, time=_S, json=_S), ("id", "time"), (("id", False), ("time", True))),
-    "events": Table(_fields(id=_S, sequence=_L, node_id=_S, job_id=_S, type=_S, timestamp=_S, generator_id=_S), ("id",)),
+    "query_statistics": Table(_fields(id=_S, time=_S, json=_S), ("id", "time"), (("id", False), ("time", True)), "substring(time, 1, 10)"),
+    "events": Table(_fields(id=_S, sequence=_L, node_id=_S, job_id=_S, type=_S, timestamp=_S, generator_id=_S), ("id",), (), "pmod(xxhash64(id), 64)"),
 }

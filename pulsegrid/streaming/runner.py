@@ -25,11 +25,13 @@ class StreamConfig:
     trigger: str | None = None  # processing time; None: all there is, then stop
 
 
-def start(df: DataFrame, config: StreamConfig, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None) -> StreamingQuery:
-    """Start a stream into a batch function, or into Parquet files (append only)."""
+def start(df: DataFrame, config: StreamConfig, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None, fmt: str = "parquet", **options: str) -> StreamingQuery:
+    """Start a stream into a batch function or a format: Parquet files (append only), `memory` (a table
+    of the stream's name on the driver, for small aggregates), `console`, `json`, or, with its
+    connector on the class path, `kafka`."""
     writer = df.writeStream.queryName(config.name).outputMode(config.mode).option("checkpointLocation", config.checkpoint)
     writer = writer.trigger(processingTime=config.trigger) if config.trigger else writer.trigger(availableNow=True)
-    return writer.foreachBatch(sink).start() if sink else writer.format("parquet").start(path)
+    return writer.foreachBatch(sink).start() if sink else writer.format(fmt).options(**options).start(path)
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
@@ -52,48 +54,87 @@ def drain(df: DataFrame, mode: str, label: str) -> DataFrame:
 
 
 class KeyedTable:
-    """A table of Parquet versions with a key: a new row replaces the one of the same key.
+    """A table of Parquet parts with a key: a new row replaces the one of the same key.
 
-    A batch writes the next version and then names it in a one-row ledger; a version without a
-    ledger entry is never read, and a batch that the ledger has is not applied again, so a batch
-    that is repeated after a failure changes nothing.
+    A batch rewrites only the parts (days, say) that it has rows of, and then renames a ledger entry
+    into place that lists every part's folder: one row for each part. What no ledger entry names is
+    never read, and a batch that the ledger has is not applied again, so a batch that fails midway or
+    is repeated changes nothing. The ledger needs a file system whose rename is atomic.
     """
 
+    _MANIFEST = "part string, version string"
+
     def __init__(self, spark: SparkSession, path: str, name: str, additive: tuple[str, ...] = ()):
         self.spark, self.path, self.spec, self.additive = spark, path.rstrip("/"), TABLES[name], additive
+        self._part = F.coalesce(F.expr(self.spec.part).cast("string"), F.lit("none"))
+
+    def _at(self, *names: str):
+        """The file system, and a path below the table's."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _names(self, *names: str) -> list[str]:
+        fs, p = self._at(*names)
+        return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
 
-    def _ledger(self) -> tuple[int, str | None]:
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/ledger")
-        fs = fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(fs_path):
-            return -1, None
-        last = self.spark.read.schema("batch long, version string").json(f"{self.path}/ledger").orderBy(F.desc("batch")).first()
-        return (last["batch"], last["version"]) if last else (-1, None)
-
-    def read(self) -> DataFrame:
-        version = self._ledger()[1]
-        if version is None:
+    def _last(self) -> int:
+        return max([int(x) for x in self._names("ledger") if x.isdigit()], default=-1)
+
+    def _parts(self) -> dict[str, str]:
+        """The folder of each part."""
+        last = self._last()
+        rows = self.spark.read.schema(self._MANIFEST).json(f"{self.path}/ledger/{last}").collect() if last >= 0 else []
+        return {r["part"]: r["version"] for r in rows}
+
+    def _read(self, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], self.spec.schema)
-        return self.spark.read.schema(self.spec.schema).parquet(f"{self.path}/data/{version}")
+        return self.spark.read.schema(self.spec.schema).parquet(*[f"{self.path}/data/{x}" for x in folders])
+
+    def read(self, *parts: str) -> DataFrame:
+        """The table, or only some of its parts."""
+        return self._read([v for k, v in self._parts().items() if not parts or k in parts])
 
     def apply(self, rows: DataFrame, batch: int) -> None:
         """Use as the sink of a stream: `start(df, config, sink=table.apply)`."""
-        if batch <= self._ledger()[0]:
+        if batch <= self._last():
             return
         key, names = list(self.spec.key), self.spec.schema.fieldNames()
-        new = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.spec.schema.fields])
-        both = self.read().withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-        if self.additive:
-            merged = both.groupBy(*key).agg(*[(F.sum if c in self.additive else F.max)(c).alias(c) for c in names if c not in key])
-        else:
-            order = [F.desc("_new"), *[F.desc_nulls_last(c) for c in names if c not in key]]
-            merged = both.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_r = 1")
         version = f"{batch}-{uuid.uuid4().hex}"
-        out = merged.select(*names)
-        if self.spec.clustering:
-            out = out.sortWithinPartitions(*[F.desc(c) if down else F.asc(c) for c, down in self.spec.clustering])
-        out.write.parquet(f"{self.path}/data/{version}")
-        self.spark.createDataFrame([(batch, version)], "batch long, version string").coalesce(1).write.mode("append").json(f"{self.path}/ledger")
+        # written first, so that the batch is computed once
+        rows.select(*[F.col(f.name).cast(f.dataType) for f in self.spec.schema.fields]).write.parquet(f"{self.path}/new/{version}")
+        new = self.spark.read.schema(self.spec.schema).parquet(f"{self.path}/new/{version}")
+        touched = [r["part"] for r in new.select(self._part.alias("part")).distinct().collect()]  # parts of a batch, not rows
+        held = self._parts()
+        if touched:
+            old = self._read([held[p] for p in touched if p in held])
+            both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+            if self.additive:
+                merged = both.groupBy(*key).agg(*[(F.sum if c in self.additive else F.max)(c).alias(c) for c in names if c not in key])
+            else:
+                order = [F.desc("_new"), *[F.desc_nulls_last(c) for c in names if c not in key]]
+                merged = both.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_r = 1")
+            # few files a part, and a large part split
+            out = merged.select(*names, self._part.alias("_part")).hint("rebalance", "_part")
+            out.sortWithinPartitions("_part", *[F.desc(c) if down else F.asc(c) for c, down in self.spec.clustering]).write.partitionBy("_part").parquet(f"{self.path}/data/{version}")
+            escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+            held |= {p: f"{version}/_part={escaped(p)}" for p in touched}
+        self.spark.createDataFrame(sorted(held.items()), self._MANIFEST).coalesce(1).write.json(f"{self.path}/ledger/{version}.making")
+        fs, made = self._at("ledger", f"{version}.making")
+        if not fs.rename(made, self._at("ledger", str(batch))[1]):
+            raise RuntimeError(f"batch {batch} cannot be entered into the ledger of {self.path}")
+        fs.delete(self._at("new", version)[1], True)
+
+    def vacuum(self) -> int:
+        """Delete folders that the last ledger entry doesn't name, when nothing reads them any more
+        and no batch is being applied; their number."""
+        keep, gone = set(self._parts().values()), 0
+        for version in self._names("data"):
+            for part in self._names("data", version):
+                if part.startswith("_part=") and f"{version}/{part}" not in keep:
+                    fs, p = self._at("data", version, part)
+                    gone += bool(fs.delete(p, True))
+        return gone
 
 
 class ProgressLog(StreamingQueryListener):
