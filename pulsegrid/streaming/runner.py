@@ -77,12 +77,13 @@ class KeyedTable:
         fs, p = self._at(*names)
         return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
 
-    def _last(self) -> int:
+    def last_batch(self) -> int:
+        """The last batch applied; -1 if none was."""
         return max([int(x) for x in self._names("ledger") if x.isdigit()], default=-1)
 
     def _parts(self) -> dict[str, str]:
         """The folder of each part."""
-        last = self._last()
+        last = self.last_batch()
         rows = self.spark.read.schema(self._MANIFEST).json(f"{self.path}/ledger/{last}").collect() if last >= 0 else []
         return {r["part"]: r["version"] for r in rows}
 
@@ -97,7 +98,7 @@ class KeyedTable:
 
     def apply(self, rows: DataFrame, batch: int) -> None:
         """Use as the sink of a stream: `start(df, config, sink=table.apply)`."""
-        if batch <= self._last():
+        if batch <= self.last_batch():
             return
         key, names = list(self.spec.key), self.spec.schema.fieldNames()
         version = f"{batch}-{uuid.uuid4().hex}"
