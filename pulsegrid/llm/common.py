@@ -91,15 +91,16 @@ class Numbered(NamedTuple):
 ROWS_A_PARTITION = 2_000_000
 
 
-def number_rows(df: DataFrame, order: list[str], weight: str, label: str) -> Numbered:
-    """Put rows into a global order and number them, without a task that gets them all.
+def number_rows(df: DataFrame, order: list[str], weight: str, label: str, written: bool = False) -> Numbered:
+    """Put rows into a global order and number them, without a task that gets them all. `written` says
+    that `df` comes from a written table, so that reading it again is cheap.
 
     The rows are dealt by ranges of the whole order, so that many rows that tie in its first
     columns are still spread; each partition numbers its own, and only the partitions' counts
     come to the driver. The numbered rows are written, so later reads see the same numbers.
     """
     spark = df.sparkSession
-    source = materialize(df, f"{label}-source")  # ranges are sampled: don't compute the input twice
+    source = df if written else materialize(df, f"{label}-source")  # ranges are sampled: don't compute the input twice
     n = max(shuffle_partitions(spark), -(-source.count() // ROWS_A_PARTITION))
     dealt = source.repartitionByRange(n, *order).sortWithinPartitions(*order)
     schema = T.StructType([*df.schema.fields, T.StructField("_pid", T.IntegerType()), T.StructField("_idx", T.LongType()), T.StructField("_before", T.LongType())])

@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import number_rows, pick, table
+from .common import materialize, number_rows, pick, table
 
 #: Longer rows are cut into pieces of this many tokens; nothing is dropped.
 MAX_LENGTH = 4096
@@ -68,11 +68,12 @@ def pack(df: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens", ma
     length 0 are packed too; an empty table gives an empty result.
     """
     cut = pieces(df, id_col, length_col, max_length).withColumn("bin", F.greatest(F.ceil(F.col("n_tokens") / multiple), F.lit(1)).cast("long") * multiple)
+    cut = materialize(cut, "packing-pieces")  # lengths, no texts: counted once for the histogram and the batches
     seen = sorted((r["bin"], r["count"]) for r in cut.groupBy("bin").count().collect())  # at most max_length / multiple
     ends = boundaries([x for x, _ in seen], [n for _, n in seen], buckets) or [multiple]
     bucket = sum(((F.col("bin") > e).cast("int") for e in ends[:-1]), F.lit(0))
     rows = cut.drop("bin").withColumn("bucket", F.lit(0)) if len(ends) == 1 else cut.withColumn("bucket", bucket).drop("bin")
-    numbered = number_rows(rows, ["bucket", "doc_id", "piece", "n_tokens"], "n_tokens", "packing")
+    numbered = number_rows(rows, ["bucket", "doc_id", "piece", "n_tokens"], "n_tokens", "packing", written=True)
     first = {r["bucket"]: r["at"] for r in numbered.placed().groupBy("bucket").agg(F.min("_at").alias("at")).collect()}
     starts = F.array(*[F.lit(first.get(k, 0)).cast("long") for k in range(len(ends))])
     length = F.array(*[F.lit(e).cast("long") for e in ends])[F.col("bucket")]
