@@ -3,8 +3,9 @@
 A bounded sample fits the coarse centroids, the codebooks of the residuals, and how many lists a
 query must look into to reach the wanted recall. Every row is indexed: its list and its code. A
 list is kept in blocks, so a hot list is spread; a block holds codes and vectors. A query goes to
-the blocks of its best lists; there asymmetric distance tables score all codes, the best are scored
-again on the original vectors, and the best of those of all blocks are the result.
+the blocks of its best lists; there asymmetric distance tables score all codes, the best and all that
+tie with the last of them are scored again on the original vectors, and the best of those of all
+blocks are the result.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ SAMPLE = 16_384
 PARTS, CODES = 16, 256
 #: Share of the true neighbours, within the sample, that the probed lists must hold.
 RECALL = 0.97
-#: Rows of a block, and rows of it that are scored again for a query.
+#: Rows of a block, and rows of it at least that are scored again for a query.
 BLOCK, RERANK = 4096, 100
 
 
@@ -87,6 +88,15 @@ def fit(x: np.ndarray, rows: int, nearest: int = NEAREST, seed: int = 5) -> IvfP
     return model
 
 
+def best_codes(near: np.ndarray, n: int) -> np.ndarray:
+    """The rows of the n largest approximate scores, and all that tie with the least of them: equal
+    vectors have equal codes, so which of them come first is for the exact scores and ids to say."""
+    if len(near) <= n:
+        return np.arange(len(near))
+    least = np.partition(near, -n)[-n]
+    return np.flatnonzero(near >= least - 1e-9 * abs(least))  # sums of equal parts may differ by rounding
+
+
 def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", nearest: int = NEAREST, sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found for every row that `is_query` (a condition on
     vec_id) chooses, by inner product, ties to the smaller id.
@@ -168,7 +178,7 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
                 for q, v in zip(ids[a:z].tolist(), x[a:z], strict=True):
                     near = sum(t[code[:, j]] for j, t in enumerate(m.tables(v)))
                     near[own == q] = -np.inf
-                    top = np.argpartition(-near, RERANK)[:RERANK] if len(near) > RERANK else np.arange(len(near))
+                    top = best_codes(near, max(RERANK, nearest))
                     top = top[own[top] != q]
                     exact = (vectors_[top] * v).sum(1)  # each row's sum in the same order: equal rows tie
                     first = np.lexsort((own[top], -exact))[:nearest]

@@ -125,6 +125,21 @@ def test_ann_awkward(spark, vectors):
     assert ann_ivfpq.search(vectors.where("false"), lambda i: i % 20 == 0).count() == 0
 
 
+def test_ann_ties_of_very_many_equal_vectors(spark):
+    """More copies than a block holds: the smallest ids of them are the nearest, whoever asks."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(9000, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    copies = np.sort(rng.choice(9000, 5000, replace=False))
+    x[copies] = x[copies[0]]
+    asked = set(copies[::1000].tolist())
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in ann_ivfpq.search(table, lambda i: i.isin(list(asked))).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [i for i in copies.tolist() if i != q][:20] for q in asked}
+
+
 def test_kdtree_sql(spark, sf_dir, same):
     same(topk_kdtree.op10_topk_kdtree(spark, sf_dir), topk_kdtree.ORACLE)
 
