@@ -3,7 +3,8 @@
 The patterns find assignments, access keys and long hex strings. Beside them, every long run of
 key characters is scored by two first-order Markov models of characters, one of random strings
 and one of ordinary identifiers, both counted from labelled samples; a run whose log-likelihood
-ratio per transition reaches the threshold is a secret too. Spans are code points, end exclusive.
+ratio per transition reaches the threshold is a secret too. In other runs the stretches of parts
+between '+', '/', '-' and '_' that reach it are. Spans are code points, end exclusive.
 """
 
 from __future__ import annotations
@@ -25,9 +26,14 @@ HEX = r"[0-9a-f]{24,}"
 ASSIGN_LEAST = 6
 #: Runs that the Markov models judge.
 RUN = r"[A-Za-z0-9+/_-]{16,}"
+RUN_LEAST = 16
+#: What lies between the separators of a run.
+PART = r"[A-Za-z0-9]+"
 CHARACTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 #: Least mean log-likelihood ratio of a transition, in thousandths of a nat.
 THRESHOLD = 350
+#: A stretch of parts ends where what follows costs more than this, in thousandths of a nat.
+DROP = 8000
 #: Spans gathered at once; a text may have any number of them.
 SPANS_A_BLOCK = 256
 #: Characters behind the last span that are still kept at hand.
@@ -74,24 +80,64 @@ def train(samples: DataFrame, threshold: int = THRESHOLD) -> MarkovModel:
     return MarkovModel(tuple(round(1000 * (b - a)) for a, b in zip(*logs, strict=True)), threshold)
 
 
-def ratio(run: str, model: MarkovModel) -> str:
-    """SQL of the mean ratio of a run of CHARACTERS, given as SQL."""
+def total(run: str, model: MarkovModel) -> str:
+    """SQL of the sum of the ratios of a run of CHARACTERS, given as SQL."""
     codes = [0] * 128
     for k, c in enumerate(CHARACTERS):
         codes[ord(c)] = k
     n = len(CHARACTERS)
     code, ratios = f"array({','.join(map(str, codes))})", f"array({','.join(map(str, model.table))})"
     chars = f"transform(split({run}, ''), c -> {code}[ascii(c)])"
-    total = f"aggregate({chars}, named_struct('last', -1, 'sum', 0L), (a, k) -> named_struct('last', k, 'sum', a.sum + if(a.last < 0, 0, {ratios}[greatest(a.last, 0) * {n} + k])), a -> a.sum)"
-    return f"({total} / (length({run}) - 1))"
+    return f"aggregate({chars}, named_struct('last', -1, 'sum', 0L), (a, k) -> named_struct('last', k, 'sum', a.sum + if(a.last < 0, 0, {ratios}[greatest(a.last, 0) * {n} + k])), a -> a.sum)"
 
 
-def _found(kind: str, pattern: str, ok: str) -> Column:
-    """Spans of one kind: lengths of what lies between matches and of the matches, added up."""
+def ratio(run: str, model: MarkovModel) -> str:
+    """SQL of the mean ratio of a run of CHARACTERS, given as SQL."""
+    return f"({total(run, model)} / (length({run}) - 1))"
+
+
+_SPAN = "struct<start:int,end:int>"
+_NONE = f"cast(array() as array<{_SPAN}>)"
+
+
+def stretches(run: str, model: MarkovModel) -> str:
+    """SQL of the spans (start, end) within a run, given as SQL, of the stretches of its parts that have
+    RUN_LEAST characters and reach the threshold.
+
+    Beyond the threshold a stretch gains what its transitions score above it. It opens with a part
+    that gains, ends with the part up to which it gained most, and is closed where the gain is used
+    up or DROP below the most. A part that is a secret alone is never left out."""
+    over = lambda text, transitions: f"({total(text, model)} - {model.threshold}L * ({transitions}))"
+    # of each part: what lies before it, its length, its gain, and the gain of the way to it from the part before
+    way = "concat(right(y.parts[i - 1], 1), y.gaps[i], left(p, 1))"
+    parts = f"""transform(array(named_struct('parts', regexp_extract_all({run}, '{PART}', 0), 'gaps', split({run}, '{PART}', -1))), y ->
+      transform(y.parts, (p, i) -> named_struct('gap', length(y.gaps[i]), 'n', length(p), 'own', {over('p', 'length(p) - 1')},
+                                                'way', if(i = 0, 0L, {over(way, "length(y.gaps[i]) + 1")}))))[0]"""
+    begin = "b.at + w.gap"
+    end = f"{begin} + w.n"
+    go_on = f"b.gain >= 0 and b.gain + w.way >= 0 and b.gain + w.way + w.own >= 0 and b.gain + w.way + {DROP} >= b.most"
+    better = f"(b.gain + w.way + w.own >= b.most or (w.n >= {RUN_LEAST} and w.own >= 0))"
+    ready = f"if(b.most >= 0 and b.end - b.start >= {RUN_LEAST}, array(named_struct('start', b.start, 'end', b.end)), {_NONE})"
+    full = f"size(b.block) >= {SPANS_A_BLOCK}"
+    # a part that uses up the gain of what came before begins anew
+    on = f"named_struct('at', {end}, 'gain', b.gain + w.way + w.own, 'most', if({better}, b.gain + w.way + w.own, b.most), 'start', b.start, 'end', if({better}, {end}, b.end), 'block', b.block, 'out', b.out)"
+    anew = f"named_struct('at', {end}, 'gain', w.own, 'most', w.own, 'start', {begin}, 'end', {end}, 'block', if({full}, {ready}, concat(b.block, {ready})), 'out', if({full}, concat(b.out, array(b.block)), b.out))"
+    first = f"named_struct('at', 0, 'gain', -1L, 'most', -1L, 'start', 0, 'end', 0, 'block', {_NONE}, 'out', cast(array() as array<array<{_SPAN}>>))"
+    return f"aggregate({parts}, {first}, (b, w) -> if({go_on}, {on}, {anew}), b -> flatten(concat(b.out, array(concat(b.block, {ready})))))"
+
+
+def _whole(ok: str) -> str:
+    """SQL of the spans within a match that is a span itself where `ok`, SQL too, holds."""
+    return f"if({ok}, array(named_struct('start', 0, 'end', length(x.m))), {_NONE})"
+
+
+def _found(kind: str, pattern: str, within: str) -> Column:
+    """Spans of one kind: lengths of what lies between matches and of the matches, added up. `within`
+    is SQL of the spans within a match."""
     p = pattern.replace("\\", "\\\\").replace("'", "\\'")
     here = f"filter(zip_with(split(text, '{p}', -1), regexp_extract_all(text, '{p}', 0), (gap, m) -> named_struct('gap', length(gap), 'm', m)), x -> x.m is not null)"
     kind_of = "array<struct<start:int,end:int,rank:int>>"
-    kept = f"if({ok}, array(named_struct('start', a.at + x.gap, 'end', a.at + x.gap + length(x.m), 'rank', {KINDS.index(kind)})), cast(array() as {kind_of}))"
+    kept = f"transform({within}, s -> named_struct('start', a.at + x.gap + s.start, 'end', a.at + x.gap + s.end, 'rank', {KINDS.index(kind)}))"
     # in blocks: appending to one long array would copy it for every span
     full = f"size(a.block) >= {SPANS_A_BLOCK}"
     step = f"named_struct('at', a.at + x.gap + length(x.m), 'block', if({full}, {kept}, concat(a.block, {kept})), 'out', if({full}, concat(a.out, array(a.block)), a.out))"
@@ -109,10 +155,10 @@ def scan(df: DataFrame, model: MarkovModel, text_col: str = "text", out_col: str
         df = df.drop(out_col)
     assign = ASSIGN.replace("\\", "\\\\").replace("'", "\\'")
     found = [
-        _found("assign", ASSIGN, f"length(regexp_extract(x.m, '{assign}', 2)) >= {ASSIGN_LEAST}"),
-        _found("access", ACCESS, "true"),
-        _found("hex", HEX, "true"),
-        _found("markov", RUN, f"{ratio('x.m', model)} >= {model.threshold}"),
+        _found("assign", ASSIGN, _whole(f"length(regexp_extract(x.m, '{assign}', 2)) >= {ASSIGN_LEAST}")),
+        _found("access", ACCESS, _whole("true")),
+        _found("hex", HEX, _whole("true")),
+        _found("markov", RUN, f"if({ratio('x.m', model)} >= {model.threshold}, {_whole('true')}, if(x.m rlike '[+/_-]', {stretches('x.m', model)}, {_NONE}))"),
     ]
     names = ",".join(f"'{k}'" for k in KINDS)
     packed = df.select(F.struct("*").alias("own"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))

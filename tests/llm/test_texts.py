@@ -114,6 +114,24 @@ def test_secret_spans_by_brute_force(spark, awkward, documents, nothing):
     assert secret_scan.digests(nothing, model).count() == 0
 
 
+def test_keys_inside_paths(spark):
+    """Random keys that ordinary words are joined to on one side or both, two keys in one path, and paths without any."""
+    rng = np.random.default_rng(6)
+    letters = np.array([*"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"])
+    key = lambda n: "".join(rng.choice(letters, n))
+    around = [("services/config/", ""), ("home/user/project/config/service/", ""), ("client-server-request-response-", ""), ("services_config_reader_", "_table_index_option"), ("/data/export/server/path/", "/table/index/size")]
+    rows = [(before, k, after, before + k + after) for before, after in around for n in (20, 24, 32, 40) for k in (key(n) for _ in range(25))]
+    rows += [(f"home/user/config/{k}/service/reader/index/", other, "/project/table", f"home/user/config/{k}/service/reader/index/{other}/project/table") for k, other in ((key(32), key(20)) for _ in range(25))]
+    model = secret_scan.train(secret_scan.default_samples(spark))
+    found = secret_scan.scan(spark.createDataFrame(rows, "before string, key string, after string, text string").repartition(4), model, out_col="s")
+    got = found.collect()
+    assert sum(any(s.start <= len(r.before) and s.end >= len(r.before) + len(r.key) for s in r.s) for r in got) >= 0.98 * len(rows)
+    clean = secret_scan.redact(found, "s").collect()
+    assert sum(r.key not in r.text and r.text.endswith(r.after) for r in clean) >= 0.98 * len(rows)
+    none = ["services/config/reader/table/index/size", "home/user/project/config/service/", "client-server-request-response-option", "/data/export/2024/05/17/table-index_size"]
+    assert not [r for r in secret_scan.scan(spark.createDataFrame([(t,) for t in none], "text string"), model, out_col="s").collect() if r.s]
+
+
 def test_redaction(spark, awkward):
     model = secret_scan.train(secret_scan.default_samples(spark))
     got = {r.doc_id: r.text for r in secret_scan.redact(secret_scan.scan(awkward, model)).collect()}
