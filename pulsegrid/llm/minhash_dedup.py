@@ -325,10 +325,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     # equal sets: one goes on, the others are linked to it
     twins = named.groupBy("fingerprint").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("most")).where("v < most").drop("most")
-    copies = materialize(named.select("doc_id", "fingerprint").join(twins, "fingerprint").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v").distinct(), "minhash-copies")
+    copies = materialize(named.select("doc_id", "fingerprint").join(twins, "fingerprint").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v", "fingerprint").distinct(), "minhash-copies")
 
-    # a bucket links its members to its smallest
-    banded = named.select("doc_id", "bands").join(copies.select(F.col("u").alias("doc_id")), "doc_id", "left_anti").select("doc_id", F.explode("bands").alias("key"))
+    # a bucket links its members to its smallest; of an id that repeats with other texts only the copied text stays out
+    banded = named.select("doc_id", "fingerprint", "bands").join(copies.select(F.col("u").alias("doc_id"), "fingerprint"), ["doc_id", "fingerprint"], "left_anti").select("doc_id", F.explode("bands").alias("key"))
     crowded = banded.groupBy("key").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("most"), F.count("*").alias("n")).where("center < most").drop("most")
     members = materialize(banded.join(crowded, "key").where("doc_id <> center"), "minhash-buckets")
     stars = materialize(members.select(F.col("center").alias("u"), F.col("doc_id").alias("v")).distinct(), "minhash-stars")
@@ -336,7 +336,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     needed = materialize(stars.select(F.col("u").alias("doc_id")).unionByName(stars.select(F.col("v").alias("doc_id"))).distinct(), "minhash-needed")
     texts = materialize(signed(maybe_in(docs.where("text is not null"), needed).join(needed, "doc_id").select("doc_id", "text"), words), "minhash-texts")
     links = materialize(verified(stars, texts.select("doc_id", "text"), words, percent), "minhash-links")
-    label = components(copies.unionByName(links), "minhash-components")
+    label = components(copies.select("u", "v").unionByName(links), "minhash-components")
 
     # members that their bucket's smallest did not bring together
     labelled = lambda rows: rows.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))

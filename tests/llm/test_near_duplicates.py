@@ -55,6 +55,14 @@ def test_a_chain_that_no_star_brings_together(spark):
     assert result(minhash_dedup.near_duplicates(df, words=2)) == brute(rows, 2)
 
 
+def test_an_id_that_repeats_keeps_the_links_of_all_its_texts(spark):
+    """One text of id 2 equals that of 1, another is near that of 3; 4 is like none."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    df = spark.createDataFrame([(1, a), (2, a), (2, b), (3, b + " more"), (4, c)], "doc_id long, text string")
+    rows = minhash_dedup.near_duplicates(df, words=2).collect()
+    assert sorted((r.doc_id, r.component_id) for r in rows) == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 4)]
+
+
 def test_awkward(awkward, nothing):
     rows = minhash_dedup.near_duplicates(awkward, words=2).collect()
     assert len(rows) == awkward.count()
