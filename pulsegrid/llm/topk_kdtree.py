@@ -95,8 +95,9 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
     the rows of the highest integer inner products of floor(scale * x), ties to the smaller id.
 
     Vectors that are null, empty, or hold null or non-finite components take no part, nor do rows
-    without id or of another length than most; zero vectors do. Rows of the query's own id are no
-    candidates. With fewer candidates than wanted, all are returned; empty tables give no rows.
+    without id or of another length than most; zero vectors do. Nor do vectors with a component of
+    abs(scale * x) >= 4e18, which is too near the end of a long; scores must fit a long too, or they
+    wrap. Rows of the query's own id are no candidates. With fewer candidates than wanted, all are returned; empty tables give no rows.
     """
     fits = f"not exists(embedding, x -> abs({int(scale)} * x) >= 4e18)"
     vectors = materialize(usable(df, id_col, vector_col, zero=True).where(fits).select("vec_id", F.expr(f"transform(embedding, x -> cast(floor({int(scale)} * x) as long))").alias("v")), "kdtree-vectors")
