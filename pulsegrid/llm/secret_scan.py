@@ -80,20 +80,24 @@ def train(samples: DataFrame, threshold: int = THRESHOLD) -> MarkovModel:
     return MarkovModel(tuple(round(1000 * (b - a)) for a, b in zip(*logs, strict=True)), threshold)
 
 
-def total(run: str, model: MarkovModel) -> str:
-    """SQL of the sum of the ratios of a run of CHARACTERS, given as SQL."""
+def tables(model: MarkovModel) -> tuple[str, str]:
+    """SQL of the numbers of the first 128 characters among CHARACTERS, and of the ratios."""
     codes = [0] * 128
     for k, c in enumerate(CHARACTERS):
         codes[ord(c)] = k
+    return f"array({','.join(map(str, codes))})", f"array({','.join(map(str, model.table))})"
+
+
+def total(run: str, code: str, ratios: str) -> str:
+    """SQL of the sum of the ratios of a run of CHARACTERS, given as SQL, as the tables are."""
     n = len(CHARACTERS)
-    code, ratios = f"array({','.join(map(str, codes))})", f"array({','.join(map(str, model.table))})"
     chars = f"transform(split({run}, ''), c -> {code}[ascii(c)])"
     return f"aggregate({chars}, named_struct('last', -1, 'sum', 0L), (a, k) -> named_struct('last', k, 'sum', a.sum + if(a.last < 0, 0, {ratios}[greatest(a.last, 0) * {n} + k])), a -> a.sum)"
 
 
 def ratio(run: str, model: MarkovModel) -> str:
     """SQL of the mean ratio of a run of CHARACTERS, given as SQL."""
-    return f"({total(run, model)} / (length({run}) - 1))"
+    return f"({total(run, *tables(model))} / (length({run}) - 1))"
 
 
 _SPAN = "struct<start:int,end:int>"
@@ -107,10 +111,11 @@ def stretches(run: str, model: MarkovModel) -> str:
     Beyond the threshold a stretch gains what its transitions score above it. It opens with a part
     that gains, ends with the part up to which it gained most, and is closed where the gain is used
     up or DROP below the most. A part that is a secret alone is never left out."""
-    over = lambda text, transitions: f"({total(text, model)} - {model.threshold}L * ({transitions}))"
+    code, ratios = tables(model)  # once in the plan, they are long
+    over = lambda text, transitions: f"({total(text, 'y.code', 'y.ratios')} - {model.threshold}L * ({transitions}))"
     # of each part: what lies before it, its length, its gain, and the gain of the way to it from the part before
     way = "concat(right(y.parts[i - 1], 1), y.gaps[i], left(p, 1))"
-    parts = f"""transform(array(named_struct('parts', regexp_extract_all({run}, '{PART}', 0), 'gaps', split({run}, '{PART}', -1))), y ->
+    parts = f"""transform(array(named_struct('parts', regexp_extract_all({run}, '{PART}', 0), 'gaps', split({run}, '{PART}', -1), 'code', {code}, 'ratios', {ratios})), y ->
       transform(y.parts, (p, i) -> named_struct('gap', length(y.gaps[i]), 'n', length(p), 'own', {over('p', 'length(p) - 1')},
                                                 'way', if(i = 0, 0L, {over(way, "length(y.gaps[i]) + 1")}))))[0]"""
     begin = "b.at + w.gap"
@@ -140,7 +145,7 @@ def _found(kind: str, pattern: str, within: str) -> Column:
     kept = f"transform({within}, s -> named_struct('start', a.at + x.gap + s.start, 'end', a.at + x.gap + s.end, 'rank', {KINDS.index(kind)}))"
     # in blocks: appending to one long array would copy it for every span
     full = f"size(a.block) >= {SPANS_A_BLOCK}"
-    step = f"named_struct('at', a.at + x.gap + length(x.m), 'block', if({full}, {kept}, concat(a.block, {kept})), 'out', if({full}, concat(a.out, array(a.block)), a.out))"
+    step = f"named_struct('at', a.at + x.gap + length(x.m), 'block', concat(if({full}, cast(array() as {kind_of}), a.block), {kept}), 'out', if({full}, concat(a.out, array(a.block)), a.out))"
     spans = f"aggregate({here}, named_struct('at', 0, 'block', cast(array() as {kind_of}), 'out', cast(array() as array<{kind_of}>)), (a, x) -> {step}, a -> flatten(concat(a.out, array(a.block))))"
     # most texts have none: one look tells, and only the others are taken apart
     return F.expr(f"if(text rlike '{p}', {spans}, cast(array() as {kind_of}))")
