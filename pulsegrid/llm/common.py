@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from typing import NamedTuple
@@ -31,10 +32,13 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: `spark.checkpoint.dir`.
 
-    Only where the session has none (a test, a notebook) a folder of this machine is made and set.
+    Only where the session has none and all runs in one process (master `local`: a test, a notebook)
+    a folder of this machine is made and set; on a cluster the setting must be there.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="pulsegrid-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -64,6 +68,20 @@ def remove(spark: SparkSession, df: DataFrame) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def dealt_anew(totals: DataFrame, key: str) -> DataFrame:
+    """`totals` of a table by `key` (a long), for a join with that table on `key`.
+
+    Spark would join the totals where they were aggregated, and adaptive execution splits a hot key
+    only in joins of two plain exchanges. The key is therefore computed anew, which hides that the
+    totals lie by it already, so they are dealt out again: one row for each key."""
+    return totals.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
+
+
+def raw_texts(column: pa.Array) -> list[bytes]:
+    """A string column as UTF-8 bytes; nulls are empty."""
+    return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

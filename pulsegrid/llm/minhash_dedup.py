@@ -7,7 +7,7 @@
    all pairs. Links are checked on the full shingle sets, and components are formed.
 4. Buckets whose members are still in different components are looked at again: members outside
    the bucket's largest component are compared by signature, in blocks, with the members of other
-   components. What the signatures allow is gathered into families (a block reports no more links
+   components whose sets are of like size (a link needs sizes within 4 to 5). What the signatures allow is gathered into families (a block reports no more links
    than it has members), and in each family, in blocks again, members of different components are
    compared on their full sets. So a link is lost only if no band shows it, or if the signature is
    off by five deviations.
@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, remove, table
+from .common import dealt_anew, materialize, pick, raw_texts, remove, table
 from .components import components
 
 #: Words of a shingle; an operator's default. The query takes 2.
@@ -32,10 +33,10 @@ WORDS = 5
 PERCENT = 80
 HASHES, ROWS = 160, 5
 BANDS = HASHES // ROWS
-#: Signature agreements, of HASHES, below which a pair of similarity 0.8 is five deviations off.
-AGREE = 103
-#: Members of a bucket or family that one comparison block holds, and links of one text that one task checks.
+#: Members of a family that one comparison block holds, and links of one text that one task checks.
 BLOCK = 512
+#: Members of a bucket that one block compares by signature.
+SIGNATURES = 8192
 #: Bits of the filter that keeps texts from being moved in vain.
 BITS = 1 << 26
 _CHUNK = 1 << 19
@@ -139,7 +140,7 @@ def shingled(docs: DataFrame, words: int) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                sets = shingle_hashes([(x.as_py() or "").encode() for x in part.column(1)], words)
+                sets = shingle_hashes(raw_texts(part.column(1)), words)
                 keys = [band_keys(minima(s))[0] if len(s) else np.zeros(0, np.int64) for s in sets]
                 ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
@@ -153,16 +154,26 @@ def shingled(docs: DataFrame, words: int) -> DataFrame:
 
 
 def signed(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, text, signature) of (doc_id, text) with at least one word each."""
+    """(doc_id, n, signature, hashes) of (doc_id, text) with at least one word each; hashes are the whole
+    shingle set, sorted, so that no text needs to be moved or taken apart again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                sets = shingle_hashes([(x.as_py() or "").encode() for x in part.column(1)], words)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([minima(s).tobytes() for s in sets], pa.binary())], names=["doc_id", "text", "signature"])
+                sets = shingle_hashes(raw_texts(part.column(1)), words)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([minima(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "n", "signature", "hashes"])
 
-    return docs.mapInArrow(run, "doc_id long, text string, signature binary")
+    return docs.mapInArrow(run, "doc_id long, n long, signature binary, hashes binary")
+
+
+def in_common(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    if not len(a):
+        return 0
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
 
 
 def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -179,30 +190,30 @@ def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(maps), (F.bitmap_bucket_number(bit) == F.col("bucket")) & is_set, "left_semi")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of distinct pairs (u, v) those whose full shingle sets reach the similarity.
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of distinct pairs (u, v) those whose full shingle sets, (doc_id, hashes), reach the similarity.
 
-    u's text meets its partners' in tasks of about BLOCK partners, one text at a time.
+    u's set meets its partners' in tasks of about BLOCK partners, one set at a time.
     """
     degree = pairs.groupBy("u").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    dealt = pairs.join(degree, "u").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
-    partners = dealt.join(docs.withColumnRenamed("doc_id", "v"), "v").select("u", "part", "v", "text")
-    centers = degree.select("u", F.explode(F.expr("sequence(0, parts - 1)")).alias("part")).join(docs.withColumnRenamed("doc_id", "u"), "u").select("u", "part", F.lit(None).cast("long").alias("v"), "text")
+    dealt = pairs.join(dealt_anew(degree, "u"), "u").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
+    partners = dealt.join(sets.withColumnRenamed("doc_id", "v"), "v").select("u", "part", "v", "hashes")
+    centers = degree.select("u", F.explode(F.expr("sequence(0, parts - 1)")).alias("part")).join(sets.withColumnRenamed("doc_id", "u"), "u").select("u", "part", F.lit(None).cast("long").alias("v"), "hashes")
     met = centers.unionByName(partners).repartition("u", "part").sortWithinPartitions("u", "part", F.col("v").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, at = [], None  # sets of the text at hand: more than one if rows repeat its id
         for b in batches:
             us, vs = [], []
-            for u, part, v, text in zip(*(b.column(k) for k in range(4)), strict=True):
+            for u, part, v, hashes in zip(*(b.column(k) for k in range(4)), strict=True):
                 u, part, v = u.as_py(), part.as_py(), v.as_py()
-                s = shingle_set((text.as_py() or "").encode(), words)
+                s = np.frombuffer(hashes.as_py(), np.uint64)
                 if v is None:
                     own = [*own, s] if at == (u, part) else [s]
                     at = (u, part)
                     continue
                 for o in own:
-                    both = len(o & s)
+                    both = in_common(o, s)
                     if 100 * both >= percent * (len(o) + len(s) - both):
                         us.append(u)
                         vs.append(v)
@@ -229,34 +240,44 @@ class _Sets:
         return x != y
 
 
-def _blocked(rows: DataFrame, group: str) -> DataFrame:
-    """Members dealt to the blocks of their group, and after them the probes, which go to every block.
+def _meet(rows: DataFrame, group: str, column: str, percent: int, block: int) -> DataFrame:
+    """Members dealt to the blocks of their group and size class, and after them the probes, which go
+    to every block of the classes that a link can reach.
 
-    `rows` has the group, doc_id, component and more; the group's largest component is no probe.
-    Groups within one component are left out."""
-    each = rows.groupBy(group, "component").agg(F.count("*").alias("n"))
-    split = each.groupBy(group).agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.sum("n").alias("all"), F.count("*").alias("kinds")).where("kinds > 1").select(group, "largest", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"))
-    return rows.join(split, group).withColumn("probe", F.col("component") != F.col("largest")).drop("largest")
+    `rows` has the group (a long), doc_id, component, n (the set's size) and `column`. Sizes of one
+    link differ by a factor of 100 / percent at most, so its classes are neighbours. Members of the
+    group's largest component are no probes; groups within one component are left out."""
+    rows = rows.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int"))
+    each = rows.groupBy(group, "component").agg(F.count("*").alias("of"))
+    kinds = each.groupBy(group).agg(F.max_by("component", F.struct("of", "component")).alias("largest"), F.count("*").alias("kinds")).where("kinds > 1").select(group, "largest")
+    rows = rows.join(dealt_anew(kinds, group), group).withColumn("probe", F.col("component") != F.col("largest")).drop("largest")
+    blocks = rows.groupBy(group, "class").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    blocks = dealt_anew(blocks, group)
+    keep = [group, "class", "block", "ask", "doc_id", "component", "n", column]
+    members = rows.join(blocks, [group, "class"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("ask", F.lit(False))
+    near = rows.where("probe").withColumn("class", F.explode(F.expr("array(class - 1, class, class + 1)")))
+    probes = near.join(blocks, [group, "class"]).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("ask", F.lit(True))
+    return members.select(*keep).unionByName(probes.select(*keep)).repartition(group, "class", "block").sortWithinPartitions(group, "class", "block", "ask")
 
 
-def _meet(rows: DataFrame, group: str, columns: list[str]) -> DataFrame:
-    members = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("ask", F.lit(False))
-    probes = rows.where("probe").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("ask", F.lit(True))
-    keep = [group, "block", "ask", "doc_id", "component", "probe", *columns]
-    return members.select(*keep).unionByName(probes.select(*keep)).repartition(group, "block").sortWithinPartitions(group, "block", "ask")
+def agreement(percent: int) -> int:
+    """Signature agreements, of HASHES, below which a pair of this similarity is five deviations off."""
+    p = percent / 100
+    return math.ceil(HASHES * p - 5 * math.sqrt(HASHES * p * (1 - p)))
 
 
-def _alike(met: DataFrame) -> DataFrame:
+def _alike(met: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that span, in each block, the pairs of a probe and a member of another component
-    whose signatures agree in AGREE places at least."""
+    whose signatures agree often enough."""
+    least = agreement(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, ids, comps, sigs, table, joined = None, [], [], [], None, _Sets()
         for b in batches:
             us, vs = [], []
-            for key, block, ask, doc, comp, _, sig in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if at != (key, block):
-                    at, ids, comps, sigs, table, joined = (key, block), [], [], [], None, _Sets()
+            for *key, ask, doc, comp, _, sig in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if at != key:
+                    at, ids, comps, sigs, table, joined = key, [], [], [], None, _Sets()
                 s = np.frombuffer(sig, np.uint32)
                 if not ask:
                     ids.append(doc)
@@ -266,7 +287,7 @@ def _alike(met: DataFrame) -> DataFrame:
                 if table is None:
                     table = np.array(ids, np.int64), np.array(comps, np.int64), np.array(sigs, np.uint32).reshape(-1, HASHES)
                 i, c, m = table
-                for k in i[(c != comp) & ((m == s).sum(1) >= AGREE)].tolist():
+                for k in i[(c != comp) & ((m == s).sum(1) >= least)].tolist():
                     if joined.join(doc, k):
                         us.append(doc)
                         vs.append(k)
@@ -275,7 +296,7 @@ def _alike(met: DataFrame) -> DataFrame:
     return met.mapInArrow(run, "u long, v long")
 
 
-def _compared(met: DataFrame, words: int, percent: int) -> DataFrame:
+def _compared(met: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that span, in each block, the pairs of a probe and a member of another component
     whose full sets reach the similarity."""
 
@@ -283,11 +304,11 @@ def _compared(met: DataFrame, words: int, percent: int) -> DataFrame:
         at, ids, comps, sets, table, joined = None, [], [], [], None, _Sets()
         for b in batches:
             us, vs = [], []
-            for key, block, ask, doc, comp, _, text in zip(*(b.column(k) for k in range(7)), strict=True):
-                key, block, ask, doc, comp = key.as_py(), block.as_py(), ask.as_py(), doc.as_py(), comp.as_py()
-                if at != (key, block):
-                    at, ids, comps, sets, table, joined = (key, block), [], [], [], None, _Sets()
-                own = _hash_group([(text.as_py() or "").encode()], words)[0]
+            for *key, ask, doc, comp, _, hashes in zip(*b.columns, strict=True):
+                key, ask, doc, comp = [x.as_py() for x in key], ask.as_py(), doc.as_py(), comp.as_py()
+                if at != key:
+                    at, ids, comps, sets, table, joined = key, [], [], [], None, _Sets()
+                own = np.frombuffer(hashes.as_py(), np.uint64)
                 if not ask:
                     ids.append(doc)
                     comps.append(comp)
@@ -310,9 +331,11 @@ def _compared(met: DataFrame, words: int, percent: int) -> DataFrame:
     return met.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT, block: int = BLOCK, signatures: int = SIGNATURES) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row.
 
+    `block` and `signatures` bound the rows that one comparison holds; they change no result.
+
     component_id is the smallest id reachable over links of similarity percent/100 or more, kept
     tells whether it is the row's own. Texts that are null, empty or without words have 0 shingles
     and no links. doc_id names a document: rows that repeat an id count as one document with all
@@ -321,35 +344,39 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = df.sparkSession
     docs = pick(df, doc_id=id_col, text=text_col).selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text")
     sigs = materialize(shingled(docs, words), "minhash-shingled")
-    named = sigs.where("doc_id is not null and fingerprint is not null")
+    named = sigs.where("doc_id is not null and fingerprint is not null").withColumn("print", F.xxhash64("fingerprint"))
 
     # equal sets: one goes on, the others are linked to it
-    twins = named.groupBy("fingerprint").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("most")).where("v < most").drop("most")
-    copies = materialize(named.select("doc_id", "fingerprint").join(twins, "fingerprint").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v", "fingerprint").distinct(), "minhash-copies")
+    twins = named.groupBy("print", "fingerprint").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("most")).where("v < most").drop("most")
+    copies = materialize(named.select("doc_id", "print", "fingerprint").join(dealt_anew(twins, "print"), ["print", "fingerprint"]).where("doc_id <> v").select(F.col("doc_id").alias("u"), "v", "fingerprint").distinct(), "minhash-copies")
 
     # a bucket links its members to its smallest; of an id that repeats with other texts only the copied text stays out
     banded = named.select("doc_id", "fingerprint", "bands").join(copies.select(F.col("u").alias("doc_id"), "fingerprint"), ["doc_id", "fingerprint"], "left_anti").select("doc_id", F.explode("bands").alias("key"))
-    crowded = banded.groupBy("key").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("most"), F.count("*").alias("n")).where("center < most").drop("most")
-    members = materialize(banded.join(crowded, "key").where("doc_id <> center"), "minhash-buckets")
+    crowded = banded.groupBy("key").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("most"), F.count("*").alias("size")).where("center < most").drop("most")
+    members = materialize(banded.join(dealt_anew(crowded, "key"), "key").where("doc_id <> center"), "minhash-buckets")
     stars = materialize(members.select(F.col("center").alias("u"), F.col("doc_id").alias("v")).distinct(), "minhash-stars")
-    # from here on only the texts that share a bucket with another one are moved
+    # from here on only what shares a bucket with another text is moved
     needed = materialize(stars.select(F.col("u").alias("doc_id")).unionByName(stars.select(F.col("v").alias("doc_id"))).distinct(), "minhash-needed")
-    texts = materialize(signed(maybe_in(docs.where("text is not null"), needed).join(needed, "doc_id").select("doc_id", "text"), words), "minhash-texts")
-    links = materialize(verified(stars, texts.select("doc_id", "text"), words, percent), "minhash-links")
+    sets = materialize(signed(maybe_in(docs.where("text is not null"), needed).join(needed, "doc_id").select("doc_id", "text"), words), "minhash-sets")
+    links = materialize(verified(stars, sets.select("doc_id", "hashes"), percent), "minhash-links")
     label = components(copies.select("u", "v").unionByName(links), "minhash-components")
 
     # members that their bucket's smallest did not bring together
     labelled = lambda rows: rows.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    split = _blocked(labelled(members.where("n > 2").select("doc_id", "key")), "key")
-    alike = materialize(_alike(_meet(split.join(texts.select("doc_id", "signature"), "doc_id"), "key", ["signature"])).distinct(), "minhash-alike")
-    family = components(alike, "minhash-families").select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
-    split = _blocked(labelled(family), "family")
-    more = materialize(_compared(_meet(split.join(texts.select("doc_id", "text"), "doc_id"), "family", ["text"]), words, percent), "minhash-more")
-    if not more.isEmpty():
-        label = components(label.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "minhash-joined")
+    crowd = labelled(members.where("size > 2").select("doc_id", "key"))
+    alike = materialize(_alike(_meet(crowd.join(sets.select("doc_id", "n", "signature"), "doc_id"), "key", "signature", percent, signatures), percent).distinct(), "minhash-alike")
+    written = [members, stars, needed, sets, links, alike]
+    if not alike.isEmpty():
+        family = components(alike, "minhash-families").select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+        more = materialize(_compared(_meet(labelled(family).join(sets.select("doc_id", "n", "hashes"), "doc_id"), "family", "hashes", percent, block), percent), "minhash-more")
+        written += [family, more]
+        if not more.isEmpty():
+            before = label
+            label = components(before.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "minhash-joined")
+            written.append(before)
 
     out = sigs.select("doc_id", "n_shingles").join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
-    for x in (members, stars, needed, texts, links, alike, more):
+    for x in (*written, copies):
         remove(spark, x)
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

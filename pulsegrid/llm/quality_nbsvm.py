@@ -152,12 +152,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary()), b.column(2)], names=["doc_id", "f", "label"])
 
     # at most max_rows ids: small enough to broadcast at any size of the tables
-    rows = texts.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("label").cast("int")).mapInArrow(run, "doc_id long, f binary, label int").toArrow()
-    found = {}
-    for i, f, label in zip(*(rows.column(k).to_pylist() for k in range(3)), strict=True):
-        found[i] = max(found.get(i, (f, label)), (f, label))  # one row for each id, whichever order they came in
-    order = sorted(found)
-    return fit([np.frombuffer(found[i][0], "<i4") for i in order], np.array([found[i][1] for i in order]))
+    rows = texts.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("label").cast("int")).mapInArrow(run, "doc_id long, f binary, label int")
+    # one row for each id, however often it repeats and in whichever order
+    once = rows.groupBy("doc_id").agg(F.max(F.struct("f", "label")).alias("r")).select("doc_id", "r.f", "r.label").toArrow().sort_by("doc_id")
+    return fit([np.frombuffer(f, "<i4") for f in once.column("f").to_pylist()], once.column("label").to_numpy())
 
 
 def held_out(doc_id):
@@ -192,7 +190,8 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: floa
         for b in batches:
             yield b.filter(pa.array([m.score(x.as_py()) >= least for x in b.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def op4_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:

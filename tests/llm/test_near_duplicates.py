@@ -103,3 +103,53 @@ def test_pipeline_stages_take_awkward_rows(spark, sf_dir, awkward, nothing):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, docs, sf_dir).columns == docs.columns
         corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count()
+
+
+def crowd(n, seed=7):
+    """Texts of one long common passage and own parts, so that buckets have many members of many components."""
+    rng = random.Random(seed)
+    common = [f"c{k}" for k in range(120)]
+    out = []
+    for i in range(n):
+        own = [f"o{rng.randrange(60)}" for _ in range(rng.choice([20, 30, 45]))]
+        out.append((i, " ".join([*common, *own])))
+        if i % 7 == 0:
+            out.append((n + i, " ".join([*common, *own[:-1]])))
+    return out
+
+
+def test_small_blocks_change_nothing(spark):
+    rows = crowd(150)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 2)
+    assert len({c for c, _ in want.values()}) > 20
+    for block, signatures in ((512, 8192), (2, 3)):
+        assert result(minhash_dedup.near_duplicates(df, words=2, block=block, signatures=signatures)) == want
+
+
+def test_hot_keys_can_be_split(spark):
+    """A join of a table with its own totals has two plain exchanges, so a hot key is split."""
+    from pulsegrid.llm.common import dealt_anew
+
+    kept = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    try:
+        for k, v in zip(kept, ("-1", "4k", "2k", "1.5"), strict=True):
+            spark.conf.set(k, v)
+        rows = spark.range(0, 200_000, 1, 16).selectExpr("if(id % 3 = 0, 7L, id) u", "id v")
+        least = dealt_anew(rows.groupBy("u").agg(F.min("v").alias("m")), "u")
+        found = rows.join(least, "u")
+        assert found.agg(F.sum("m")).first()[0] == sum(0 if i % 3 == 0 else min(i, 0 if i == 7 else i) for i in range(200_000))
+        found.write.format("noop").mode("overwrite").save()
+        df = rows.join(least, "u").select("v", "m")
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_pipeline_stages_take_any_column_names(spark, sf_dir):
+    docs = spark.createDataFrame([(1, "a b c d e f", 1, "x"), (2, "a b c d e f", 2, "y"), (3, "token=abcdefgh", 3, "z")], "doc_id long, text string, `a.b` int, _spans0 string")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, sf_dir)
+        assert got.columns == docs.columns and got.collect() is not None
