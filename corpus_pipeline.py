@@ -12,35 +12,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulsegrid.llm import minhash_dedup, packing, quality_nbsvm, secret_scan
-from pulsegrid.llm.common import materialize, table
+from pulsegrid.llm.common import col, materialize, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the classifier, fitted on the labelled ones among them, rejects."""
+    """Without the documents that the classifier, fitted on the labelled ones among them, rejects. Null
+    and empty texts are scored alike, as are repeated rows; with no labels, or of one class only, all
+    are scored alike and stay unless that class is 0. Columns may have any names."""
     model = quality_nbsvm.train(docs, table(spark, sf_dir, "labels"))
     return quality_nbsvm.keep_good(docs, model)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, similarity 0.8): the one of
-    the smallest id. Documents without id stay."""
-    gone = minhash_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    the smallest id. Documents without id, and those without words, stay; rows that repeat an id stay
+    or go together. Columns may have any names."""
+    gone = minhash_dedup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret replaced by a mark; n_chars follows the text where it changed."""
+    """All documents, every secret replaced by a mark; n_chars follows the text where it changed. Null
+    and empty texts, ties and repeated rows stay as they are; columns may have any names."""
     model = secret_scan.train(secret_scan.default_samples(spark))
-    found = secret_scan.scan(docs, model, out_col="_secret_spans")
-    clean = secret_scan.redact(found, "_secret_spans")
+    spans = next(x for k in range(len(docs.columns) + 1) if (x := f"_spans{k}") not in docs.columns)
+    clean = secret_scan.redact(secret_scan.scan(docs, model, out_col=spans), spans)
     if "n_chars" in docs.columns:
-        length = F.when(F.size("_secret_spans") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        length = F.when(F.size(spans) > 0, F.length("text")).otherwise(F.col("n_chars"))
         clean = clean.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
-    return clean.select(*docs.columns)
+    return clean.select(*map(col, docs.columns))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its length bucket, batch and place."""
+    """Every piece of every document with its length bucket, batch and place. Null and empty texts are
+    pieces without words; repeated rows are packed as often as they come."""
     return packing.pack(packing.word_counts(docs))
 
 
