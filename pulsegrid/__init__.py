@@ -1 +1 @@
-"""Batch and streaming analytics of sensor telemetry on Spark DataFrames."""
+"""Figures of sensor telemetry, in batch and as streams, on Spark DataFrames."""

@@ -19,9 +19,11 @@ def parser() -> argparse.ArgumentParser:
     for name, kind in PIPELINES.items():
         one = names.add_parser(name, help=(kind.__doc__ or "").strip().splitlines()[0])
         for f in dataclasses.fields(kind):
+            if f.type.startswith("Callable"):
+                continue
             required = f.default is dataclasses.MISSING and f.default_factory is dataclasses.MISSING
             default = None if required else f.default_factory() if f.default_factory is not dataclasses.MISSING else f.default
-            how = {"action": "store_true"} if f.type == "bool" else {"type": json.loads if f.type.startswith("dict") else int if f.type.startswith("int") else str}
+            how = {"action": argparse.BooleanOptionalAction} if f.type == "bool" else {"type": json.loads if f.type.startswith("dict") else int if f.type.startswith("int") else str}
             one.add_argument("--" + f.name.replace("_", "-"), dest=f.name, required=required, default=default, **how)
     return top
 

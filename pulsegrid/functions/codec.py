@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from pulsegrid.sources.schemas import EVENT_TYPES
 
+# The names that the wire formats of readings and events give their fields.
 _NUMBERS = {"Value": "value", "ID": "id", "Quality": "quality", "OPCTagReadingID": "opc_tag_reading_id", "OPCTagID": "opc_tag_id"}
 _WIRE = "array<struct<UniqueID:string,ID:string,Value:string,Timestamp:string,Quality:string,OPCTagReadingID:string,OPCTagID:string,ProxiedTypeName:string,ExtendedProperties:array<string>>>"
 _EVENT_WIRE = "struct<id:string,sequence:string,nodeId:string,jobId:string,type:string,timestamp:string,generatorId:string,version:string>"
+#: A full instant in UTC. Shorter forms would be filled up with today's date or the session's zone.
+INSTANT = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d{1,9})?[Zz]$"
 UUID = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 
 
@@ -22,6 +25,25 @@ def to_long(c: Column) -> Column:
     return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
 
 
+def to_instant(c: Column) -> Column:
+    """An ISO instant as a timestamp, cut to microseconds; null for any other text."""
+    return F.when(c.rlike(INSTANT), F.try_to_timestamp(F.upper(c)))
+
+
+def from_millis(c: Column) -> Column:
+    """Milliseconds since 1970 as a time."""
+    return F.timestamp_millis(c)
+
+
+def iso(ts: Column) -> Column:
+    """A time as ISO text in milliseconds, UTC."""
+    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def now_iso() -> Column:
+    return iso(F.current_timestamp())
+
+
 def day_of(ts: Column) -> Column:
     """Midnight of the day (UTC session) as an ISO instant."""
     return F.date_format(ts, "yyyy-MM-dd'T'00:00:00'Z'")
@@ -37,14 +59,16 @@ def floor_to(ts: Column, unit: str) -> Column:
 def decode_signals(records: DataFrame, value: str = "value") -> DataFrame:
     """Readings from message values: an array of objects, whose first counts, or a bare object.
 
-    Adds `problems` (array of field names; `payload` for what isn't JSON). Empty payloads are left
-    out, as nothing was sent; use `split_quarantine` for the rest.
+    Adds `problems` (array of field names; `payload` for what isn't JSON). A Timestamp must be a full
+    ISO instant; one that is absent or null is a problem too, since a reading without a time has no
+    place in any table. Empty payloads are left out, as nothing was sent; use `split_quarantine` for
+    the rest.
     """
     text = F.col(value).cast("string")
     # behind a generator the JSON is parsed once for a row, not once for each field
     rows = records.where(F.length(text) > 0).select(text.alias("_raw"), F.explode_outer(F.slice(F.from_json(text, _WIRE), 1, 1)).alias("_s"))
     numbers = {out: to_long(F.col(f"_s.{wire}")) for wire, out in _NUMBERS.items()}
-    ts = F.try_to_timestamp(F.col("_s.Timestamp"))
+    ts = to_instant(F.col("_s.Timestamp"))
     problems = [F.when(F.col("_s").isNull(), "payload"), F.when(F.col("_s").isNotNull() & ts.isNull(), "Timestamp")]
     problems += [F.when(F.col(f"_s.{wire}").isNotNull() & numbers[out].isNull(), wire) for wire, out in _NUMBERS.items()]
     return rows.select(
@@ -74,7 +98,7 @@ def decode_events(records: DataFrame, value: str = "value") -> DataFrame:
     """Events with `problems`: required fields that are missing, ids that aren't UUIDs, sequence 0, unknown types."""
     text = F.col(value).cast("string")
     e = records.where(F.length(text) > 0).select(text.alias("raw"), F.explode_outer(F.array(F.from_json(text, _EVENT_WIRE))).alias("e"))
-    sequence, ts = to_long(F.col("e.sequence")), F.try_to_timestamp(F.col("e.timestamp"))
+    sequence, ts = to_long(F.col("e.sequence")), to_instant(F.col("e.timestamp"))
     missing = lambda c: c.isNull() | (c == "")
     problems = [
         F.when(missing(F.col("e.id")) | ~F.col("e.id").rlike(UUID), "id"), F.when(F.coalesce(sequence, F.lit(0)) == 0, "sequence"), F.when(missing(F.col("e.nodeId")), "nodeId"),
@@ -85,7 +109,7 @@ def decode_events(records: DataFrame, value: str = "value") -> DataFrame:
 
 def encode_events(events: DataFrame) -> DataFrame:
     """(value): each event as a JSON object; the version is left out where it is null."""
-    stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    stamp = iso(F.col("timestamp"))
     fields = [F.col("id"), F.col("sequence"), F.col("node_id").alias("nodeId"), F.col("job_id").alias("jobId"), F.col("type"), stamp.alias("timestamp"), F.col("generator_id").alias("generatorId")]
     plain = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return events.select(F.when(F.col("version").isNull(), plain).otherwise(F.to_json(F.struct(*fields, F.col("version")), {"ignoreNullFields": "false"})).alias("value"))
@@ -95,4 +119,4 @@ def event_floor(ts: Column, unit: str) -> Column:
     """A time floored to MINUTES or HOURS (UTC) as ISO text."""
     if unit not in ("MINUTES", "HOURS"):
         raise ValueError(f"unit must be MINUTES or HOURS, not {unit}")
-    return F.date_format(F.date_trunc(unit[:-1], ts), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    return iso(F.date_trunc(unit[:-1], ts))

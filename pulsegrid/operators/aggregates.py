@@ -61,7 +61,7 @@ def _by_day(rows: DataFrame, key: str, ts: str) -> DataFrame:
 
 
 def running(readings: DataFrame) -> DataFrame:
-    """Sum and count so far of each tag, by time and id (batch only). Sums are exact decimals; null
+    """Sum, count and average so far of each tag, by time and id (batch only). Sums are exact decimals; null
     values add nothing, and the sum is null before the first value.
 
     A tag's days are summed apart and the days before are added from their totals, so no task gets
@@ -74,7 +74,8 @@ def running(readings: DataFrame) -> DataFrame:
     w = Window.partitionBy(*_GROUP).orderBy("timestamp", "id").rowsBetween(Window.unboundedPreceding, 0)
     n = F.col("_n0") + F.count("_v").over(w)
     total = F.col("_s0") + F.coalesce(F.sum("_v").over(w), F.lit(0))
-    return rows.join(starts, _GROUP).select("opc_tag_id", "timestamp", "id", F.when(n > 0, total).cast("decimal(28,2)").alias("running_sum"), n.alias("running_count"))
+    found = rows.join(starts, _GROUP).select("opc_tag_id", "timestamp", "id", F.when(n > 0, total).cast("decimal(28,2)").alias("running_sum"), n.alias("running_count"))
+    return found.withColumn("running_avg", F.try_divide(F.col("running_sum").cast("double"), "running_count"))
 
 
 def weighted_average(pairs: DataFrame, *by: str, sums: str = "sum", counts: str = "count") -> DataFrame:
@@ -91,7 +92,7 @@ def latest_per_key(readings: DataFrame, day: Column) -> DataFrame:
 
 
 def range_read(aggregates: DataFrame, tag: int, since: Column, before: Column) -> DataFrame:
-    """One tag's aggregates in [since, before), newest first."""
+    """One tag's aggregates in [since, before), newest first; over a stored table both bounds reach the scan."""
     return aggregates.where((F.col("opc_tag_id") == tag) & (F.col("aggregate") >= since) & (F.col("aggregate") < before)).orderBy(F.desc("aggregate"))
 
 
@@ -100,6 +101,20 @@ def validation_counts(readings: DataFrame, app: str) -> DataFrame:
     return readings.agg(F.count("*").alias("spark_count")).select(F.lit(app).alias("id"), F.lit(0).cast("long").alias("producer_count"), F.lit(0).cast("long").alias("producer_error_count"), "spark_count")
 
 
+def decode_counts(decoded: DataFrame, app: str) -> DataFrame:
+    """The counter row that a batch of decoded readings adds: all, those with problems, and the good ones."""
+    bad = F.size("problems") > 0
+    found = decoded.agg(F.count("*").alias("producer_count"), F.count_if(bad).alias("producer_error_count"), F.count_if(~bad).alias("spark_count"))
+    return found.select(F.lit(app).alias("id"), "producer_count", "producer_error_count", "spark_count")
+
+
+def rate(rows: DataFrame, ts: str, *by: str) -> DataFrame:
+    """Rows a second between the first and the last; null where that is no time at all."""
+    us = F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))
+    found = rows.groupBy(*by).agg(F.count("*").alias("total_count"), us.alias("_us"))
+    return found.select(*by, "total_count", F.try_divide(F.col("total_count") * 1_000_000.0, F.col("_us")).alias("rate"))
+
+
 def offset_ranges(records: DataFrame, offset: str = "offset") -> DataFrame:
     """From (inclusive) and until (exclusive) of the offsets seen of each topic, with their number."""
     return records.groupBy("topic").agg(F.min(offset).alias("from_offset"), (F.max(offset) + 1).alias("until_offset"), F.count("*").alias("records"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -13,8 +15,11 @@ def latest_keys(configs: DataFrame) -> DataFrame:
 
 
 def latest(configs: DataFrame) -> DataFrame:
-    """Newest versions, joined back by key: k versions that tie become k * k rows."""
-    return configs.join(latest_keys(configs), ["OPCMetricID", "Timestamp"])
+    """Newest versions, once for each of the versions they tie with: k that tie become k * k rows, as a
+    join back by key would give, without the join."""
+    by = Window.partitionBy("OPCMetricID")
+    ties = latest_once(configs).withColumn("n", F.count("*").over(by))
+    return ties.withColumn("n", F.explode(F.expr("sequence(1, cast(n as int))"))).drop("n")
 
 
 def latest_once(configs: DataFrame) -> DataFrame:
@@ -49,3 +54,17 @@ def rollup(readings: DataFrame, configs: DataFrame, interval: str | None = None,
 def write_by_interval(rollups: DataFrame, path: str, generation: str) -> None:
     """All intervals of one run as JSON, one folder each, in one pass."""
     rollups.write.partitionBy("AggregationInterval").json(f"{path}/{generation}")
+
+
+def send_by_interval(spark: SparkSession, path: str, generation: str, send: Callable[[str, str], None]) -> None:
+    """Hand each written file of each interval to `send(interval, JSON lines)`, file by file, on the
+    executors; blank lines and empty files are left out. What sends must bear a repeated file."""
+    lines = spark.read.text(f"{path}/{generation}", wholetext=True)  # a file at a time; the folders name the intervals
+
+    def run(rows) -> None:
+        for r in rows:
+            text = "\n".join(x for x in r["value"].splitlines() if x.strip())
+            if text:
+                send(r["AggregationInterval"], text)
+
+    lines.select("AggregationInterval", "value").foreachPartition(run)

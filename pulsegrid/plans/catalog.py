@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import codec
 from pulsegrid.operators import aggregates, rollup
+from pulsegrid.plans import flows
 from pulsegrid.sources import readers
 from pulsegrid.streaming import runner
 
@@ -155,13 +156,14 @@ def running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a running average is made of: the exact sum and the count."""
-    return aggregates.running(readers.signals(spark, sf_dir)).select("opc_tag_id", _ntz("timestamp"), "id", F.col("running_sum").cast("double").alias("running_sum"), "running_count")
+    """The average so far, with the count that it weighs."""
+    return aggregates.running(readers.signals(spark, sf_dir)).select("opc_tag_id", _ntz("timestamp"), "id", _r("running_avg", 6), "running_count")
 
 
 def point_range_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = aggregates.windowed(readers.signals(spark, sf_dir))
-    return _figures(aggregates.range_read(found, TAG, F.lit(SINCE).cast("timestamp"), F.lit(BEFORE).cast("timestamp")))
+    # windows begin at the bounds, so both reach the scan as bounds on the readings
+    events = readers.table(spark, sf_dir, "events").where((F.col("user_id") == TAG) & (F.col("ts") >= F.lit(SINCE).cast("timestamp_ntz")) & (F.col("ts") < F.lit(BEFORE).cast("timestamp_ntz")))
+    return _figures(aggregates.range_read(aggregates.windowed(readers.as_signals(events)), TAG, F.lit(SINCE).cast("timestamp"), F.lit(BEFORE).cast("timestamp")))
 
 
 def latest_signal_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,6 +215,7 @@ QUERIES = {
     "validation_counters": validation_counters,
     "cycle_time_pairs": cycle_time_pairs,
     "offset_ranges": offset_ranges,
+    **flows.QUERIES,
 }
 
 _CONFIG_SQL = """config as (select o_custkey OPCMetricID, o_orderdate "Timestamp", o_custkey OPCTagID, o_orderpriority AggregationInterval,
@@ -252,7 +255,7 @@ ORACLE_SQL: dict[str, str] = {
     "reconcile_total": f"""select cast(sum("count") as bigint) total_count from ({_WINDOW_SQL})""",
     "merged_by_tag": """select user_id opc_tag_id, count(*) "count", min(value) "min", max(value) "max", round(sum(value), 2) "sum" from events group by 1""",
     "running_sum": f"""select user_id opc_tag_id, ts "timestamp", event_id id, cast(sum(cast(value as decimal(18, 2))) {_RUNNING} as double) running_sum from events""",
-    "running_avg": f"""select user_id opc_tag_id, ts "timestamp", event_id id, cast(sum(cast(value as decimal(18, 2))) {_RUNNING} as double) running_sum, count(value) {_RUNNING} running_count from events""",
+    "running_avg": f"""select user_id opc_tag_id, ts "timestamp", event_id id, round(cast(sum(cast(value as decimal(18, 2))) {_RUNNING} as double) / count(value) {_RUNNING}, 6) running_avg, count(value) {_RUNNING} running_count from events""",
     "point_range_read": f"""select * from ({_WINDOW_SQL}) where opc_tag_id = {TAG} and aggregate >= timestamp '{SINCE}' and aggregate < timestamp '{BEFORE}' order by aggregate desc""",
     "latest_signal_per_key": f"""with s as (select user_id opc_tag_id, date_trunc('hour', ts) "timestamp", event_id id, value, cast(json_extract_string(props, '$.k') as bigint) quality, event_type proxied_type_name from events),
         r as (select *, row_number() over (partition by opc_tag_id, "timestamp" order by id desc) rk from s)
@@ -261,4 +264,5 @@ ORACLE_SQL: dict[str, str] = {
     "cycle_time_pairs": """with a as (select user_id, event_id, ts started, event_type, lead(ts) over w ended, lead(event_type) over w n from events window w as (partition by user_id order by ts, event_id))
         select user_id, event_id, started, ended, epoch_us(ended) - epoch_us(started) micros from a where event_type = 'view' and n = 'purchase'""",
     "offset_ranges": "select event_type topic, min(event_id) from_offset, max(event_id) + 1 until_offset, count(*) records from events group by 1 order by 1 desc",
+    **flows.ORACLE_SQL,
 }

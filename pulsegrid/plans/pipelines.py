@@ -13,14 +13,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.functions import codec
 from pulsegrid.operators import aggregates, rollup
 from pulsegrid.sources import readers
 from pulsegrid.sources.schemas import INTERVALS
 from pulsegrid.streaming import runner
+from pulsegrid.streaming.keyed import KeyedTable
 
 log = logging.getLogger("pulsegrid")
+#: How rows of one key are merged: counters add up, and so do partial figures.
+COUNTERS = {"producer_count": "sum", "producer_error_count": "sum", "spark_count": "sum"}
+FIGURES = {"count": "sum", "sum": "sum", "min": "min", "max": "max"}
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -41,8 +46,11 @@ class Streaming:
     files_at_once: int | None = None
     #: Processing time between batches, such as "5 seconds".
     trigger: str | None = None
-    #: Where progress goes as a keyed table; nowhere by default.
+    #: Where progress goes as a keyed table, while the stream runs; nowhere by default.
     statistics: str | None = None
+    #: Where readings that cannot be decoded go, as JSON; or stop at the first one.
+    quarantine: str | None = None
+    fail_fast: bool = False
     #: Options handed to the source as they are.
     options: dict[str, str] = field(default_factory=dict)
 
@@ -54,24 +62,73 @@ class Streaming:
         return readers.message_stream(spark, self.servers, self.topics, self.starting, self.assign, **self.options)
 
     def signals(self, spark: SparkSession) -> DataFrame:
-        return codec.split_quarantine(codec.decode_signals(self.records(spark)))[0]
-
-    def stream(self, spark: SparkSession, df: DataFrame, mode: str, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None, fmt: str = "parquet") -> None:
-        progress: list[tuple[str, str, str]] = []
-        listener = runner.ProgressLog(self.app, progress.append, self.app)
-        if self.statistics:
+        if not (self.quarantine or self.fail_fast):
+            raise ValueError("quarantine or fail_fast must be set: a reading that cannot be decoded must not vanish")
+        return codec.split_quarantine(codec.decode_signals(self.records(spark)), self.fail_fast)[0]
+
+    def keep_bad(self, spark: SparkSession) -> StreamingQuery | None:
+        """Beside a stream of figures, which has no room for rows that cannot be decoded, a second one
+        of the same source that keeps them."""
+        if not self.quarantine or self.fail_fast:
+            return None
+        bad = codec.split_quarantine(codec.decode_signals(self.records(spark)))[1]
+        return runner.start(bad, runner.StreamConfig(f"{self.app}-quarantine", f"{self.checkpoint}-quarantine", "append", self.trigger), path=self.quarantine, fmt="json")
+
+    def stream(self, spark: SparkSession, df: DataFrame, mode: str, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None, fmt: str = "parquet", beside: StreamingQuery | None = None) -> None:
+        listener = runner.ProgressTable(spark, self.app, self.statistics) if self.statistics else None
+        if listener:
             spark.streams.addListener(listener)
         try:
             query = runner.start(df, runner.StreamConfig(self.app, self.checkpoint, mode, self.trigger), sink, path, fmt)
             query.awaitTermination()
+            if beside:
+                beside.awaitTermination()
         finally:
-            if self.statistics:
+            if beside:
+                beside.stop()
+            if listener:
+                listener.close(query.recentProgress)
                 spark.streams.removeListener(listener)
-        if self.statistics:
-            # progress reaches the listener late; the query itself keeps its last ones
-            rows = {(self.app, p.timestamp, p.json) for p in query.recentProgress} | set(progress)
-            table = runner.KeyedTable(spark, self.statistics, "query_statistics")
-            table.apply(spark.createDataFrame(sorted(rows), "id string, time string, json string"), table.last_batch() + 1)
+
+
+@dataclass(frozen=True, kw_only=True)
+class Ingest(Streaming):
+    """Raw readings, their counts and their figures by tag and HOUR or MINUTE, from one decoding.
+
+    Each batch is decoded once and handed to up to three tables below `out`: `signals`, `counters`
+    (readings, and those that cannot be decoded) and `aggregates`, whose figures are merged by key, so
+    readings of any age count and no state grows. A batch that fails midway is repeated; tables that
+    have it already leave it out."""
+
+    out: str
+    unit: str = "HOUR"
+    raw: bool = True
+    counts: bool = True
+    figures: bool = True
+
+    def run(self, spark: SparkSession) -> None:
+        if not (self.quarantine or self.fail_fast or self.counts):
+            raise ValueError("quarantine, fail_fast or counts must be set: a reading that cannot be decoded must not vanish")
+        signals = KeyedTable(spark, f"{self.out}/signals", "signals")
+        counters = KeyedTable(spark, f"{self.out}/counters", "signal_validation", COUNTERS)
+        aggregated = KeyedTable(spark, f"{self.out}/aggregates", "signal_aggregate", FIGURES)
+
+        def sink(batch: DataFrame, number: int) -> None:
+            batch = batch.persist()  # a micro-batch, computed again where an executor is lost
+            try:
+                good, bad = codec.split_quarantine(batch, self.fail_fast)
+                if self.quarantine:  # a folder for each batch, so a repeated one writes the same again
+                    bad.write.mode("overwrite").json(f"{self.quarantine}/batch={number}")
+                if self.raw:
+                    signals.apply(good, number)
+                if self.counts:
+                    counters.apply(aggregates.decode_counts(batch, self.app), number)
+                if self.figures:
+                    aggregated.apply(aggregates.bucketed(good, self.unit), number)
+            finally:
+                batch.unpersist()
+
+        self.stream(spark, codec.decode_signals(self.records(spark)), "append", sink)
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -79,13 +136,14 @@ class PersistSignals(Streaming):
     """Raw readings into the keyed table `signals`; what cannot be decoded goes to `quarantine`."""
 
     out: str
-    quarantine: str | None = None
 
     def run(self, spark: SparkSession) -> None:
-        table = runner.KeyedTable(spark, self.out, "signals")
+        if not (self.quarantine or self.fail_fast):
+            raise ValueError("quarantine or fail_fast must be set: a reading that cannot be decoded must not vanish")
+        table = KeyedTable(spark, self.out, "signals")
 
         def sink(batch: DataFrame, number: int) -> None:
-            good, bad = codec.split_quarantine(batch)
+            good, bad = codec.split_quarantine(batch, self.fail_fast)
             table.apply(good, number)
             if self.quarantine:  # a folder for each batch, so a repeated one writes the same again
                 bad.write.mode("overwrite").json(f"{self.quarantine}/batch={number}")
@@ -105,28 +163,19 @@ class PersistParquet(Streaming):
 
 @dataclass(frozen=True, kw_only=True)
 class Cumulative(Streaming):
-    """Figures so far of each tag and HOUR or MINUTE. Readings of any age count; with `delay` the
-    state is bounded and later ones are dropped. `counters` names a table of readings taken in."""
+    """Figures so far of each tag and HOUR or MINUTE, kept as the stream's state. Readings of any age
+    count; with `delay` the state is bounded and later ones are dropped. `Ingest` counts readings."""
 
     out: str
     unit: str = "HOUR"
     delay: str | None = None
-    counters: str | None = None
 
     def run(self, spark: SparkSession) -> None:
         rows = self.signals(spark)
         if self.delay:
             rows = rows.withWatermark("timestamp", self.delay)
-        table = runner.KeyedTable(spark, self.out, "signal_aggregate")
-        counters = runner.KeyedTable(spark, self.counters, "signal_validation") if self.counters else None
-
-        def sink(batch: DataFrame, number: int) -> None:
-            table.apply(batch, number)
-            if counters:  # figures are cumulative, and so is the counter: what the table accounts for
-                seen = aggregates.total(table.read()).select(F.lit(self.app).alias("id"), F.lit(0).alias("producer_count"), F.lit(0).alias("producer_error_count"), F.coalesce("total_count", F.lit(0)).alias("spark_count"))
-                counters.apply(seen, number)
-
-        self.stream(spark, aggregates.bucketed(rows, self.unit), "update", sink)
+        table = KeyedTable(spark, self.out, "signal_aggregate")
+        self.stream(spark, aggregates.bucketed(rows, self.unit), "update", table.apply, beside=self.keep_bad(spark))
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -139,8 +188,8 @@ class WindowAggregates(Streaming):
     mode: str = "append"
 
     def run(self, spark: SparkSession) -> None:
-        table = runner.KeyedTable(spark, self.out, "ss_signal_aggregation")
-        self.stream(spark, aggregates.windowed(self.signals(spark), self.minutes, self.delay), self.mode, table.apply)
+        table = KeyedTable(spark, self.out, "ss_signal_aggregation")
+        self.stream(spark, aggregates.windowed(self.signals(spark), self.minutes, self.delay), self.mode, table.apply, beside=self.keep_bad(spark))
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -150,7 +199,7 @@ class TopicCounts(Streaming):
     out: str
 
     def run(self, spark: SparkSession) -> None:
-        table = runner.KeyedTable(spark, self.out, "ss_signal_validation")
+        table = KeyedTable(spark, self.out, "ss_signal_validation")
         counts = aggregates.per_topic(self.records(spark)).select(F.lit(self.app).alias("id"), "topic", F.col("count").alias("spark_count"))
         self.stream(spark, counts, "complete", table.apply)
 
@@ -163,7 +212,7 @@ class LogOffsets(Streaming):
     out: str | None = None
 
     def run(self, spark: SparkSession) -> None:
-        table = runner.KeyedTable(spark, self.out, "offsets") if self.out else None
+        table = KeyedTable(spark, self.out, "offsets") if self.out else None
 
         def sink(batch: DataFrame, number: int) -> None:
             ranges = batch.groupBy("topic", "partition").agg(F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("to_offset"))
@@ -185,6 +234,8 @@ class Rollup:
     out: str
     generation: str
     single_files: bool = False
+    #: Handed (interval, JSON lines) of each interval that has rows, to send them on; not from the command line.
+    send: Callable[[str, str], None] | None = None
 
     def run(self, spark: SparkSession) -> None:
         configs = rollup.latest(readers.read_configs(spark, self.configs)).where(F.col("AggregationInterval").isin(*INTERVALS))
@@ -193,6 +244,8 @@ class Rollup:
         if self.single_files:
             found = found.repartition(len(INTERVALS), "AggregationInterval")
         rollup.write_by_interval(found, self.out, self.generation)
+        if self.send:
+            rollup.send_by_interval(spark, self.out, self.generation, self.send)
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -203,4 +256,4 @@ class Fail:
         raise RuntimeError("failed on purpose")
 
 
-PIPELINES = {"persist-signals": PersistSignals, "persist-parquet": PersistParquet, "cumulative": Cumulative, "window-aggregates": WindowAggregates, "topic-counts": TopicCounts, "log-offsets": LogOffsets, "rollup": Rollup, "fail": Fail}
+PIPELINES = {"ingest": Ingest, "persist-signals": PersistSignals, "persist-parquet": PersistParquet, "cumulative": Cumulative, "window-aggregates": WindowAggregates, "topic-counts": TopicCounts, "log-offsets": LogOffsets, "rollup": Rollup, "fail": Fail}

@@ -33,15 +33,17 @@ class Table:
     schema: T.StructType
     key: tuple[str, ...]
     clustering: tuple[tuple[str, bool], ...] = ()  # column, descending
-    #: SQL over key columns: the part of the table that a row lives in. A batch rewrites whole parts.
+    #: SQL over key columns: the part of the table that a row lives in.
     part: str = "'all'"
+    #: Of rows of one key in one batch the one of the largest was written last.
+    order: str = ""
 
 
 _AGGREGATE = dict(opc_tag_id=_L, aggregate=_TS, count=_L, sum=_L, min=_L, max=_L)
 _DAY = "date_format(aggregate, 'yyyy-MM-dd')"
 
 TABLES: dict[str, Table] = {
-    "signals": Table(SIGNAL, ("opc_tag_id", "day", "timestamp"), (("opc_tag_id", False), ("timestamp", True)), "substring(day, 1, 10)"),
+    "signals": Table(SIGNAL, ("opc_tag_id", "day", "timestamp"), (("opc_tag_id", False), ("timestamp", True)), "substring(day, 1, 10)", "id"),
     "signal_aggregate": Table(_fields(**_AGGREGATE), ("opc_tag_id", "aggregate"), (("opc_tag_id", False), ("aggregate", True)), _DAY),
     "ss_signal_aggregation": Table(_fields(**_AGGREGATE, avg=_D), ("opc_tag_id", "aggregate"), (("opc_tag_id", False), ("aggregate", True)), _DAY),
     "signal_validation": Table(_fields(id=_S, producer_count=_L, producer_error_count=_L, spark_count=_L), ("id",)),

@@ -1,18 +1,21 @@
-"""Running the same transformations as streams, and sinks that bear a repeated batch."""
+"""Running the same transformations as streams, and watching them."""
 
 from __future__ import annotations
 
+import collections
+import queue
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from pulsegrid.sources.schemas import TABLES
+from pulsegrid.streaming.keyed import KeyedTable
 
 
 @dataclass(frozen=True)
@@ -35,8 +38,14 @@ def start(df: DataFrame, config: StreamConfig, sink: Callable[[DataFrame, int],
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder under spark.checkpoint.dir; of this machine only where that is unset."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="pulsegrid-")
+    """A new folder under spark.checkpoint.dir; where that is unset and all runs in one process (master
+    `local`), a folder of this machine is set."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        top = "file://" + tempfile.mkdtemp(prefix="pulsegrid-")
+        spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/streams/{label}-{uuid.uuid4().hex}"
 
 
@@ -53,91 +62,6 @@ def drain(df: DataFrame, mode: str, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{at}/out")
 
 
-class KeyedTable:
-    """A table of Parquet parts with a key: a new row replaces the one of the same key.
-
-    A batch rewrites only the parts (days, say) that it has rows of, and then renames a ledger entry
-    into place that lists every part's folder: one row for each part. What no ledger entry names is
-    never read, and a batch that the ledger has is not applied again, so a batch that fails midway or
-    is repeated changes nothing. The ledger needs a file system whose rename is atomic.
-    """
-
-    _MANIFEST = "part string, version string"
-
-    def __init__(self, spark: SparkSession, path: str, name: str, additive: tuple[str, ...] = ()):
-        self.spark, self.path, self.spec, self.additive = spark, path.rstrip("/"), TABLES[name], additive
-        self._part = F.coalesce(F.expr(self.spec.part).cast("string"), F.lit("none"))
-
-    def _at(self, *names: str):
-        """The file system, and a path below the table's."""
-        p = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
-    def _names(self, *names: str) -> list[str]:
-        fs, p = self._at(*names)
-        return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
-
-    def last_batch(self) -> int:
-        """The last batch applied; -1 if none was."""
-        return max([int(x) for x in self._names("ledger") if x.isdigit()], default=-1)
-
-    def _parts(self) -> dict[str, str]:
-        """The folder of each part."""
-        last = self.last_batch()
-        rows = self.spark.read.schema(self._MANIFEST).json(f"{self.path}/ledger/{last}").collect() if last >= 0 else []
-        return {r["part"]: r["version"] for r in rows}
-
-    def _read(self, folders: list[str]) -> DataFrame:
-        if not folders:
-            return self.spark.createDataFrame([], self.spec.schema)
-        return self.spark.read.schema(self.spec.schema).parquet(*[f"{self.path}/data/{x}" for x in folders])
-
-    def read(self, *parts: str) -> DataFrame:
-        """The table, or only some of its parts."""
-        return self._read([v for k, v in self._parts().items() if not parts or k in parts])
-
-    def apply(self, rows: DataFrame, batch: int) -> None:
-        """Use as the sink of a stream: `start(df, config, sink=table.apply)`."""
-        if batch <= self.last_batch():
-            return
-        key, names = list(self.spec.key), self.spec.schema.fieldNames()
-        version = f"{batch}-{uuid.uuid4().hex}"
-        # written first, so that the batch is computed once
-        rows.select(*[F.col(f.name).cast(f.dataType) for f in self.spec.schema.fields]).write.parquet(f"{self.path}/new/{version}")
-        new = self.spark.read.schema(self.spec.schema).parquet(f"{self.path}/new/{version}")
-        touched = [r["part"] for r in new.select(self._part.alias("part")).distinct().collect()]  # parts of a batch, not rows
-        held = self._parts()
-        if touched:
-            old = self._read([held[p] for p in touched if p in held])
-            both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-            if self.additive:
-                merged = both.groupBy(*key).agg(*[(F.sum if c in self.additive else F.max)(c).alias(c) for c in names if c not in key])
-            else:
-                order = [F.desc("_new"), *[F.desc_nulls_last(c) for c in names if c not in key]]
-                merged = both.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_r = 1")
-            # few files a part, and a large part split
-            out = merged.select(*names, self._part.alias("_part")).hint("rebalance", "_part")
-            out.sortWithinPartitions("_part", *[F.desc(c) if down else F.asc(c) for c, down in self.spec.clustering]).write.partitionBy("_part").parquet(f"{self.path}/data/{version}")
-            escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-            held |= {p: f"{version}/_part={escaped(p)}" for p in touched}
-        self.spark.createDataFrame(sorted(held.items()), self._MANIFEST).coalesce(1).write.json(f"{self.path}/ledger/{version}.making")
-        fs, made = self._at("ledger", f"{version}.making")
-        if not fs.rename(made, self._at("ledger", str(batch))[1]):
-            raise RuntimeError(f"batch {batch} cannot be entered into the ledger of {self.path}")
-        fs.delete(self._at("new", version)[1], True)
-
-    def vacuum(self) -> int:
-        """Delete folders that the last ledger entry doesn't name, when nothing reads them any more
-        and no batch is being applied; their number."""
-        keep, gone = set(self._parts().values()), 0
-        for version in self._names("data"):
-            for part in self._names("data", version):
-                if part.startswith("_part=") and f"{version}/{part}" not in keep:
-                    fs, p = self._at("data", version, part)
-                    gone += bool(fs.delete(p, True))
-        return gone
-
-
 class ProgressLog(StreamingQueryListener):
     """Keeps (id, time, json) of each progress of one stream, or of all, and hands it on."""
 
@@ -156,6 +80,62 @@ class ProgressLog(StreamingQueryListener):
             self.put((self.app, p.timestamp, p.json))
 
 
+class ProgressTable(ProgressLog):
+    """Writes each progress of one stream into a keyed table of `query_statistics` as it comes. A thread
+    of its own writes, so the listener's thread is never held up; what waits is at most what has come
+    since the last write."""
+
+    def __init__(self, spark: SparkSession, app: str, path: str):
+        super().__init__(app, self._take, app)
+        self.table, self._waiting = KeyedTable(spark, path, "query_statistics"), queue.SimpleQueue()
+        self._seen: collections.deque = collections.deque(maxlen=1000)
+        self._run, self._batch = uuid.uuid4().hex, 0
+        self._writer = threading.Thread(target=self._write, daemon=True)
+        self._writer.start()
+
+    def _take(self, row: tuple[str, str, str] | None) -> None:
+        self._waiting.put(row)
+
+    def _write(self) -> None:
+        spark, going = self.table.spark, True
+        while going:
+            rows = [self._waiting.get()]
+            while not self._waiting.empty():
+                rows.append(self._waiting.get())
+            going = None not in rows
+            new = [r for r in dict.fromkeys(rows) if r is not None and r[:2] not in self._seen]
+            if new:
+                self.table.apply(spark.createDataFrame(new, "id string, time string, json string"), self._batch, self._run)
+                self._batch += 1
+                self._seen.extend(r[:2] for r in new)
+
+    def close(self, recent) -> None:
+        """Write what has come; `recent` is the query's own last progress, since the listener hears late."""
+        for p in recent:
+            self._take((self.app, p.timestamp, p.json))
+        self._take(None)
+        self._writer.join()
+
+
+class MetricsListener(StreamingQueryListener):
+    """Hands the figures of each progress to `push(name, value, labels)`, for whatever exports metrics."""
+
+    def __init__(self, push: Callable[[str, float, dict[str, str]], None]):
+        self.push = push
+
+    def onQueryStarted(self, event) -> None: ...
+
+    def onQueryIdle(self, event) -> None: ...
+
+    def onQueryTerminated(self, event) -> None: ...
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        labels = {"query": p.name or str(p.id)}
+        for name, value in (("batch", p.batchId), ("input_rows", p.numInputRows), ("input_rows_per_second", p.inputRowsPerSecond), ("processed_rows_per_second", p.processedRowsPerSecond)):
+            self.push(name, float(value or 0), labels)
+
+
 def offsets_seen(progress) -> list[tuple[str, str, str]]:
     """(source, from, until) of one progress, as the source words them."""
     return [(s.description, s.startOffset, s.endOffset) for s in progress.sources]

@@ -7,7 +7,7 @@ from pulsegrid.functions import codec
 from pulsegrid.operators import aggregates, rollup
 from pulsegrid.sources import readers
 
-GOOD = {"ExtendedProperties": ["a", None], "ProxiedTypeName": "t", "OPCTagID": 549, "OPCTagReadingID": 1, "Quality": 192, "Timestamp": "2016-03-03T19:13:13.3980463Z", "Value": "1995603996", "ID": 7, "UniqueID": None}
+GOOD = {"ExtendedProperties": ["a", None], "ProxiedTypeName": "t", "OPCTagID": 12, "OPCTagReadingID": 1, "Quality": 3, "Timestamp": "2021-07-08T09:10:11.1234567Z", "Value": "640", "ID": 7, "UniqueID": None}
 ID = "00000000-0000-4000-8000-00000000000a"
 
 
@@ -16,7 +16,7 @@ def _decode(spark, *payloads):
     return codec.decode_signals(spark.createDataFrame(rows, "value binary")).collect()
 
 
-@pytest.mark.parametrize("given,want", [("1995603996", 1995603996), (1995603996, 1995603996), ("12.7", 12), (12.7, 12), ("abc", None), (None, None)])
+@pytest.mark.parametrize("given,want", [("640", 640), (640, 640), ("12.7", 12), (12.7, 12), ("abc", None), (None, None)])
 def test_value_forms(spark, given, want):
     (r,) = _decode(spark, [GOOD | {"Value": given}])
     assert r.value == want
@@ -26,8 +26,8 @@ def test_value_forms(spark, given, want):
 def test_shapes(spark):
     bare, two = _decode(spark, GOOD, [GOOD, GOOD | {"ID": 8}])
     assert bare.id == two.id == 7
-    assert bare.day == "2016-03-03T00:00:00Z"
-    assert bare.timestamp.microsecond == 398046
+    assert bare.day == "2021-07-08T00:00:00Z"
+    assert bare.timestamp.microsecond == 123456
     assert bare.extended_properties == ["a", None]
 
 
@@ -37,8 +37,19 @@ def test_missing_and_bad(spark):
     assert bad.problems and bad.raw == "{"
     (few,) = _decode(spark, [{"ID": 1, "Timestamp": "2016-03-03T00:00:00Z"}])
     assert few.extended_properties == [] and few.quality is None and few.problems == []
-    (when,) = _decode(spark, [GOOD | {"Timestamp": "yesterday"}])
-    assert when.problems == ["Timestamp"]
+
+
+@pytest.mark.parametrize("text", ["2016", "2016-03", "2016-03-03", "2016-03-03T10:00:00", "2016-03-03 10:00:00Z", "12:30", "T12:30:00", "yesterday", "2016-02-30T00:00:00Z", "2016-03-03T10:00Z", "", None])
+def test_only_full_instants_are_times(spark, text):
+    (r,) = _decode(spark, [GOOD | {"Timestamp": text}])
+    assert r.problems == ["Timestamp"] and r.timestamp is None and r.day is None
+    (e,) = codec.decode_events(spark.createDataFrame([(json.dumps({"id": ID, "sequence": 1, "nodeId": "n", "jobId": ID, "type": "START", "timestamp": text}),)], "value string")).collect()
+    assert e.problems == ["timestamp"]
+
+
+def test_now_as_text(spark):
+    r = spark.range(1).select(codec.now_iso().alias("n"), codec.from_millis(F.lit(1_500)).alias("m")).first()
+    assert r.n[10] == "T" and r.n.endswith("Z") and len(r.n) == 24 and str(r.m) == "1970-01-01 00:00:01.500000"
 
 
 def test_quarantine_and_fail_fast(spark):
@@ -53,7 +64,7 @@ def test_signal_round_trip(spark):
     raw = spark.createDataFrame([(json.dumps([GOOD]),)], "value string")
     good, _ = codec.split_quarantine(codec.decode_signals(raw))
     back = json.loads(codec.encode_signals(good).first().value)
-    assert back == [GOOD | {"Value": 1995603996, "Timestamp": "2016-03-03T19:13:13.398046Z"}]
+    assert back == [GOOD | {"Value": 640, "Timestamp": "2021-07-08T09:10:11.123456Z"}]
 
 
 def test_event_codec(spark):

@@ -11,7 +11,7 @@ from pulsegrid.functions import codec
 from pulsegrid.operators import aggregates
 from pulsegrid.plans import pipelines as P
 from pulsegrid.sources import readers
-from pulsegrid.streaming.runner import KeyedTable
+from pulsegrid.streaming.keyed import KeyedTable
 
 
 @pytest.fixture(scope="module")
@@ -51,15 +51,33 @@ def test_persist_parquet_from_the_command_line(spark, common, tmp_path):
 
 @pytest.mark.parametrize("unit", ["HOUR", "MINUTE"])
 def test_cumulative(spark, readings, common, tmp_path, unit):
-    P.Cumulative(**common, out=f"file://{tmp_path}/t", unit=unit, counters=f"file://{tmp_path}/c").run(spark)
+    P.Cumulative(**common, out=f"file://{tmp_path}/t", unit=unit, quarantine=f"file://{tmp_path}/q").run(spark)
     want = aggregates.bucketed(readings, unit).select("opc_tag_id", "aggregate", "count", "sum", "min", "max")
     got = KeyedTable(spark, f"file://{tmp_path}/t", "signal_aggregate").read()
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    assert KeyedTable(spark, f"file://{tmp_path}/c", "signal_validation").read().first().spark_count == 1000
+    assert [r.raw for r in spark.read.json(f"file://{tmp_path}/q").collect()] == ["{"]
+
+
+def test_ingest_from_one_decoding(spark, readings, common, tmp_path):
+    P.Ingest(**common, out=f"file://{tmp_path}/t", unit="MINUTE", quarantine=f"file://{tmp_path}/q").run(spark)
+    assert KeyedTable(spark, f"file://{tmp_path}/t/signals", "signals").read().count() == readings.select("opc_tag_id", "timestamp").distinct().count()
+    assert tuple(KeyedTable(spark, f"file://{tmp_path}/t/counters", "signal_validation", P.COUNTERS).read().first())[1:] == (1001, 1, 1000)
+    want = aggregates.bucketed(readings, "MINUTE").select("opc_tag_id", "aggregate", "count", "sum", "min", "max")
+    assert sorted(map(tuple, KeyedTable(spark, f"file://{tmp_path}/t/aggregates", "signal_aggregate", P.FIGURES).read().collect())) == sorted(map(tuple, want.collect()))
+    assert [r.raw for r in spark.read.json(f"file://{tmp_path}/q").collect()] == ["{"]
+
+
+@pytest.mark.parametrize("kind", [P.PersistSignals, P.Cumulative, P.WindowAggregates, P.Ingest])
+def test_bad_readings_cannot_vanish(spark, common, tmp_path, kind):
+    more = {"delay": "1 hour"} if kind is P.WindowAggregates else {"counts": False} if kind is P.Ingest else {}
+    with pytest.raises(ValueError, match="vanish"):
+        kind(**common, **more, out=f"file://{tmp_path}/t").run(spark)
+    with pytest.raises(Exception, match="cannot decode"):
+        kind(**common, **more, out=f"file://{tmp_path}/t", fail_fast=True).run(spark)
 
 
 def test_window_aggregates_and_statistics(spark, readings, common, tmp_path):
-    P.WindowAggregates(**common, out=f"file://{tmp_path}/t", delay="24 hours", mode="update", statistics=f"file://{tmp_path}/s").run(spark)
+    P.WindowAggregates(**common, out=f"file://{tmp_path}/t", delay="24 hours", mode="update", statistics=f"file://{tmp_path}/s", quarantine=f"file://{tmp_path}/q").run(spark)
     got = KeyedTable(spark, f"file://{tmp_path}/t", "ss_signal_aggregation").read()
     assert got.count() == aggregates.windowed(readings).count()
     assert got.agg(F.sum("count")).first()[0] == 1000
@@ -85,7 +103,14 @@ def test_rollup(spark, tmp_path):
     configs.append({"OPCMetricID": 2, "OPCTagID": 5, "Timestamp": "2024-01-01T00:00:00Z", "AggregationInterval": "Day", "AggregationType": "Sum"})
     for name, rows in (("configs", configs), ("readings", [{"OPCTagID": 5, "Value": "1.5"}, {"OPCTagID": 5, "Value": 2}, {"OPCTagID": 5, "Value": "x"}, {"OPCTagID": 6, "Value": 9}])):
         (tmp_path / f"{name}.json").write_text("\n".join(map(json.dumps, rows)))
-    P.Rollup(configs=f"file://{tmp_path}/configs.json", readings=f"file://{tmp_path}/readings.json", out=f"file://{tmp_path}/out", generation="g1", single_files=True).run(spark)
+    sent = str(tmp_path / "sent")
+
+    def send(interval, text):
+        with open(sent, "a") as f:
+            f.write(f"{interval} {len(text.splitlines())}\n")
+
+    P.Rollup(configs=f"file://{tmp_path}/configs.json", readings=f"file://{tmp_path}/readings.json", out=f"file://{tmp_path}/out", generation="g1", single_files=True, send=send).run(spark)
+    assert sorted((tmp_path / "sent").read_text().splitlines()) == ["Day 1", "Hour 1"]
     got = spark.read.json(f"file://{tmp_path}/out/g1").collect()
     assert sorted((r.AggregationInterval, r.OPCTagID, r.OPCMetricID, r.Sum, r.Count) for r in got) == [("Day", 5, 2, 3.5, 2), ("Hour", 5, 1, 3.5, 2)]
 
@@ -99,12 +124,11 @@ def test_settings(spark, tmp_path):
         P.Fail().run(spark)
 
 
-def test_batches_rewrite_only_their_parts(spark, tmp_path):
+def test_batches_write_only_their_rows(spark, tmp_path):
     t = KeyedTable(spark, f"file://{tmp_path}/t", "signal_aggregate")
     rows = lambda *days: spark.createDataFrame([(1, f"2024-01-0{d} 00:00:00", n) for d, n in days], "opc_tag_id long, t string, count long").selectExpr("opc_tag_id", "cast(t as timestamp) aggregate", "count", "count sum", "count min", "count max")
     t.apply(rows((1, 1), (2, 1)), 0)
-    first = {x for x in t.read().inputFiles() if "2024-01-01" in x}
     t.apply(rows((2, 5), (3, 1)), 1)
-    assert first <= set(t.read().inputFiles())
     assert sorted((str(r.aggregate)[:10], r["count"]) for r in t.read().collect()) == [("2024-01-01", 1), ("2024-01-02", 5), ("2024-01-03", 1)]
-    assert t.read("2024-01-03").count() == 1 and t.vacuum() == 1 and t.read().count() == 3
+    assert sorted(len(v) for v in t._folders().values()) == [1, 1, 2]
+    assert t.read("2024-01-03").count() == 1 and t.compact() == 1 and t.vacuum() == 2 and t.read().count() == 3
