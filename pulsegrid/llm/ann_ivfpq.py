@@ -1,11 +1,12 @@
 """Approximate nearest neighbours by inner product: inverted file with product-quantised residuals.
 
 A bounded sample fits the coarse centroids, the codebooks of the residuals, and how many lists a
-query must look into to reach the wanted recall. Every row is indexed: its list and its code. A
-list is kept in blocks, so a hot list is spread; a block holds codes and vectors. A query goes to
-the blocks of its best lists; there asymmetric distance tables score all codes, the best and all that
-tie with the last of them are scored again on the original vectors, and the best of those of all
-blocks are the result.
+query must look into to reach the wanted recall. Every row is indexed: its list and its code. Lists
+of near centroids lie together in a cell of about BLOCK rows, and a cell that holds more is cut into
+blocks by a hash, so hot lists are spread. A query goes once to each block of the cells of its
+lists, with the numbers of those lists; there asymmetric distance tables score their codes, the best
+and all that tie with the last of them are scored again on the original vectors, and the best of
+those of all blocks are the result.
 """
 
 from __future__ import annotations
@@ -23,12 +24,15 @@ from .common import materialize, table
 from .vectors import matrix, rows_of, usable
 
 NEAREST = 20
-#: Most rows that centroids and codebooks are fitted on, chosen by a hash of the id.
-SAMPLE = 16_384
+#: Lists for each square root of the rows, and the most of them.
+LISTS_A_ROOT, MOST_LISTS = 2, 4096
+#: Rows that centroids and codebooks are fitted on, chosen by a hash of the id: so many for each list,
+#: between these bounds.
+SAMPLE_A_LIST, LEAST_SAMPLE, MOST_SAMPLE = 16, 16_384, 65_536
 #: Parts that a residual is cut into, and centroids of each.
 PARTS, CODES = 16, 256
 #: Share of the true neighbours, within the sample, that the probed lists must hold.
-RECALL = 0.97
+RECALL = 0.95
 #: Rows of a block, and rows of it at least that are scored again for a query.
 BLOCK, RERANK = 4096, 100
 
@@ -51,6 +55,7 @@ class IvfPq:
     cuts: list[int]  # where the parts begin
     books: list[np.ndarray]
     probes: int
+    cells: np.ndarray  # of each list
 
     def lists(self, x: np.ndarray) -> np.ndarray:
         return (x @ self.centroids.T - 0.5 * (self.centroids**2).sum(1)).argmax(1)
@@ -65,13 +70,22 @@ class IvfPq:
         return [c @ q[a:b] for a, b, c in zip(self.cuts[:-1], self.cuts[1:], self.books, strict=True)]
 
 
-def fit(x: np.ndarray, rows: int, nearest: int = NEAREST, seed: int = 5) -> IvfPq:
+def lists_for(rows: int) -> int:
+    return max(1, min(MOST_LISTS, int(LISTS_A_ROOT * math.sqrt(rows))))
+
+
+def sample_for(rows: int) -> int:
+    return min(MOST_SAMPLE, max(LEAST_SAMPLE, SAMPLE_A_LIST * lists_for(rows)))
+
+
+def fit(x: np.ndarray, rows: int, nearest: int = NEAREST, block: int = BLOCK, seed: int = 5) -> IvfPq:
     """On a sample `x` of a table of `rows` vectors."""
     rng = np.random.default_rng(seed)
-    n_lists = max(1, min(4096, max(32, int(math.sqrt(rows) / 32)), len(x) // 39))
-    centroids = kmeans(x, n_lists, 10, rng)
+    centroids = kmeans(x, min(lists_for(rows), max(1, len(x) // 8)), 8, rng)
     cuts = [0, *np.cumsum([len(p) for p in np.array_split(np.arange(x.shape[1]), min(PARTS, x.shape[1]))]).tolist()]
-    model = IvfPq(centroids, cuts, [], len(centroids))
+    middles = kmeans(centroids, max(1, min(-(-rows // block), len(centroids) // 4)), 8, rng)
+    cells = (centroids @ middles.T - 0.5 * (middles**2).sum(1)).argmax(1)
+    model = IvfPq(centroids, cuts, [], len(centroids), cells)
     lists = model.lists(x)
     r = x - centroids[lists]
     model.books = [kmeans(r[:, a:b], CODES, 6, rng) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -97,22 +111,33 @@ def best_codes(near: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(near >= least - 1e-9 * abs(least))  # sums of equal parts may differ by rounding
 
 
-def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", nearest: int = NEAREST, sample: int = SAMPLE) -> DataFrame:
+def probed(model: IvfPq, queries: np.ndarray, sizes: np.ndarray, nearest: int, probes: int | None) -> list[np.ndarray]:
+    """The lists that each query looks into: the best ones, and more until they hold enough candidates."""
+    order = np.argsort(-(queries @ model.centroids.T), axis=1, kind="stable")
+    held = np.cumsum(sizes[order], axis=1)
+    n = np.maximum(model.probes if probes is None else probes, (held < nearest + 1).sum(1) + 1)
+    return [o[:k] for o, k in zip(order, n.tolist(), strict=True)]
+
+
+def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", nearest: int = NEAREST, probes: int | None = None, rerank: int | None = RERANK, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): the nearest found for every row that `is_query` (a condition on
     vec_id) chooses, by inner product, ties to the smaller id.
 
     Vectors that are null, empty, zero, or hold null or non-finite components take no part, nor do
     rows without id or of another length than most. Rows of the query's own id are no candidates. A
-    query looks into more lists until they hold enough candidates. Empty tables give no rows.
+    query looks into more lists until they hold enough candidates. Empty tables give no rows. `probes`
+    sets the lists to look into (0 or less: all), `rerank` the rows of a block that are scored again
+    (None: all); with all of both the result is exact. `block` changes how rows are dealt.
     """
     spark = df.sparkSession
     vectors = usable(df, id_col, vector_col, zero=False)
-    drawn = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).toArrow()
     n = vectors.count()
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not n:
-        return empty
-    model = fit(matrix(drawn.column("embedding").combine_chunks()), n, nearest)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    drawn = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_for(n)).toArrow()
+    model = fit(matrix(drawn.column("embedding").combine_chunks()), n, nearest, block)
+    if probes is not None and probes <= 0:
+        probes = len(model.centroids)
 
     sent = spark.sparkContext.broadcast(model)  # a bounded number of centroids
 
@@ -122,13 +147,14 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
             x = matrix(b.column(1))
             if len(x):
                 lists = m.lists(x)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lists.astype(np.int32)), pa.array([c.tobytes() for c in m.codes(x, lists)], pa.binary())], names=["vec_id", "embedding", "list", "code"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lists.astype(np.int32)), pa.array(m.cells[lists].astype(np.int32)), pa.array([c.tobytes() for c in m.codes(x, lists)], pa.binary())], names=["vec_id", "embedding", "list", "cell", "code"])
 
-    indexed = materialize(vectors.mapInArrow(index, "vec_id long, embedding array<double>, list int, code binary"), "ann-index")
+    indexed = materialize(vectors.mapInArrow(index, "vec_id long, embedding array<double>, list int, cell int, code binary"), "ann-index")
     sizes = np.zeros(len(model.centroids), np.int64)
     for r in indexed.groupBy("list").count().collect():  # one row for each list
         sizes[r["list"]] = r["count"]
-    blocks = -(-sizes // BLOCK)
+    n_cells = int(model.cells.max()) + 1
+    blocks = -(-np.bincount(model.cells, sizes, n_cells).astype(np.int64) // block)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
@@ -136,54 +162,62 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
             x = matrix(b.column(1))
             for at in range(0, len(x), 256):
                 part = x[at : at + 256]
-                order = np.argsort(-(part @ m.centroids.T), axis=1, kind="stable")
-                held = np.cumsum(sizes[order], axis=1)
-                probes = np.maximum(m.probes, (held < nearest + 1).sum(1) + 1)
-                src, lists, block = [], [], []
-                for i in range(len(part)):
-                    for k in order[i, : probes[i]].tolist():
-                        for j in range(int(blocks[k])):
+                src, cells, block_, wanted = [], [], [], []
+                for i, lists in enumerate(probed(m, part, sizes, nearest, probes)):
+                    lists = lists[sizes[lists] > 0]
+                    own = m.cells[lists]
+                    for c in np.unique(own).tolist():
+                        some = np.sort(lists[own == c]).tolist()
+                        for j in range(int(blocks[c])):
                             src.append(at + i)
-                            lists.append(k)
-                            block.append(j)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(src, pa.int64())), rows_of(x[src]), pa.array(lists, pa.int32()), pa.array(block, pa.int32())], names=["vec_id", "embedding", "list", "block"])
-
-    per_list = F.array(*[F.lit(int(x)) for x in blocks])
-    members = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.greatest(per_list[F.col("list")], F.lit(1))).cast("int"))
-    queries = vectors.where(is_query(F.col("vec_id"))).mapInArrow(ask, "vec_id long, embedding array<double>, list int, block int")
-    both = members.select("list", "block", F.lit(False).alias("ask"), "vec_id", "embedding", "code").unionByName(queries.select("list", "block", F.lit(True).alias("ask"), "vec_id", "embedding", F.lit(None).cast("binary").alias("code")))
-    met = both.repartition("list", "block").sortWithinPartitions("list", "block", "ask")
+                            cells.append(c)
+                            block_.append(j)
+                            wanted.append(some)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(src, pa.int64())), rows_of(x[src]), pa.array(cells, pa.int32()), pa.array(block_, pa.int32()), pa.array(wanted, pa.list_(pa.int32()))], names=["vec_id", "embedding", "cell", "block", "wanted"])
+
+    per_cell = F.array(*[F.lit(int(x)) for x in blocks])
+    members = indexed.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.greatest(per_cell[F.col("cell")], F.lit(1))).cast("int"))
+    queries = vectors.where(is_query(F.col("vec_id"))).mapInArrow(ask, "vec_id long, embedding array<double>, cell int, block int, wanted array<int>")
+    members = members.select("cell", "block", F.lit(False).alias("ask"), "vec_id", "embedding", "code", F.array("list").alias("wanted"))
+    both = members.unionByName(queries.select("cell", "block", F.lit(True).alias("ask"), "vec_id", "embedding", F.lit(None).cast("binary").alias("code"), "wanted"))
+    met = both.repartition("cell", "block").sortWithinPartitions("cell", "block", "ask")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        at, gathered, block = None, [], None
+        at, gathered, held = None, [], None
         for b in batches:
-            lists, parts, asks, ids = (b.column(k).to_numpy(zero_copy_only=False) for k in range(4))
-            x, codes = matrix(b.column(4)), b.column(5)
+            cells, parts, asks, ids = (b.column(k).to_numpy(zero_copy_only=False) for k in range(4))
+            x, codes, wanted = matrix(b.column(4)), b.column(5), b.column(6)
             out_q, out_v, out_s = [], [], []
             # runs of one block and one kind
-            turn = np.flatnonzero(np.concatenate([[True], (lists[1:] != lists[:-1]) | (parts[1:] != parts[:-1]) | (asks[1:] != asks[:-1])])) if len(ids) else []
+            turn = np.flatnonzero(np.concatenate([[True], (cells[1:] != cells[:-1]) | (parts[1:] != parts[:-1]) | (asks[1:] != asks[:-1])])) if len(ids) else []
             for a, z in zip(turn, [*turn[1:], len(ids)], strict=True):
-                key = (int(lists[a]), int(parts[a]))
+                key = (int(cells[a]), int(parts[a]))
                 if key != at:
-                    at, gathered, block = key, [], None
+                    at, gathered, held = key, [], None
                 if not asks[a]:
-                    gathered.append((ids[a:z], x[a:z], np.frombuffer(b"".join(codes.slice(a, z - a).to_pylist()), np.uint8).reshape(z - a, -1)))
+                    gathered.append((ids[a:z], x[a:z], np.frombuffer(b"".join(codes.slice(a, z - a).to_pylist()), np.uint8).reshape(z - a, -1), wanted.slice(a, z - a).flatten().to_numpy()))
                     continue
-                if block is None:
+                if held is None:
                     if not gathered:
                         continue
-                    block = tuple(np.concatenate(p) for p in zip(*gathered, strict=True))
-                own, vectors_, code = block
-                for q, v in zip(ids[a:z].tolist(), x[a:z], strict=True):
-                    near = sum(t[code[:, j]] for j, t in enumerate(m.tables(v)))
-                    near[own == q] = -np.inf
-                    top = best_codes(near, max(RERANK, nearest))
-                    top = top[own[top] != q]
-                    exact = (vectors_[top] * v).sum(1)  # each row's sum in the same order: equal rows tie
-                    first = np.lexsort((own[top], -exact))[:nearest]
+                    held = tuple(np.concatenate(p) for p in zip(*gathered, strict=True))
+                own, vectors_, code, lists = held
+                for k, (q, v) in enumerate(zip(ids[a:z].tolist(), x[a:z], strict=True)):
+                    chosen = np.zeros(len(m.centroids), bool)
+                    chosen[wanted[int(a) + k].values.to_numpy()] = True
+                    rows = np.flatnonzero(chosen[lists] & (own != q))
+                    if not len(rows):
+                        continue
+                    if rerank is not None:
+                        some = code[rows]
+                        # of a row: its list's share of the product, and its residual's by the tables
+                        near = (m.centroids @ v)[lists[rows]] + sum(t[some[:, j]] for j, t in enumerate(m.tables(v)))
+                        rows = rows[best_codes(near, max(rerank, nearest))]
+                    exact = (vectors_[rows] * v).sum(1)  # each row's sum in the same order: equal rows tie
+                    first = np.lexsort((own[rows], -exact))[:nearest]
                     out_q += [q] * len(first)
-                    out_v.append(own[top][first])
+                    out_v.append(own[rows][first])
                     out_s.append(exact[first])
             yield pa.RecordBatch.from_arrays([pa.array(out_q, pa.int64()), pa.array(np.concatenate(out_v) if out_v else [], pa.int64()), pa.array(np.concatenate(out_s) if out_s else [], pa.float64())], names=["query_id", "vec_id", "score"])
 

@@ -119,6 +119,46 @@ def test_ann_recall(spark, sf_dir):
     assert len(got) == len(hits) and np.mean(hits) >= 0.9
 
 
+def _near(x, asked, k):
+    """Exact neighbours, by the same sums."""
+    out = []
+    for q in asked:
+        s = (x * x[q]).sum(1)
+        order = [i for i in np.lexsort((np.arange(len(x)), -s)).tolist() if i != q][:k]
+        out += [(q, n + 1, i, float(s[i])) for n, i in enumerate(order)]
+    return out
+
+
+def _clusters(n, seed=8):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(size=(60, 24))
+    middles /= np.linalg.norm(middles, axis=1)[:, None]
+    x = middles[rng.integers(60, size=n)] + rng.normal(size=(n, 24)) * 0.05
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def test_ann_of_clusters_scans_few_rows(spark):
+    x = _clusters(6000)
+    asked = list(range(0, 6000, 100))
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(4)
+    got = {(r.query_id, r.vec_id) for r in ann_ivfpq.search(df, lambda i: i % 100 == 0, block=500).collect()}
+    want = {(q, i) for q, _, i, _ in _near(x, asked, 20)}
+    assert len(got & want) >= 0.9 * len(want) and len(got) == len(want)
+    model = ann_ivfpq.fit(x, len(x))
+    sizes = np.bincount(model.lists(x), minlength=len(model.centroids))
+    assert np.mean([sizes[k].sum() for k in ann_ivfpq.probed(model, x[asked], sizes, 20, None)]) < 0.2 * len(x)
+
+
+@pytest.mark.parametrize("block", [64, 4096])
+def test_ann_can_be_exact(spark, block):
+    x = _clusters(700, 3)
+    x[100:350] = x[5]
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(3)
+    got = [tuple(r) for r in ann_ivfpq.search(df, lambda i: i % 35 == 0, probes=0, rerank=None, block=block).orderBy("query_id", "rank").collect()]
+    want = _near(x, range(0, 700, 35), 20)
+    assert [g[:3] for g in got] == [w[:3] for w in want] and max(abs(g[3] - w[3]) for g, w in zip(got, want, strict=True)) < 1e-12
+
+
 def test_ann_awkward(spark, vectors):
     got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in ann_ivfpq.search(vectors, lambda i: i % 20 == 0).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 50, 0.5), (0, 4, 20, 0.0), (20, 1, 50, 0.5), (20, 2, 0, 0.0), (20, 3, 1, 0.0), (20, 4, 2, 0.0)]
@@ -162,5 +202,48 @@ def test_kdtree_by_brute_force(spread):
         assert tree.search(q, x[q], 5, want[-1][0]) == want
 
 
+def _exact(x, asked, k):
+    out = []
+    rows = [[int(c) for c in r] for r in x]
+    for q in asked:
+        s = sorted((-sum(a * b for a, b in zip(rows[q], rows[i], strict=True)), i) for i in range(len(rows)) if i != q)
+        out += [(q, n + 1, i, -v) for n, (v, i) in enumerate(s[:k])]
+    return out
+
+
+@pytest.mark.parametrize("spread", [1, 1 << 22, 1 << 29])
+def test_kdtree_of_many_shards(spark, spread):
+    """Shards of 40 rows, a third of all rows equal, small and big components."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(-spread, spread + 1, (600, 5))
+    x[rng.choice(600, 200, replace=False)] = x[0]
+    df = spark.createDataFrame([(i, (r / 256).tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>").repartition(5)
+    got = [tuple(r) for r in topk_kdtree.search(df, lambda i: i % 50 == 0, shard_rows=40).orderBy("query_id", "rank").collect()]
+    assert got == _exact(x, range(0, 600, 50), 5)
+
+
+def test_kdtree_shards_are_left_out(spark):
+    """Where boxes are apart, a query goes to few shards, and its result is still exact."""
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.integers(0, 20, (100, 2)) + c for c in ([1000, 0], [0, 1000], [-1000, 0], [0, -1000])])
+    splits = topk_kdtree.Splits(x, 4)
+    where = splits.place(x)
+    assert splits.leaves == 4 and np.bincount(where).min() >= 90
+    df = spark.createDataFrame([(i, (r / 256).tolist()) for i, r in enumerate(x)], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk_kdtree.search(df, lambda i: i % 50 == 0, shard_rows=110).orderBy("query_id", "rank").collect()]
+    assert got == _exact(x, range(0, 400, 50), 5)
+
+
+def test_kdtree_too_large_is_an_error(spark):
+    rows = lambda *v: spark.createDataFrame([(i, [x, 1.0]) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    ask = lambda i: i % 50 == 0
+    big = float(1 << 40) / 256
+    with pytest.raises(Exception, match="score is too large"):
+        topk_kdtree.search(rows(big, big, 1.0), ask).collect()
+    assert [tuple(r) for r in topk_kdtree.search(rows(1.0, big, -big), ask).orderBy("rank").collect()] == [(0, 1, 1, 65536 + 256 * (1 << 40)), (0, 2, 2, 65536 - 256 * (1 << 40))]
+    with pytest.raises(Exception, match="component is too large"):
+        topk_kdtree.search(rows(1e300, 1.0), ask).collect()
+
+
 def test_awkward_has_all_cases():
     assert {i for i, _ in AWKWARD} >= {None, 1, 2}
