@@ -1,27 +1,37 @@
 """Merkle fixity audit of a WARC archive and a replica of it.
 
-Pages become WARC records in one order, cut into files of FILE_RECORDS. A record's hash is a leaf;
-a node hashes the offset range that it covers and its FANOUT children. Each replica gets its own
-tree. The audit compares the roots and goes down only into branches that differ, so where nothing
-is damaged only the root is read, and damaged records are found with their offsets.
+Pages become WARC records in one order, cut into files of FILE_RECORDS. Each archive gets a tree of
+its own, from its own records alone: a leaf hashes all records of one page_id, a node the range of
+FANOUT ids below it, with the bytes that the range takes. The ranges are of ids, so a record that is
+missing or added changes its own branch only and shifts nothing. The audit compares the roots and
+goes down only into branches that differ; only records of ids that differ are laid side by side.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, number_rows, pick, table
+from .common import materialize, number_rows, pick, remove, table
 
-FANOUT = 16
-#: A power of FANOUT, so that a file is one subtree.
-FILE_RECORDS = FANOUT**3
+#: A power of two, since a node's parent is found by a shift.
+FANOUT_BITS = 6
+FANOUT = 1 << FANOUT_BITS
+FILE_RECORDS = 4096
+#: The pages have no date of their own.
+DATE = "2024-01-01T00:00:00Z"
+#: Records of one id are hashed in groups of this many first hex digits, so that no task gets all of a very common id.
+DIGITS = 3
 
 
-def record(page_id: Column, url: Column, body: Column) -> Column:
+def record(page_id: Column, url: Column, body: Column, date: str = DATE) -> Column:
     """A resource record as text; nulls are empty."""
     body = F.coalesce(body.cast("string"), F.lit(""))
-    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">\r\nWARC-Target-URI: "), F.coalesce(url.cast("string"), F.lit("")), F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
+    head = F.concat(F.lit(f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Date: {date}\r\nWARC-Record-ID: <urn:page:"), F.coalesce(page_id.cast("string"), F.lit("")), F.lit(">\r\nWARC-Target-URI: "), F.coalesce(url.cast("string"), F.lit("")), F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"))
     return F.concat(head, body, F.lit("\r\n\r\n"))
 
 
@@ -31,94 +41,146 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", bod
     return p.select(F.col("page_id").cast("long").alias("page_id"), record(F.col("page_id"), F.col("url"), F.col("body")).alias("record"))
 
 
-def write_files(recs: DataFrame, path: str) -> None:
-    """Uncompressed WARC files of (page_id, record): a record ends with two line ends, which the text
-    writer puts behind every row."""
-    recs.select(F.expr("substring(record, 1, length(record) - 4)").alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
-
-
-def leaves(recs: DataFrame) -> DataFrame:
-    """(page_id, copy, length, hash) of records; `copy` tells repeated ids apart, by hash."""
+def manifest(recs: DataFrame, label: str = "warc") -> DataFrame:
+    """(page_id, length, hash, at, file, seq, offset) of (page_id, record): every record's place in the
+    archive, by page_id, nulls first, then hash. `at` counts all records, `offset` bytes within the file."""
     hashed = recs.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2(F.concat(F.lit("leaf:"), "record"), 256).alias("hash"))
-    return hashed.withColumn("copy", F.row_number().over(Window.partitionBy("page_id", F.when(F.col("page_id").isNull(), F.col("hash"))).orderBy("hash")))
+    placed = number_rows(hashed, ["page_id", "hash"], "length", label).placed().withColumn("file", F.expr(f"_at div {FILE_RECORDS}")).withColumn("seq", F.expr(f"_at % {FILE_RECORDS}"))
+    starts = placed.groupBy("file").agg(F.min("_weight_at").alias("start"))
+    return placed.join(starts, "file").select("page_id", "length", "hash", F.col("_at").alias("at"), "file", "seq", (F.col("_weight_at") - F.col("start")).alias("offset"))
 
 
-def manifest(recs: DataFrame) -> DataFrame:
-    """(page_id, copy, length, hash, at, file, seq, offset): every record's place in the archive, by
-    page_id, nulls first. `at` counts all records, `offset` bytes within the file."""
-    numbered = number_rows(leaves(recs), ["page_id", "copy", "hash"], "length", "warc")
-    placed = numbered.placed().withColumn("file", F.expr(f"_at div {FILE_RECORDS}")).withColumn("seq", F.expr(f"_at % {FILE_RECORDS}"))
-    starts = placed.groupBy("file").agg(F.min("_weight_at").alias("start"))
-    return placed.join(starts, "file").select("page_id", "copy", "length", "hash", F.col("_at").alias("at"), "file", "seq", (F.col("_weight_at") - F.col("start")).alias("offset"), F.col("_weight_at").alias("begin"))
-
-
-def tree(leaf: DataFrame, n: int, label: str) -> DataFrame:
-    """(level, idx, hash) of all nodes over leaves (at, begin, length, hash), written by level.
-
-    One level is one aggregation over groups of at most FANOUT rows."""
-    now = leaf.select(F.lit(0).alias("level"), F.col("at").alias("idx"), F.col("begin").alias("lo"), (F.col("begin") + F.col("length")).alias("hi"), "hash")
-    levels = [materialize(now, label)]
-    size = n
-    while size > 1:
-        below = levels[-1]
-        up = below.groupBy(F.expr(f"idx div {FANOUT}").alias("idx")).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.array_sort(F.collect_list(F.struct(F.col("idx").alias("i"), F.col("hash").alias("h")))).alias("kids"))
-        levels.append(materialize(up.select(F.lit(len(levels)).alias("level"), "idx", "lo", "hi", F.expr("sha2(concat_ws('|', 'node', lo, hi, concat_ws('|', transform(kids, k -> k.h))), 256)").alias("hash")), label))
-        size = -(-size // FANOUT)
-    out = levels[0]
-    for x in levels[1:]:
-        out = out.unionByName(x)
-    return out
-
-
-def differing(ours: DataFrame, theirs: DataFrame, n: int) -> DataFrame:
-    """(at) of the leaves that differ, by descent from the roots into differing branches only."""
-    top, size = 0, n
-    while size > 1:
-        top, size = top + 1, -(-size // FANOUT)
+def write_files(recs: DataFrame, path: str) -> None:
+    """Uncompressed WARC files, one for each `file` of the manifest, records in its order: folders
+    file=0, file=1 and so on with one file each. Records of equal page_id and bytes are alike, so any
+    of them takes any of their places."""
+    hashed = recs.withColumn("hash", F.sha2(F.concat(F.lit("leaf:"), "record"), 256))
+    numbered = number_rows(hashed.withColumn("length", F.octet_length("record").cast("long")), ["page_id", "hash"], "length", "warc-files")
+    out = numbered.placed().select(F.expr(f"_at div {FILE_RECORDS}").alias("file"), "_at", F.expr("substring(record, 1, length(record) - 4)").alias("value"))
+    # a record ends with two line ends, which the text writer puts behind every row
+    out.repartition("file").sortWithinPartitions("file", "_at").select("file", "value").write.partitionBy("file").option("lineSep", "\r\n\r\n").text(path)
+
+
+_HEAD = re.compile(rb"WARC/1\.1\r\n(.*?)\r\n\r\n", re.S)
+
+
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, record, file, offset) of every record of the files that `write_files` wrote.
+
+    Each record's end follows from its Content-Length. What is no record raises an error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for content, file in zip(b.column(0), b.column(1).to_pylist(), strict=True):
+                raw, at, rows = content.as_py(), 0, []
+                while at < len(raw):
+                    head = _HEAD.match(raw, at)
+                    fields = dict(x.split(b": ", 1) for x in head[1].split(b"\r\n")) if head else {}
+                    end = head.end() + int(fields[b"Content-Length"]) + 4 if head else -1
+                    if not head or raw[end - 4 : end] != b"\r\n\r\n":
+                        raise ValueError(f"no record at {at} of file {file}")
+                    name = fields[b"WARC-Record-ID"].decode().removeprefix("<urn:page:").removesuffix(">")
+                    rows.append((int(name) if name else None, raw[at:end].decode(), file, at))
+                    at = end
+                yield pa.RecordBatch.from_pylist([dict(zip(("page_id", "record", "file", "offset"), r, strict=True)) for r in rows], schema=pa.schema([("page_id", pa.int64()), ("record", pa.string()), ("file", pa.int64()), ("offset", pa.int64())]))
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+    named = files.select("content", F.regexp_extract("path", r"/file=(\d+)/", 1).cast("long").alias("file"))
+    return named.mapInArrow(run, "page_id long, record string, file long, offset long")
+
+
+def copies(held: DataFrame) -> DataFrame:
+    """(page_id, hash, n, length, first): records of one id and hash are copies; `first` is their first place."""
+    return held.groupBy("page_id", "hash").agg(F.count("*").alias("n"), F.max("length").alias("length"), F.min("at").alias("first"))
+
+
+def tree(leaf: DataFrame, depth: int, label: str) -> list[DataFrame]:
+    """(idx, bytes, hash) of the nodes, a written table for each level: by id, then `depth` times by
+    FANOUT ids below, then the root. Built from (page_id, hash, n, length) of one archive."""
+    some = leaf.groupBy("page_id", F.substring("hash", 1, DIGITS).alias("x")).agg(F.sum(F.col("n") * F.col("length")).alias("bytes"), F.array_sort(F.collect_list(F.concat_ws("x", "hash", F.col("n").cast("string")))).alias("kids"))
+    some = some.select("page_id", "x", "bytes", F.sha2(F.array_join("kids", "|"), 256).alias("h"))
+    below = some.groupBy(F.col("page_id").alias("idx")).agg(F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.concat_ws(":", "x", "h"))).alias("kids"))
+    levels = [materialize(below.select("idx", "bytes", F.sha2(F.concat_ws("|", F.lit("leaf"), F.col("bytes").cast("string"), F.array_join("kids", "|")), 256).alias("hash")), label)]
+    for level in range(1, depth + 2):
+        by = F.shiftright("idx", FANOUT_BITS) if level <= depth else F.lit(0).cast("long")
+        up = levels[-1].groupBy(by.alias("up")).agg(F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.struct("idx", "hash"))).alias("kids"))
+        kids = F.expr("concat_ws('|', transform(kids, k -> concat(coalesce(string(k.idx), ''), ':', k.hash)))")
+        levels.append(materialize(up.select(F.col("up").alias("idx"), "bytes", F.sha2(F.concat_ws("|", F.lit("node"), F.col("bytes").cast("string"), kids), 256).alias("hash")), label))
+    return levels
+
+
+def root(levels: list[DataFrame]) -> str:
+    """The root's hash; empty for an archive without records."""
+    found = levels[-1].first()
+    return found["hash"] if found else ""
+
+
+def differing(ours: list[DataFrame], theirs: list[DataFrame]) -> DataFrame:
+    """(page_id) of the leaves that differ or that only one tree has, by descent from roots that differ
+    into differing branches only."""
     front = None
-    for level in range(top, -1, -1):
-        a, b = (t.where(F.col("level") == level).select("idx", F.col("hash").alias(h)) for t, h in ((ours, "ha"), (theirs, "hb")))
+    for level in range(len(ours) - 2, -1, -1):
+        a, b = (t[level].select("idx", F.col("hash").alias(h)) for t, h in ((ours, "ha"), (theirs, "hb")))
         if front is not None:
-            a = a.withColumn("parent", F.expr(f"idx div {FANOUT}")).join(front.select(F.col("idx").alias("parent")), "parent", "left_semi").drop("parent")
-        front = a.join(b, "idx").where("ha <> hb").select("idx")
-        if front.isEmpty():
-            break
-        front = materialize(front, "warc-front")  # what differs, no more
-    return front.select(F.col("idx").alias("at"))
+            a, b = (x.join(front, F.shiftright("idx", FANOUT_BITS).eqNullSafe(F.col("up")), "left_semi") for x in (a, b))
+        b = b.withColumnRenamed("idx", "idb")
+        found = a.join(b, F.col("idx").eqNullSafe(F.col("idb")) & F.col("ha").isNotNull(), "full_outer").where(~F.col("ha").eqNullSafe(F.col("hb")))
+        # what differs, no more
+        front = materialize(found.select(F.when(F.col("ha").isNull(), F.col("idb")).otherwise(F.col("idx")).alias("up")), "warc-front")
+    return front.withColumnRenamed("up", "page_id")
 
 
 def audit(ours: DataFrame, replica: DataFrame) -> DataFrame:
-    """(page_id, file, seq, offset, length, hash, status) of every record of (page_id, record) `ours`,
-    and after them the replica's records that the archive lacks, without a place.
+    """(page_id, file, seq, offset, length, hash, status, root, replica_root) of every record of
+    (page_id, record) `ours`, and after them the replica's records that the archive lacks, with their
+    place in the replica.
 
-    status: ok, corrupt (other bytes in the replica), missing, or extra. Records are told by page_id;
-    repeated ids by the order of their hashes, records without id by their hash. Both tables may be
-    empty.
+    status: ok, corrupt (other bytes in the replica), missing, or extra. Of one page_id (null is one
+    too) equal records are matched first; what is then left on both sides is paired as corrupt, in the
+    order of the hashes, and the rest is missing or extra. Both tables may be empty.
     """
-    held = materialize(manifest(ours), "warc-manifest")
-    theirs = materialize(leaves(replica).withColumnRenamed("hash", "their_hash").withColumnRenamed("length", "their_length"), "warc-replica")
-    n = held.count()
-    key = F.when(F.col("page_id").isNull(), F.col("hash"))
-    a = held.withColumn("_k", F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("#"), key)))
-    b = theirs.withColumn("_k", F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("#"), F.col("their_hash"))))
-    placed = a.join(b.select("_k", "copy", "their_hash"), ["_k", "copy"], "left").select("at", "begin", "length", F.coalesce("their_hash", F.lit("missing")).alias("hash"))
-    ok = F.lit("ok")
-    out = held.withColumn("status", ok)
-    if n:
-        copies = tree(placed, n, "warc-theirs")
-        bad = differing(tree(held, n, "warc-ours"), copies, n)
-        told = copies.where("level = 0").select(F.col("idx").alias("at"), F.when(F.col("hash") == "missing", "missing").otherwise("corrupt").alias("_bad")).join(bad, "at")
-        out = held.join(told, "at", "left").withColumn("status", F.coalesce("_bad", ok))
-    extra = b.join(a.select("_k", "copy"), ["_k", "copy"], "left_anti")
-    none = F.lit(None).cast("long")
-    return out.select("page_id", "file", "seq", "offset", "length", "hash", "status").unionByName(extra.select("page_id", none.alias("file"), none.alias("seq"), none.alias("offset"), F.col("their_length").alias("length"), F.col("their_hash").alias("hash"), F.lit("extra").alias("status")))
+    held, theirs = materialize(manifest(ours, "warc-ours"), "warc-manifest"), materialize(manifest(replica, "warc-replica"), "warc-manifest")
+    mine, other = materialize(copies(held), "warc-copies"), materialize(copies(theirs), "warc-copies")
+    ends = [x for t in (mine, other) for x in t.agg(F.min("page_id"), F.max("page_id")).first() if x is not None]
+    depth = 1
+    while any(not -(1 << FANOUT_BITS * depth) <= x < 1 << FANOUT_BITS * depth for x in ends):
+        depth += 1
+    trees = tree(mine, depth, "warc-tree"), tree(other, depth, "warc-tree")
+    roots = [root(t) for t in trees]
+    place = ["page_id", "file", "seq", "offset", "length", "hash", "status"]
+    out = held.withColumn("status", F.lit("ok")).select(*place)
+    if roots[0] != roots[1]:
+        ids = differing(*trees).withColumnRenamed("page_id", "_id")
+        near = lambda t, n: t.join(ids, F.col("page_id").eqNullSafe(F.col("_id")), "left_semi").select("page_id", "hash", F.col("n").alias(n), F.col("first").alias(f"f{n}"))
+        a, b = near(mine, "n1"), near(other, "n2").withColumnRenamed("page_id", "_id").withColumnRenamed("hash", "_hash")
+        both = a.join(b, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "full_outer")
+        both = both.select(F.coalesce("page_id", "_id").alias("_id"), F.coalesce("hash", "_hash").alias("_hash"), "n1", "fn1", "n2", "fn2", F.greatest(F.coalesce("n1", F.lit(0)) - F.coalesce("n2", F.lit(0)), F.lit(0)).alias("lost"), F.greatest(F.coalesce("n2", F.lit(0)) - F.coalesce("n1", F.lit(0)), F.lit(0)).alias("more"))
+        both = materialize(both.where("lost + more > 0"), "warc-bad")
+        pairs = both.groupBy(F.col("_id").alias("_p")).agg(F.least(F.sum("lost"), F.sum("more")).alias("pairs"))
+
+        def told(side: str, n: str) -> DataFrame:
+            """Of each id and hash: the place of its first bad copy, and how many bad ones of the id come before."""
+            before = Window.partitionBy("_id").orderBy("_hash").rowsBetween(Window.unboundedPreceding, -1)
+            bad = both.where(f"{side} > 0").withColumn("_before", F.coalesce(F.sum(side).over(before), F.lit(0)))
+            return bad.join(pairs, F.col("_id").eqNullSafe(F.col("_p"))).select("_id", "_hash", (F.col(f"f{n}") + F.col(n) - F.col(side)).alias("_from"), "_before", "pairs")
+
+        def with_told(rows: DataFrame, side: str, n: str, how: str) -> DataFrame:
+            met = rows.join(told(side, n), F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), how)
+            return met.withColumn("_bad", F.col("at") >= F.col("_from")).withColumn("_paired", F.col("_before") + F.col("at") - F.col("_from") < F.col("pairs"))
+
+        out = with_told(held, "lost", "n1", "left").withColumn("status", F.when(~F.coalesce("_bad", F.lit(False)), "ok").when(F.col("_paired"), "corrupt").otherwise("missing")).select(*place)
+        out = out.unionByName(with_told(theirs, "more", "n2", "inner").where("_bad and not _paired").withColumn("status", F.lit("extra")).select(*place))
+    for t in (*trees[0], *trees[1]):
+        remove(ours.sparkSession, t)
+    return out.withColumns({"root": F.lit(roots[0]), "replica_root": F.lit(roots[1])})
 
 
 def damaged(recs: DataFrame) -> DataFrame:
-    """A replica for the registered query: every 1000th record, from the 8th id on, has another first
-    byte, and every 1000th from the 14th is gone."""
+    """A replica for the registered query: of every 1000 ids the 8th has another first byte, the 14th is
+    gone, and the 22nd is there again under a new id."""
     hurt = F.when(F.col("page_id") % 1000 == 7, F.concat(F.lit("w"), F.expr("substring(record, 2)"))).otherwise(F.col("record"))
-    return recs.where("not coalesce(page_id % 1000 = 13, false)").select("page_id", hurt.alias("record"))
+    kept = recs.where("not coalesce(page_id % 1000 = 13, false)").select("page_id", hurt.alias("record"))
+    return kept.unionByName(recs.where("page_id % 1000 = 21").select((F.col("page_id") + 1_000_000_000).alias("page_id"), "record"))
 
 
 def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,15 +188,51 @@ def op6_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(recs, damaged(recs))
 
 
-ORACLE = rf"""
-with r as (
-  select page_id, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::varchar, '')
-         || '>' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10)
-         || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) record
-  from pages),
-l as (select page_id, strlen(record) length, sha256('leaf:' || record) hash, row_number() over (order by page_id nulls first, sha256('leaf:' || record)) - 1 n from r),
-f as (select *, n // {FILE_RECORDS} file, n % {FILE_RECORDS} seq from l)
-select page_id, file, seq, (sum(length) over (partition by file order by seq) - length)::bigint "offset", length, hash,
-       case page_id % 1000 when 7 then 'corrupt' when 13 then 'missing' else 'ok' end status
-from f
+def _tree_sql(name: str) -> str:
+    """The levels of a tree over the table `{name}_copies`, and its root as `{name}_root`."""
+    return f"""{name}_some as (select page_id, substr(hash, 1, {DIGITS}) x, sum(n * length)::bigint bytes, sha256(string_agg(hash || 'x' || n, '|' order by hash)) h from {name}_copies group by 1, 2),
+{name}_tree(level, idx, bytes, hash) as (
+  select 0, page_id, sum(bytes)::bigint, sha256('leaf|' || sum(bytes)::bigint || '|' || string_agg(x || ':' || h, '|' order by x)) from {name}_some group by page_id
+  union all
+  select level + 1, up, sum(bytes)::bigint, sha256('node|' || sum(bytes)::bigint || '|' || string_agg(coalesce(idx::varchar, '') || ':' || hash, '|' order by idx nulls first))
+  from (select *, case when level < (select d from depth) then idx >> {FANOUT_BITS} else 0 end up from {name}_tree where level <= (select d from depth)) group by 1, 2),
+{name}_root as (select hash from {name}_tree where level = (select d + 1 from depth))"""
+
+
+_RECORD = f"""'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Date: {DATE}' || e || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::varchar, '') || '>' || e || 'WARC-Target-URI: ' || coalesce(url, '') || e
+  || 'Content-Type: text/html' || e || 'Content-Length: ' || strlen(coalesce(html, '')) || e || e || coalesce(html, '') || e || e"""
+
+
+def _archive_sql(name: str) -> str:
+    return f"""{name}_hashed as (select page_id, strlen(record) length, sha256('leaf:' || record) hash from {name}_records),
+{name} as (select *, n // {FILE_RECORDS} file, n % {FILE_RECORDS} seq, (sum(length) over (partition by n // {FILE_RECORDS} order by n) - length)::bigint "offset",
+  row_number() over (partition by page_id, hash order by n) copy, count(*) over (partition by page_id, hash) n_copies from (select *, row_number() over (order by page_id nulls first, hash) - 1 n from {name}_hashed)),
+{name}_copies as (select page_id, hash, count(*) n, max(length) length from {name} group by 1, 2)"""
+
+
+def _status_sql(name: str, other: str) -> str:
+    """Rows of one archive with how many copies the other has, and their number among the id's bad ones."""
+    return f"""{name}_told as (select a.*, copy > coalesce(o.n, 0) bad, sum((copy > coalesce(o.n, 0))::int) over (partition by a.page_id order by a.hash, copy) nth
+  from {name} a left join {other}_copies o on a.page_id is not distinct from o.page_id and a.hash = o.hash),
+{name}_bad as (select page_id, count(*) k from {name}_told where bad group by 1)"""
+
+
+ORACLE = f"""
+with recursive p as (select page_id, url, html, chr(13) || chr(10) e from pages),
+ours_records as (select page_id, {_RECORD} record from p),
+theirs_records as (
+  select page_id, case page_id % 1000 when 7 then 'w' || substr(record, 2) else record end record from ours_records where coalesce(page_id % 1000, 0) <> 13
+  union all select page_id + 1000000000, record from ours_records where page_id % 1000 = 21),
+{_archive_sql("ours")},
+{_archive_sql("theirs")},
+depth as (select greatest(1, ceil(log2(max(x) + 1) / {FANOUT_BITS}))::int d from (select max(page_id) x from ours union all select max(page_id) from theirs)),
+{_tree_sql("ours")},
+{_tree_sql("theirs")},
+{_status_sql("ours", "theirs")},
+{_status_sql("theirs", "ours")}
+select t.page_id, t.file, t.seq, t."offset", t.length, t.hash, case when not t.bad then 'ok' when t.nth <= coalesce(b.k, 0) then 'corrupt' else 'missing' end status, (select hash from ours_root) root, (select hash from theirs_root) replica_root
+from ours_told t left join theirs_bad b on t.page_id is not distinct from b.page_id
+union all
+select t.page_id, t.file, t.seq, t."offset", t.length, t.hash, 'extra', (select hash from ours_root), (select hash from theirs_root)
+from theirs_told t left join ours_bad b on t.page_id is not distinct from b.page_id where t.bad and t.nth > coalesce(b.k, 0)
 """

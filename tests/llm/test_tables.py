@@ -82,18 +82,40 @@ def test_fixity_sql(spark, sf_dir, same):
 
 def test_fixity_finds_all_damage(spark, tmp_path):
     page = "page_id long, url string, html string, hash string, at long"
-    pages = spark.createDataFrame([*[(i, f"u{i}", "x" * (i % 50), "h", 1) for i in range(5000)], (None, None, None, None, None), (7, "u7", "again", "h", 1)], page)
+    pages = spark.createDataFrame([*[(i, f"u{i}", "x" * (i % 50), "h", 1) for i in range(5000)], (None, None, None, None, None), (None, "other", None, None, None), (7, "u7", "again", "h", 1), (7, "u7", "again", "h", 1), (-5, "", "", "h", 1)], page)
     ours = warc_fixity.records(pages)
-    assert warc_fixity.audit(ours, ours).where("status <> 'ok'").count() == 0
+    same = warc_fixity.audit(ours, ours.repartition(3))
+    assert same.where("status <> 'ok' or root <> replica_root").count() == 0 and same.count() == 5005
     theirs = ours.where("coalesce(page_id, -1) <> 4999").selectExpr("page_id", "if(page_id in (0, 4097), concat(record, '!'), record) record").unionByName(spark.createDataFrame([(9999, "new")], "page_id long, record string"))
-    got = {(r.page_id, r.status) for r in warc_fixity.audit(ours, theirs).where("status <> 'ok'").collect()}
-    assert got == {(0, "corrupt"), (4097, "corrupt"), (4999, "missing"), (9999, "extra")}
+    got = warc_fixity.audit(ours, theirs)
+    assert sorted((r.page_id, r.status) for r in got.where("status <> 'ok'").collect()) == [(0, "corrupt"), (4097, "corrupt"), (4999, "missing"), (9999, "extra")]
+    assert got.where("root = replica_root").count() == 0
     none = ours.where("false")
     assert warc_fixity.audit(none, none).count() == 0 and warc_fixity.audit(none, ours.limit(3)).where("status = 'extra'").count() == 3
-    warc_fixity.write_files(ours.where("page_id < 3 and page_id <> 7").coalesce(1), f"{tmp_path}/w")
-    (f,) = tmp_path.glob("w/part-*")
-    text = f.read_bytes().decode()
-    assert text.count("WARC/1.1\r\n") == 3 and text.endswith("\r\n\r\n")
+    assert warc_fixity.audit(ours.limit(3), none).where("status = 'missing'").count() == 3
+
+
+def test_fixity_of_repeated_ids(spark):
+    """Equal records of an id are matched first, whatever the order; only what is left is damage."""
+    make = lambda *rows: spark.createDataFrame(list(rows), "page_id long, record string")
+    ours = make((1, "a"), (1, "b"), (1, "b"), (1, "c"), (2, "z"), (None, "n"), (None, "n"))
+    theirs = make((1, "c"), (1, "x"), (1, "b"), (2, "z"), (2, "z"), (None, "n"), (3, "q"))
+    got = sorted((str(r.page_id), r.status) for r in warc_fixity.audit(ours, theirs).collect())
+    assert got == [("1", "corrupt"), ("1", "missing"), ("1", "ok"), ("1", "ok"), ("2", "extra"), ("2", "ok"), ("3", "extra"), ("None", "missing"), ("None", "ok")]
+
+
+def test_warc_files_match_the_manifest(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc_fixity, "FILE_RECORDS", 64)
+    pages = spark.createDataFrame([*[(i, f"u{i}", "é\r\n\r\nWARC/1.1\r\n" * (i % 5)) for i in range(300)], (None, None, None), (7, "u", "again")], "page_id long, url string, html string").repartition(3)
+    recs = warc_fixity.records(pages)
+    warc_fixity.write_files(recs, f"file://{tmp_path}/w")
+    back = warc_fixity.read_files(spark, f"file://{tmp_path}/w")
+    assert sorted(map(str, back.select("page_id", "record").collect())) == sorted(map(str, recs.collect()))
+    places = lambda df: sorted((str(r.page_id), r.file, r.offset) for r in df.select("page_id", "file", "offset").collect())
+    assert places(back) == places(warc_fixity.manifest(recs)) and len(list(tmp_path.glob("w/file=*/part-*"))) == 5
+    assert warc_fixity.audit(recs, back.select("page_id", "record")).where("status <> 'ok'").count() == 0
+    text = next(tmp_path.glob("w/file=0/part-*")).read_bytes()
+    assert text.startswith(b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Date: ") and text.endswith(b"\r\n\r\n")
 
 
 VECTORS = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (20, [0.0, 1.0]), (50, [0.5, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [None, 1.0]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (8, [1.0]), (None, [1.0, 1.0]), (9, [])]
