@@ -68,26 +68,48 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def log_count_ratios(docs: list[np.ndarray], y: np.ndarray, n_features: int, smooth: float = 1.0) -> np.ndarray:
-    counts = [np.full(n_features, smooth), np.full(n_features, smooth)]
-    for f, label in zip(docs, y, strict=True):
-        counts[int(label)][f] += 1
-    a, b = counts[1], counts[0]
+class Rows:
+    """Feature lists of many texts in one flat array, so that a sample takes little more than its features."""
+
+    def __init__(self, flat: np.ndarray, ends: np.ndarray):
+        self.flat, self.ends = flat, ends
+
+    @classmethod
+    def of(cls, docs: list[np.ndarray]) -> Rows:
+        return cls(np.concatenate([*docs, np.zeros(0, np.int32)]).astype(np.int32), np.cumsum([0, *map(len, docs)]))
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        return self.flat[self.ends[i] : self.ends[i + 1]]
+
+    def __iter__(self) -> Iterator[np.ndarray]:
+        return (self[i] for i in range(len(self)))
+
+
+def log_count_ratios(docs: Rows, y: np.ndarray, n_features: int, smooth: float = 1.0) -> np.ndarray:
+    label = np.repeat(y, np.diff(docs.ends))
+    b, a = (smooth + np.bincount(docs.flat[label == k], minlength=n_features) for k in (0, 1))
     return np.log((a / a.sum()) / (b / b.sum()))
 
 
-def dual_coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], sign: np.ndarray, cost: np.ndarray, n_features: int, epochs: int = 12, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Weights and bias minimising |w|^2 / 2 + sum cost * hinge, one dual variable at a time.
+def dual_coordinate_descent(docs: Rows, scale: np.ndarray, sign: np.ndarray, cost: np.ndarray, epochs: int = 12, seed: int = 7, least: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights and bias minimising |w|^2 / 2 + sum cost * hinge, one dual variable at a time,
+    until a sweep moves none by `least`.
 
-    The bias is the weight of a feature that is 1 in every row."""
-    w, bias = np.zeros(n_features), 0.0
-    alpha = np.zeros(len(rows))
-    square = np.array([float(v @ v) + 1 for _, v in rows])
+    A row's vector is its features' `scale` brought to unit length (a zero vector stays). The bias is the
+    weight of a feature that is 1 in every row."""
+    w, bias = np.zeros(len(scale)), 0.0
+    alpha = np.zeros(len(docs))
+    length = np.array([max(float(np.sqrt(np.square(scale[f]).sum())), 1e-9) for f in docs])
+    square = np.array([float(np.square(scale[f]).sum()) / n**2 + 1 for f, n in zip(docs, length, strict=True)])
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
-        for i in rng.permutation(len(rows)):
-            f, v = rows[i]
+        for i in rng.permutation(len(docs)):
+            f = docs[i]
+            v = scale[f] / length[i]
             gradient = sign[i] * (float(w[f] @ v) + bias) - 1
             new = min(max(alpha[i] - gradient / square[i], 0.0), cost[i])
             if new != alpha[i]:
@@ -96,21 +118,20 @@ def dual_coordinate_descent(rows: list[tuple[np.ndarray, np.ndarray]], sign: np.
                 bias += step
                 moved = max(moved, abs(new - alpha[i]))
                 alpha[i] = new
-        if moved < 1e-3:
+        if moved < least:
             break
     return w, bias
 
 
-def fit(docs: list[np.ndarray], labels: np.ndarray, n_features: int = FEATURES, cost: float = 10.0, mix: float = 0.25) -> Model:
+def fit(docs: Rows, labels: np.ndarray, n_features: int = FEATURES, cost: float = 10.0, mix: float = 0.25) -> Model:
     """A model of feature lists with 0/1 labels. With one class only, or no rows, it scores all alike."""
     y = np.asarray(labels, int)
     n1 = int(y.sum())
     if not len(y) or n1 in (0, len(y)):
         return Model(np.zeros(n_features), np.ones(n_features), 0.0, 0.0, 2.0 if n1 or not len(y) else -2.0)
     r = log_count_ratios(docs, y, n_features)
-    rows = [(f, v / max(float(np.sqrt(v @ v)), 1e-9)) for f in docs for v in (r[f],)]
     weight = np.where(y == 1, len(y) / (2 * n1), len(y) / (2 * (len(y) - n1)))  # the rare class counts as much
-    w, bias = dual_coordinate_descent(rows, np.where(y == 1, 1.0, -1.0), cost * weight, n_features)
+    w, bias = dual_coordinate_descent(docs, r, np.where(y == 1, 1.0, -1.0), cost * weight)
     mean = np.abs(w[w != 0]).mean() if w.any() else 0.0
     model = Model(((1 - mix) * mean + mix * w) * r, r, bias, 1.0, 0.0) if mix < 1 else Model(w * r, r, bias, 1.0, 0.0)
     if mix < 1:
@@ -155,7 +176,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = texts.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("label").cast("int")).mapInArrow(run, "doc_id long, f binary, label int")
     # one row for each id, however often it repeats and in whichever order
     once = rows.groupBy("doc_id").agg(F.max(F.struct("f", "label")).alias("r")).select("doc_id", "r.f", "r.label").toArrow().sort_by("doc_id")
-    return fit([np.frombuffer(f, "<i4") for f in once.column("f").to_pylist()], once.column("label").to_numpy())
+    f = once.column("f").combine_chunks().cast(pa.large_binary())
+    ends = np.frombuffer(f.buffers()[1], np.int64)[f.offset : f.offset + len(f) + 1]
+    flat = np.frombuffer(f.buffers()[2], "<i4") if len(f) and f.buffers()[2] else np.zeros(0, np.int32)
+    return fit(Rows(flat[ends[0] // 4 : ends[-1] // 4] if len(f) else flat, (ends - ends[0]) // 4 if len(f) else np.zeros(1, np.int64)), once.column("label").to_numpy())
 
 
 def held_out(doc_id):

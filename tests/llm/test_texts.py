@@ -172,7 +172,55 @@ def test_quality_of_awkward_rows(spark, awkward, nothing):
 
 def test_dual_coordinate_descent_separates():
     rng = np.random.default_rng(0)
-    x = rng.normal(size=(200, 5))
-    y = np.where(x @ np.array([1, -2, 0.5, 0, 1]) > 0, 1.0, -1.0)
-    w, b = quality_nbsvm.dual_coordinate_descent([(np.arange(5), r) for r in x], y, np.full(200, 100.0), 5, epochs=200)
-    assert (np.sign(x @ w + b) == y).mean() > 0.97
+    docs = [np.sort(rng.choice(40, 8, replace=False)) for _ in range(200)]
+    scale, truth = rng.normal(size=40), rng.normal(size=40)
+    y = np.where([truth[f] @ scale[f] > 0 for f in docs], 1.0, -1.0)
+    w, b = quality_nbsvm.dual_coordinate_descent(quality_nbsvm.Rows.of(docs), scale, y, np.full(200, 100.0), epochs=300)
+    assert np.mean([np.sign(w[f] @ scale[f] + b) == s for f, s in zip(docs, y, strict=True)]) > 0.97
+
+
+def _indicators(texts, n_grams=quality_nbsvm.NGRAMS):
+    """Which n-gram is in which text, without hashing."""
+    grams = [{(n, t.encode()[i : i + n]) for n in n_grams for i in range(len(t.encode()) - n + 1)} for t in texts]
+    names = sorted(set().union(*grams))
+    at = {g: k for k, g in enumerate(names)}
+    x = np.zeros((len(texts), len(names)))
+    for k, g in enumerate(grams):
+        x[k, [at[i] for i in g]] = 1
+    return x, names
+
+
+def test_quality_by_plain_computation():
+    """The ratios by counting n-grams one by one; the fit by its optimality conditions; the score by hand."""
+    rng = np.random.default_rng(3)
+    good, bad = ["river", "stone", "quiet", "light", "paper"], ["zzxq", "qqq", "kkkk", "xxzz", "river"]
+    texts = [" ".join(rng.choice(good if k % 2 else bad, 6)) for k in range(40)]
+    y = np.array([k % 2 for k in range(40)])
+    docs = quality_nbsvm.Rows.of([quality_nbsvm.features(t) for t in texts])
+    x, names = _indicators(texts)
+    counts = [1.0 + x[y == k].sum(0) for k in (0, 1)]
+    total = [c.sum() + quality_nbsvm.FEATURES - len(names) for c in counts]  # unseen features are smoothed too
+    want = np.sort(np.log((counts[1] / total[1]) / (counts[0] / total[0])))
+    r = quality_nbsvm.log_count_ratios(docs, y, quality_nbsvm.FEATURES)
+    used = np.unique(docs.flat)
+    assert len(used) == len(names)  # no two n-grams of these texts share a feature
+    assert np.allclose(np.sort(r[used]), want)
+    # the hinge-loss optimum: w is the sum of alpha * y * v, and alpha is 0, between, or the cost by margin
+    v = np.zeros((40, quality_nbsvm.FEATURES))
+    for k, f in enumerate(docs):
+        v[k, f] = r[f] / np.linalg.norm(r[f])
+    sign = np.where(y == 1, 1.0, -1.0)
+    w, b = quality_nbsvm.dual_coordinate_descent(docs, r, sign, np.full(40, 10.0), epochs=3000, least=1e-9)
+    whole = np.hstack([v, np.ones((40, 1))])
+    loss = lambda u: 0.5 * u @ u + 10 * np.maximum(0, 1 - sign * (whole @ u)).sum()
+    best, u = np.inf, np.zeros(whole.shape[1])
+    for step in range(1, 6000):  # subgradient descent on the primal
+        hurt = sign * (whole @ u) < 1
+        u = u - (u - 10 * (sign * hurt) @ whole) / (step + 50)
+        best = min(best, loss(u))
+    assert loss(np.append(w, b)) <= best * 1.001
+    model = quality_nbsvm.fit(docs, y)
+    for t, f in zip(texts, docs, strict=True):
+        z = model.slope * (model.weights[f].sum() / np.sqrt((r[f] ** 2).sum()) + model.bias)
+        assert abs(model.score(t) - 1 / (1 + np.exp(-z))) < 1e-9
+    assert all((model.score(t) >= 0.5) == (k % 2 == 1) for k, t in enumerate(texts))
