@@ -154,17 +154,17 @@ def shingled(docs: DataFrame, words: int) -> DataFrame:
 
 
 def signed(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n, signature, hashes) of (doc_id, text) with at least one word each; hashes are the whole
-    shingle set, sorted, so that no text needs to be moved or taken apart again."""
+    """(doc_id, n, signature, text) of (doc_id, text) with at least one word each. Texts are moved rather
+    than hashes of their shingles, which no shuffle can compress."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
                 sets = shingle_hashes(raw_texts(part.column(1)), words)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([minima(s).tobytes() for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "n", "signature", "hashes"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([minima(s).tobytes() for s in sets], pa.binary()), part.column(1)], names=["doc_id", "n", "signature", "text"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, signature binary, hashes binary")
+    return docs.mapInArrow(run, "doc_id long, n long, signature binary, text string")
 
 
 def in_common(a: np.ndarray, b: np.ndarray) -> int:
@@ -190,24 +190,24 @@ def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(maps), (F.bitmap_bucket_number(bit) == F.col("bucket")) & is_set, "left_semi")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of distinct pairs (u, v) those whose full shingle sets, (doc_id, hashes), reach the similarity.
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of distinct pairs (u, v) those whose full shingle sets, of (doc_id, text), reach the similarity.
 
-    u's set meets its partners' in tasks of about BLOCK partners, one set at a time.
+    u's text meets its partners' in tasks of about BLOCK partners, one text at a time.
     """
     degree = pairs.groupBy("u").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     dealt = pairs.join(dealt_anew(degree, "u"), "u").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
-    partners = dealt.join(sets.withColumnRenamed("doc_id", "v"), "v").select("u", "part", "v", "hashes")
-    centers = degree.select("u", F.explode(F.expr("sequence(0, parts - 1)")).alias("part")).join(sets.withColumnRenamed("doc_id", "u"), "u").select("u", "part", F.lit(None).cast("long").alias("v"), "hashes")
+    partners = dealt.join(texts.withColumnRenamed("doc_id", "v"), "v").select("u", "part", "v", "text")
+    centers = degree.select("u", F.explode(F.expr("sequence(0, parts - 1)")).alias("part")).join(texts.withColumnRenamed("doc_id", "u"), "u").select("u", "part", F.lit(None).cast("long").alias("v"), "text")
     met = centers.unionByName(partners).repartition("u", "part").sortWithinPartitions("u", "part", F.col("v").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, at = [], None  # sets of the text at hand: more than one if rows repeat its id
         for b in batches:
             us, vs = [], []
-            for u, part, v, hashes in zip(*(b.column(k) for k in range(4)), strict=True):
+            for u, part, v, text in zip(*(b.column(k) for k in range(4)), strict=True):
                 u, part, v = u.as_py(), part.as_py(), v.as_py()
-                s = np.frombuffer(hashes.as_py(), np.uint64)
+                s = _hash_group([text.as_py().encode()], words)[0]
                 if v is None:
                     own = [*own, s] if at == (u, part) else [s]
                     at = (u, part)
@@ -240,24 +240,26 @@ class _Sets:
         return x != y
 
 
-def _meet(rows: DataFrame, group: str, column: str, percent: int, block: int) -> DataFrame:
+def _meet(rows: DataFrame, group: str, sets: DataFrame, column: str, percent: int, block: int, written: list[DataFrame]) -> DataFrame:
     """Members dealt to the blocks of their group and size class, and after them the probes, which go
     to every block of the classes that a link can reach.
 
-    `rows` has the group (a long), doc_id, component, n (the set's size) and `column`. Sizes of one
-    link differ by a factor of 100 / percent at most, so its classes are neighbours. Members of the
-    group's largest component are no probes; groups within one component are left out."""
-    rows = rows.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int"))
+    `rows` has the group (a long), doc_id, component and n (the set's size), `sets` (doc_id, n, column).
+    Sizes of one link differ by a factor of 100 / percent at most, so its classes are neighbours.
+    Members of the group's largest component are no probes; groups within one component are left out
+    before anything large is moved. `written` gets what can be removed afterwards."""
     each = rows.groupBy(group, "component").agg(F.count("*").alias("of"))
     kinds = each.groupBy(group).agg(F.max_by("component", F.struct("of", "component")).alias("largest"), F.count("*").alias("kinds")).where("kinds > 1").select(group, "largest")
     rows = rows.join(dealt_anew(kinds, group), group).withColumn("probe", F.col("component") != F.col("largest")).drop("largest")
-    blocks = rows.groupBy(group, "class").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    blocks = dealt_anew(blocks, group)
-    keep = [group, "class", "block", "ask", "doc_id", "component", "n", column]
+    rows = materialize(rows.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")), "minhash-crowd")
+    written.append(rows)
+    blocks = dealt_anew(rows.groupBy(group, "class").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), group)
+    keep = [group, "class", "block", "ask", "doc_id", "component", "n"]
     members = rows.join(blocks, [group, "class"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("ask", F.lit(False))
     near = rows.where("probe").withColumn("class", F.explode(F.expr("array(class - 1, class, class + 1)")))
     probes = near.join(blocks, [group, "class"]).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("ask", F.lit(True))
-    return members.select(*keep).unionByName(probes.select(*keep)).repartition(group, "class", "block").sortWithinPartitions(group, "class", "block", "ask")
+    met = members.select(*keep).unionByName(probes.select(*keep)).join(sets.select("doc_id", "n", column), ["doc_id", "n"])
+    return met.select(*keep, column).repartition(group, "class", "block").sortWithinPartitions(group, "class", "block", "ask")
 
 
 def agreement(percent: int) -> int:
@@ -296,7 +298,7 @@ def _alike(met: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(run, "u long, v long")
 
 
-def _compared(met: DataFrame, percent: int) -> DataFrame:
+def _compared(met: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (u, v) that span, in each block, the pairs of a probe and a member of another component
     whose full sets reach the similarity."""
 
@@ -304,11 +306,11 @@ def _compared(met: DataFrame, percent: int) -> DataFrame:
         at, ids, comps, sets, table, joined = None, [], [], [], None, _Sets()
         for b in batches:
             us, vs = [], []
-            for *key, ask, doc, comp, _, hashes in zip(*b.columns, strict=True):
+            for *key, ask, doc, comp, _, text in zip(*b.columns, strict=True):
                 key, ask, doc, comp = [x.as_py() for x in key], ask.as_py(), doc.as_py(), comp.as_py()
                 if at != key:
                     at, ids, comps, sets, table, joined = key, [], [], [], None, _Sets()
-                own = np.frombuffer(hashes.as_py(), np.uint64)
+                own = _hash_group([text.as_py().encode()], words)[0]
                 if not ask:
                     ids.append(doc)
                     comps.append(comp)
@@ -351,24 +353,25 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     copies = materialize(named.select("doc_id", "print", "fingerprint").join(dealt_anew(twins, "print"), ["print", "fingerprint"]).where("doc_id <> v").select(F.col("doc_id").alias("u"), "v", "fingerprint").distinct(), "minhash-copies")
 
     # a bucket links its members to its smallest; of an id that repeats with other texts only the copied text stays out
-    banded = named.select("doc_id", "fingerprint", "bands").join(copies.select(F.col("u").alias("doc_id"), "fingerprint"), ["doc_id", "fingerprint"], "left_anti").select("doc_id", F.explode("bands").alias("key"))
+    banded = named.select("doc_id", F.col("n_shingles").alias("n"), "fingerprint", "bands").join(copies.select(F.col("u").alias("doc_id"), "fingerprint"), ["doc_id", "fingerprint"], "left_anti").select("doc_id", "n", F.explode("bands").alias("key"))
     crowded = banded.groupBy("key").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("most"), F.count("*").alias("size")).where("center < most").drop("most")
     members = materialize(banded.join(dealt_anew(crowded, "key"), "key").where("doc_id <> center"), "minhash-buckets")
     stars = materialize(members.select(F.col("center").alias("u"), F.col("doc_id").alias("v")).distinct(), "minhash-stars")
     # from here on only what shares a bucket with another text is moved
     needed = materialize(stars.select(F.col("u").alias("doc_id")).unionByName(stars.select(F.col("v").alias("doc_id"))).distinct(), "minhash-needed")
     sets = materialize(signed(maybe_in(docs.where("text is not null"), needed).join(needed, "doc_id").select("doc_id", "text"), words), "minhash-sets")
-    links = materialize(verified(stars, sets.select("doc_id", "hashes"), percent), "minhash-links")
+    links = materialize(verified(stars, sets.select("doc_id", "text"), words, percent), "minhash-links")
     label = components(copies.select("u", "v").unionByName(links), "minhash-components")
 
     # members that their bucket's smallest did not bring together
     labelled = lambda rows: rows.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-    crowd = labelled(members.where("size > 2").select("doc_id", "key"))
-    alike = materialize(_alike(_meet(crowd.join(sets.select("doc_id", "n", "signature"), "doc_id"), "key", "signature", percent, signatures), percent).distinct(), "minhash-alike")
-    written = [members, stars, needed, sets, links, alike]
+    written = [members, stars, needed, sets, links]
+    crowd = labelled(members.where("size > 2").select("doc_id", "n", "key"))
+    alike = materialize(_alike(_meet(crowd, "key", sets, "signature", percent, signatures, written), percent).distinct(), "minhash-alike")
+    written.append(alike)
     if not alike.isEmpty():
         family = components(alike, "minhash-families").select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
-        more = materialize(_compared(_meet(labelled(family).join(sets.select("doc_id", "n", "hashes"), "doc_id"), "family", "hashes", percent, block), percent), "minhash-more")
+        more = materialize(_compared(_meet(labelled(family).join(sets.select("doc_id", "n"), "doc_id"), "family", sets, "text", percent, block, written), words, percent), "minhash-more")
         written += [family, more]
         if not more.isEmpty():
             before = label
