@@ -9,8 +9,10 @@ state, and a state differs from the one it was split from by one lost arc, so a
 (parent, lost label, merge index) and a label as its target state: the whole automaton has at
 most one state and one label per merge.
 
-In the end exactly one path spells any given word; its arcs are the word's BPE tokens. Encoding
-finds it left to right with the transition table; decoding emits the labels of the arcs.
+In the end exactly one path spells any given word, and so any beginning of it; its arcs are the
+word's BPE tokens. Encoding goes over the word once, from left to right, and looks up in the
+transition table by which arc each place is reached from a place before; nothing is tried twice.
+Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -49,7 +51,7 @@ class MergeAutomaton:
         self.target = [-1] * n_tokens  # by label: the state that all its arcs lead to
         self.spine: list[tuple[tuple[int, int], ...]] = [()] * n_tokens  # left parts, with the merge that used each up
         self._losses: dict[int, dict[int, int]] = {}
-        self._arcs: dict[int, bool] = {}  # by state << 20 | label
+        self._next: dict[int, int] = {}  # the transition table, by state << 20 | label
         for t in base:
             self.target[t] = 0
         left: dict[int, tuple[int, int]] = {}
@@ -88,55 +90,50 @@ class MergeAutomaton:
     def _has(q: int, parts: tuple[tuple[int, int], ...], losses: dict[int, int]) -> bool:
         return all(losses.get(u, until + 1) > until for u, until in parts)
 
-    def arc(self, q: int, t: int) -> bool:
-        """Does state q have an arc t? Filled into the transition table on first use."""
+    def step(self, q: int, t: int) -> int:
+        """The state that the arc t of state q leads to; -1 if there is no such arc. Filled into the
+        transition table on first use, since most pairs never come up."""
         key = q << 20 | t
-        found = self._arcs.get(key)
+        found = self._next.get(key)
         if found is None:
-            if len(self._arcs) > 2_000_000:
-                self._arcs.clear()
+            if len(self._next) > 2_000_000:
+                self._next.clear()
             if (losses := self._losses.get(q)) is None:
                 if len(self._losses) > 3_000:
                     self._losses.clear()
                 losses = self._losses[q] = self._walk(q)
-            found = self._arcs[key] = self._has(q, self.spine[t], losses)
+            found = self._next[key] = self.target[t] if self.target[t] >= 0 and self._has(q, self.spine[t], losses) else -1
         return found
 
     def path(self, word: str, inner: dict[str, int], final: dict[str, int], reach: dict[str, int]) -> list[int]:
         """Labels of the only path that spells `word`.
 
         `inner` has the labels that end before the word does, `final` those that end it; `reach` has the
-        length of the longest label for its first two symbols. Every path from the start is the only
-        one that spells its prefix, so a place that leads nowhere needs no second visit.
+        length of the longest label by its last two symbols.
         """
-        n, target, arcs = len(word), self.target, self._arcs
-        if (t := final.get(word)) is not None and target[t] >= 0 and self.arc(0, t):
+        n, table = len(word), self._next
+        if (t := final.get(word)) is not None and self.step(0, t) >= 0:
             return [t]
-        ends, out, tried = [0], [], [min(n, reach.get(word[:2], 1)) + 1]
-        dead: set[int] = set()
-        while ends[-1] < n:
-            j, i = ends[-1], tried[-1] - 1
-            q = target[out[-1]] if out else 0
-            while i > j:
-                t = final.get(word[j:]) if i == n else inner.get(word[j:i])
-                if t is not None and i not in dead and target[t] >= 0:
-                    ok = arcs.get(q << 20 | t)
-                    if ok if ok is not None else self.arc(q, t):
+        states, came = [0] * (n + 1), [(0, 0)] * (n + 1)  # of each place: its state, and the last arc to it
+        for i in range(1, n + 1):
+            names = inner if i < n else final
+            states[i] = -1
+            for j in range(max(0, i - reach.get(word[max(0, i - 2) : i], 1)), i):
+                t = names.get(word[j:i])
+                if t is not None and (q := states[j]) >= 0:
+                    to = table.get(q << 20 | t)
+                    if to is None:
+                        to = self.step(q, t)
+                    if to >= 0:
+                        states[i], came[i] = to, (j, t)
                         break
-                i -= 1
-            if i > j:
-                tried[-1] = i
-                ends.append(i)
-                out.append(t)
-                tried.append(min(n, i + reach.get(word[i : i + 2], 1)) + 1)
-            elif j:
-                dead.add(j)
-                ends.pop()
-                out.pop()
-                tried.pop()
-            else:
-                raise ValueError(f"no path spells {word!r}")
-        return out
+        if states[n] < 0:
+            raise ValueError(f"no path spells {word!r}")
+        out = []
+        while n:
+            n, t = came[n]
+            out.append(t)
+        return out[::-1]
 
 
 class WordBpe:
@@ -165,7 +162,7 @@ class WordBpe:
         self.inner = {t: i for t, i in ordinary.items() if not (n and t.endswith(self.suffix))}
         self.reach: dict[str, int] = {}
         for t in [*self.final, *self.inner]:
-            self.reach[t[:2]] = max(len(t), self.reach.get(t[:2], 1))
+            self.reach[t[-2:]] = max(len(t), self.reach.get(t[-2:], 1))
         self.bytes = byte_symbols()
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{self.SPACE}\p{{L}}\p{{N}}]+")
