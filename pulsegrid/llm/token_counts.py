@@ -20,10 +20,10 @@ from .common import pick, table
 DEFAULT_VOCABULARY = "byte_bpe_50k.json"
 #: Token budget of a context, for `over_limit`.
 LIMIT = 512
-#: Characters of text whose parts are gathered before the new ones are encoded.
-CHARS_AT_ONCE = 4 << 20
-#: Characters given to the library at once.
-BATCH_CHARS = 256 << 10
+#: UTF-8 bytes of text whose parts are gathered before the new ones are encoded.
+BYTES_AT_ONCE = 4 << 20
+#: UTF-8 bytes given to the library at once.
+BATCH_BYTES = 256 << 10
 #: Parts whose lengths a worker remembers.
 PARTS_REMEMBERED = 400_000
 #: A blank between two characters that no one counts as white space: a word starts at the blank.
@@ -31,6 +31,11 @@ SAFE = re.compile(r"(?<=\S)(?= \S)")
 UNSAFE = re.compile(r"\s[ ]|[ ]\s|^[ ]|[ ]$")
 
 
+def size_of(text: str) -> int:
+    """UTF-8 bytes."""
+    return len(text) if text.isascii() else len(text.encode())
+
+
 def parts(text: str) -> list[str]:
     """The text cut before every blank that surely starts a word; joined again they are the text."""
     if UNSAFE.search(text):
@@ -52,17 +57,17 @@ class Counter:
         self.known: dict[str, int] = {}
 
     def learn(self, new: list[str]) -> None:
-        """Encode parts, at most about BATCH_CHARS of them at once, and keep their lengths."""
+        """Encode parts, at most about BATCH_BYTES of them at once, and keep their lengths."""
         batch: list[str] = []
         size = 0
         for x in [*new, None]:
-            if x is None or batch and size + len(x) > BATCH_CHARS:
+            if x is None or batch and size + size_of(x) > BATCH_BYTES:
                 for p, e in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False), strict=True):
                     self.known[p] = len(e)
                 batch, size = [], 0
             if x is not None:
                 batch.append(x)
-                size += len(x)
+                size += size_of(x)
 
     def count(self, texts: list[str]) -> list[int]:
         cut = [*map(parts, texts)]
@@ -97,13 +102,12 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             counts: list[int] = []
             group: list[str] = []
             size = 0
-            for x in b.column(1):
-                text = x.as_py() or ""
-                if group and size + len(text) > CHARS_AT_ONCE:
+            for x, n in zip(b.column(1), b.column(2).to_pylist(), strict=True):
+                if group and size + n > BYTES_AT_ONCE:
                     counts += counter.count(group)
                     group, size = [], 0
-                group.append(text)
-                size += len(text)
+                group.append(x.as_py() or "")
+                size += n
             if group:
                 counts += counter.count(group)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
