@@ -1,6 +1,6 @@
 """Packing into optimal length buckets.
 
-The global histogram of lengths, rounded up to a multiple, has a bounded number of bins. Dynamic
+The global histogram of lengths has a bounded number of bins, since longer rows are cut. Dynamic
 programming over it chooses the bucket boundaries with the least padding in all. Inside a bucket
 every row is padded to the bucket's length, so a batch of the token budget holds the same number
 of rows everywhere, and a row's batch follows from its number within the bucket.
@@ -16,8 +16,9 @@ from .common import materialize, number_rows, pick, table
 
 #: Longer rows are cut into pieces of this many tokens; nothing is dropped.
 MAX_LENGTH = 4096
-#: Lengths are rounded up to this; MAX_LENGTH / MULTIPLE bins at most come to the driver.
-MULTIPLE = 8
+#: Lengths are rounded up to this, for devices that want it; at 1 padding is the least there can be.
+#: MAX_LENGTH / MULTIPLE bins at most come to the driver.
+MULTIPLE = 1
 BUCKETS = 12
 #: Tokens of a batch, padding included.
 BUDGET = 32_768
@@ -67,8 +68,14 @@ def pack(df: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens", ma
     numbered by (doc_id, piece, n_tokens), nulls first; equal rows may swap numbers. Rows of
     length 0 are packed too; an empty table gives an empty result.
     """
-    cut = pieces(df, id_col, length_col, max_length).withColumn("bin", F.greatest(F.ceil(F.col("n_tokens") / multiple), F.lit(1)).cast("long") * multiple)
-    cut = materialize(cut, "packing-pieces")  # lengths, no texts: counted once for the histogram and the batches
+    return _placed(pieces(df, id_col, length_col, max_length), multiple, buckets, budget)
+
+
+def _placed(cut: DataFrame, multiple: int, buckets: int, budget: int) -> DataFrame:
+    """Pieces with their places, and what other columns they have."""
+    more = [c for c in cut.columns if c not in ("doc_id", "piece", "start", "n_tokens")]
+    # written once for the histogram and the batches
+    cut = materialize(cut.withColumn("bin", F.greatest(F.ceil(F.col("n_tokens") / multiple), F.lit(1)).cast("long") * multiple), "packing-pieces")
     seen = sorted((r["bin"], r["count"]) for r in cut.groupBy("bin").count().collect())  # at most max_length / multiple
     ends = boundaries([x for x, _ in seen], [n for _, n in seen], buckets) or [multiple]
     bucket = sum(((F.col("bin") > e).cast("int") for e in ends[:-1]), F.lit(0))
@@ -82,10 +89,28 @@ def pack(df: DataFrame, id_col: str = "doc_id", length_col: str = "n_tokens", ma
         .withColumn("bucket_len", length)
         .withColumn("_n", F.col("_at") - starts[F.col("bucket")])
         .withColumn("_cap", F.greatest(F.expr(f"{int(budget)} div bucket_len"), F.lit(1)))
-        .select("doc_id", "piece", "start", "n_tokens", "bucket", "bucket_len", F.expr("_n div _cap").alias("batch"), F.expr("_n % _cap").alias("slot"), (F.col("bucket_len") - F.col("n_tokens")).alias("padding"))
+        .select("doc_id", "piece", "start", "n_tokens", "bucket", "bucket_len", F.expr("_n div _cap").alias("batch"), F.expr("_n % _cap").alias("slot"), (F.col("bucket_len") - F.col("n_tokens")).alias("padding"), *more)
     )
 
 
+def token_batches(tokens: DataFrame, pad: int = 0, id_col: str = "doc_id", ids_col: str = "ids", max_length: int = MAX_LENGTH, multiple: int = MULTIPLE, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+    """(bucket, batch, bucket_len, doc_ids, pieces, lengths, input_ids): the batches themselves, one row
+    each, from a table of token ids such as `bpe_automaton.encode` gives.
+
+    input_ids has one list for each row of the batch, padded with `pad` to bucket_len; a batch holds
+    `budget` ids at most (or one row), so none outgrows a task. Null lists count as empty; null ids and
+    repeated rows stay.
+    """
+    ids = F.coalesce(F.col("ids").cast("array<long>"), F.array().cast("array<long>"))
+    rows = pick(tokens, doc_id=id_col, ids=ids_col).select(F.col("doc_id").cast("long"), ids.alias("ids"))
+    cut = rows.select("doc_id", "ids", F.explode(F.expr(f"sequence(0L, greatest(size(ids) - 1L, 0L) div {max_length})")).alias("piece"))
+    cut = cut.select("doc_id", "piece", (F.col("piece") * max_length).alias("start"), F.expr(f"slice(ids, cast(piece * {max_length} + 1 as int), {max_length})").alias("ids")).withColumn("n_tokens", F.size("ids").cast("long"))
+    filled = F.expr(f"concat(ids, array_repeat({int(pad)}L, cast(padding as int)))")
+    placed = _placed(cut, multiple, buckets, budget).select("bucket", "batch", "bucket_len", F.struct("slot", "doc_id", "piece", "n_tokens", filled.alias("ids")).alias("r"))
+    found = placed.groupBy("bucket", "batch").agg(F.max("bucket_len").alias("bucket_len"), F.array_sort(F.collect_list("r")).alias("r"))
+    return found.select("bucket", "batch", "bucket_len", F.col("r.doc_id").alias("doc_ids"), F.col("r.piece").alias("pieces"), F.col("r.n_tokens").alias("lengths"), F.col("r.ids").alias("input_ids"))
+
+
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens) with the words of whole texts as tokens; a null text has none."""
     return pick(docs, doc_id=id_col, text=text_col).select("doc_id", F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORDS)), F.lit(0)).cast("long").alias("n_tokens"))

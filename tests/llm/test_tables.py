@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pulsegrid.llm import ann_ivfpq, packing, sharding, topk_kdtree, warc_fixity
+from pulsegrid.llm import ann_ivfpq, bpe_automaton, packing, sharding, topk_kdtree, warc_fixity
 
 from .conftest import AWKWARD
 
@@ -41,6 +41,22 @@ def test_packing_awkward(awkward, nothing):
     assert packing.pack(packing.word_counts(nothing)).count() == 0
 
 
+def test_token_batches_hold_all_ids(awkward, nothing):
+    """Real token ids, padded and batched; put together again they are the texts' tokens."""
+    coded = bpe_automaton.encode(awkward)
+    want = sorted((str(r.doc_id), tuple(r.ids)) for r in coded.collect())
+    got = {}
+    for b in packing.token_batches(coded, pad=-1, max_length=1000, budget=4000).collect():
+        assert all(len(x) == b.bucket_len for x in b.input_ids) and len(b.input_ids) * b.bucket_len <= max(4000, b.bucket_len)
+        for i, p, n, ids in zip(b.doc_ids, b.pieces, b.lengths, b.input_ids, strict=True):
+            assert set(ids[n:]) <= {-1} and -1 not in ids[:n]
+            got.setdefault(str(i), []).append((p, ids[:n]))
+    assert sum(len(x) for v in got.values() for _, x in v) == sum(len(x) for _, x in want)
+    once = {i: t for i, t in want}
+    assert all([x for _, p in sorted(v) for x in p] == list(once[i]) for i, v in got.items() if i != "4")
+    assert packing.token_batches(bpe_automaton.encode(nothing)).count() == 0
+
+
 def _capacity(groups, shards):
     """The smallest one for which greedy filling is enough."""
     low, high = max(groups), sum(groups)
