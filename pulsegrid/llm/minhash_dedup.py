@@ -36,7 +36,7 @@ BANDS = HASHES // ROWS
 #: Members of a family that one comparison block holds, and links of one text that one task checks.
 BLOCK = 512
 #: Members of a bucket that one block compares by signature.
-SIGNATURES = 8192
+SIGNATURES = 1024
 #: Bits of the filter that keeps texts from being moved in vain.
 BITS = 1 << 26
 _CHUNK = 1 << 19
