@@ -43,7 +43,7 @@ def same(sf_dir):
         ours = df.toPandas()
         columns = sorted(theirs.columns)
         assert sorted(ours.columns) == columns
-        text = [x[columns].astype(str).sort_values(columns).reset_index(drop=True) for x in (ours, theirs)]
+        text = [x[columns].astype(object).where(x[columns].notna(), None).astype(str).sort_values(columns).reset_index(drop=True) for x in (ours, theirs)]
         assert text[0].equals(text[1])
         assert len(ours)
 
