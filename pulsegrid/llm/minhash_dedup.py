@@ -387,3 +387,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+#: The exact similarity join in DuckDB's SQL: only texts that share one of their rarest shingles can reach
+#: the similarity, and those are compared on their full sets. For doc_ids that don't repeat.
+ORACLE = rf"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+s as (select doc_id, list_distinct(case when len(w) >= 2 then list_transform(list_zip(w[1:len(w) - 1], w[2:]), lambda p: p[1] || ' ' || p[2]) else w end) s from w),
+one as (select doc_id, len(s) n, unnest(s) x from s),
+ranked as (select doc_id, x, n, row_number() over (partition by doc_id order by df, x) r from one join (select x, count(*) df from one group by x) using (x)),
+prefix as (select doc_id, x from ranked where r <= n - ceil(0.8 * n) + 1),
+pairs as (select distinct a.doc_id u, b.doc_id v from prefix a join prefix b on a.x = b.x and a.doc_id < b.doc_id),
+shared as (select u, v, len(a.s) + len(b.s) n, len(list_intersect(a.s, b.s)) c from pairs join s a on a.doc_id = u join s b on b.doc_id = v),
+links as (select u, v from shared where 100 * c >= {PERCENT} * (n - c)),
+edges as (select u, v from links union all select v, u from links),
+reach(u, v) as (select u, v from edges union select r.u, e.v from reach r join edges e on e.u = r.v),
+least_ as (select u, min(v) m from reach group by u)
+select s.doc_id, len(s.s)::bigint n_shingles, least(s.doc_id, coalesce(m, s.doc_id)) component_id, s.doc_id = least(s.doc_id, coalesce(m, s.doc_id)) kept from s left join least_ on u = s.doc_id
+"""

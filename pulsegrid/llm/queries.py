@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from .ann_ivfpq import op2_ann_ivfpq
 from .bpe_automaton import op5_bpe_automaton
+from .minhash_dedup import ORACLE as DEDUP_SQL
 from .minhash_dedup import op3_minhash_dedup
 from .packing import op1_length_buckets, pack_sql
 from .quality_nbsvm import op4_quality_nbsvm
 from .secret_scan import op8_secret_scan
+from .sharding import ORACLE as SHARDS_SQL
 from .sharding import op7_minimax_shards
 from .token_counts import op9_token_counts
 from .topk_kdtree import ORACLE as TOPK_SQL
@@ -30,6 +32,8 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_length_buckets": pack_sql(),
+    "op3_minhash_dedup": DEDUP_SQL,
     "op6_warc_fixity": FIXITY_SQL,
+    "op7_minimax_shards": SHARDS_SQL,
     "op10_topk_kdtree": TOPK_SQL,
 }

@@ -125,7 +125,7 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # two texts of one hash would share a group, which does no harm
-    rows = pick(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("_group"))
+    rows = pick(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.substring(F.md5(text.cast("binary")), 1, 16).alias("_group"))
     numbered = number_rows(rows, ["_group", "doc_id"], "size", "sharding")
     if not numbered.parts:
         return rows.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot")).where("false")
@@ -138,3 +138,28 @@ def shard(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards:
 def op7_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = shard(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: The same in DuckDB's SQL: the smallest capacity by dynamic programming over the groups, the cuts by
+#: greedy filling. DuckDB has no CRC-32, so it is worked out byte by byte.
+ORACLE = f"""
+with recursive crc_table as (
+  select list(list_reduce([b::ubigint, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, _: case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end) order by b) t from range(256) r(b)),
+texts as (select doc_id, coalesce(text, '') x, string_split(hex(encode(coalesce(text, ''))), '') h from documents),
+raw as (select doc_id, x, strlen(x) + 1 size, case when x = '' then [] else list_transform(list_zip(h[1:len(h):2], h[2:len(h):2]), lambda p: (16 * (instr('0123456789ABCDEF', p[1]) - 1) + instr('0123456789ABCDEF', p[2]) - 1)::ubigint) end b from texts),
+rows_ as (select doc_id, size, substr(md5(x), 1, 16) g, xor(list_reduce(list_prepend(4294967295::ubigint, b), lambda a, y: xor(a >> 8, t[((xor(a, y) & 255) + 1)::int])), 4294967295::ubigint)::bigint text_crc32 from raw, crc_table),
+groups as (select g, row_number() over (order by g) j, (sum(sum(size)) over (order by g))::bigint s from rows_ group by g),
+dp(k, j, cost) as (
+  select 1, j, s from groups
+  union all
+  select k + 1, j, min(cost) from (
+    select d.k, q.j, greatest(d.cost, q.s - e.s) cost from dp d join groups e on e.j = d.j join groups q on q.j >= d.j where d.k < {SHARDS}) group by 1, 2),
+capacity as (select min(cost) c from dp where j = (select max(j) from groups)),
+walk(k, w) as (
+  select 0, 0::bigint
+  union all
+  select k + 1, (select max(s) from groups where s <= walk.w + (select c from capacity)) from walk where k < {SHARDS} - 1),
+placed as (select r.*, (select count(*) from walk where k > 0 and q.s - q.n >= w)::int shard
+  from rows_ r join (select g.*, n from groups g join (select g, sum(size)::bigint n from rows_ group by g) using (g)) q using (g))
+select doc_id, size::bigint size, text_crc32, 'bytes' law, shard, row_number() over (partition by shard order by g, doc_id nulls first) - 1 slot, null::int grown_shard from placed
+"""

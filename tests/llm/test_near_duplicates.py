@@ -40,6 +40,15 @@ def test_near_duplicates_by_brute_force(documents, words):
     assert result(minhash_dedup.near_duplicates(documents, words=words)) == want
 
 
+def test_near_duplicates_sql(spark, same):
+    """On the larger table, so that groups of many members are in it."""
+    import duckdb
+
+    want = duckdb.sql(minhash_dedup.ORACLE.replace("from documents", "from '/root/testdata/sf0.01/documents.parquet'")).fetchall()
+    got = minhash_dedup.op3_minhash_dedup(spark, "/root/testdata/sf0.01").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and sum(not r.kept for r in got) > 50
+
+
 def test_a_chain_that_no_star_brings_together(spark):
     """Each text is near its neighbours only, and the smallest ids are no centers."""
     rng = random.Random(3)
