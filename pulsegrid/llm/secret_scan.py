@@ -10,6 +10,7 @@ between '+', '/', '-' and '_' that reach it are. Spans are code points, end excl
 from __future__ import annotations
 
 import math
+import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,8 @@ ASSIGN_LEAST = 6
 #: Runs that the Markov models judge.
 RUN = r"[A-Za-z0-9+/_-]{16,}"
 RUN_LEAST = 16
+#: Names as these are no secrets, though they look random; the Markov models don't see them.
+UUID = r"(?<![0-9A-Za-z])[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![0-9A-Za-z])"
 #: What lies between the separators of a run.
 PART = r"[A-Za-z0-9]+"
 CHARACTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
@@ -41,22 +44,51 @@ CHARS_BEHIND = 16_384
 MARK = "[SECRET]"
 
 
-def default_samples(spark: SparkSession, n: int = 6000) -> DataFrame:
-    """Labelled samples (text, label) made by rule: 1 random strings, 0 ordinary identifiers.
+def _draw(k: int, n) -> Column:
+    """A number from 1 to n by a hash of the id and k."""
+    return (F.pmod(F.xxhash64("id", F.lit(k)), n) + 1).cast("int")
 
-    Random ones are digests written in hex or base 64; ordinary ones are names of code, paths,
-    prose words run together, numbers and dates.
-    """
-    words = F.split(F.lit("the and for with that this from have value index count total name user account order item price date time file path data table column row key list node tree left right start end first last next size length width height color message error result status state type class object method function string number buffer stream reader writer handler service client server request response config option default version module package import export update delete insert select create load store read write open close heit keit lich einen schaft ung mente ando cion tion ment eaux elle ation ness able ing ering ould"), " ")
-    draw = lambda k: F.element_at(words, (F.pmod(F.xxhash64("id", F.lit(k)), F.size(words)) + 1).cast("int"))
-    a, b, c, d = (draw(k) for k in range(4))
+
+def _of(words: str, k: int) -> Column:
+    found = words.split()
+    return F.element_at(F.array(*map(F.lit, found)), _draw(k, F.lit(len(found))))
+
+
+def _random_samples(ids: DataFrame) -> DataFrame:
+    """Digests in hex and base 64, and strings over four alphabets."""
     digest = F.unhex(F.sha2(F.col("id").cast("string"), 256))
+    written = F.when(F.col("id") % 2 == 0, F.lower(F.hex(digest))).otherwise(F.regexp_replace(F.base64(digest), "=", ""))
+    lower, digits = string.ascii_lowercase, string.digits
+    kinds = F.array(*map(F.lit, (lower + lower.upper() + digits, lower + digits, lower.upper() + digits, lower + lower.upper())))
+    alphabet = F.element_at(kinds, (F.col("id") % 4 + 1).cast("int"))
+    one = lambda k: F.substring(alphabet, (F.pmod(F.xxhash64("id", k, F.lit("random")), F.length(alphabet)) + 1).cast("int"), F.lit(1))
+    drawn = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), one), "")
+    return ids.select(F.explode(F.array(written, drawn)).alias("text"), F.lit(1).alias("label"))
+
+
+def _ordinary_samples(ids: DataFrame) -> DataFrame:
+    """Names of code, paths, prose words run together, numbers and dates; words of made-up syllables;
+    and the names that Spark gives its functions and settings."""
+    spark = ids.sparkSession
+    words = """the and for with that this from have value index count total name user account order item price date time file path data table column row key list node tree left right start end first last next size length width
+        height color message error result status state type class object method function string number buffer stream reader writer handler service client server request response config option default version module package import
+        export update delete insert select create load store read write open close heit keit lich einen schaft ung mente ando cion tion ment eaux elle ation ness able ing ering ould"""
+    a, b, c, d = (_of(words, k) for k in range(4))
     number = F.lpad(F.pmod(F.xxhash64("id", F.lit(9)), F.lit(10**16)).cast("string"), 16, "4")
+    begins, middles, ends = "b c d f g h j k l m n p qu r s t v w x y z br cl dr fl gr pl pr sh st th tr ch ph ck nd nt rs ll ss", "a e i o u ai ea ee ie ou y io", "r n t s ng ction ment er"
+    syllable = lambda k: F.concat(_of(begins, 20 + 2 * k), _of(middles, 21 + 2 * k))
+    e, f, g = F.concat(syllable(0), syllable(1), _of(ends, 40)), F.concat(syllable(2), syllable(3)), F.concat(syllable(4), F.lit("s"))
     forms = [F.concat(a, b, c, d), F.concat_ws("_", a, b, c), F.concat(a, F.initcap(b), F.initcap(c)), F.concat_ws("-", a, b, c), F.concat_ws("/", a, b, c, d), F.upper(F.concat_ws("_", a, b, c)), number, F.concat(a, F.lit("_"), F.substring(number, 1, 4), F.lit("-"), F.substring(number, 5, 2)), F.concat(b, c, a), F.concat(F.initcap(a), b, d)]
-    random = F.when(F.col("id") % 2 == 0, F.lower(F.hex(digest))).otherwise(F.regexp_replace(F.base64(digest), "=", ""))
-    ordinary = F.element_at(F.array(*forms), (F.col("id") % len(forms) + 1).cast("int"))
+    made = [F.concat(e, f, g), F.concat_ws("_", e, f, g), F.concat(e, F.initcap(f), F.initcap(g)), F.upper(F.concat_ws("_", e, f)), F.concat_ws("-", e, f, g), F.concat_ws("/", e, f, g, a)]
+    pick_one = lambda some: F.element_at(F.array(*some), (F.col("id") % len(some) + 1).cast("int"))
+    names = spark.sql("SET -v").select(F.explode(F.split("key", "[.]")).alias("text")).unionByName(spark.sql("SHOW FUNCTIONS").select(F.col("function").alias("text"))).where("text rlike '^[A-Za-z][A-Za-z0-9_]{3,}$'").distinct()
+    return ids.select(F.explode(F.array(pick_one(forms), pick_one(made))).alias("text")).unionByName(names.select(F.explode(F.array(F.col("text"), F.col("text"), F.upper("text"))).alias("text"))).withColumn("label", F.lit(0))
+
+
+def default_samples(spark: SparkSession, n: int = 6000) -> DataFrame:
+    """Labelled samples (text, label) made by rule: 1 random strings, 0 ordinary identifiers."""
     ids = spark.range(n)
-    return ids.select(random.alias("text"), F.lit(1).alias("label")).unionByName(ids.select(ordinary.alias("text"), F.lit(0).alias("label")))
+    return _random_samples(ids).unionByName(_ordinary_samples(ids))
 
 
 @dataclass(frozen=True)
@@ -136,11 +168,11 @@ def _whole(ok: str) -> str:
     return f"if({ok}, array(named_struct('start', 0, 'end', length(x.m))), {_NONE})"
 
 
-def _found(kind: str, pattern: str, within: str) -> Column:
+def _found(kind: str, pattern: str, within: str, text: str = "text") -> Column:
     """Spans of one kind: lengths of what lies between matches and of the matches, added up. `within`
-    is SQL of the spans within a match."""
+    is SQL of the spans within a match, `text` the column to look in."""
     p = pattern.replace("\\", "\\\\").replace("'", "\\'")
-    here = f"filter(zip_with(split(text, '{p}', -1), regexp_extract_all(text, '{p}', 0), (gap, m) -> named_struct('gap', length(gap), 'm', m)), x -> x.m is not null)"
+    here = f"filter(zip_with(split({text}, '{p}', -1), regexp_extract_all({text}, '{p}', 0), (gap, m) -> named_struct('gap', length(gap), 'm', m)), x -> x.m is not null)"
     kind_of = "array<struct<start:int,end:int,rank:int>>"
     kept = f"transform({within}, s -> named_struct('start', a.at + x.gap + s.start, 'end', a.at + x.gap + s.end, 'rank', {KINDS.index(kind)}))"
     # in blocks: appending to one long array would copy it for every span
@@ -148,7 +180,7 @@ def _found(kind: str, pattern: str, within: str) -> Column:
     step = f"named_struct('at', a.at + x.gap + length(x.m), 'block', concat(if({full}, cast(array() as {kind_of}), a.block), {kept}), 'out', if({full}, concat(a.out, array(a.block)), a.out))"
     spans = f"aggregate({here}, named_struct('at', 0, 'block', cast(array() as {kind_of}), 'out', cast(array() as array<{kind_of}>)), (a, x) -> {step}, a -> flatten(concat(a.out, array(a.block))))"
     # most texts have none: one look tells, and only the others are taken apart
-    return F.expr(f"if(text rlike '{p}', {spans}, cast(array() as {kind_of}))")
+    return F.expr(f"if({text} rlike '{p}', {spans}, cast(array() as {kind_of}))")
 
 
 def scan(df: DataFrame, model: MarkovModel, text_col: str = "text", out_col: str = "secret_spans") -> DataFrame:
@@ -163,10 +195,11 @@ def scan(df: DataFrame, model: MarkovModel, text_col: str = "text", out_col: str
         _found("assign", ASSIGN, _whole(f"length(regexp_extract(x.m, '{assign}', 2)) >= {ASSIGN_LEAST}")),
         _found("access", ACCESS, _whole("true")),
         _found("hex", HEX, _whole("true")),
-        _found("markov", RUN, f"if({ratio('x.m', model)} >= {model.threshold}, {_whole('true')}, if(x.m rlike '[+/_-]', {stretches('x.m', model)}, {_NONE}))"),
+        _found("markov", RUN, f"if({ratio('x.m', model)} >= {model.threshold}, {_whole('true')}, if(x.m rlike '[+/_-]', {stretches('x.m', model)}, {_NONE}))", "masked"),
     ]
     names = ",".join(f"'{k}'" for k in KINDS)
     packed = df.select(F.struct("*").alias("own"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
+    packed = packed.withColumn("masked", F.regexp_replace("text", UUID, " " * 36))  # of the same length
     spans = packed.select("own", *[f.alias(k) for f, k in zip(found, KINDS, strict=True)])
     # of all kinds, by start, then rank, then end
     ordered = F.expr(f"transform(array_sort(transform(concat({', '.join(KINDS)}), s -> named_struct('start', s.start, 'rank', s.rank, 'end', s.end))), s -> named_struct('start', s.start, 'end', s.end, 'kind', array({names})[s.rank]))")

@@ -114,6 +114,29 @@ def test_secret_spans_by_brute_force(spark, awkward, documents, nothing):
     assert secret_scan.digests(nothing, model).count() == 0
 
 
+def test_markov_models_on_unseen_strings(spark):
+    """Identifiers of the standard library, UUIDs and names of this repository's kind stay; random keys are found."""
+    import os
+    import string
+    import sysconfig
+    import uuid
+
+    names = set()
+    for root, _, files in os.walk(sysconfig.get_paths()["stdlib"]):
+        for f in files if "site-packages" not in root else ():
+            if f.endswith(".py"):
+                with open(os.path.join(root, f), errors="ignore") as text:
+                    names |= set(re.findall(r"(?<![A-Za-z0-9+/_-])[A-Za-z_][A-Za-z0-9_]{15,}(?![A-Za-z0-9+/_-])", text.read()))
+    rng = np.random.default_rng(9)
+    draw = lambda chars, n: ["".join(rng.choice([*chars], n)) for _ in range(500)]
+    kinds = {"name": sorted(names), "uuid": [str(uuid.UUID(bytes=rng.bytes(16), version=4)) for _ in range(500)], "all": draw(string.ascii_letters + string.digits, 20), "lower": draw(string.ascii_lowercase + string.digits, 20), "upper": draw(string.ascii_uppercase + string.digits, 20), "letters": draw(string.ascii_letters, 20)}
+    rows = spark.createDataFrame([(k, t) for k, v in kinds.items() for t in v], "kind string, text string").repartition(4)
+    found = secret_scan.scan(rows, secret_scan.train(secret_scan.default_samples(spark)), out_col="s")
+    share = {r.kind: r.found for r in found.selectExpr("kind", "double(exists(s, x -> x.kind = 'markov')) found").groupBy("kind").avg("found").toDF("kind", "found").collect()}
+    assert len(names) > 3000 and share["name"] < 0.02 and share["uuid"] == 0
+    assert min(share[k] for k in ("all", "lower", "upper", "letters")) > 0.97, share
+
+
 def test_keys_inside_paths(spark):
     """Random keys that ordinary words are joined to on one side or both, two keys in one path, and paths without any."""
     rng = np.random.default_rng(6)
