@@ -66,8 +66,8 @@ class IvfPq:
         return np.stack([(p @ c.T - 0.5 * (c * c).sum(1)).argmax(1) for p, c in zip(parts, self.books, strict=True)], 1).astype(np.uint8)
 
     def tables(self, q: np.ndarray) -> list[np.ndarray]:
-        """Inner products of a query's parts with the codebooks."""
-        return [c @ q[a:b] for a, b, c in zip(self.cuts[:-1], self.cuts[1:], self.books, strict=True)]
+        """Inner products of queries' parts with the codebooks: of each part, a row for each query."""
+        return [q[:, a:b] @ c.T for a, b, c in zip(self.cuts[:-1], self.cuts[1:], self.books, strict=True)]
 
 
 def lists_for(rows: int) -> int:
@@ -202,7 +202,9 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
                     if not gathered:
                         continue
                     held = tuple(np.concatenate(p) for p in zip(*gathered, strict=True))
+                    held = (*held[:2], np.ascontiguousarray(held[2].T).astype(np.intp), held[3])
                 own, vectors_, code, lists = held
+                shares, tables = x[a:z] @ m.centroids.T, m.tables(x[a:z])
                 for k, (q, v) in enumerate(zip(ids[a:z].tolist(), x[a:z], strict=True)):
                     chosen = np.zeros(len(m.centroids), bool)
                     chosen[wanted[int(a) + k].values.to_numpy()] = True
@@ -210,10 +212,11 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
                     if not len(rows):
                         continue
                     if rerank is not None:
-                        some = code[rows]
                         # of a row: its list's share of the product, and its residual's by the tables
-                        near = (m.centroids @ v)[lists[rows]] + sum(t[some[:, j]] for j, t in enumerate(m.tables(v)))
-                        rows = rows[best_codes(near, max(rerank, nearest))]
+                        near = shares[k].take(lists)
+                        for t, c in zip(tables, code, strict=True):
+                            near += t[k].take(c)
+                        rows = rows[best_codes(near[rows], max(rerank, nearest))]
                     exact = (vectors_[rows] * v).sum(1)  # each row's sum in the same order: equal rows tie
                     first = np.lexsort((own[rows], -exact))[:nearest]
                     out_q += [q] * len(first)
