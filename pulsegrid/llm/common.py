@@ -45,7 +45,18 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/pulsegrid/{label}-{uuid.uuid4().hex}"
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/pulsegrid/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables that this application's operators have written in the shared folder. Results
+    are read from them, so call it when those are written elsewhere."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

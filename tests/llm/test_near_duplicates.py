@@ -107,6 +107,40 @@ def test_pipeline(spark, sf_dir, documents):
     assert 0 < found.select("doc_id").distinct().count() < once.count()
 
 
+def test_pipeline_by_brute_force(spark, sf_dir, documents):
+    """All four stages once more, row by row: which documents stay, and how many words each has in the end."""
+    import re
+
+    from pulsegrid.llm import quality_nbsvm, secret_scan
+
+    rows = documents.select("doc_id", "text").collect()
+    model = quality_nbsvm.train(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    good = [(r.doc_id, r.text) for r in rows if model.score(r.text) >= quality_nbsvm.REJECT_BELOW]
+    kept = {i for i, (c, _) in brute(good, 5).items() if c == i}
+    found = secret_scan.scan(documents.select("doc_id", "text"), secret_scan.train(secret_scan.default_samples(spark)), out_col="s")
+    want = {}
+    for r in found.collect():
+        if r.doc_id in kept:
+            text = [*(r.text or "")]
+            for s in r.s:
+                text[s.start : s.end] = ["\0"] * (s.end - s.start)
+            # overlapping spans are one stretch; adjacent ones are marked apart, which splits no word
+            want[r.doc_id] = len(re.findall(r"[^\x20\x09-\x0D]+", "".join(text)))
+    got = {}
+    for r in corpus_pipeline.run(spark, sf_dir).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.n_tokens
+    assert got == want and 0 < len(got) < len(rows)
+
+
+def test_scratch_can_be_cleared(spark):
+    from pulsegrid.llm.common import _own_scratch, clear_scratch, materialize
+
+    materialize(spark.range(3), "some")
+    clear_scratch(spark)
+    p = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    assert not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def test_pipeline_stages_take_awkward_rows(spark, sf_dir, awkward, nothing):
     for docs in (awkward, nothing):
         for _, stage in corpus_pipeline.STAGES[:-1]:
