@@ -33,10 +33,12 @@ WORDS = 5
 PERCENT = 80
 HASHES, ROWS = 160, 5
 BANDS = HASHES // ROWS
-#: Members of a family that one comparison block holds, and links of one text that one task checks.
+#: Members of a family that one comparison block holds.
 BLOCK = 512
+#: Links of one text that are checked together.
+LINKS = 128
 #: Members of a bucket that one block compares by signature.
-SIGNATURES = 1024
+SIGNATURES = 512
 #: Bits of the filter that keeps texts from being moved in vain.
 BITS = 1 << 26
 _CHUNK = 1 << 19
@@ -193,9 +195,9 @@ def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Of distinct pairs (u, v) those whose full shingle sets, of (doc_id, text), reach the similarity.
 
-    u's text meets its partners' in tasks of about BLOCK partners, one text at a time.
+    u's text meets its partners' in groups of about LINKS partners, one text at a time.
     """
-    degree = pairs.groupBy("u").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    degree = pairs.groupBy("u").agg(F.ceil(F.count("*") / LINKS).cast("int").alias("parts"))
     dealt = pairs.join(dealt_anew(degree, "u"), "u").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
     partners = dealt.join(texts.withColumnRenamed("doc_id", "v"), "v").select("u", "part", "v", "text")
     centers = degree.select("u", F.explode(F.expr("sequence(0, parts - 1)")).alias("part")).join(texts.withColumnRenamed("doc_id", "u"), "u").select("u", "part", F.lit(None).cast("long").alias("v"), "text")
