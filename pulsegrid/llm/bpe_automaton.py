@@ -109,30 +109,35 @@ class MergeAutomaton:
         """Labels of the only path that spells `word`.
 
         `inner` has the labels that end before the word does, `final` those that end it; `reach` has the
-        length of the longest label by its last two symbols.
+        length of the longest label by its last three symbols, 2 at least.
         """
-        n, table = len(word), self._next
         if (t := final.get(word)) is not None and self.step(0, t) >= 0:
             return [t]
-        states, came = [0] * (n + 1), [(0, 0)] * (n + 1)  # of each place: its state, and the last arc to it
+        n, name, after, longest = len(word), inner.get, self._next.get, reach.get
+        states, begins, labels = [0], [0], [0]  # of each place: its state, and where its last arc begins
         for i in range(1, n + 1):
-            names = inner if i < n else final
-            states[i] = -1
-            for j in range(max(0, i - reach.get(word[max(0, i - 2) : i], 1)), i):
-                t = names.get(word[j:i])
+            if i == n:
+                name = final.get
+            j = i - longest(word[i - 3 : i] if i > 2 else word[:i], 2)
+            for j in range(j if j > 0 else 0, i):
+                t = name(word[j:i])
                 if t is not None and (q := states[j]) >= 0:
-                    to = table.get(q << 20 | t)
+                    to = after(q << 20 | t)
                     if to is None:
                         to = self.step(q, t)
                     if to >= 0:
-                        states[i], came[i] = to, (j, t)
                         break
+            else:
+                to = j = t = -1
+            states.append(to)
+            begins.append(j)
+            labels.append(t)
         if states[n] < 0:
             raise ValueError(f"no path spells {word!r}")
         out = []
         while n:
-            n, t = came[n]
-            out.append(t)
+            out.append(labels[n])
+            n = begins[n]
         return out[::-1]
 
 
@@ -162,7 +167,7 @@ class WordBpe:
         self.inner = {t: i for t, i in ordinary.items() if not (n and t.endswith(self.suffix))}
         self.reach: dict[str, int] = {}
         for t in [*self.final, *self.inner]:
-            self.reach[t[-2:]] = max(len(t), self.reach.get(t[-2:], 1))
+            self.reach[t[-3:]] = max(len(t), self.reach.get(t[-3:], 2))
         self.bytes = byte_symbols()
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.words = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{self.SPACE}\p{{L}}\p{{N}}]+")

@@ -56,7 +56,7 @@ def test_automaton_by_brute_force():
     machine = bpe_automaton.MergeAutomaton(len(names), [0, 1], [(ids[x], ids[y], ids[x + y]) for x, y in merges])
     reach = {}
     for t in names:
-        reach[t[-2:]] = max(len(t), reach.get(t[-2:], 1))
+        reach[t[-3:]] = max(len(t), reach.get(t[-3:], 2))
     for n in range(1, 9):
         for word in map("".join, product("ab", repeat=n)):
             parts = [*word]
