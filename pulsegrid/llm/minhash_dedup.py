@@ -38,7 +38,7 @@ BLOCK = 512
 #: Links of one text that are checked together.
 LINKS = 128
 #: Members of a bucket that one block compares by signature.
-SIGNATURES = 512
+SIGNATURES = 1024
 #: Bits of the filter that keeps texts from being moved in vain.
 BITS = 1 << 26
 _CHUNK = 1 << 19
