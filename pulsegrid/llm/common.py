@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -79,6 +80,16 @@ def remove(spark: SparkSession, df: DataFrame) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def let_go(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files and broadcasts of steps whose results are written.
+
+    It deletes what the driver's collector finds unused, and the collector runs late on its own, so an
+    operator of many steps calls this between them."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark._jvm.System.gc()
+
+
 def dealt_anew(totals: DataFrame, key: str) -> DataFrame:
     """`totals` of a table by `key` (a long), for a join with that table on `key`.
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dealt_anew, materialize, pick, raw_texts, remove, table
+from .common import dealt_anew, let_go, materialize, pick, raw_texts, remove, table
 from .components import components
 
 #: Words of a shingle; an operator's default. The query takes 2.
@@ -363,7 +363,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     needed = materialize(stars.select(F.col("u").alias("doc_id")).unionByName(stars.select(F.col("v").alias("doc_id"))).distinct(), "minhash-needed")
     sets = materialize(signed(maybe_in(docs.where("text is not null"), needed).join(needed, "doc_id").select("doc_id", "text"), words), "minhash-sets")
     links = materialize(verified(stars, sets.select("doc_id", "text"), words, percent), "minhash-links")
+    let_go(spark)
     label = components(copies.select("u", "v").unionByName(links), "minhash-components")
+    let_go(spark)
 
     # members that their bucket's smallest did not bring together
     labelled = lambda rows: rows.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
@@ -371,11 +373,14 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     crowd = labelled(members.where("size > 2").select("doc_id", "n", "key"))
     alike = materialize(_alike(_meet(crowd, "key", sets, "signature", percent, signatures, written), percent).distinct(), "minhash-alike")
     written.append(alike)
+    let_go(spark)
     if not alike.isEmpty():
         family = components(alike, "minhash-families").select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+        let_go(spark)
         more = materialize(_compared(_meet(labelled(family).join(sets.select("doc_id", "n"), "doc_id"), "family", sets, "text", percent, block, written), words, percent), "minhash-more")
         written += [family, more]
         if not more.isEmpty():
+            let_go(spark)
             before = label
             label = components(before.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "minhash-joined")
             written.append(before)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pick, table
+from .common import let_go, pick, table
 
 #: Features; n-grams are hashed into this many.
 FEATURES = 1 << 16
@@ -179,7 +179,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     f = once.column("f").combine_chunks().cast(pa.large_binary())
     ends = np.frombuffer(f.buffers()[1], np.int64)[f.offset : f.offset + len(f) + 1]
     flat = np.frombuffer(f.buffers()[2], "<i4") if len(f) and f.buffers()[2] else np.zeros(0, np.int32)
-    return fit(Rows(flat[ends[0] // 4 : ends[-1] // 4] if len(f) else flat, (ends - ends[0]) // 4 if len(f) else np.zeros(1, np.int64)), once.column("label").to_numpy())
+    model = fit(Rows(flat[ends[0] // 4 : ends[-1] // 4] if len(f) else flat, (ends - ends[0]) // 4 if len(f) else np.zeros(1, np.int64)), once.column("label").to_numpy())
+    del once, f, flat
+    let_go(docs.sparkSession)
+    return model
 
 
 def held_out(doc_id):
