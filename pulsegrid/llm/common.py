@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Bytes of the batches that go to Python workers while a table is written; one row may take more.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def col(name: str) -> Column:
     """The column of exactly this name, dots and blanks included."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -63,11 +68,17 @@ def clear_scratch(spark: SparkSession) -> None:
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back.
 
-    Cuts the lineage, keeps columns prunable, and outlives any executor.
+    Cuts the lineage, keeps columns prunable, and outlives any executor. Meanwhile batches for Python
+    are bounded by bytes.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    bound = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_BATCH, bound)
     return spark.read.schema(df.schema).parquet(path)
 
 
