@@ -35,6 +35,8 @@ HASHES, ROWS = 160, 5
 BANDS = HASHES // ROWS
 #: Members of a family that one comparison block holds.
 BLOCK = 512
+#: Shingles that the full sets of one comparison block hold, where its texts are long.
+SHINGLES = 1 << 20
 #: Links of one text that are checked together.
 LINKS = 128
 #: Members of a bucket that one block compares by signature.
@@ -249,13 +251,17 @@ def _meet(rows: DataFrame, group: str, sets: DataFrame, column: str, percent: in
     `rows` has the group (a long), doc_id, component and n (the set's size), `sets` (doc_id, n, column).
     Sizes of one link differ by a factor of 100 / percent at most, so its classes are neighbours.
     Members of the group's largest component are no probes; groups within one component are left out
-    before anything large is moved. `written` gets what can be removed afterwards."""
+    before anything large is moved. A block of full sets holds about SHINGLES shingles (texts fall into
+    blocks by hash) or `block` rows, one of signatures `block` rows. `written` gets what can be removed afterwards."""
     each = rows.groupBy(group, "component").agg(F.count("*").alias("of"))
     kinds = each.groupBy(group).agg(F.max_by("component", F.struct("of", "component")).alias("largest"), F.count("*").alias("kinds")).where("kinds > 1").select(group, "largest")
     rows = rows.join(dealt_anew(kinds, group), group).withColumn("probe", F.col("component") != F.col("largest")).drop("largest")
     rows = materialize(rows.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")), "minhash-crowd")
     written.append(rows)
-    blocks = dealt_anew(rows.groupBy(group, "class").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), group)
+    held = F.count("*") / block
+    if column == "text":
+        held = F.greatest(held, F.sum("n") / SHINGLES)
+    blocks = dealt_anew(rows.groupBy(group, "class").agg(F.ceil(held).cast("int").alias("blocks")), group)
     keep = [group, "class", "block", "ask", "doc_id", "component", "n"]
     members = rows.join(blocks, [group, "class"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn("ask", F.lit(False))
     near = rows.where("probe").withColumn("class", F.explode(F.expr("array(class - 1, class, class + 1)")))

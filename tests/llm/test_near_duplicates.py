@@ -161,13 +161,15 @@ def crowd(n, seed=7):
     return out
 
 
-def test_small_blocks_change_nothing(spark):
+def test_small_blocks_change_nothing(spark, monkeypatch):
     rows = crowd(150)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = brute(rows, 2)
     assert len({c for c, _ in want.values()}) > 20
     for block, signatures in ((512, 8192), (2, 3)):
         assert result(minhash_dedup.near_duplicates(df, words=2, block=block, signatures=signatures)) == want
+    monkeypatch.setattr(minhash_dedup, "SHINGLES", 40)
+    assert result(minhash_dedup.near_duplicates(df, words=2)) == want
 
 
 def test_hot_keys_can_be_split(spark):
