@@ -101,6 +101,24 @@ def let_go(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+#: Bits of the filter that keeps rows from being moved in vain.
+BITS = 1 << 26
+
+
+def maybe_in(rows: DataFrame, wanted: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows whose `key` may be among that column of `wanted`: none of those is lost, few others stay.
+
+    The keys are hashed into a bitmap of BITS bits, kept as rows of 4 KB: 8 MB at most, however many
+    keys there are, so it can be broadcast. With far more keys than bits it lets all rows pass.
+    """
+    bit = F.pmod(F.xxhash64(key), F.lit(BITS)) + 1
+    maps = wanted.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
+    place = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1
+    return rows.join(F.broadcast(maps), (F.bitmap_bucket_number(bit) == F.col("bucket")) & is_set, "left_semi")
+
+
 def dealt_anew(totals: DataFrame, key: str) -> DataFrame:
     """`totals` of a table by `key` (a long), for a join with that table on `key`.
 

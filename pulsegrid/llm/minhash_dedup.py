@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dealt_anew, let_go, materialize, pick, raw_texts, remove, table
+from .common import dealt_anew, let_go, materialize, maybe_in, pick, raw_texts, remove, table
 from .components import components
 
 #: Words of a shingle; an operator's default. The query takes 2.
@@ -41,8 +41,6 @@ SHINGLES = 1 << 20
 LINKS = 128
 #: Members of a bucket that one block compares by signature.
 SIGNATURES = 1024
-#: Bits of the filter that keeps texts from being moved in vain.
-BITS = 1 << 26
 _CHUNK = 1 << 19
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
@@ -180,20 +178,6 @@ def in_common(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
 
 
-def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of `docs` whose doc_id may be among `ids`: none of those is lost, few others stay.
-
-    The ids are hashed into a bitmap of BITS bits, kept as rows of 4 KB: 8 MB at most, however many
-    ids there are, so it can be broadcast. With far more ids than bits it lets all rows pass.
-    """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(BITS)) + 1
-    maps = ids.select(bit.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
-    place = F.bitmap_bit_position(bit)
-    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.shiftright(place, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    is_set = F.getbit(byte, place.bitwiseAND(F.lit(7)).cast("int")) == 1
-    return docs.join(F.broadcast(maps), (F.bitmap_bucket_number(bit) == F.col("bucket")) & is_set, "left_semi")
-
-
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Of distinct pairs (u, v) those whose full shingle sets, of (doc_id, text), reach the similarity.
 

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from .ann_ivfpq import op2_ann_ivfpq
 from .bpe_automaton import op5_bpe_automaton
+from .code_compression import ORACLE as CODES_SQL
+from .code_compression import op12_code_compression
 from .minhash_dedup import ORACLE as DEDUP_SQL
 from .minhash_dedup import op3_minhash_dedup
+from .name_join import ORACLE as NAMES_SQL
+from .name_join import op11_name_join
 from .packing import op1_length_buckets, pack_sql
+from .phrase_index import ORACLE as PHRASES_SQL
+from .phrase_index import op13_phrase_index
 from .quality_nbsvm import op4_quality_nbsvm
 from .secret_scan import op8_secret_scan
 from .sharding import ORACLE as SHARDS_SQL
@@ -28,6 +34,9 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_token_counts": op9_token_counts,
     "op10_topk_kdtree": op10_topk_kdtree,
+    "op11_name_join": op11_name_join,
+    "op12_code_compression": op12_code_compression,
+    "op13_phrase_index": op13_phrase_index,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -36,4 +45,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_warc_fixity": FIXITY_SQL,
     "op7_minimax_shards": SHARDS_SQL,
     "op10_topk_kdtree": TOPK_SQL,
+    "op11_name_join": NAMES_SQL,
+    "op12_code_compression": CODES_SQL,
+    "op13_phrase_index": PHRASES_SQL,
 }

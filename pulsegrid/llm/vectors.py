@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from .common import pick
 
 
-def usable(df: DataFrame, id_col: str, vector_col: str, zero: bool) -> DataFrame:
+def usable(df: DataFrame, id_col: str, vector_col: str, zero: bool, **more: str) -> DataFrame:
     """(vec_id, embedding array<double>) of the vectors that take part: with an id, not empty, no null
     or non-finite component, not all zero unless `zero`, and of the most common length (the larger of
-    two equally common ones)."""
-    rows = pick(df, vec_id=id_col, embedding=vector_col).selectExpr("cast(vec_id as long) vec_id", "cast(embedding as array<double>) embedding")
+    two equally common ones). `more` columns go along under the names given."""
+    rows = pick(df, vec_id=id_col, embedding=vector_col, **more).selectExpr("cast(vec_id as long) vec_id", "cast(embedding as array<double>) embedding", *more)
     bad = "exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
     rows = rows.where(f"vec_id is not null and embedding is not null and size(embedding) > 0 and not coalesce({bad}, true)")
     if not zero:
