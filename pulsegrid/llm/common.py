@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import re
 import tempfile
 import uuid
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-#: Bytes of the batches that go to Python workers while a table is written; one row may take more.
+#: Bytes of the batches that go to Python workers, where the session has no bound of its own; one row may take more.
 BATCH_BYTES = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
@@ -65,20 +64,22 @@ def clear_scratch(spark: SparkSession) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the batches that go to Python workers by BATCH_BYTES, from now on, in a session that has set
+    no bound itself."""
+    if _BATCH not in spark.conf.getAll:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back.
 
-    Cuts the lineage, keeps columns prunable, and outlives any executor. Meanwhile batches for Python
-    are bounded by bytes.
+    Cuts the lineage, keeps columns prunable, and outlives any executor.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    bound = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, str(BATCH_BYTES))
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(_BATCH, bound)
+    bound_batches(spark)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -91,16 +92,6 @@ def remove(spark: SparkSession, df: DataFrame) -> None:
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def let_go(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files and broadcasts of steps whose results are written.
-
-    It deletes what the driver's collector finds unused, and the collector runs late on its own, so an
-    operator of many steps calls this between them."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    spark._jvm.System.gc()
-
-
 #: Bits of the filter that keeps rows from being moved in vain.
 BITS = 1 << 26
 

@@ -1,10 +1,11 @@
 """Near-duplicates: universal hash minima, banding, verification, connected components.
 
-1. Each text's set of word shingles is hashed; equal sets fall together and go on as one.
+1. Each text's word shingles are hashed; texts of equal words fall together and go on as one.
 2. HASHES minima of universal hash functions make a signature, cut into bands of ROWS minima.
    With 32 bands of 5, two texts of similarity 0.8 share no band with probability 3e-6.
 3. Each bucket of a band links its members to its smallest one: as many links as members, never
-   all pairs. Links are checked on the full shingle sets, and components are formed.
+   all pairs. Links are checked on the full shingle sets, of hashes first and then of the words
+   themselves, and components are formed.
 4. Buckets whose members are still in different components are looked at again: members outside
    the bucket's largest component are compared by signature, in blocks, with the members of other
    components whose sets are of like size (a link needs sizes within 4 to 5). What the signatures allow is gathered into families (a block reports no more links
@@ -21,10 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dealt_anew, let_go, materialize, maybe_in, pick, raw_texts, remove, table
+from .common import dealt_anew, materialize, maybe_in, pick, raw_texts, remove, table
 from .components import components
 
 #: Words of a shingle; an operator's default. The query takes 2.
@@ -43,8 +45,7 @@ LINKS = 128
 SIGNATURES = 1024
 _CHUNK = 1 << 19
 _rng = np.random.default_rng(20240607)
-_BYTE = _rng.integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
-_BASE, _LEFT, _FIRST, _BAND = (int(x) | 1 for x in _rng.integers(1 << 40, 1 << 63, 4, np.uint64))
+_LEFT, _FIRST, _BAND, _SEED = (int(x) | 1 for x in _rng.integers(1 << 40, 1 << 63, 4, np.uint64))
 _A = _rng.integers(1, 1 << 32, HASHES, np.uint32) | np.uint32(1)
 _B = _rng.integers(0, 1 << 32, HASHES, np.uint32)
 _M = _rng.integers(1 << 40, 1 << 63, ROWS, np.uint64) | np.uint64(1)
@@ -52,7 +53,6 @@ _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 _space = np.zeros(256, bool)
 _space[[32, *range(9, 14)]] = True
-_powers: list[np.ndarray] = []
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -61,18 +61,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse modulo 2^64."""
-    if not _powers or len(_powers[0]) < n:
-        size = max(n, _CHUNK + 1)
-        _powers[:] = []
-        for x in (_BASE, pow(_BASE, -1, 1 << 64)):
-            p = np.full(size, x, np.uint64)
-            p[0] = 1
-            _powers.append(np.cumprod(p, dtype=np.uint64))
-    return _powers[0][:n], _powers[1][:n]
-
-
 def shingle_hashes(texts: list[bytes], words: int) -> list[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its shingles."""
     out: list[np.ndarray] = []
@@ -88,15 +76,27 @@ def shingle_hashes(texts: list[bytes], words: int) -> list[np.ndarray]:
     return out
 
 
-def _hash_group(texts: list[bytes], words: int) -> list[np.ndarray]:
+def _words(texts: list[bytes]) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """All words of all texts, equal ones coded alike, and where each begins in the texts with a byte between them."""
     raw = _lower[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
-    starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
     gap = _space[raw]
-    first = np.flatnonzero(~gap & np.concatenate([[True], gap[:-1]]))
-    last = np.flatnonzero(gap & np.concatenate([[False], ~gap[:-1]]))
-    up, down = _power(len(raw) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * up[: len(raw)], dtype=np.uint64)])
-    word = _mix((total[last] - total[first]) * down[first] + (last - first).astype(np.uint64))
+    edge = np.diff(gap.astype(np.int8), prepend=1)
+    first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    ends = np.concatenate([[0], np.cumsum(last - first)]).astype(np.int64)
+    held = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(raw[~gap])])
+    return held.dictionary_encode(), first
+
+
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word, and where it begins."""
+    coded, first = _words(texts)
+    each = b"".join(xxhash.xxh3_64_digest(w, _SEED) for w in coded.dictionary.to_pylist())
+    return np.frombuffer(each, np.uint64)[coded.indices.to_numpy(zero_copy_only=False)], first
+
+
+def _hash_group(texts: list[bytes], words: int) -> list[np.ndarray]:
+    word, first = _word_hashes(texts)
+    starts = np.cumsum([0, *[len(t) + 1 for t in texts]])
     edges = np.searchsorted(first, starts)
     code = word.copy()
     for k in range(1, words):
@@ -121,6 +121,23 @@ def shingle_set(text: bytes, words: int) -> set:
     return set(zip(*(w[k:] for k in range(words)), strict=False)) if len(w) >= words else {tuple(w)} if w else set()
 
 
+def similar(a: bytes, b: bytes, words: int, percent: int) -> bool:
+    """Whether the shingle sets of two texts reach the similarity, on their words, not on hashes: every
+    distinct word of the two gets a number, and so does every distinct run of 2, 3, ... words."""
+    coded, first = _words([a, b])
+    ids = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    own = first < len(a) + 1
+    n = int(own.sum())
+    if min(n, len(ids) - n) < words:  # a text of too few words is one shingle, and only like itself
+        return n > 0 and np.array_equal(ids[:n], ids[n:])
+    kinds, run = len(coded.dictionary), ids
+    for k in range(1, words):
+        run = np.unique(run[:-1] * kinds + ids[k:], return_inverse=True)[1]
+    x, y = np.unique(run[: n - words + 1]), np.unique(run[n:])
+    both = in_common(x, y)
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def minima(hashes: np.ndarray) -> np.ndarray:
     out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
     h = (hashes >> np.uint64(32)).astype(np.uint32)
@@ -136,19 +153,21 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 
 def shingled(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n_shingles, fingerprint, bands) of (doc_id, text); no fingerprint and no bands
-    where there is no word. Equal fingerprints mean equal sets."""
+    where there is no word. Equal fingerprints mean equal words, one after another: they are
+    128 bits of a cryptographic hash of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                sets = shingle_hashes(raw_texts(part.column(1)), words)
+                texts = raw_texts(part.column(1))
+                sets = shingle_hashes(texts, words)
                 keys = [band_keys(minima(s))[0] if len(s) else np.zeros(0, np.int64) for s in sets]
                 ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([hashlib.blake2b(b" ".join(t.lower().split()), digest_size=16).digest() if len(s) else None for t, s in zip(texts, sets, strict=True)], pa.binary()),
                     pa.ListArray.from_arrays(ends, np.concatenate(keys) if keys else np.zeros(0, np.int64)),
                 ], names=["doc_id", "n_shingles", "fingerprint", "bands"])
 
@@ -190,19 +209,19 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     met = centers.unionByName(partners).repartition("u", "part").sortWithinPartitions("u", "part", F.col("v").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, at = [], None  # sets of the text at hand: more than one if rows repeat its id
+        own, at = [], None  # the text at hand and its set: more than one if rows repeat its id
         for b in batches:
             us, vs = [], []
             for u, part, v, text in zip(*(b.column(k) for k in range(4)), strict=True):
-                u, part, v = u.as_py(), part.as_py(), v.as_py()
-                s = _hash_group([text.as_py().encode()], words)[0]
+                u, part, v, text = u.as_py(), part.as_py(), v.as_py(), text.as_py().encode()
+                s = _hash_group([text], words)[0]
                 if v is None:
-                    own = [*own, s] if at == (u, part) else [s]
+                    own = [*own, (text, s)] if at == (u, part) else [(text, s)]
                     at = (u, part)
                     continue
-                for o in own:
+                for t, o in own:
                     both = in_common(o, s)
-                    if 100 * both >= percent * (len(o) + len(s) - both):
+                    if 100 * both >= percent * (len(o) + len(s) - both) and similar(t, text, words, percent):
                         us.append(u)
                         vs.append(v)
                         break
@@ -292,21 +311,22 @@ def _alike(met: DataFrame, percent: int) -> DataFrame:
 
 def _compared(met: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (u, v) that span, in each block, the pairs of a probe and a member of another component
-    whose full sets reach the similarity."""
+    whose full sets reach the similarity, on hashes and then on the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, comps, sets, table, joined = None, [], [], [], None, _Sets()
+        at, ids, comps, sets, texts, table, joined = None, [], [], [], [], None, _Sets()
         for b in batches:
             us, vs = [], []
             for *key, ask, doc, comp, _, text in zip(*b.columns, strict=True):
-                key, ask, doc, comp = [x.as_py() for x in key], ask.as_py(), doc.as_py(), comp.as_py()
+                key, ask, doc, comp, text = [x.as_py() for x in key], ask.as_py(), doc.as_py(), comp.as_py(), text.as_py().encode()
                 if at != key:
-                    at, ids, comps, sets, table, joined = key, [], [], [], None, _Sets()
-                own = _hash_group([text.as_py().encode()], words)[0]
+                    at, ids, comps, sets, texts, table, joined = key, [], [], [], [], None, _Sets()
+                own = _hash_group([text], words)[0]
                 if not ask:
                     ids.append(doc)
                     comps.append(comp)
                     sets.append(own)
+                    texts.append(text)
                     continue
                 if not ids or not len(own):
                     continue
@@ -317,7 +337,8 @@ def _compared(met: DataFrame, words: int, percent: int) -> DataFrame:
                 where = np.minimum(np.searchsorted(own, flat), len(own) - 1)
                 both = np.add.reduceat((own[where] == flat).astype(np.int64), np.minimum(starts, max(len(flat) - 1, 0))) if len(flat) else np.zeros(len(i), np.int64)
                 for k in np.flatnonzero((c != comp) & (n > 0) & (100 * both >= percent * (n + len(own) - both))).tolist():
-                    if joined.join(comp, int(c[k])):
+                    if joined.find(comp) != joined.find(int(c[k])) and similar(texts[k], text, words, percent):
+                        joined.join(comp, int(c[k]))
                         us.append(doc)
                         vs.append(int(i[k]))
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
@@ -340,7 +361,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sigs = materialize(shingled(docs, words), "minhash-shingled")
     named = sigs.where("doc_id is not null and fingerprint is not null").withColumn("print", F.xxhash64("fingerprint"))
 
-    # equal sets: one goes on, the others are linked to it
+    # equal words: one goes on, the others are linked to it
     twins = named.groupBy("print", "fingerprint").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("most")).where("v < most").drop("most")
     copies = materialize(named.select("doc_id", "print", "fingerprint").join(dealt_anew(twins, "print"), ["print", "fingerprint"]).where("doc_id <> v").select(F.col("doc_id").alias("u"), "v", "fingerprint").distinct(), "minhash-copies")
 
@@ -353,9 +374,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     needed = materialize(stars.select(F.col("u").alias("doc_id")).unionByName(stars.select(F.col("v").alias("doc_id"))).distinct(), "minhash-needed")
     sets = materialize(signed(maybe_in(docs.where("text is not null"), needed).join(needed, "doc_id").select("doc_id", "text"), words), "minhash-sets")
     links = materialize(verified(stars, sets.select("doc_id", "text"), words, percent), "minhash-links")
-    let_go(spark)
     label = components(copies.select("u", "v").unionByName(links), "minhash-components")
-    let_go(spark)
 
     # members that their bucket's smallest did not bring together
     labelled = lambda rows: rows.join(label.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
@@ -363,14 +382,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     crowd = labelled(members.where("size > 2").select("doc_id", "n", "key"))
     alike = materialize(_alike(_meet(crowd, "key", sets, "signature", percent, signatures, written), percent).distinct(), "minhash-alike")
     written.append(alike)
-    let_go(spark)
     if not alike.isEmpty():
         family = components(alike, "minhash-families").select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
-        let_go(spark)
         more = materialize(_compared(_meet(labelled(family).join(sets.select("doc_id", "n"), "doc_id"), "family", sets, "text", percent, block, written), words, percent), "minhash-more")
         written += [family, more]
         if not more.isEmpty():
-            let_go(spark)
             before = label
             label = components(before.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more), "minhash-joined")
             written.append(before)

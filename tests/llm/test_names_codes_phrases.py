@@ -118,7 +118,7 @@ def test_codes_by_plain_rounds(spark, spread, entries, chunk, leaf):
     x = (r.normal(0, 1, (8, 8))[r.integers(0, 8, 400)] + r.normal(0, 0.05, (400, 8))) * spread
     x[:130] = x[0]
     if spread == 2000.0:
-        x *= 1e3
+        x *= 10
     x[200] = 0
     ids, labels = r.permutation(400) * 3, [None if k % 5 == 0 else k % 3 for k in range(400)]
     rows = [(int(i), v.tolist(), b) for i, v, b in zip(ids, x, labels, strict=True)]

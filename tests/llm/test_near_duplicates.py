@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -198,3 +200,37 @@ def test_pipeline_stages_take_any_column_names(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         got = stage(spark, docs, sf_dir)
         assert got.columns == docs.columns and got.collect() is not None
+
+
+def _thue_morse(n):
+    """The sequence of n letters, and its complement: words that every polynomial hash modulo 2^64 takes for equal."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+def test_words_that_hash_alike_are_no_links(spark, n):
+    """As whole texts, inside near texts, and among a crowd of copies."""
+    one, other = _thue_morse(n)
+    frame = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, one), (2, other), (3, f"{one} {one}"), (4, f"{other} {other}"), (10, f"{frame} {one} {one} {one} {one}"), (11, f"{frame} {other} {other} {other} {other}")]
+    mixed = [" ".join((one, other)[(j >> k) & 1] for k in range(8)) for j in range(40)]
+    rows += [(100 + j, t) for j, t in enumerate(mixed)] + [(200 + j, one) for j in range(30)] + [(300 + j, other) for j in range(30)]
+    for words in (1, 2, 5):
+        sets = {i: minhash_dedup.shingle_set(t.encode(), words) for i, t in rows}
+        up = {i: i for i in sets}
+        for i in sorted(sets):
+            for j in sorted(sets):
+                if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    a, b = up[i], up[j]
+                    up = {k: min(a, b) if v in (a, b) else v for k, v in up.items()}
+        found = minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), words=words, block=8, signatures=8).collect()
+        assert {r.doc_id: (r.component_id, r.n_shingles) for r in found} == {i: (up[i], len(sets[i])) for i in sets}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", "B", "b", "é", "cc"]), max_size=9), st.lists(st.sampled_from(["a", "B", "b", "é", "cc"]), max_size=9), st.integers(1, 5), st.sampled_from([50, 80]))
+def test_similar_is_what_sets_of_words_say(a, b, words, percent):
+    x, y = "\t ".join(a).encode(), " ".join(b).encode()
+    s, t = minhash_dedup.shingle_set(x, words), minhash_dedup.shingle_set(y, words)
+    assert minhash_dedup.similar(x, y, words, percent) == (bool(s and t) and 100 * len(s & t) >= percent * len(s | t))
