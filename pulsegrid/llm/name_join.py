@@ -137,7 +137,8 @@ def matches(left: DataFrame, right: DataFrame, most: int = MOST, q: int = GRAM,
     asked = keys(right, counts, most, q, common, probe=True).toDF("short", "length", "key", "at_b", "bits_b", "b")
     close = F.forall(F.zip_with("at_a", "at_b", lambda x, y: x - y), lambda d: F.abs(d) <= most)
     same_grams = F.bit_count(F.col("bits_a").bitwiseXOR(F.col("bits_b"))) <= 2 * most * (q + 1)
-    met = index.join(asked, ["short", "length", "key"]).where(F.col("short") | close & same_grams).select("a", "b")
+    # merged, never broadcast: Spark takes the probes for as small as the names they come from
+    met = index.join(asked.hint("merge"), ["short", "length", "key"]).where(F.col("short") | close & same_grams).select("a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,9 +171,9 @@ def join_names(clients: DataFrame, vendors: DataFrame, most: int = MOST) -> Data
     held = materialize(own.groupBy("name").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.sum(F.crc32(F.col("id").cast("string").cast("binary"))).alias("crc")), "names-clients")
     asked = materialize(pick(vendors, id="vendor_id", name="name").selectExpr("cast(id as long) id", "cast(name as string) name").where(named), "names-vendors")
     found = matches(held, asked.select("name").distinct(), most)
-    each = found.join(held, found["a"] == held["name"]).groupBy("b", "distance").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.sum("crc").alias("crc"))
+    each = found.join(held.hint("merge"), found["a"] == held["name"]).groupBy("b", "distance").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.sum("crc").alias("crc"))
     # vendors of one name, many perhaps, meet its two totals at most: both sides are dealt out for the join, so a hot name is split
-    rows = asked.join(each.withColumn("b", F.concat("b", F.lit(""))), asked["name"] == F.col("b"))
+    rows = asked.join(each.withColumn("b", F.concat("b", F.lit(""))).hint("merge"), asked["name"] == F.col("b"))
     out = rows.groupBy("id", "distance").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.sum("crc").alias("crc"))
     return out.select(F.col("id").alias("vendor_id"), "distance", F.col("n").alias("n_clients"), F.col("first").alias("first_client_id"), F.col("crc").alias("clients_crc"))
 
