@@ -23,6 +23,8 @@ from .common import materialize, maybe_in, pick, raw_texts, table
 WINDOW = 10
 #: Bytes of text in a shard; a longer text is a shard of its own.
 CHUNK = 4 << 20
+#: Bytes of words that are looked up in memory; more are looked up by a shuffle.
+SMALL = 8 << 20
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 _in_word = np.zeros(256, bool)
@@ -113,8 +115,13 @@ def queries(index: DataFrame, phrases: DataFrame) -> tuple[DataFrame, DataFrame]
     shard that has its rarest word, words rarest first; and the index's rows of words that are asked for.
     A phrase with a word that no text has is asked for nowhere."""
     terms = materialize(phrases.select("phrase", F.posexplode(F.split("phrase", " ")).alias("offset", "word")), "phrases-words")
-    asked = terms.select("word").distinct()
-    postings = maybe_in(index.where("word is not null"), asked, "word").join(asked, "word", "left_semi")
+    asked = materialize(terms.select("word").distinct(), "phrases-asked")
+    size = asked.agg(F.sum(F.octet_length("word") + 64)).first()[0] or 0
+    postings = index.where("word is not null")
+    if size <= SMALL:
+        postings = postings.join(F.broadcast(asked), "word", "left_semi")
+    else:  # a filter of bounded size first, so that few rows are moved for the join
+        postings = maybe_in(postings, asked, "word").join(asked, "word", "left_semi")
     totals = postings.groupBy("word").agg(F.sum("n").alias("total"))
     led = terms.join(totals, "word").groupBy("phrase").agg(F.array_sort(F.collect_list(F.struct("total", "word", "offset"))).alias("_w"))
     led = led.where(F.size("_w") == F.size(F.split("phrase", " "))).select("phrase", F.col("_w.word").alias("words"), F.col("_w.offset").alias("offsets"), F.col("_w")[0]["word"].alias("word"))
