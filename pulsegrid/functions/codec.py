@@ -78,6 +78,35 @@ def decode_signals(records: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def decode_drifted(records: DataFrame, value: str = "value") -> DataFrame:
+    """Readings from messages whose fields may have drifted from the wire format, without losing any of them.
+
+    The text becomes a VARIANT: fields of the wire format are taken from it where their type allows,
+    whatever else there is stays, as JSON by name, in `extra`. `lost` names known fields that are there but
+    can't be read as what they should be (their JSON stays in `extra`, too); what isn't a JSON object, or an
+    array that begins with one, has `payload` there. Empty payloads are left out.
+    """
+    text = F.col(value).cast("string")
+    v = F.try_parse_json(text)
+    rows = records.where(F.length(text) > 0).select(text.alias("raw"), F.try_variant_get(F.coalesce(F.try_variant_get(v, "$[0]", "variant"), v), "$", "map<string,variant>").alias("_m"))
+    rows = rows.withColumn("_f", F.map_filter(F.transform_values("_m", lambda _, x: F.to_json(x)), lambda _, x: x != "null"))
+    texts = {wire: F.try_variant_get(F.col("_m")[wire], "$", "string") for wire in [*_NUMBERS, "Timestamp", "ProxiedTypeName"]}
+    found = {out: to_long(texts[wire]) for wire, out in _NUMBERS.items()} | {"timestamp": to_instant(texts["Timestamp"]), "proxied_type_name": texts["ProxiedTypeName"]}
+    wires = {**_NUMBERS, "Timestamp": "timestamp", "ProxiedTypeName": "proxied_type_name"}
+    # behind a generator the JSON is parsed once for a row
+    read = rows.select("raw", F.explode(F.array(F.struct(F.col("_f"), *[c.alias(out) for out, c in found.items()]))).alias("_r")).select("raw", "_r.*")
+    known = F.array(*[F.when(F.col(out).isNotNull(), wire) for wire, out in wires.items()])
+    lost = [F.when(F.col("_f")[wire].isNotNull() & F.col(out).isNull(), wire) for wire, out in wires.items()]
+    extra = F.map_filter("_f", lambda k, _: ~F.array_contains(F.array_compact(known), k))
+    payload = F.when(F.col("_f").isNull(), F.lit("payload"))
+    return read.select(*found, F.coalesce(extra, F.expr("cast(map() as map<string,string>)")).alias("extra"), F.array_compact(F.array(payload, *lost)).alias("lost"), "raw")
+
+
+def unknown_fields(drifted: DataFrame) -> DataFrame:
+    """(field, readings): how many readings have a field that isn't read, by its name."""
+    return drifted.select(F.explode(F.map_keys("extra")).alias("field")).groupBy("field").agg(F.count("*").alias("readings"))
+
+
 def split_quarantine(decoded: DataFrame, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
     """Good rows without the helper columns, and bad rows as they came. `fail_fast` raises at the first bad row."""
     good = decoded.where(F.size("problems") == 0).drop("problems", "raw")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.functions.codec import floor_to
@@ -38,6 +38,62 @@ def statistics(rows: DataFrame, value: str, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.count(v).alias("count"), F.min(v).alias("min"), F.max(v).alias("max"), F.sum(v).alias("sum"), F.avg(v).alias("mean"), F.var_pop(v).alias("variance"), F.stddev_pop(v).alias("stdev"))
 
 
+#: Columns of stored partials: `mean` counts from `near`.
+MOMENTS = ("n", "near", "mean", "m2", "sum", "min", "max")
+
+
+def moments(rows: DataFrame, value: str, *by: Column | str, near: float = 0.0) -> DataFrame:
+    """Partial statistics that `merge_moments` can put together later: number, mean, sum of squared
+    deviations from it (`m2`), sum, minimum and maximum of the values that aren't null; no row where all are.
+
+    The mean is kept as a distance from `near`. For large values that differ little give a number close to
+    them: their differences from it are exact, so no digit of the deviations is lost."""
+    v = F.col(value)
+    off = v - F.lit(near)
+    found = rows.where(v.isNotNull()).groupBy(*by)
+    found = found.agg(F.count(v).alias("n"), F.avg(off).alias("mean"), F.var_pop(off).alias("_var"), F.sum(v).alias("sum"), F.min(v).alias("min"), F.max(v).alias("max"))
+    return found.withColumns({"m2": F.col("_var") * F.col("n"), "near": F.lit(float(near))}).drop("_var")
+
+
+def _pair(a: Column, b: Column) -> Column:
+    """Two partials as one: the mean moves by its share of their distance, which m2 gains as a square. Nothing
+    is taken from sums of squares."""
+    n = a["n"] + b["n"]
+    off = (b["near"] - a["near"]) + (b["mean"] - a["mean"])
+    share = b["n"] / n
+    mean, m2 = a["mean"] + off * share, a["m2"] + b["m2"] + off * off * a["n"] * share
+    return F.struct(n.alias("n"), a["near"].alias("near"), mean.alias("mean"), m2.alias("m2"))
+
+
+#: Groups that a group's partials are merged in before the last merge, so no list grows with all of them.
+MERGED_APART = 256
+
+
+def _merged_in_turn(partials: DataFrame, *keys: Column | str) -> DataFrame:
+    each = F.array_sort(F.collect_list(F.struct("near", "mean", "m2", F.col("n").cast("double").alias("n"))))  # sorted: the same result each time
+    first = F.struct(*[each[0][c].alias(c) for c in ("n", "near", "mean", "m2")])
+    rest = [F.sum("sum").alias("sum"), F.min("min").alias("min"), F.max("max").alias("max")]
+    return partials.groupBy(*keys).agg(F.aggregate(F.slice(each, 2, 1 << 30), first, _pair).alias("_m"), *rest)
+
+
+def merge_moments(partials: DataFrame, *by: Column | str) -> DataFrame:
+    """Partials of any union of windows, from stored partials, in the form that `moments` gives."""
+    named = partials.select(*[F.col(c) if isinstance(c, str) else c for c in by], *MOMENTS)
+    keys = named.columns[: len(by)]
+    part = F.pmod(F.xxhash64(*MOMENTS), F.lit(MERGED_APART)).alias("_part")
+    apart = _merged_in_turn(named, *keys, part).select(*keys, "_m.*", "sum", "min", "max")
+    whole = _merged_in_turn(apart, *keys).select(*keys, "_m.*", "sum", "min", "max")
+    return whole.withColumn("n", F.col("n").cast("long"))
+
+
+def described(partials: DataFrame) -> DataFrame:
+    """The figures of `statistics` from partials."""
+    by = [c for c in partials.columns if c not in MOMENTS]
+    variance = F.col("m2") / F.col("n")
+    mean = (F.col("near") + F.col("mean")).alias("mean")
+    return partials.select(*by, F.col("n").alias("count"), "min", "max", "sum", mean, variance.alias("variance"), F.sqrt(variance).alias("stdev"))
+
+
 def total(aggregates: DataFrame) -> DataFrame:
     """The readings that a table of aggregates accounts for."""
     return aggregates.agg(F.sum("count").alias("total_count"))
@@ -101,11 +157,16 @@ def validation_counts(readings: DataFrame, app: str) -> DataFrame:
     return readings.agg(F.count("*").alias("spark_count")).select(F.lit(app).alias("id"), F.lit(0).cast("long").alias("producer_count"), F.lit(0).cast("long").alias("producer_error_count"), "spark_count")
 
 
-def decode_counts(decoded: DataFrame, app: str) -> DataFrame:
-    """The counter row that a batch of decoded readings adds: all, those with problems, and the good ones."""
+def decoded_counts() -> list[Column]:
+    """What to observe of decoded readings while they are written: all, those with problems, and the good ones."""
     bad = F.size("problems") > 0
-    found = decoded.agg(F.count("*").alias("producer_count"), F.count_if(bad).alias("producer_error_count"), F.count_if(~bad).alias("spark_count"))
-    return found.select(F.lit(app).alias("id"), "producer_count", "producer_error_count", "spark_count")
+    return [F.count(F.lit(1)).alias("producer_count"), F.count_if(bad).alias("producer_error_count"), F.count_if(~bad).alias("spark_count")]
+
+
+def counter_row(spark: SparkSession, app: str, seen: dict[str, int]) -> DataFrame:
+    """The counter row that a batch adds, from what was observed; a batch without rows adds zeros."""
+    names = ("producer_count", "producer_error_count", "spark_count")
+    return spark.createDataFrame([(app, *(int(seen.get(k) or 0) for k in names))], "id string, producer_count long, producer_error_count long, spark_count long")
 
 
 def rate(rows: DataFrame, ts: str, *by: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions import codec
 from pulsegrid.operators import aggregates, rollup
-from pulsegrid.plans import flows
+from pulsegrid.plans import flows, records
 from pulsegrid.sources import readers
 from pulsegrid.streaming import runner
 
@@ -108,13 +108,13 @@ def _rolled(df: DataFrame, *first: str) -> DataFrame:
 
 def _rollup_of(interval: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _rolled(rollup.rollup(_readings(spark, sf_dir), rollup.latest(readers.configs(spark, sf_dir)), interval))
+        return _rolled(rollup.rollup(_readings(spark, sf_dir), rollup.latest_weighted(readers.configs(spark, sf_dir)), interval))
 
     return query
 
 
 def rollup_all_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rolled(rollup.rollup(_readings(spark, sf_dir), rollup.latest(readers.configs(spark, sf_dir))), "AggregationInterval")
+    return _rolled(rollup.rollup(_readings(spark, sf_dir), rollup.latest_weighted(readers.configs(spark, sf_dir))), "AggregationInterval")
 
 
 def rollup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,9 +125,8 @@ def rollup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rollup_string_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values as text: sums and averages convert them, minimum and maximum go by the alphabet."""
     text = _readings(spark, sf_dir).withColumn("Value", F.floor("Value").cast("long").cast("string"))
-    rows = rollup.joined(text, rollup.latest(readers.configs(spark, sf_dir)))
-    number = F.col("Value").cast("double")
-    return rows.groupBy("OPCTagID", "OPCMetricID").agg(F.sum(number).alias("Sum"), F.count("Value").alias("Count"), F.round(F.avg(number), 4).alias("Average"), F.min("Value").alias("Minimum"), F.max("Value").alias("Maximum"))
+    found = rollup.rollup(text, rollup.latest_weighted(readers.configs(spark, sf_dir)).withColumn("AggregationInterval", F.lit("any")), "any")
+    return found.withColumn("Average", F.round("Average", 4))
 
 
 def _stats(df: DataFrame, *first: str) -> DataFrame:
@@ -182,10 +181,6 @@ def cycle_time_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("user_id", "event_id", _ntz("started"), _ntz("ended"), "micros")
 
 
-def offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.offset_ranges(readers.signals(spark, sf_dir), "id").orderBy(F.desc("topic"))
-
-
 QUERIES = {
     "signals_project": signals_project,
     "signal_json_roundtrip": signal_json_roundtrip,
@@ -214,8 +209,8 @@ QUERIES = {
     "latest_signal_per_key": latest_signal_per_key,
     "validation_counters": validation_counters,
     "cycle_time_pairs": cycle_time_pairs,
-    "offset_ranges": offset_ranges,
     **flows.QUERIES,
+    **records.QUERIES,
 }
 
 _CONFIG_SQL = """config as (select o_custkey OPCMetricID, o_orderdate "Timestamp", o_custkey OPCTagID, o_orderpriority AggregationInterval,
@@ -263,6 +258,6 @@ ORACLE_SQL: dict[str, str] = {
     "validation_counters": "select 'app' id, cast(0 as bigint) producer_count, cast(0 as bigint) producer_error_count, count(*) spark_count from events",
     "cycle_time_pairs": """with a as (select user_id, event_id, ts started, event_type, lead(ts) over w ended, lead(event_type) over w n from events window w as (partition by user_id order by ts, event_id))
         select user_id, event_id, started, ended, epoch_us(ended) - epoch_us(started) micros from a where event_type = 'view' and n = 'purchase'""",
-    "offset_ranges": "select event_type topic, min(event_id) from_offset, max(event_id) + 1 until_offset, count(*) records from events group by 1 order by 1 desc",
     **flows.ORACLE_SQL,
+    **records.ORACLE_SQL,
 }

@@ -39,7 +39,7 @@ def _whole(readings: DataFrame) -> DataFrame:
     return readings.withColumn("value", F.floor("value").cast("long"))
 
 
-def _payload(events: DataFrame) -> DataFrame:
+def payload(events: DataFrame) -> DataFrame:
     """Every event as a message; by its id's last digit 0 is a bare object, 1 has a quoted fraction, 2 no
     number, 3 and 4 no instant, 5 no JSON, 6 nothing, 7 no time, 8 a second object."""
     k = F.col("event_id") % 10
@@ -63,7 +63,7 @@ def _settings(spark: SparkSession, label: str) -> dict[str, str]:
 
 
 def decode_mixed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = codec.decode_signals(_payload(_events(spark, sf_dir)))
+    found = codec.decode_signals(payload(_events(spark, sf_dir)))
     none = F.lit(-1)
     return found.select(F.coalesce("id", none).alias("id"), F.coalesce("value", none).alias("value"), "day", F.array_join("problems", ",").alias("problems"))
 
@@ -100,12 +100,6 @@ def millis_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select("event_id", ts.cast("timestamp_ntz").alias("at"), codec.iso(ts).alias("text"))
 
 
-def cycle_generator(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """2,000 made events of one node, start and end of a job in turn, five seconds apart."""
-    made = readers.cycle_events(spark, 2000, step_s=5)
-    return made.select("sequence", "node_id", "job_id", "type", _ntz("timestamp"), (F.col("sequence") % 2 == 0).alias("even"))
-
-
 def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings written as JSON lines and read by schema."""
     at = runner.shared_folder(spark, "json-scan")
@@ -124,30 +118,30 @@ def json_by_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("AggregationInterval", "OPCTagID", "OPCMetricID", F.round("Sum", 2).alias("Sum"), "Count")
 
 
-def _ingested(spark: SparkSession, sf_dir: str, label: str) -> dict[str, str]:
-    """All messages taken in: half of them, a stop, and the other half after a restart."""
+def _ingested(spark: SparkSession, sf_dir: str, label: str, only: str) -> dict[str, str]:
+    """All messages taken in, into one of the tables: half of them, a stop, and the other half after a restart."""
     s = _settings(spark, label)
-    messages = _payload(_events(spark, sf_dir))
+    messages = payload(_events(spark, sf_dir))
     for half in (0, 1):
         _send(messages.where(F.col("offset") % 2 == half), s["files"])
-        pipelines.Ingest(**s).run(spark)
+        pipelines.Ingest(**s, raw=only == "raw", counts=only == "counts", figures=only == "figures", quarantine=f"{s['out']}-bad").run(spark)
     return s
 
 
 def ingest_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _ingested(spark, sf_dir, "ingest-signals")
+    s = _ingested(spark, sf_dir, "ingest-signals", "raw")
     return KeyedTable(spark, f"{s['out']}/signals", "signals").read().select("opc_tag_id", "day", _ntz("timestamp"), "id", "value")
 
 
 def ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _ingested(spark, sf_dir, "ingest-counters")
+    s = _ingested(spark, sf_dir, "ingest-counters", "counts")
     found = KeyedTable(spark, f"{s['out']}/counters", "signal_validation", pipelines.COUNTERS).read()
     return found.select(F.col("producer_count").alias("total_count"), F.col("producer_error_count").alias("total_error_count"), "spark_count")
 
 
 def ingest_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """After compaction, so both ways of merging are in it."""
-    s = _ingested(spark, sf_dir, "ingest-aggregates")
+    s = _ingested(spark, sf_dir, "ingest-aggregates", "figures")
     table = KeyedTable(spark, f"{s['out']}/aggregates", "signal_aggregate", pipelines.FIGURES)
     table.compact()
     return table.read().select("opc_tag_id", _ntz("aggregate"), "count", "sum", "min", "max")
@@ -175,7 +169,7 @@ def latest_by_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def topic_count_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _settings(spark, "topic-counts")
-    _send(_payload(_events(spark, sf_dir)), s["files"])
+    _send(payload(_events(spark, sf_dir)), s["files"])
     pipelines.TopicCounts(**s).run(spark)
     return KeyedTable(spark, s["out"], "ss_signal_validation").read().select("topic", "spark_count")
 
@@ -197,13 +191,6 @@ def agg_window_5min_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("opc_tag_id", _ntz("aggregate"), "count", F.round("avg", 4).alias("avg"), "min", "max", F.round("sum", 2).alias("sum"))
 
 
-def running_totals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sum, count and average of each tag so far, as a stream in update mode."""
-    rows = readers.signal_stream(spark, sf_dir).groupBy("opc_tag_id").agg(F.sum(F.col("value").cast("decimal(18,2)")).alias("_s"), F.count("value").alias("running_count"))
-    out = runner.drain(rows, "update", "running-totals")
-    return out.select("opc_tag_id", F.col("_s").cast("double").alias("running_sum"), "running_count", F.round(F.col("_s").cast("double") / F.col("running_count"), 6).alias("running_avg"))
-
-
 def late_readings_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The later half comes first; what comes behind it, after a restart, is beyond the watermark."""
     s = _settings(spark, "late")
@@ -218,7 +205,7 @@ def late_readings_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _settings(spark, "offsets")
-    _send(_payload(_events(spark, sf_dir)), s["files"])
+    _send(payload(_events(spark, sf_dir)), s["files"])
     pipelines.LogOffsets(**s).run(spark)
     return readers.stored_offsets(KeyedTable(spark, s["out"], "offsets").read(), OFFSET_TOPIC)
 
@@ -226,7 +213,7 @@ def stored_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def progress_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that a stream's stored progress accounts for."""
     s = _settings(spark, "progress")
-    _send(_payload(_events(spark, sf_dir)), s["files"])
+    _send(payload(_events(spark, sf_dir)), s["files"])
     pipelines.TopicCounts(**s, statistics=f"{s['out']}-progress").run(spark)
     found = KeyedTable(spark, f"{s['out']}-progress", "query_statistics").read()
     return found.agg(F.sum(F.get_json_object("json", "$.numInputRows").cast("long")).alias("input_rows"))
@@ -238,8 +225,8 @@ def reading_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    decode_mixed_payloads, extended_properties, event_codec_rules, event_floor_text, millis_times, cycle_generator, json_scan, json_by_interval, ingest_signals, ingest_counters, ingest_aggregates,
-    window_upserts, latest_by_upserts, topic_count_table, topic_count_memory, agg_window_5min_ordered, running_totals_stream, late_readings_dropped, stored_offsets, progress_rows, reading_rates,
+    decode_mixed_payloads, extended_properties, event_codec_rules, event_floor_text, millis_times, json_scan, json_by_interval, ingest_signals, ingest_counters, ingest_aggregates,
+    window_upserts, latest_by_upserts, topic_count_table, topic_count_memory, agg_window_5min_ordered, late_readings_dropped, stored_offsets, progress_rows, reading_rates,
 )}
 
 _DAY = "strftime(date_trunc('day', {}), '%Y-%m-%dT%H:%M:%SZ')"
@@ -258,8 +245,6 @@ ORACLE_SQL = {
         case k when 1 then 'sequence' when 2 then 'nodeId' when 3 then 'type' when 4 then 'type' when 5 then 'id' when 6 then 'timestamp' when 7 then 'jobId' else '' end problems from m""",
     "event_floor_text": """select event_id, strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S.000Z') "hour", strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%S.000Z') "minute" from events""",
     "millis_times": """select event_id, epoch_ms(event_id * 60007) "at", strftime(epoch_ms(event_id * 60007), '%Y-%m-%dT%H:%M:%S.%gZ') "text" from events""",
-    "cycle_generator": """select i "sequence", 'Node-1' node_id, concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), substr(h, 13, 4), substr(h, 17, 4), substr(h, 21, 12)) job_id, case when i % 2 = 1 then 'START' else 'END' end "type",
-        make_timestamp((i - 1) * 5000000) "timestamp", i % 2 = 0 even from (select i, sha256(((i - 1) // 2)::varchar) h from range(1, 2001) t(i))""",
     "json_scan": f"""select user_id OPCTagID, count(*) n, cast(sum({_WHOLE}) as bigint) total, min(cast({_WHOLE} as varchar)) first_text from events group by 1""",
     "json_by_interval": """with config as (select o_custkey m, o_orderpriority i, o_orderstatus s, rank() over (partition by o_custkey order by o_orderdate desc) rk from orders)
         select i AggregationInterval, user_id OPCTagID, m OPCMetricID, round(sum(value), 2) "Sum", count(value) "Count" from events join config on user_id = m where rk = 1 and s <> 'P' group by 1, 2, 3""",
@@ -273,7 +258,6 @@ ORACLE_SQL = {
     "topic_count_table": "select event_type topic, count(*) spark_count from events group by 1",
     "topic_count_memory": """select event_type topic, count(*) "count" from events group by 1""",
     "agg_window_5min_ordered": _WINDOWED.format(v="value", avg='round(avg(value), 4) "avg", ', sum="round(sum(value), 2)", where="") + " order by 2, 1",
-    "running_totals_stream": """select user_id opc_tag_id, cast(sum(cast(value as decimal(18, 2))) as double) running_sum, count(*) running_count, round(cast(sum(cast(value as decimal(18, 2))) as double) / count(*), 6) running_avg from events group by 1""",
     "late_readings_dropped": _WINDOWED.format(v=_WHOLE, avg="", sum=f"cast(sum({_WHOLE}) as bigint)", where=f"where ts >= timestamp '{LATE}'"),
     "stored_offsets": f"""select event_type topic, cast(user_id % 3 as int) "partition", min(event_id) from_offset, max(event_id) + 1 to_offset from events where event_type = '{OFFSET_TOPIC}' group by 1, 2 order by 2 desc""",
     "progress_rows": "select count(*) input_rows from events",

@@ -11,16 +11,17 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.functions import codec
 from pulsegrid.operators import aggregates, rollup
-from pulsegrid.sources import readers
+from pulsegrid.sources import files, readers, record_log
 from pulsegrid.sources.schemas import INTERVALS
 from pulsegrid.streaming import runner
-from pulsegrid.streaming.keyed import KeyedTable
+from pulsegrid.streaming.keyed import KeyedTable, stream_id
+from pulsegrid.streaming.rowwise import RowFiles
 
 log = logging.getLogger("pulsegrid")
 #: How rows of one key are merged: counters add up, and so do partial figures.
@@ -42,6 +43,8 @@ class Streaming:
     assign: str | None = None
     #: earliest, latest, or offsets as JSON.
     starting: str = "earliest"
+    #: Folder of a record log, instead of a broker.
+    log: str | None = None
     files: str | None = None
     files_at_once: int | None = None
     #: Processing time between batches, such as "5 seconds".
@@ -51,15 +54,26 @@ class Streaming:
     #: Where readings that cannot be decoded go, as JSON; or stop at the first one.
     quarantine: str | None = None
     fail_fast: bool = False
-    #: Options handed to the source as they are.
+    #: Keep the stream's state in RocksDB instead of in memory.
+    rocksdb: bool = False
+    #: Deltas of a part of a keyed table after which a batch compacts it; 0: never.
+    compact_every: int = 0
+    #: Options; see `records`.
     options: dict[str, str] = field(default_factory=dict)
 
     def records(self, spark: SparkSession) -> DataFrame:
+        """Messages of the broker, of a record log, or of files. Of `options` those under `source.` go to the
+        source as they are, without that prefix; the broker's own are `source.kafka...`."""
+        passed = readers.passed_through(self.options, "source.")
+        if unknown := self.options.keys() - {f"source.{k}" for k in passed}:
+            raise ValueError(f"options must begin with source.: {sorted(unknown)}")
         if self.files:
             return readers.record_stream(spark, self.files, self.files_at_once)
+        if self.log:
+            return record_log.stream(spark, self.log, self.topics, self.assign, self.starting, **passed)
         if not self.servers:
-            raise ValueError("servers or files must be set")
-        return readers.message_stream(spark, self.servers, self.topics, self.starting, self.assign, **self.options)
+            raise ValueError("servers, log or files must be set")
+        return readers.message_stream(spark, self.servers, self.topics, self.starting, self.assign, **passed)
 
     def signals(self, spark: SparkSession) -> DataFrame:
         if not (self.quarantine or self.fail_fast):
@@ -74,12 +88,12 @@ class Streaming:
         bad = codec.split_quarantine(codec.decode_signals(self.records(spark)))[1]
         return runner.start(bad, runner.StreamConfig(f"{self.app}-quarantine", f"{self.checkpoint}-quarantine", "append", self.trigger), path=self.quarantine, fmt="json")
 
-    def stream(self, spark: SparkSession, df: DataFrame, mode: str, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None, fmt: str = "parquet", beside: StreamingQuery | None = None) -> None:
+    def stream(self, spark: SparkSession, df: DataFrame, mode: str, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None, fmt: str = "parquet", beside: StreamingQuery | None = None, rows: object | None = None) -> None:
         listener = runner.ProgressTable(spark, self.app, self.statistics) if self.statistics else None
         if listener:
             spark.streams.addListener(listener)
         try:
-            query = runner.start(df, runner.StreamConfig(self.app, self.checkpoint, mode, self.trigger), sink, path, fmt)
+            query = runner.start(df, runner.StreamConfig(self.app, self.checkpoint, mode, self.trigger, "rocksdb" if self.rocksdb else "memory"), sink, path, fmt, rows)
             query.awaitTermination()
             if beside:
                 beside.awaitTermination()
@@ -91,12 +105,19 @@ class Streaming:
                 spark.streams.removeListener(listener)
 
 
+def keep_apart(bad: DataFrame, folder: str, number: int) -> None:
+    """Write a batch's readings that cannot be decoded as JSON. The folder is the batch's and its stream's own,
+    so a repeated batch writes the same again and nothing of another stream, or of one with a new checkpoint."""
+    bad.write.mode("overwrite").json(f"{folder}/stream={stream_id(bad.sparkSession)}/batch={number}")
+
+
 @dataclass(frozen=True, kw_only=True)
 class Ingest(Streaming):
     """Raw readings, their counts and their figures by tag and HOUR or MINUTE, from one decoding.
 
-    Each batch is decoded once and handed to up to three tables below `out`: `signals`, `counters`
-    (readings, and those that cannot be decoded) and `aggregates`, whose figures are merged by key, so
+    Each batch is decoded once, into a table beside the checkpoint that the batch deletes when it is done;
+    readings, and those that cannot be decoded, are counted by that very write. From it up to three tables
+    below `out` are fed: `signals`, `counters` and `aggregates`, whose figures are merged by key, so
     readings of any age count and no state grows. A batch that fails midway is repeated; tables that
     have it already leave it out."""
 
@@ -109,24 +130,23 @@ class Ingest(Streaming):
     def run(self, spark: SparkSession) -> None:
         if not (self.quarantine or self.fail_fast or self.counts):
             raise ValueError("quarantine, fail_fast or counts must be set: a reading that cannot be decoded must not vanish")
-        signals = KeyedTable(spark, f"{self.out}/signals", "signals")
-        counters = KeyedTable(spark, f"{self.out}/counters", "signal_validation", COUNTERS)
-        aggregated = KeyedTable(spark, f"{self.out}/aggregates", "signal_aggregate", FIGURES)
+        table = lambda *what: KeyedTable(spark, f"{self.out}/{what[0]}", *what[1:], compact_every=self.compact_every)
+        signals, counters, aggregated = table("signals", "signals"), table("counters", "signal_validation", COUNTERS), table("aggregates", "signal_aggregate", FIGURES)
 
         def sink(batch: DataFrame, number: int) -> None:
-            batch = batch.persist()  # a micro-batch, computed again where an executor is lost
-            try:
-                good, bad = codec.split_quarantine(batch, self.fail_fast)
-                if self.quarantine:  # a folder for each batch, so a repeated one writes the same again
-                    bad.write.mode("overwrite").json(f"{self.quarantine}/batch={number}")
-                if self.raw:
-                    signals.apply(good, number)
-                if self.counts:
-                    counters.apply(aggregates.decode_counts(batch, self.app), number)
-                if self.figures:
-                    aggregated.apply(aggregates.bucketed(good, self.unit), number)
-            finally:
-                batch.unpersist()
+            seen, at = Observation(), f"{self.checkpoint}-decoded/batch={number}"
+            batch.observe(seen, *aggregates.decoded_counts()).write.mode("overwrite").parquet(at)
+            decoded = spark.read.schema(batch.schema).parquet(at)
+            good, bad = codec.split_quarantine(decoded, self.fail_fast)
+            if self.quarantine:
+                keep_apart(bad, self.quarantine, number)
+            if self.raw:
+                signals.apply(good, number)
+            if self.counts:
+                counters.apply(aggregates.counter_row(spark, self.app, seen.get), number)
+            if self.figures:
+                aggregated.apply(aggregates.bucketed(good, self.unit), number)
+            files.delete(spark, at)
 
         self.stream(spark, codec.decode_signals(self.records(spark)), "append", sink)
 
@@ -140,17 +160,33 @@ class PersistSignals(Streaming):
     def run(self, spark: SparkSession) -> None:
         if not (self.quarantine or self.fail_fast):
             raise ValueError("quarantine or fail_fast must be set: a reading that cannot be decoded must not vanish")
-        table = KeyedTable(spark, self.out, "signals")
+        table = KeyedTable(spark, self.out, "signals", compact_every=self.compact_every)
 
         def sink(batch: DataFrame, number: int) -> None:
             good, bad = codec.split_quarantine(batch, self.fail_fast)
+            if self.quarantine:
+                keep_apart(bad, self.quarantine, number)
             table.apply(good, number)
-            if self.quarantine:  # a folder for each batch, so a repeated one writes the same again
-                bad.write.mode("overwrite").json(f"{self.quarantine}/batch={number}")
 
         self.stream(spark, codec.decode_signals(self.records(spark)), "append", sink)
 
 
+#: Name under which a stream's progress has the readings that it counts.
+READINGS = "readings"
+
+
+@dataclass(frozen=True, kw_only=True)
+class ObservedSignals(Streaming):
+    """Readings appended to Parquet files, and counted by that write: all, bad and good ones are in each
+    progress under READINGS, where `statistics` and `MetricsListener` find them. Bad ones are counted only."""
+
+    out: str
+
+    def run(self, spark: SparkSession) -> None:
+        seen = codec.decode_signals(self.records(spark)).observe(READINGS, *aggregates.decoded_counts())
+        self.stream(spark, codec.split_quarantine(seen, self.fail_fast)[0], "append", path=self.out)
+
+
 @dataclass(frozen=True, kw_only=True)
 class PersistParquet(Streaming):
     """Messages as they came, as text, appended to Parquet files."""
@@ -161,6 +197,16 @@ class PersistParquet(Streaming):
         self.stream(spark, self.records(spark).select(F.col("value").cast("string").alias("value")), "append", path=self.out)
 
 
+@dataclass(frozen=True, kw_only=True)
+class PersistRows(Streaming):
+    """Messages row by row as JSON lines; those without payload are logged and kept apart."""
+
+    out: str
+
+    def run(self, spark: SparkSession) -> None:
+        self.stream(spark, self.records(spark), "append", rows=RowFiles(self.out))
+
+
 @dataclass(frozen=True, kw_only=True)
 class Cumulative(Streaming):
     """Figures so far of each tag and HOUR or MINUTE, kept as the stream's state. Readings of any age
@@ -215,11 +261,12 @@ class LogOffsets(Streaming):
         table = KeyedTable(spark, self.out, "offsets") if self.out else None
 
         def sink(batch: DataFrame, number: int) -> None:
-            ranges = batch.groupBy("topic", "partition").agg(F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("to_offset"))
-            if table:
-                table.apply(ranges, number)
-            for r in ranges.orderBy("topic", F.desc("partition")).collect():  # one row for each partition of a topic
+            found = batch.groupBy("topic", "partition").agg(F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("to_offset"))
+            rows = found.collect()  # one row for each partition of a topic
+            for r in sorted(rows, key=lambda r: (r.topic, -r.partition)):
                 log.info("batch %d: %s %d from %d until %d", number, *r)
+            if table:
+                table.apply(spark.createDataFrame(rows, found.schema), number)
 
         self.stream(spark, self.records(spark).select("topic", "partition", "offset"), "append", sink)
 
@@ -238,7 +285,7 @@ class Rollup:
     send: Callable[[str, str], None] | None = None
 
     def run(self, spark: SparkSession) -> None:
-        configs = rollup.latest(readers.read_configs(spark, self.configs)).where(F.col("AggregationInterval").isin(*INTERVALS))
+        configs = rollup.latest_weighted(readers.read_configs(spark, self.configs)).where(F.col("AggregationInterval").isin(*INTERVALS))
         readings = spark.read.schema("OPCTagID long, Value string").json(self.readings).withColumn("Value", F.expr("try_cast(Value as double)"))
         found = rollup.rollup(readings, configs)
         if self.single_files:
@@ -256,4 +303,4 @@ class Fail:
         raise RuntimeError("failed on purpose")
 
 
-PIPELINES = {"ingest": Ingest, "persist-signals": PersistSignals, "persist-parquet": PersistParquet, "cumulative": Cumulative, "window-aggregates": WindowAggregates, "topic-counts": TopicCounts, "log-offsets": LogOffsets, "rollup": Rollup, "fail": Fail}
+PIPELINES = {"ingest": Ingest, "persist-signals": PersistSignals, "observed-signals": ObservedSignals, "persist-parquet": PersistParquet, "persist-rows": PersistRows, "cumulative": Cumulative, "window-aggregates": WindowAggregates, "topic-counts": TopicCounts, "log-offsets": LogOffsets, "rollup": Rollup, "fail": Fail}

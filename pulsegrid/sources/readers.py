@@ -73,6 +73,14 @@ def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("OPCMetricID"), F.col("o_custkey").alias("OPCTagID"), F.col("o_orderdate").alias("Timestamp"), F.col("o_orderpriority").alias("AggregationInterval"), F.when(F.col("o_orderstatus") == "P", "None").otherwise(F.col("o_orderstatus")).alias("AggregationType"))
 
 
+def as_cycle(numbered: DataFrame) -> DataFrame:
+    """Numbered rows (`sequence` from 1) as events that turn between START and END, both of one job."""
+    pair = F.sha2(F.expr("cast((sequence - 1) div 2 as string)"), 256)
+    job = F.concat_ws("-", *[F.substring(pair, a, k) for a, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    even = F.col("sequence") % 2 == 0
+    return numbered.withColumns({"job_id": job, "type": F.when(even, "END").otherwise("START"), "even": even})
+
+
 def random_events(spark: SparkSession, n: int, node_id: str = "Node-1", start_s: int = 0, step_s: int = 0) -> DataFrame:
     """n events `step_s` seconds apart, of type UNKNOWN."""
     ids = spark.range(n)
@@ -81,7 +89,4 @@ def random_events(spark: SparkSession, n: int, node_id: str = "Node-1", start_s:
 
 def cycle_events(spark: SparkSession, n: int, node_id: str = "Node-1", start_s: int = 0, step_s: int = 1) -> DataFrame:
     """n events that turn between START and END, both of one job."""
-    made = random_events(spark, n, node_id, start_s, step_s)
-    pair = F.sha2(F.expr("cast((sequence - 1) div 2 as string)"), 256)
-    job = F.concat_ws("-", *[F.substring(pair, a, k) for a, k in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    return made.withColumn("type", F.when((F.col("sequence") - 1) % 2 == 0, "START").otherwise("END")).withColumn("job_id", job)
+    return as_cycle(random_events(spark, n, node_id, start_s, step_s)).drop("even")

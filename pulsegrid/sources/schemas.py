@@ -49,6 +49,7 @@ TABLES: dict[str, Table] = {
     "signal_validation": Table(_fields(id=_S, producer_count=_L, producer_error_count=_L, spark_count=_L), ("id",)),
     "ss_signal_validation": Table(_fields(id=_S, topic=_S, spark_count=_L), ("id", "topic")),
     "offsets": Table(_fields(topic=_S, partition=T.IntegerType(), from_offset=_L, to_offset=_L), ("topic", "partition"), (("topic", False), ("partition", False))),
+    "running_totals": Table(_fields(opc_tag_id=_L, total=T.DecimalType(28, 2), count=_L), ("opc_tag_id",), (), "pmod(opc_tag_id, 16)"),
     "query_statistics": Table(_fields(id=_S, time=_S, json=_S), ("id", "time"), (("id", False), ("time", True)), "substring(time, 1, 10)"),
     "events": Table(_fields(id=_S, sequence=_L, node_id=_S, job_id=_S, type=_S, timestamp=_S, generator_id=_S), ("id",), (), "pmod(xxhash64(id), 64)"),
 }

@@ -10,12 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pulsegrid.sources import files
 from pulsegrid.sources.schemas import TABLES
 
+#: Entries after which a batch enters a summary of all.
+SNAPSHOT = 20
+_SUMMARY = "-sum-"
 #: Where Spark keeps the id of the stream whose batch is being handled; the id outlives restarts.
 _QUERY_ID = "sql.streaming.queryId"
 
 
+def stream_id(spark: SparkSession) -> str:
+    """The id of the stream whose batch is being handled; empty outside one."""
+    return spark.sparkContext.getLocalProperty(_QUERY_ID) or ""
+
+
 class KeyedTable:
     """Rows by key: of rows with one key the last written one counts, or `merge` tells, column by
     column, what becomes of them (`sum`, `min`, `max`).
@@ -27,47 +36,49 @@ class KeyedTable:
     merges for good, only the parts that have deltas. Entries are ordered by the writers' clocks; within
     a batch the last row of a key is the one of the largest `TABLES` order column, then of the largest
     other columns. The ledger needs a file system whose rename is atomic.
+
+    After SNAPSHOT entries a batch also enters a summary of them all, so what is opened doesn't grow with
+    the table's history; the entries of the summary before the last are deleted. With `compact_every` a
+    batch that finds so many deltas compacts.
     """
 
-    def __init__(self, spark: SparkSession, path: str, name: str, merge: dict[str, str] | None = None):
+    def __init__(self, spark: SparkSession, path: str, name: str, merge: dict[str, str] | None = None, compact_every: int = 0):
         self.spark, self.path, self.spec, self.merge = spark, path.rstrip("/"), TABLES[name], merge or {}
+        self.compact_every = compact_every
         self._part = F.coalesce(F.expr(self.spec.part).cast("string"), F.lit("none"))
         self._stored = T.StructType([*self.spec.schema.fields, T.StructField("_order", T.StringType())])
-
-    def _at(self, *names: str):
-        """The file system, and a path below the table's."""
-        p = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *names]))
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+        self._opened: dict[str, dict] = {}  # entries never change
 
     def _names(self, *names: str) -> list[str]:
-        fs, p = self._at(*names)
-        return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+        return files.names(self.spark, "/".join([self.path, *names]))
+
+    def _open(self, name: str) -> dict | None:
+        text = files.read_text(self.spark, f"{self.path}/ledger/{name}")
+        return None if text is None else json.loads(text)
 
     def _entries(self) -> dict[str, dict]:
-        """The ledger's entries that count, in order: the last compaction and what it doesn't cover."""
-        names = [x for x in self._names("ledger") if not x.endswith(".making")]
-        if not names:
-            return {}
-        found = {}
-        for name in names:
-            fs, p = self._at("ledger", name)
-            stream = fs.open(p)
-            try:
-                found[name] = json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-            finally:
-                stream.close()
-        base = max((x for x in found if found[x]["covers"]), default="")
-        covered, done = (set(found[base]["covers"]), found[base]["applied"]) if base else (set(), {})
+        """The ledger's entries that count, in order: the last summary and what it doesn't cover. Only those
+        are opened, each once."""
+        while True:
+            names = [x for x in self._names("ledger") if not x.startswith(".")]
+            base = max((x for x in names if _SUMMARY in x), default="")
+            opened = {x: self._opened.get(x) or self._open(x) for x in names if x == base}
+            if base and opened[base] is None:
+                continue  # a newer one has replaced it meanwhile
+            covered = set(opened[base]["covers"]) if base else set()
+            opened |= {x: self._opened.get(x) or self._open(x) for x in names if x != base and x not in covered and _SUMMARY not in x}
+            if None not in opened.values():
+                break
+        self._opened = opened
+        done = opened[base]["applied"] if base else {}
         out, seen = {}, set()
-        for name, entry in found.items():
-            if name != base and entry["covers"] or name in covered:
-                continue
+        for name in sorted(opened):
             if name != base:  # a batch that two drivers applied at once counts once
-                (one,) = entry["applied"].items()
+                (one,) = opened[name]["applied"].items()
                 if one in seen or name > base and one[1] <= done.get(one[0], -1):
                     continue
                 seen.add(one)
-            out[name] = entry
+            out[name] = opened[name]
         return out
 
     def last_batch(self, writer: str = "") -> int:
@@ -75,15 +86,23 @@ class KeyedTable:
         return max((x["applied"].get(writer, -1) for x in self._entries().values()), default=-1)
 
     def _enter(self, order: str, entry: dict) -> None:
-        fs, made = self._at("ledger", f"{order}.making")
-        out = fs.create(made, False)
-        try:
-            out.write(bytearray(json.dumps(entry).encode()))
-        finally:
-            out.close()
-        if not fs.rename(made, self._at("ledger", order)[1]):
+        if not files.write_new(self.spark, f"{self.path}/ledger/{order}", json.dumps(entry)):
             raise RuntimeError(f"{order} cannot be entered into the ledger of {self.path}")
 
+    def _summarize(self, entries: dict[str, dict], parts: dict[str, list[str]]) -> None:
+        """Enter one entry for all of `entries`, with these folders; delete what the summary before it covers."""
+        order = f"{max(entries)}{_SUMMARY}{uuid.uuid4().hex[:8]}"  # sorts right behind what it covers
+        applied: dict[str, int] = {}
+        for x in entries.values():
+            for writer, batch in x["applied"].items():
+                applied[writer] = max(batch, applied.get(writer, -1))
+        there = self._names("ledger")
+        before = {x for name, e in entries.items() if _SUMMARY in name for x in e["covers"]}
+        covers = [x for x in there if x in before or x in entries]
+        self._enter(order, {"applied": applied, "parts": parts, "covers": covers})
+        for x in before.intersection(there):
+            files.delete(self.spark, f"{self.path}/ledger/{x}")
+
     def _write(self, rows: DataFrame, version: str) -> dict[str, list[str]]:
         """Write rows with `_order` by parts; the folder of each part."""
         out = rows.withColumn("_part", self._part).hint("rebalance", "_part")  # few files a part, and a large part split
@@ -93,15 +112,23 @@ class KeyedTable:
 
     def apply(self, rows: DataFrame, batch: int, writer: str | None = None) -> None:
         """Use as the sink of a stream: `start(df, config, sink=table.apply)`. Without `writer` it is the
-        id of the stream whose batch is being handled, if any."""
+        id of the stream whose batch is being handled; outside a stream it must be given."""
         if writer is None:
-            writer = self.spark.sparkContext.getLocalProperty(_QUERY_ID) or ""
+            writer = stream_id(self.spark)
+        if not writer:
+            raise ValueError("outside a stream a batch is known only with its writer's name")
         if batch <= self.last_batch(writer):
             return
         order = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
         cast = rows.select(*[F.col(f.name).cast(f.dataType) for f in self.spec.schema.fields], F.lit(order).alias("_order"))
         parts = self._write(cast, order)
         self._enter(order, {"applied": {writer: batch}, "parts": parts, "covers": []})
+        entries = self._entries()
+        loose = sum(_SUMMARY not in x for x in entries)
+        if self.compact_every and max((len(x) for x in self._folders().values()), default=0) > self.compact_every:
+            self.compact()
+        elif loose >= SNAPSHOT:
+            self._summarize(entries, self._folders())
 
     def _folders(self) -> dict[str, list[str]]:
         found: dict[str, list[str]] = {}
@@ -137,14 +164,8 @@ class KeyedTable:
         many = {k: v for k, v in folders.items() if len(v) > 1}
         if not many:
             return 0
-        order = f"{max(entries)}-c{uuid.uuid4().hex[:8]}"  # sorts right behind what it covers
-        made = self._write(self._merged(self._load([x for v in many.values() for x in v])), order)
-        applied: dict[str, int] = {}
-        for x in entries.values():
-            for writer, batch in x["applied"].items():
-                applied[writer] = max(batch, applied.get(writer, -1))
-        earlier = [x for e in entries.values() for x in e["covers"]]
-        self._enter(order, {"applied": applied, "parts": {**folders, **made}, "covers": [*earlier, *entries]})
+        made = self._write(self._merged(self._load([x for v in many.values() for x in v])), f"{max(entries)}-{uuid.uuid4().hex[:8]}")
+        self._summarize(entries, {**folders, **made})
         return len(many)
 
     def vacuum(self) -> int:
@@ -156,13 +177,10 @@ class KeyedTable:
             inside = self._names("data", version)
             kept = [x for x in inside if f"{version}/{x}" in keep]
             for part in [x for x in inside if x.startswith("_part=") and x not in kept]:
-                fs, p = self._at("data", version, part)
-                gone += bool(fs.delete(p, True))
+                gone += files.delete(self.spark, f"{self.path}/data/{version}/{part}")
             if not kept:
-                fs, p = self._at("data", version)
-                fs.delete(p, True)
+                files.delete(self.spark, f"{self.path}/data/{version}")
         for name in self._names("ledger"):
             if name not in entries:
-                fs, p = self._at("ledger", name)
-                fs.delete(p, True)
+                files.delete(self.spark, f"{self.path}/ledger/{name}")
         return gone

@@ -1,5 +1,8 @@
-"""Cumulative aggregates that forget a key after it has been idle: opt-in, since a key that comes
-back starts from zero. `operators.aggregates.bucketed` in update mode has no such gap."""
+"""State that knows when a key has gone idle: cumulative figures that are forgotten, and sessions.
+
+Both are opt-in, since a key that comes back starts anew; `operators.aggregates.bucketed` in update mode has
+no such gap.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,9 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from pulsegrid.functions.codec import floor_to
 
@@ -17,7 +22,8 @@ _STATE = "count long, sum double, min double, max double"
 
 def idle_cumulative(readings: DataFrame, unit: str = "HOUR", idle_ms: int = 60_000) -> DataFrame:
     """Count, sum, min and max so far of each tag and bucket, emitted whenever readings arrive. Null
-    values are left out. For a streaming table in update mode."""
+    values are left out. For a streaming table in update mode. Idleness is the machine's time, so what a
+    slow stream forgets depends on its speed; `idle_sessions` goes by the readings' own times."""
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
@@ -35,3 +41,77 @@ def idle_cumulative(readings: DataFrame, unit: str = "HOUR", idle_ms: int = 60_0
 
     rows = readings.select("opc_tag_id", floor_to(readings["timestamp"], unit).alias("aggregate"), "value")
     return rows.groupBy("opc_tag_id", "aggregate").applyInPandasWithState(step, _OUT, _STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+_SESSION = "opc_tag_id long, started timestamp, ended timestamp, readings long, count long, sum double, min double, max double, closed_by string"
+#: Times as microseconds; `count`, `sum`, `min` and `max` are of the values that aren't null.
+_OPEN = "started long, ended long, readings long, count long, sum double, min double, max double"
+
+
+class _Idle(StatefulProcessor):
+    """One tag's open session: a value, and a timer at the instant at which the tag will have been idle for too long."""
+
+    def __init__(self, idle_us: int):
+        self.idle_us = idle_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", _OPEN)
+
+    def _row(self, tag: int, held: tuple, closed_by: str) -> tuple:
+        started, ended, *figures = held
+        return (tag, pd.Timestamp(started, unit="us"), pd.Timestamp(ended, unit="us"), *figures, closed_by)
+
+    def _frame(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        if rows:
+            yield pd.DataFrame(rows, columns=[f.split()[0] for f in _SESSION.split(", ")])
+
+    def _due(self, ended: int) -> int:
+        """When a session that has ended so is over, in whole milliseconds, as timers count."""
+        return -(-(ended + self.idle_us) // 1000)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows)).sort_values("at", kind="stable")
+        held = self.open.get() if self.open.exists() else None
+        before, out = held, []
+        for at, value in zip(new["at"].tolist(), new["value"].tolist(), strict=True):
+            if held and at - held[1] > self.idle_us:
+                out.append(self._row(key[0], held, "reading"))
+                held = None
+            n = int(value == value and value is not None)
+            some = (value,) if n else ()
+            if held is None:
+                held = (at, at, 1, n, value if n else None, value if n else None, value if n else None)
+            else:
+                started, ended, readings, count, total, low, high = held
+                fold = lambda how, so_far, some=some: how([x for x in (so_far, *some) if x is not None], default=None) if how is not sum else sum([x for x in (so_far, *some) if x is not None]) if some or so_far is not None else None
+                held = (min(started, at), max(ended, at), readings + 1, count + n, fold(sum, total), fold(min, low), fold(max, high))
+        if before is not None:
+            self.handle.deleteTimer(self._due(before[1]))
+        self.open.update(held)
+        self.handle.registerTimer(self._due(held[1]))
+        return self._frame(out)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = self.open.get() if self.open.exists() else None
+        if held is None or self._due(held[1]) > expiredTimerInfo.getExpiryTimeInMs():
+            return self._frame([])
+        self.open.clear()
+        return self._frame([self._row(key[0], held, "timer")])
+
+    def close(self) -> None: ...
+
+
+def idle_sessions(readings: DataFrame, idle: str = "60 seconds", delay: str = "0 seconds") -> DataFrame:
+    """A row for each session of a tag: readings no more than `idle` apart. It is emitted when a later
+    reading shows that it is over, or when the watermark, `delay` behind the newest reading of all tags,
+    has passed its end by `idle`; then the tag's state is cleared. So what is emitted depends on the
+    readings only, not on the machine's speed.
+
+    For a streaming table in append mode, with the state store in RocksDB (`StreamConfig.state`). A reading
+    that is earlier than the session at hand, but not behind the watermark, counts in that session. A tag's
+    readings of one micro-batch are held together. Null tags are a tag; null times are left out.
+    """
+    micros = int(pd.Timedelta(idle).total_seconds() * 1_000_000)
+    rows = readings.where(F.col("timestamp").isNotNull()).select("opc_tag_id", "timestamp", F.unix_micros("timestamp").alias("at"), F.col("value").cast("double").alias("value"))
+    return rows.withWatermark("timestamp", delay).groupBy("opc_tag_id").transformWithStateInPandas(_Idle(micros), _SESSION, "Append", "EventTime")

@@ -68,7 +68,7 @@ def test_signal_round_trip(spark):
 
 
 def test_event_codec(spark):
-    e = {"id": ID, "sequence": 3, "nodeId": "Node-1", "jobId": ID, "type": "START", "timestamp": "2016-03-03T19:13:13.398Z", "generatorId": None}
+    e = {"id": ID, "sequence": 3, "nodeId": "Node-1", "jobId": ID, "type": "START", "timestamp": "2023-11-05T04:47:29.398Z", "generatorId": None}
     bad = [e | {"sequence": 0}, {k: v for k, v in e.items() if k != "nodeId"}, e | {"type": "OTHER"}, e | {"type": None}, e | {"id": "x"}]
     rows = codec.decode_events(spark.createDataFrame([(json.dumps(x),) for x in [e, *bad]], "value string")).collect()
     assert [r.problems for r in rows] == [[], ["sequence"], ["nodeId"], ["type"], ["type"], ["id"]]
@@ -111,7 +111,7 @@ def test_null_values_and_ties(spark):
     assert rollup.latest(c).where("OPCMetricID = 1").count() == 4
     assert rollup.latest_once(c).where("OPCMetricID = 1").count() == 2
     readings = spark.createDataFrame([(k, 1.0) for k in (1, 2, 3)], "OPCTagID long, Value double")
-    assert {r.OPCTagID for r in rollup.joined(readings, c).collect()} == {1}
+    assert {r.OPCTagID for r in rollup.rollup(readings, c).collect()} == {1}
 
 
 def test_sum_overflow_is_an_error(spark):

@@ -127,8 +127,8 @@ def test_settings(spark, tmp_path):
 def test_batches_write_only_their_rows(spark, tmp_path):
     t = KeyedTable(spark, f"file://{tmp_path}/t", "signal_aggregate")
     rows = lambda *days: spark.createDataFrame([(1, f"2024-01-0{d} 00:00:00", n) for d, n in days], "opc_tag_id long, t string, count long").selectExpr("opc_tag_id", "cast(t as timestamp) aggregate", "count", "count sum", "count min", "count max")
-    t.apply(rows((1, 1), (2, 1)), 0)
-    t.apply(rows((2, 5), (3, 1)), 1)
+    t.apply(rows((1, 1), (2, 1)), 0, "a")
+    t.apply(rows((2, 5), (3, 1)), 1, "a")
     assert sorted((str(r.aggregate)[:10], r["count"]) for r in t.read().collect()) == [("2024-01-01", 1), ("2024-01-02", 5), ("2024-01-03", 1)]
     assert sorted(len(v) for v in t._folders().values()) == [1, 1, 2]
     assert t.read("2024-01-03").count() == 1 and t.compact() == 1 and t.vacuum() == 2 and t.read().count() == 3
