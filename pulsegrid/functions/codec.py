@@ -116,11 +116,17 @@ def split_quarantine(decoded: DataFrame, fail_fast: bool = False) -> tuple[DataF
     return good, decoded.where(F.size("problems") > 0).select("raw", "problems")
 
 
-def encode_signals(signals: DataFrame) -> DataFrame:
-    """(value): each reading as a one-element JSON array, nulls written."""
+def signal_json() -> Column:
+    """A reading's columns as a one-element JSON array, nulls written."""
     stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    body = F.struct(F.col("extended_properties").alias("ExtendedProperties"), F.col("proxied_type_name").alias("ProxiedTypeName"), F.col("opc_tag_id").alias("OPCTagID"), F.col("opc_tag_reading_id").alias("OPCTagReadingID"), F.col("quality").alias("Quality"), stamp.alias("Timestamp"), F.col("value").alias("Value"), F.col("id").alias("ID"), F.col("unique_id").alias("UniqueID"))
-    return signals.select(F.to_json(F.array(body), {"ignoreNullFields": "false"}).alias("value"))
+    names = {"ExtendedProperties": "extended_properties", "ProxiedTypeName": "proxied_type_name", "OPCTagID": "opc_tag_id", "OPCTagReadingID": "opc_tag_reading_id", "Quality": "quality"}
+    body = F.struct(*[F.col(c).alias(wire) for wire, c in names.items()], stamp.alias("Timestamp"), F.col("value").alias("Value"), F.col("id").alias("ID"), F.col("unique_id").alias("UniqueID"))
+    return F.to_json(F.array(body), {"ignoreNullFields": "false"})
+
+
+def encode_signals(signals: DataFrame) -> DataFrame:
+    """(value): each reading as a message."""
+    return signals.select(signal_json().alias("value"))
 
 
 def decode_events(records: DataFrame, value: str = "value") -> DataFrame:

@@ -26,3 +26,16 @@ def dense_sequence(rows: DataFrame, order: list[str], path: str, name: str = "se
     starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     at = F.col("_before") + F.col("_place").bitwiseAND((1 << _BITS) - 1) + 1
     return written.join(F.broadcast(starts), "_part").select(*rows.columns, at.alias(name))
+
+
+def numbered_by(rows: DataFrame, by: list[str], order: list[str], name: str = "place") -> DataFrame:
+    """`rows` with 0..n-1 inside each group of `by`, in the order of these columns. The first of them is a time:
+    a group's days are numbered apart and the days before are added from their counts, so no task gets a
+    whole group, however large its share is."""
+    day = F.coalesce(F.unix_date(F.col(order[0]).cast("date")), F.lit(-(1 << 31)))
+    rows = rows.withColumn("_day", day)
+    days = rows.groupBy(*by, "_day").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    starts = days.select(*by, "_day", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*by, "_day").orderBy(*order)) - 1
+    return rows.join(starts, [*by, "_day"]).withColumn(name, F.col("_before") + place).drop("_day", "_before")

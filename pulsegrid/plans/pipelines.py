@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pulsegrid.functions import codec
 from pulsegrid.operators import aggregates, rollup
+from pulsegrid.operators.sequence import numbered_by
 from pulsegrid.sources import files, readers, record_log
 from pulsegrid.sources.schemas import INTERVALS
 from pulsegrid.streaming import runner
@@ -207,6 +208,28 @@ class PersistRows(Streaming):
         self.stream(spark, self.records(spark), "append", rows=RowFiles(self.out))
 
 
+@dataclass(frozen=True, kw_only=True)
+class Produce:
+    """Readings (a table of Parquet files with the columns of SIGNAL and `topic`) as messages at the end of a
+    record log. A message's partition is its tag's, so a tag's messages keep their order: by time and id.
+    Offsets go on where each partition ends."""
+
+    readings: str
+    log: str
+    partitions: int = 3
+
+    def run(self, spark: SparkSession) -> None:
+        record_log.append(self.messages(spark.read.parquet(self.readings), record_log.ends(spark, self.log)), self.log)
+
+    def messages(self, rows: DataFrame, ends: DataFrame) -> DataFrame:
+        place = F.pmod(F.xxhash64("opc_tag_id"), F.lit(self.partitions)).cast("int")
+        coded = rows.select("topic", "timestamp", "id", place.alias("partition"), F.col("opc_tag_id").cast("string").cast("binary").alias("key"), codec.signal_json().alias("value"))
+        numbered = numbered_by(coded, ["topic", "partition"], ["timestamp", "id"])
+        found = numbered.join(F.broadcast(ends), ["topic", "partition"], "left")  # a row for each partition of the log
+        offset = F.coalesce("until", F.lit(0)) + F.col("place")
+        return found.select(F.col("value").cast("binary").alias("value"), "timestamp", F.lit(0).alias("timestampType"), "partition", "key", "topic", offset.alias("offset"))
+
+
 @dataclass(frozen=True, kw_only=True)
 class Cumulative(Streaming):
     """Figures so far of each tag and HOUR or MINUTE, kept as the stream's state. Readings of any age
@@ -303,4 +326,4 @@ class Fail:
         raise RuntimeError("failed on purpose")
 
 
-PIPELINES = {"ingest": Ingest, "persist-signals": PersistSignals, "observed-signals": ObservedSignals, "persist-parquet": PersistParquet, "persist-rows": PersistRows, "cumulative": Cumulative, "window-aggregates": WindowAggregates, "topic-counts": TopicCounts, "log-offsets": LogOffsets, "rollup": Rollup, "fail": Fail}
+PIPELINES = {"ingest": Ingest, "persist-signals": PersistSignals, "observed-signals": ObservedSignals, "persist-parquet": PersistParquet, "persist-rows": PersistRows, "produce": Produce, "cumulative": Cumulative, "window-aggregates": WindowAggregates, "topic-counts": TopicCounts, "log-offsets": LogOffsets, "rollup": Rollup, "fail": Fail}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,7 @@ from pulsegrid.operators import aggregates, rollup
 from pulsegrid.operators.sequence import dense_sequence
 from pulsegrid.plans import pipelines
 from pulsegrid.sources import bucketed, readers, record_log
+from pulsegrid.sources.schemas import TABLES, ddl
 from pulsegrid.streaming import runner, state
 from pulsegrid.streaming.keyed import KeyedTable
 
@@ -238,9 +241,93 @@ def cycle_generator(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("sequence", F.lit("Node-1").alias("node_id"), "job_id", "type", F.col("ts").alias("timestamp"), "even")
 
 
+def produced_consumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings produced into a log in two rounds, and consumed by a stream that stops between them."""
+    at = runner.shared_folder(spark, "produce")
+    rows = readers.signals(spark, sf_dir).withColumns({"value": F.floor("value").cast("long"), "extended_properties": F.array("topic")})
+    for k, part in enumerate(_halves(rows, "id")):
+        part.write.parquet(f"{at}/readings/{k}")
+        pipelines.Produce(readings=f"{at}/readings/{k}", log=f"{at}/log").run(spark)
+        settings = {"app": "consume", "checkpoint": f"{at}/checkpoint", "log": f"{at}/log", "out": f"{at}/out", "fail_fast": True}
+        pipelines.PersistSignals(**settings, options={"source.subscribePattern": ".*"}).run(spark)
+    found = KeyedTable(spark, f"{at}/out", "signals").read()
+    return found.select("opc_tag_id", "day", _ntz("timestamp"), "id", "value", "quality", "proxied_type_name")
+
+
+def produced_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offsets of produced messages have no gaps, and a tag's messages are in the order of time."""
+    at = runner.shared_folder(spark, "produce-offsets")
+    rows = readers.signals(spark, sf_dir).withColumns({"value": F.floor("value").cast("long"), "extended_properties": F.array("topic")})
+    for k, part in enumerate(_halves(rows, "id")):
+        part.write.parquet(f"{at}/readings/{k}")
+        pipelines.Produce(readings=f"{at}/readings/{k}", log=f"{at}/log", partitions=1).run(spark)
+    sent = record_log.records(spark, f"{at}/log", subscribePattern=".*")
+    return sent.select("topic", "offset", _ntz("timestamp"), F.col("key").cast("string").cast("long").alias("opc_tag_id"))
+
+
+def sent_by_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rollups written as JSON by interval, each file that isn't empty handed on by the executors, and what
+    was received read back."""
+    at = runner.shared_folder(spark, "send")
+    rows = readers.signals(spark, sf_dir).select(F.col("opc_tag_id").alias("OPCTagID"), F.col("value").alias("Value"))
+    rollup.write_by_interval(rollup.rollup(rows, rollup.latest_weighted(readers.configs(spark, sf_dir))), f"{at}/out", "g1")
+    rollup.send_by_interval(spark, f"{at}/out", "g1", ReceivedFiles(f"{at}/received"))
+    back = spark.read.schema("interval string, line string").json(f"{at}/received")
+    fields = F.from_json("line", "OPCTagID long, OPCMetricID long, Sum double, Count long")
+    return back.select("interval", fields.alias("r")).select("interval", "r.OPCTagID", "r.OPCMetricID", F.round("r.Sum", 2).alias("Sum"), "r.Count")
+
+
+class ReceivedFiles:
+    """A receiver for `rollup.send_by_interval` that keeps what it is sent, a file for each text."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def __call__(self, interval: str, text: str) -> None:
+        from pyarrow import fs
+
+        there, root = fs.FileSystem.from_uri(self.path)
+        there.create_dir(root)
+        name = hashlib.sha256(f"{interval}\n{text}".encode()).hexdigest()  # a text that is sent again is the same file
+        with there.open_output_stream(f"{root}/{name}.json") as f:
+            for line in text.splitlines():
+                f.write(json.dumps({"interval": interval, "line": line}).encode() + b"\n")
+
+
+def metrics_pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a listener pushes of a stream's progress: rows in, and what the stream itself has counted."""
+    at = runner.shared_folder(spark, "metrics")
+    pushed, app = [], f"metrics-{uuid.uuid4().hex[:8]}"
+    listener = runner.MetricsListener(lambda name, value, labels: pushed.append((name, value)) if labels["query"] == app else None)
+    messages(spark, sf_dir).write.parquet(f"{at}/in")
+    spark.streams.addListener(listener)
+    try:
+        pipelines.ObservedSignals(app=app, checkpoint=f"{at}/checkpoint", files=f"{at}/in", out=f"{at}/out").run(spark)
+        for _ in range(100):  # the listener hears late
+            if any(name == f"{pipelines.READINGS}.spark_count" for name, _ in pushed):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = spark.createDataFrame(pushed, "name string, value double")
+    wanted = ["input_rows", *[f"{pipelines.READINGS}.{k}" for k in ("producer_count", "producer_error_count", "spark_count")]]
+    return rows.where(F.col("name").isin(wanted)).groupBy("name").agg(F.sum("value").cast("long").alias("value"))
+
+
+def ddl_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of the registry made by its SQL, filled, made again without effect, and read by tag and day."""
+    at, name = runner.shared_folder(spark, "ddl"), f"signals_{uuid.uuid4().hex[:12]}"
+    rows = readers.signals(spark, sf_dir).withColumns({"value": F.floor("value").cast("long"), "extended_properties": F.array("topic"), "day": codec.day_of(F.col("timestamp"))})
+    for _ in range(2):
+        spark.sql(ddl("signals", name, f"{at}/signals", BUCKETS))
+    rows.repartition(BUCKETS, "opc_tag_id").select(*TABLES["signals"].schema.fieldNames()).write.insertInto(name)
+    return spark.table(name).groupBy("opc_tag_id", "day").agg(F.count("*").alias("readings"), F.sum("value").alias("total"), F.max("id").alias("last_id"))
+
+
 QUERIES = {f.__name__: f for f in (
     log_subscribe, log_assign_offsets, log_latest, log_discovery, log_offsets_saved, offset_ranges, idle_sessions, stats_by_day_merged, observed_progress,
     row_writer, row_writer_empty, running_totals_stream, running_totals_state, drifted_payloads, drifted_fields, rollup_bucketed_tables, event_sequence, cycle_generator,
+    produced_consumed, produced_offsets, sent_by_interval, metrics_pushed, ddl_tables,
 )}
 
 _WHOLE = "cast(floor(value) as bigint)"
@@ -288,4 +375,14 @@ ORACLE_SQL = {
     "cycle_generator": """with n as (select ts, row_number() over (order by ts, event_id) i from events), h as (select *, sha256(((i - 1) // 2)::varchar) h from n)
         select i "sequence", 'Node-1' node_id, concat_ws('-', substr(h, 1, 8), substr(h, 9, 4), substr(h, 13, 4), substr(h, 17, 4), substr(h, 21, 12)) job_id,
         case when i % 2 = 1 then 'START' else 'END' end "type", ts "timestamp", i % 2 = 0 even from h""",
+    "produced_consumed": f"""select user_id opc_tag_id, strftime(date_trunc('day', ts), '%Y-%m-%dT%H:%M:%SZ') "day", ts "timestamp", event_id id, {_WHOLE} value,
+        cast(json_extract_string(props, '$.k') as bigint) quality, event_type proxied_type_name from events""",
+    "produced_offsets": """with h as (select *, event_id >= (select (min(event_id) + max(event_id) + 1) // 2 from events) later from events)
+        select event_type topic, row_number() over (partition by event_type order by later, ts, event_id) - 1 "offset", ts "timestamp", user_id opc_tag_id from h""",
+    "sent_by_interval": """with config as (select o_custkey m, o_orderpriority i, o_orderstatus s, rank() over (partition by o_custkey order by o_orderdate desc) rk from orders),
+        newest as (select *, count(*) over (partition by m) n from config where rk = 1), latest as (select m, i, s from newest, unnest(range(n)))
+        select i "interval", user_id OPCTagID, m OPCMetricID, round(sum(value), 2) "Sum", count(value) "Count" from events join latest on user_id = m where s <> 'P' group by 1, 2, 3""",
+    "metrics_pushed": """with e as (select count(*) n, count(*) filter (where event_id % 10 <> 6) sent, count(*) filter (where event_id % 10 in (2, 3, 4, 5, 7)) bad from events)
+        select unnest(['input_rows', 'readings.producer_count', 'readings.producer_error_count', 'readings.spark_count']) "name", unnest([n, sent, bad, sent - bad]) value from e""",
+    "ddl_tables": f"""select user_id opc_tag_id, strftime(date_trunc('day', ts), '%Y-%m-%dT%H:%M:%SZ') "day", count(*) readings, cast(sum({_WHOLE}) as bigint) total, max(event_id) last_id from events group by 1, 2""",
 }

@@ -61,6 +61,14 @@ def append(records: DataFrame, path: str, segment: int = SEGMENT) -> None:
         raise RuntimeError(f"another append to {path} came first")
 
 
+def ends(spark: SparkSession, path: str) -> DataFrame:
+    """(topic, partition, first, until): where each partition of a log begins and ends; empty if there is no log."""
+    done = files.names(spark, f"{path.rstrip('/')}/marks")
+    held = json.loads(files.read_text(spark, f"{path.rstrip('/')}/marks/{done[-1]}"))["ranges"] if done else {}
+    rows = [(t, int(p), *both) for t, ps in held.items() for p, both in ps.items()]
+    return spark.createDataFrame(rows, "topic string, partition int, first long, until long")
+
+
 class _Log:
     """What a reader needs to know of a log, without Spark."""
 

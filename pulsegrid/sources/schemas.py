@@ -53,3 +53,13 @@ TABLES: dict[str, Table] = {
     "query_statistics": Table(_fields(id=_S, time=_S, json=_S), ("id", "time"), (("id", False), ("time", True)), "substring(time, 1, 10)"),
     "events": Table(_fields(id=_S, sequence=_L, node_id=_S, job_id=_S, type=_S, timestamp=_S, generator_id=_S), ("id",), (), "pmod(xxhash64(id), 64)"),
 }
+
+
+def ddl(table: str, name: str, path: str, buckets: int = 8) -> str:
+    """SQL that makes a catalog table of one of `TABLES` if it isn't there: Parquet files at `path`, in buckets
+    of the first key column, inside sorted by the clustering columns (upwards; Spark has no other order in files)."""
+    spec = TABLES[table]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema.fields)
+    order = ", ".join(f"`{c}`" for c in dict.fromkeys([spec.key[0], *[c for c, _ in spec.clustering]]))
+    place = f"CLUSTERED BY (`{spec.key[0]}`) SORTED BY ({order}) INTO {buckets} BUCKETS"
+    return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {place} LOCATION '{path}'"

@@ -290,3 +290,48 @@ def test_drifted_fields_are_kept(spark):
     assert got[1] == (None, None, {"ID": '{"x":1}'}, ["ID"])
     assert [g[3] for g in got[2:6]] == [["payload"]] * 4  # [], [1], null and a text; what is empty is left out
     assert got[-2] == (7, None, {}, []) and got[-1] == (None, None, {"": "1"}, []) and len(got) == len(texts) - 2
+
+
+# producing and sending
+
+
+def test_produced_messages_keep_a_tags_order(spark, tmp_path):
+    """Two rounds into three partitions: no gaps, nothing lost, a tag in one partition and in the order of time."""
+    at = f"file://{tmp_path}"
+    plain = spark.range(600).selectExpr(
+        "cast(null as string) unique_id", "id", "id as value", "cast(null as string) day", "timestamp_seconds(1700000000 + id * 7919 % 400000) as timestamp", "1L as quality",
+        "id as opc_tag_reading_id", "if(id < 300, 7, id % 11) as opc_tag_id", "'t' as proxied_type_name", "array(cast(null as string)) extended_properties", "if(id % 2 = 0, 'a', 'b') as topic",
+    )
+    for k in (0, 1):
+        plain.where(f"id % 3 {'=' if k else '<>'} 0").repartition(5).write.parquet(f"{at}/{k}")
+        pipelines.Produce(readings=f"{at}/{k}", log=f"{at}/log").run(spark)
+    sent = record_log.records(spark, f"{at}/log", subscribePattern=".*").collect()
+    ends = {(r.topic, r.partition): r.until for r in record_log.ends(spark, f"{at}/log").collect()}
+    place, ids = {}, []
+    for r in sorted(sent, key=lambda r: (r.topic, r.partition, r.offset)):
+        own = place.setdefault((r.topic, r.partition), [])
+        assert r.offset == len(own)
+        (reading,) = json.loads(bytes(r.value))
+        ids.append(reading["ID"])
+        own.append((reading["ID"] % 3 == 0, reading["Timestamp"]))
+        assert bytes(r.key).decode() == str(reading["OPCTagID"])
+    assert sorted(ids) == list(range(600)) and {k: len(v) for k, v in place.items()} == ends
+    assert all(v == sorted(v) for v in place.values())
+
+
+def test_registry_tables_are_made_once(spark, tmp_path):
+    from pulsegrid.sources.schemas import ddl
+
+    for k, name in enumerate(TABLES):
+        for _ in range(2):
+            spark.sql(ddl(name, f"registry_{k}", f"file://{tmp_path}/{name}", 4))
+        made = {r.col_name: r.data_type for r in spark.sql(f"describe extended registry_{k}").collect()}
+        assert spark.table(f"registry_{k}").schema == TABLES[name].schema and made["Num Buckets"] == "4" and TABLES[name].key[0] in made["Sort Columns"]
+
+
+def test_console_and_unknown_options(spark, tmp_path, capfd):
+    records(spark, ("a", 0, 0, "seen on the console")).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(RECORD).parquet(f"{tmp_path}/in").selectExpr("cast(value as string) v")
+    runner.start(stream, runner.StreamConfig("console", f"file://{tmp_path}/c"), fmt="console", truncate="false").awaitTermination()
+    with pytest.raises(ValueError, match="must begin with source"):
+        pipelines.TopicCounts(app="a", checkpoint="c", out="o", log="l", options={"kafka.group.id": "g"}).run(spark)
