@@ -76,18 +76,35 @@ class Streaming:
             raise ValueError("servers, log or files must be set")
         return readers.message_stream(spark, self.servers, self.topics, self.starting, self.assign, **passed)
 
-    def signals(self, spark: SparkSession) -> DataFrame:
+    def signals(self, spark: SparkSession) -> tuple[DataFrame, StreamingQuery | None]:
+        """Good readings for a stream of figures, and the stream beside it that feeds it.
+
+        Figures have no room for readings that cannot be decoded, so one stream decodes each message once:
+        it writes the bad ones to `quarantine` and the good ones to a folder beside the checkpoint, which
+        the stream of figures follows and clears. With `fail_fast` nothing stands between."""
         if not (self.quarantine or self.fail_fast):
             raise ValueError("quarantine or fail_fast must be set: a reading that cannot be decoded must not vanish")
-        return codec.split_quarantine(codec.decode_signals(self.records(spark)), self.fail_fast)[0]
+        decoded = codec.decode_signals(self.records(spark))
+        if self.fail_fast:
+            return codec.split_quarantine(decoded, True)[0], None
+        at = f"{self.checkpoint}-decoded"
 
-    def keep_bad(self, spark: SparkSession) -> StreamingQuery | None:
-        """Beside a stream of figures, which has no room for rows that cannot be decoded, a second one
-        of the same source that keeps them."""
-        if not self.quarantine or self.fail_fast:
-            return None
-        bad = codec.split_quarantine(codec.decode_signals(self.records(spark)))[1]
-        return runner.start(bad, runner.StreamConfig(f"{self.app}-quarantine", f"{self.checkpoint}-quarantine", "append", self.trigger), path=self.quarantine, fmt="json")
+        def sink(batch: DataFrame, number: int) -> None:
+            name = f"{stream_id(spark)}-{number:012d}"
+            if name in files.names(spark, f"{at}/rows"):
+                return
+            good, bad = codec.split_quarantine(batch)
+            keep_apart(bad, self.quarantine, number)
+            good.write.mode("overwrite").parquet(f"{at}/making/{name}")
+            files.rename(spark, f"{at}/making/{name}", f"{at}/rows/{name}")  # there at once, or not at all
+
+        files.make_folder(spark, f"{at}/rows")
+        config = runner.StreamConfig(f"{self.app}-decoded", f"{at}/checkpoint", "append", self.trigger)
+        first = runner.start(decoded, config, sink)
+        if not self.trigger:
+            first.awaitTermination()
+        good = spark.readStream.schema(codec.split_quarantine(decoded)[0].schema).option("cleanSource", "delete").parquet(f"{at}/rows/*")
+        return good, first
 
     def stream(self, spark: SparkSession, df: DataFrame, mode: str, sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None, fmt: str = "parquet", beside: StreamingQuery | None = None, rows: object | None = None) -> None:
         listener = runner.ProgressTable(spark, self.app, self.statistics) if self.statistics else None
@@ -95,9 +112,11 @@ class Streaming:
             spark.streams.addListener(listener)
         try:
             query = runner.start(df, runner.StreamConfig(self.app, self.checkpoint, mode, self.trigger, "rocksdb" if self.rocksdb else "memory"), sink, path, fmt, rows)
-            query.awaitTermination()
+            while not query.awaitTermination(1):
+                if beside and beside.exception():
+                    break
             if beside:
-                beside.awaitTermination()
+                beside.awaitTermination()  # raises what stopped it
         finally:
             if beside:
                 beside.stop()
@@ -240,11 +259,11 @@ class Cumulative(Streaming):
     delay: str | None = None
 
     def run(self, spark: SparkSession) -> None:
-        rows = self.signals(spark)
+        rows, first = self.signals(spark)
         if self.delay:
             rows = rows.withWatermark("timestamp", self.delay)
-        table = KeyedTable(spark, self.out, "signal_aggregate")
-        self.stream(spark, aggregates.bucketed(rows, self.unit), "update", table.apply, beside=self.keep_bad(spark))
+        table = KeyedTable(spark, self.out, "signal_aggregate", compact_every=self.compact_every)
+        self.stream(spark, aggregates.bucketed(rows, self.unit), "update", table.apply, beside=first)
 
 
 @dataclass(frozen=True, kw_only=True)
@@ -257,8 +276,9 @@ class WindowAggregates(Streaming):
     mode: str = "append"
 
     def run(self, spark: SparkSession) -> None:
-        table = KeyedTable(spark, self.out, "ss_signal_aggregation")
-        self.stream(spark, aggregates.windowed(self.signals(spark), self.minutes, self.delay), self.mode, table.apply, beside=self.keep_bad(spark))
+        rows, first = self.signals(spark)
+        table = KeyedTable(spark, self.out, "ss_signal_aggregation", compact_every=self.compact_every)
+        self.stream(spark, aggregates.windowed(rows, self.minutes, self.delay), self.mode, table.apply, beside=first)
 
 
 @dataclass(frozen=True, kw_only=True)

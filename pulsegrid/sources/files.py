@@ -46,3 +46,14 @@ def write_new(spark: SparkSession, path: str, text: str) -> bool:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = at(spark, path)
     return bool(fs.delete(p, True))
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, p = at(spark, path)
+    fs.mkdirs(p)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    fs, p = at(spark, path)
+    if not fs.rename(p, at(spark, to)[1]):
+        raise RuntimeError(f"{path} cannot become {to}")

@@ -335,3 +335,21 @@ def test_console_and_unknown_options(spark, tmp_path, capfd):
     runner.start(stream, runner.StreamConfig("console", f"file://{tmp_path}/c"), fmt="console", truncate="false").awaitTermination()
     with pytest.raises(ValueError, match="must begin with source"):
         pipelines.TopicCounts(app="a", checkpoint="c", out="o", log="l", options={"kafka.group.id": "g"}).run(spark)
+
+
+@pytest.mark.parametrize("kind", ["cumulative", "windows"])
+def test_figures_and_quarantine_come_from_one_decoding(spark, tmp_path, monkeypatch, kind):
+    """Over a restart; what stood between is cleared, and the source is read once."""
+    made = []
+    plain = codec.decode_signals
+    monkeypatch.setattr(pipelines.codec, "decode_signals", lambda *a, **b: made.append(1) or plain(*a, **b))
+    settings = {"app": "figures", "checkpoint": f"file://{tmp_path}/c", "files": f"{tmp_path}/in", "out": f"file://{tmp_path}/t", "quarantine": f"file://{tmp_path}/q", "rocksdb": True}
+    for k in range(2):
+        good = '{"ID":%d,"OPCTagID":1,"Value":%d,"Timestamp":"2024-01-01T00:0%d:00Z"}'
+        records(spark, ("t", 0, 3 * k, good % (k, 10 + k, k)), ("t", 0, 3 * k + 1, f"[bad {k}"), ("t", 0, 3 * k + 2, "")).write.mode("append").parquet(f"{tmp_path}/in")
+        run = pipelines.Cumulative(**settings) if kind == "cumulative" else pipelines.WindowAggregates(**settings, delay="1 hour", mode="update")
+        run.run(spark)
+    assert len(made) == 2
+    table = KeyedTable(spark, f"file://{tmp_path}/t", "signal_aggregate" if kind == "cumulative" else "ss_signal_aggregation")
+    assert [(r["count"], r["sum"], r["min"], r["max"]) for r in table.read().collect()] == [(2, 21, 10, 11)]
+    assert sorted(r.raw for r in spark.read.json(f"{tmp_path}/q/*/*/").collect()) == ["[bad 0", "[bad 1"]
