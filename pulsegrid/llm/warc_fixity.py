@@ -1,10 +1,16 @@
 """Merkle fixity audit of a WARC archive and a replica of it.
 
-Pages become WARC records in one order, cut into files of FILE_RECORDS. Each archive gets a tree of
-its own, from its own records alone: a leaf hashes all records of one page_id, a node the range of
-FANOUT ids below it, with the bytes that the range takes. The ranges are of ids, so a record that is
-missing or added changes its own branch only and shifts nothing. The audit compares the roots and
-goes down only into branches that differ; only records of ids that differ are laid side by side.
+Pages become WARC records in one order, cut into files of FILE_RECORDS. Each archive gets two trees of
+its own, from its own records alone.
+
+The layout tree hashes offset, length and hash of every record in the order of offsets: ranges of FANOUT
+records, then files, then ranges of FANOUT files. So records that are swapped, files in another order and
+offsets that lie change its root, and `displaced` goes down into differing files and ranges only.
+
+In the tree of ids a leaf hashes all records of one page_id, and ids are spread over branches by a hash, so
+it has log64(n) levels whatever the ids are. A record that is missing or added changes its own branch only
+and shifts nothing. The audit compares the roots and goes down only into branches that differ; only
+records of ids that differ are laid side by side.
 """
 
 from __future__ import annotations
@@ -22,6 +28,8 @@ from .common import materialize, number_rows, pick, remove, table
 FANOUT_BITS = 6
 FANOUT = 1 << FANOUT_BITS
 FILE_RECORDS = 4096
+#: Bits of the hash that spreads ids over branches.
+SPREAD_BITS = 60
 #: The pages have no date of their own.
 DATE = "2024-01-01T00:00:00Z"
 #: Records of one id are hashed in groups of this many first hex digits, so that no task gets all of a very common id.
@@ -43,7 +51,14 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", bod
 
 def manifest(recs: DataFrame, label: str = "warc") -> DataFrame:
     """(page_id, length, hash, at, file, seq, offset) of (page_id, record): every record's place in the
-    archive, by page_id, nulls first, then hash. `at` counts all records, `offset` bytes within the file."""
+    archive, by page_id, nulls first, then hash. `at` counts all records, `offset` bytes within the file. Where
+    the records have their own `file` and `offset`, as `read_files` gives them, these stay, and `seq` counts a
+    file's records by offset; rows that repeat are records of their own."""
+    if {"file", "offset"} <= set(recs.columns):
+        own = recs.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2(F.concat(F.lit("leaf:"), "record"), 256).alias("hash"), F.col("file").cast("long").alias("file"), F.col("offset").cast("long").alias("offset"))
+        numbered = number_rows(own, ["page_id", "hash", "file", "offset"], "length", label).placed()
+        seq = F.row_number().over(Window.partitionBy("file").orderBy("offset", "hash")).cast("long") - 1  # a file's records
+        return numbered.select("page_id", "length", "hash", F.col("_at").alias("at"), "file", seq.alias("seq"), "offset")
     hashed = recs.select("page_id", F.octet_length("record").cast("long").alias("length"), F.sha2(F.concat(F.lit("leaf:"), "record"), 256).alias("hash"))
     placed = number_rows(hashed, ["page_id", "hash"], "length", label).placed().withColumn("file", F.expr(f"_at div {FILE_RECORDS}")).withColumn("seq", F.expr(f"_at % {FILE_RECORDS}"))
     starts = placed.groupBy("file").agg(F.min("_weight_at").alias("start"))
@@ -94,16 +109,73 @@ def copies(held: DataFrame) -> DataFrame:
     return held.groupBy("page_id", "hash").agg(F.count("*").alias("n"), F.max("length").alias("length"), F.min("at").alias("first"))
 
 
+def _spread(page_id: Column) -> Column:
+    """A number of SPREAD_BITS bits by a hash of the id."""
+    return F.conv(F.substring(F.sha2(F.coalesce(page_id.cast("string"), F.lit("")), 256), 1, SPREAD_BITS // 4), 16, 10).cast("long")
+
+
+def _up(level: int, depth: int) -> Column:
+    """The node above one of this level."""
+    if level == 0:
+        return F.shiftright(_spread(F.col("idx")), SPREAD_BITS - FANOUT_BITS * depth)
+    return F.shiftright("idx", FANOUT_BITS) if level < depth else F.lit(0).cast("long")
+
+
+def depth_for(rows: int) -> int:
+    """Levels between ids and root, so that the lowest have about FANOUT ids a node."""
+    return next(d for d in range(1, SPREAD_BITS // FANOUT_BITS + 1) if FANOUT ** (d + 1) >= rows or d == SPREAD_BITS // FANOUT_BITS)
+
+
+def layout(held: DataFrame, label: str = "warc-layout") -> list[DataFrame]:
+    """Of a manifest: (file, range, hash) of ranges of FANOUT records, (file, hash) of files, then (idx, hash)
+    by FANOUT files, and the root. Each is a written table, but for the records themselves."""
+    leaf = F.concat_ws(":", "offset", "length", "hash")
+    ranges = held.groupBy("file", F.shiftright("seq", FANOUT_BITS).alias("range")).agg(F.array_sort(F.collect_list(F.struct("seq", leaf.alias("leaf")))).alias("kids"))
+    ranges = materialize(ranges.select("file", "range", F.sha2(F.concat_ws("|", F.lit("range"), "kids.leaf"), 256).alias("hash")), label)
+    kids = ranges.groupBy("file").agg(F.array_sort(F.collect_list(F.struct(F.col("range").alias("k"), "hash"))).alias("kids"))
+    node = lambda word: F.sha2(F.concat_ws("|", F.lit(word), F.transform("kids", lambda k: F.concat_ws(":", k["k"], k["hash"]))), 256).alias("hash")
+    levels = [ranges, materialize(kids.select("file", node("file")), label)]
+    most = levels[1].agg(F.max("file")).first()[0]
+    nodes, left = levels[1].withColumnRenamed("file", "idx"), most or 0
+    while True:
+        left >>= FANOUT_BITS
+        up = nodes.groupBy(F.shiftright("idx", FANOUT_BITS).alias("up")).agg(F.array_sort(F.collect_list(F.struct(F.col("idx").alias("k"), "hash"))).alias("kids"))
+        levels.append(materialize(up.select(F.col("up").alias("idx"), node("files")), label))
+        nodes = levels[-1]
+        if not left:
+            return levels
+
+
+def displaced(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(side, page_id, file, offset, length, hash) of the places at which two manifests differ: what only the
+    archive (`ours`) or only the replica (`theirs`) has there. Records that have moved are on both sides."""
+    trees = layout(ours), layout(theirs)
+    empty = ours.select(F.lit("").alias("side"), "page_id", "file", "offset", "length", "hash").where("false")
+    if root(trees[0]) == root(trees[1]):
+        return empty
+    front = None
+    for level, key in ((1, ["file"]), (0, ["file", "range"])):
+        a, b = (t[level].select(*key, F.col("hash").alias(h)) for t, h in ((trees[0], "ha"), (trees[1], "hb")))
+        if front is not None:
+            a, b = a.join(front, "file", "left_semi"), b.join(front, "file", "left_semi")
+        found = a.join(b, key, "full_outer").where(~F.col("ha").eqNullSafe(F.col("hb"))).select(*key)
+        front = materialize(found, "warc-front")
+    place = ["file", "offset", "length", "hash"]
+    near = [t.withColumn("range", F.shiftright("seq", FANOUT_BITS)).join(front, ["file", "range"], "left_semi") for t in (ours, theirs)]
+    sides = [x.join(y.select(*place).distinct(), place, "left_anti").select(F.lit(name).alias("side"), "page_id", *place) for name, x, y in (("ours", *near), ("theirs", *near[::-1]))]
+    return sides[0].unionByName(sides[1])
+
+
 def tree(leaf: DataFrame, depth: int, label: str) -> list[DataFrame]:
-    """(idx, bytes, hash) of the nodes, a written table for each level: by id, then `depth` times by
-    FANOUT ids below, then the root. Built from (page_id, hash, n, length) of one archive."""
+    """(idx, bytes, hash) of the nodes, a written table for each level: by id, then by the hash that spreads
+    the ids, then `depth` - 1 times by FANOUT nodes, then the root. Built from (page_id, hash, n, length) of
+    one archive."""
     some = leaf.groupBy("page_id", F.substring("hash", 1, DIGITS).alias("x")).agg(F.sum(F.col("n") * F.col("length")).alias("bytes"), F.array_sort(F.collect_list(F.concat_ws("x", "hash", F.col("n").cast("string")))).alias("kids"))
     some = some.select("page_id", "x", "bytes", F.sha2(F.array_join("kids", "|"), 256).alias("h"))
     below = some.groupBy(F.col("page_id").alias("idx")).agg(F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.concat_ws(":", "x", "h"))).alias("kids"))
     levels = [materialize(below.select("idx", "bytes", F.sha2(F.concat_ws("|", F.lit("leaf"), F.col("bytes").cast("string"), F.array_join("kids", "|")), 256).alias("hash")), label)]
-    for level in range(1, depth + 2):
-        by = F.shiftright("idx", FANOUT_BITS) if level <= depth else F.lit(0).cast("long")
-        up = levels[-1].groupBy(by.alias("up")).agg(F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.struct("idx", "hash"))).alias("kids"))
+    for level in range(depth + 1):
+        up = levels[-1].groupBy(_up(level, depth).alias("up")).agg(F.sum("bytes").alias("bytes"), F.array_sort(F.collect_list(F.struct("idx", "hash"))).alias("kids"))
         kids = F.expr("concat_ws('|', transform(kids, k -> concat(coalesce(string(k.idx), ''), ':', k.hash)))")
         levels.append(materialize(up.select(F.col("up").alias("idx"), "bytes", F.sha2(F.concat_ws("|", F.lit("node"), F.col("bytes").cast("string"), kids), 256).alias("hash")), label))
     return levels
@@ -118,11 +190,11 @@ def root(levels: list[DataFrame]) -> str:
 def differing(ours: list[DataFrame], theirs: list[DataFrame]) -> DataFrame:
     """(page_id) of the leaves that differ or that only one tree has, by descent from roots that differ
     into differing branches only."""
-    front = None
-    for level in range(len(ours) - 2, -1, -1):
+    front, depth = None, len(ours) - 2
+    for level in range(depth, -1, -1):
         a, b = (t[level].select("idx", F.col("hash").alias(h)) for t, h in ((ours, "ha"), (theirs, "hb")))
         if front is not None:
-            a, b = (x.join(front, F.shiftright("idx", FANOUT_BITS).eqNullSafe(F.col("up")), "left_semi") for x in (a, b))
+            a, b = (x.join(front, _up(level, depth).eqNullSafe(F.col("up")), "left_semi") for x in (a, b))
         b = b.withColumnRenamed("idx", "idb")
         found = a.join(b, F.col("idx").eqNullSafe(F.col("idb")) & F.col("ha").isNotNull(), "full_outer").where(~F.col("ha").eqNullSafe(F.col("hb")))
         # what differs, no more
@@ -131,9 +203,9 @@ def differing(ours: list[DataFrame], theirs: list[DataFrame]) -> DataFrame:
 
 
 def audit(ours: DataFrame, replica: DataFrame) -> DataFrame:
-    """(page_id, file, seq, offset, length, hash, status, root, replica_root) of every record of
-    (page_id, record) `ours`, and after them the replica's records that the archive lacks, with their
-    place in the replica.
+    """(page_id, file, seq, offset, length, hash, status, root, replica_root, layout_root,
+    replica_layout_root) of every record of (page_id, record) `ours`, and after them the replica's records
+    that the archive lacks, with their place in the replica. Either may have its own `file` and `offset`.
 
     status: ok, corrupt (other bytes in the replica), missing, or extra. Of one page_id (null is one
     too) equal records are matched first; what is then left on both sides is paired as corrupt, in the
@@ -141,10 +213,8 @@ def audit(ours: DataFrame, replica: DataFrame) -> DataFrame:
     """
     held, theirs = materialize(manifest(ours, "warc-ours"), "warc-manifest"), materialize(manifest(replica, "warc-replica"), "warc-manifest")
     mine, other = materialize(copies(held), "warc-copies"), materialize(copies(theirs), "warc-copies")
-    ends = [x for t in (mine, other) for x in t.agg(F.min("page_id"), F.max("page_id")).first() if x is not None]
-    depth = 1
-    while any(not -(1 << FANOUT_BITS * depth) <= x < 1 << FANOUT_BITS * depth for x in ends):
-        depth += 1
+    depth = depth_for(max(mine.count(), other.count()))
+    laid = layout(held), layout(theirs)
     trees = tree(mine, depth, "warc-tree"), tree(other, depth, "warc-tree")
     roots = [root(t) for t in trees]
     place = ["page_id", "file", "seq", "offset", "length", "hash", "status"]
@@ -170,9 +240,10 @@ def audit(ours: DataFrame, replica: DataFrame) -> DataFrame:
 
         out = with_told(held, "lost", "n1", "left").withColumn("status", F.when(~F.coalesce("_bad", F.lit(False)), "ok").when(F.col("_paired"), "corrupt").otherwise("missing")).select(*place)
         out = out.unionByName(with_told(theirs, "more", "n2", "inner").where("_bad and not _paired").withColumn("status", F.lit("extra")).select(*place))
-    for t in (*trees[0], *trees[1]):
+    heads = {"root": roots[0], "replica_root": roots[1], "layout_root": root(laid[0]), "replica_layout_root": root(laid[1])}
+    for t in (*trees[0], *trees[1], *laid[0], *laid[1]):
         remove(ours.sparkSession, t)
-    return out.withColumns({"root": F.lit(roots[0]), "replica_root": F.lit(roots[1])})
+    return out.withColumns({k: F.lit(v) for k, v in heads.items()})
 
 
 def damaged(recs: DataFrame) -> DataFrame:
@@ -195,8 +266,16 @@ def _tree_sql(name: str) -> str:
   select 0, page_id, sum(bytes)::bigint, sha256('leaf|' || sum(bytes)::bigint || '|' || string_agg(x || ':' || h, '|' order by x)) from {name}_some group by page_id
   union all
   select level + 1, up, sum(bytes)::bigint, sha256('node|' || sum(bytes)::bigint || '|' || string_agg(coalesce(idx::varchar, '') || ':' || hash, '|' order by idx nulls first))
-  from (select *, case when level < (select d from depth) then idx >> {FANOUT_BITS} else 0 end up from {name}_tree where level <= (select d from depth)) group by 1, 2),
-{name}_root as (select hash from {name}_tree where level = (select d + 1 from depth))"""
+  from (select *, case when level = 0 then ('0x' || substr(sha256(coalesce(idx::varchar, '')), 1, {SPREAD_BITS // 4}))::bigint >> ({SPREAD_BITS} - {FANOUT_BITS} * (select d from depth))
+    when level < (select d from depth) then idx >> {FANOUT_BITS} else 0 end up from {name}_tree where level <= (select d from depth)) group by 1, 2),
+{name}_root as (select hash from {name}_tree where level = (select d + 1 from depth)),
+{name}_ranges as (select file, seq >> {FANOUT_BITS} r, sha256('range|' || string_agg("offset" || ':' || length || ':' || hash, '|' order by seq)) hash from {name} group by 1, 2),
+{name}_files(level, idx, hash) as (
+  select 0, file, sha256('file|' || string_agg(r || ':' || hash, '|' order by r)) from {name}_ranges group by file
+  union all
+  select level + 1, idx >> {FANOUT_BITS}, sha256('files|' || string_agg(idx || ':' || hash, '|' order by idx)) from {name}_files
+  where level = 0 or (select max(file) from {name}) >> ({FANOUT_BITS} * level) > 0 group by 1, 2),
+{name}_layout as (select hash from {name}_files order by level desc limit 1)"""
 
 
 _RECORD = f"""'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Date: {DATE}' || e || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::varchar, '') || '>' || e || 'WARC-Target-URI: ' || coalesce(url, '') || e
@@ -225,14 +304,15 @@ theirs_records as (
   union all select page_id + 1000000000, record from ours_records where page_id % 1000 = 21),
 {_archive_sql("ours")},
 {_archive_sql("theirs")},
-depth as (select greatest(1, ceil(log2(max(x) + 1) / {FANOUT_BITS}))::int d from (select max(page_id) x from ours union all select max(page_id) from theirs)),
+depth as (select min(k) d from range(1, {SPREAD_BITS // FANOUT_BITS + 1}) t(k) where pow({FANOUT}, k + 1) >= greatest((select count(*) from ours_copies), (select count(*) from theirs_copies))),
 {_tree_sql("ours")},
 {_tree_sql("theirs")},
 {_status_sql("ours", "theirs")},
 {_status_sql("theirs", "ours")}
-select t.page_id, t.file, t.seq, t."offset", t.length, t.hash, case when not t.bad then 'ok' when t.nth <= coalesce(b.k, 0) then 'corrupt' else 'missing' end status, (select hash from ours_root) root, (select hash from theirs_root) replica_root
+select t.page_id, t.file, t.seq, t."offset", t.length, t.hash, case when not t.bad then 'ok' when t.nth <= coalesce(b.k, 0) then 'corrupt' else 'missing' end status, (select hash from ours_root) root, (select hash from theirs_root) replica_root,
+  (select hash from ours_layout) layout_root, (select hash from theirs_layout) replica_layout_root
 from ours_told t left join theirs_bad b on t.page_id is not distinct from b.page_id
 union all
-select t.page_id, t.file, t.seq, t."offset", t.length, t.hash, 'extra', (select hash from ours_root), (select hash from theirs_root)
+select t.page_id, t.file, t.seq, t."offset", t.length, t.hash, 'extra', (select hash from ours_root), (select hash from theirs_root), (select hash from ours_layout), (select hash from theirs_layout)
 from theirs_told t left join ours_bad b on t.page_id is not distinct from b.page_id where t.bad and t.nth > coalesce(b.k, 0)
 """

@@ -138,6 +138,43 @@ def test_warc_files_match_the_manifest(spark, tmp_path, monkeypatch):
     assert text.startswith(b"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Date: ") and text.endswith(b"\r\n\r\n")
 
 
+def test_layout_of_files(spark, tmp_path, monkeypatch):
+    """Real files and offsets: records that change places, files in another order and offsets that lie have the
+    same contents and another layout, and only their places are told."""
+    monkeypatch.setattr(warc_fixity, "FILE_RECORDS", 100)
+    pages = spark.createDataFrame([(i * i, f"u{i}", "x" * (i % 9 + 1)) for i in range(700)], "page_id long, url string, html string").repartition(3)
+    recs = warc_fixity.records(pages)
+    warc_fixity.write_files(recs, f"file://{tmp_path}/w")
+    back = warc_fixity.read_files(spark, f"file://{tmp_path}/w").cache()
+    intact = warc_fixity.audit(recs, back)
+    assert intact.where("status <> 'ok' or root <> replica_root or layout_root <> replica_layout_root").count() == 0 and intact.count() == 700
+    ours = warc_fixity.manifest(recs)
+    assert warc_fixity.displaced(ours, warc_fixity.manifest(back)).count() == 0
+    a, b = (r for r in back.where("file = 3").orderBy("offset").collect()[4:6])
+    pairs = {
+        "swapped": (back.selectExpr("page_id", "record", "file", f"case when file = 3 and offset = {a.offset} then {a.offset + len(b.record.encode())} when file = 3 and offset = {b.offset} then {a.offset} else offset end offset"), {(3, a.page_id), (3, b.page_id)}),
+        "reordered": (back.selectExpr("page_id", "record", "case file when 1 then 2 when 2 then 1 else file end file", "offset"), {(i // 100, i * i) for i in range(100, 300)}),
+        "lying": (back.selectExpr("page_id", "record", "file", "offset + if(file = 6 and page_id > 680 * 680, 1, 0) offset"), {(6, i * i) for i in range(681, 700)}),
+    }
+    for name, (replica, want) in pairs.items():
+        found = warc_fixity.audit(recs, replica)
+        assert found.where("status <> 'ok' or root <> replica_root or layout_root = replica_layout_root").count() == 0, name
+        told = warc_fixity.displaced(ours, warc_fixity.manifest(replica)).collect()
+        assert {(r.file, r.page_id) for r in told if r.side == "ours"} == want, name
+        assert {r.page_id for r in told if r.side == "theirs"} == {i for _, i in want}, name
+
+
+def test_ids_of_63_bits_need_few_levels(spark):
+    ids = [(1 << 62) + k * 7_000_000_007 * (-1) ** k for k in range(2000)]
+    recs = spark.createDataFrame([(i, f"record {i}") for i in ids], "page_id long, record string").repartition(4)
+    assert warc_fixity.depth_for(2000) == 1 and warc_fixity.depth_for(64**3 + 1) == 3
+    leaf = warc_fixity.copies(warc_fixity.manifest(recs))
+    levels = [t.count() for t in warc_fixity.tree(leaf, warc_fixity.depth_for(2000), "levels")]
+    assert levels == [2000, 64, 1]
+    hurt = recs.selectExpr("page_id", f"if(page_id = {ids[77]}, 'other', record) record")
+    assert [(r.page_id, r.status) for r in warc_fixity.audit(recs, hurt).where("status <> 'ok'").collect()] == [(ids[77], "corrupt")]
+
+
 VECTORS = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (20, [0.0, 1.0]), (50, [0.5, 0.5]), (3, None), (4, [0.0, 0.0]), (5, [None, 1.0]), (6, [float("nan"), 1.0]), (7, [float("inf"), 1.0]), (8, [1.0]), (None, [1.0, 1.0]), (9, [])]
 
 
