@@ -112,6 +112,18 @@ def train(samples: DataFrame, threshold: int = THRESHOLD) -> MarkovModel:
     return MarkovModel(tuple(round(1000 * (b - a)) for a, b in zip(*logs, strict=True)), threshold)
 
 
+#: Models of the default samples, by application and number: they don't depend on any input.
+_TRAINED: dict[tuple[str, int], MarkovModel] = {}
+
+
+def default_model(spark: SparkSession, n: int = 6000) -> MarkovModel:
+    """The model of `default_samples`, trained once in an application."""
+    key = (spark.sparkContext.applicationId, n)
+    if key not in _TRAINED:
+        _TRAINED[key] = train(default_samples(spark, n))
+    return _TRAINED[key]
+
+
 def tables(model: MarkovModel) -> tuple[str, str]:
     """SQL of the numbers of the first 128 characters among CHARACTERS, and of the ratios."""
     codes = [0] * 128
@@ -231,4 +243,4 @@ def digests(df: DataFrame, model: MarkovModel, id_col: str = "doc_id", text_col:
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(table(spark, sf_dir, "documents"), train(default_samples(spark)))
+    return digests(table(spark, sf_dir, "documents"), default_model(spark))
