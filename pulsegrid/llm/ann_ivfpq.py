@@ -111,6 +111,19 @@ def best_codes(near: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(near >= least - 1e-9 * abs(least))  # sums of equal parts may differ by rounding
 
 
+def by_list(own: np.ndarray, vectors: np.ndarray, code: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A block's rows in the order of their lists, the codes by part."""
+    order = np.argsort(lists, kind="stable")
+    return own[order], vectors[order], np.ascontiguousarray(code[order].T).astype(np.intp), lists[order]
+
+
+def rows_in(lists: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where the wanted lists' rows are, in a block in the order of lists: only those are looked at."""
+    start, end = np.searchsorted(lists, wanted), np.searchsorted(lists, wanted, "right")
+    size = end - start
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
 def probed(model: IvfPq, queries: np.ndarray, sizes: np.ndarray, nearest: int, probes: int | None) -> list[np.ndarray]:
     """The lists that each query looks into: the best ones, and more until they hold enough candidates."""
     order = np.argsort(-(queries @ model.centroids.T), axis=1, kind="stable")
@@ -201,22 +214,20 @@ def search(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "e
                 if held is None:
                     if not gathered:
                         continue
-                    held = tuple(np.concatenate(p) for p in zip(*gathered, strict=True))
-                    held = (*held[:2], np.ascontiguousarray(held[2].T).astype(np.intp), held[3])
+                    held = by_list(*(np.concatenate(p) for p in zip(*gathered, strict=True)))
                 own, vectors_, code, lists = held
                 shares, tables = x[a:z] @ m.centroids.T, m.tables(x[a:z])
                 for k, (q, v) in enumerate(zip(ids[a:z].tolist(), x[a:z], strict=True)):
-                    chosen = np.zeros(len(m.centroids), bool)
-                    chosen[wanted[int(a) + k].values.to_numpy()] = True
-                    rows = np.flatnonzero(chosen[lists] & (own != q))
+                    rows = rows_in(lists, wanted[int(a) + k].values.to_numpy())
+                    rows = rows[own[rows] != q]
                     if not len(rows):
                         continue
                     if rerank is not None:
                         # of a row: its list's share of the product, and its residual's by the tables
-                        near = shares[k].take(lists)
-                        for t, c in zip(tables, code, strict=True):
+                        near = shares[k].take(lists.take(rows))
+                        for t, c in zip(tables, code.take(rows, axis=1), strict=True):
                             near += t[k].take(c)
-                        rows = rows[best_codes(near[rows], max(rerank, nearest))]
+                        rows = rows[best_codes(near, max(rerank, nearest))]
                     exact = (vectors_[rows] * v).sum(1)  # each row's sum in the same order: equal rows tie
                     first = np.lexsort((own[rows], -exact))[:nearest]
                     out_q += [q] * len(first)
