@@ -156,6 +156,8 @@ class Ingest(Streaming):
         def sink(batch: DataFrame, number: int) -> None:
             seen, at = Observation(), f"{self.checkpoint}-decoded/batch={number}"
             batch.observe(seen, *aggregates.decoded_counts()).write.mode("overwrite").parquet(at)
+            if self.fail_fast and seen.get.get("producer_error_count"):
+                codec.split_quarantine(spark.read.schema(batch.schema).parquet(at), True)[0].foreachPartition(lambda _: None)  # says which
             decoded = spark.read.schema(batch.schema).parquet(at)
             good, bad = codec.split_quarantine(decoded, self.fail_fast)
             if self.quarantine:

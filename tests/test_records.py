@@ -353,3 +353,20 @@ def test_figures_and_quarantine_come_from_one_decoding(spark, tmp_path, monkeypa
     table = KeyedTable(spark, f"file://{tmp_path}/t", "signal_aggregate" if kind == "cumulative" else "ss_signal_aggregation")
     assert [(r["count"], r["sum"], r["min"], r["max"]) for r in table.read().collect()] == [(2, 21, 10, 11)]
     assert sorted(r.raw for r in spark.read.json(f"{tmp_path}/q/*/*/").collect()) == ["[bad 0", "[bad 1"]
+
+
+def test_counting_alone_fails_fast(spark, tmp_path):
+    records(spark, ("t", 0, 0, "{"), ("t", 0, 1, '{"ID":1,"Timestamp":"2024-01-01T00:00:00Z"}')).write.parquet(f"{tmp_path}/in")
+    settings = {"app": "q", "checkpoint": f"file://{tmp_path}/c", "files": f"{tmp_path}/in", "out": f"file://{tmp_path}/t", "raw": False, "figures": False}
+    with pytest.raises(Exception, match="cannot decode"):
+        pipelines.Ingest(**settings, fail_fast=True).run(spark)
+
+
+def test_one_file_for_each_interval(spark, tmp_path):
+    configs = [json.dumps({"OPCMetricID": k, "OPCTagID": k % 7, "Timestamp": "2024-01-01T00:00:00Z", "AggregationInterval": i, "AggregationType": "Sum"}) for k, i in enumerate(["Hour", "Day", "FiveMinutes"] * 20)]
+    (tmp_path / "configs.json").write_text("\n".join(configs))
+    (tmp_path / "readings.json").write_text("\n".join(json.dumps({"OPCTagID": k % 7, "Value": str(k)}) for k in range(500)))
+    run = {"configs": f"{tmp_path}/configs.json", "readings": f"{tmp_path}/readings.json", "out": f"{tmp_path}/out", "generation": "g1"}
+    pipelines.Rollup(**run, single_files=True).run(spark)
+    parts = [p.parent.name for p in tmp_path.glob("out/g1/*/part-*")]
+    assert sorted(parts) == ["AggregationInterval=Day", "AggregationInterval=FiveMinutes", "AggregationInterval=Hour"]
