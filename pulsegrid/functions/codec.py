@@ -139,7 +139,9 @@ def decode_events(records: DataFrame, value: str = "value") -> DataFrame:
         F.when(missing(F.col("e.id")) | ~F.col("e.id").rlike(UUID), "id"), F.when(F.coalesce(sequence, F.lit(0)) == 0, "sequence"), F.when(missing(F.col("e.nodeId")), "nodeId"),
         F.when(missing(F.col("e.jobId")) | ~F.col("e.jobId").rlike(UUID), "jobId"), F.when(~F.coalesce(F.col("e.type").isin(*EVENT_TYPES), F.lit(False)), "type"), F.when(ts.isNull(), "timestamp"),
     ]
-    return e.select(F.col("e.id").alias("id"), sequence.alias("sequence"), F.col("e.nodeId").alias("node_id"), F.col("e.jobId").alias("job_id"), F.col("e.type").alias("type"), ts.alias("timestamp"), F.col("e.generatorId").alias("generator_id"), to_long(F.col("e.version")).alias("version"), F.array_compact(F.array(*problems)).alias("problems"), "raw")
+    named = {"id": F.col("e.id"), "sequence": sequence, "node_id": F.col("e.nodeId"), "job_id": F.col("e.jobId"), "type": F.col("e.type"), "timestamp": ts}
+    named |= {"generator_id": F.col("e.generatorId"), "version": to_long(F.col("e.version")), "problems": F.array_compact(F.array(*problems))}
+    return e.select(*[c.alias(name) for name, c in named.items()], "raw")
 
 
 def encode_events(events: DataFrame) -> DataFrame:

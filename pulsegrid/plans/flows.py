@@ -50,7 +50,8 @@ def payload(events: DataFrame) -> DataFrame:
     time = F.when(k == 7, "null").otherwise(F.concat(F.lit('"'), F.when(k.isin(3, 4), bad).otherwise(stamp), F.lit('"')))
     one = F.format_string('{"ID":%d,"Value":%s,"Timestamp":%s,"OPCTagID":%d}', "event_id", value, time, "user_id")
     text = F.when(k == 5, "{").when(k == 6, "").when(k == 0, one).when(k == 8, F.concat(F.lit("["), one, F.lit(',{"ID":-1}]'))).otherwise(F.concat(F.lit("["), one, F.lit("]")))
-    return events.select(text.cast("binary").alias("value"), F.col("ts").cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"), (F.col("user_id") % 3).cast("int").alias("partition"), F.lit(None).cast("binary").alias("key"), F.col("event_type").alias("topic"), F.col("event_id").alias("offset"))
+    place = [(F.col("user_id") % 3).cast("int").alias("partition"), F.lit(None).cast("binary").alias("key"), F.col("event_type").alias("topic"), F.col("event_id").alias("offset")]
+    return events.select(text.cast("binary").alias("value"), F.col("ts").cast("timestamp").alias("timestamp"), F.lit(0).alias("timestampType"), *place)
 
 
 def _send(messages: DataFrame, path: str) -> None:
@@ -83,8 +84,10 @@ def event_codec_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.md5(F.col("event_id").cast("string"))
     made = F.concat_ws("-", *[F.substring(digest, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     events = _events(spark, sf_dir).select(
-        F.when(k == 5, "x").otherwise(made).alias("id"), F.when(k == 1, 0).otherwise(F.col("event_id") + 1).cast("long").alias("sequence"), F.when(k != 2, "Node-1").alias("node_id"), F.when(k == 7, "").otherwise(made).alias("job_id"),
-        F.when(k == 3, "OTHER").when(k != 4, "START").alias("type"), F.when(k != 6, F.col("ts").cast("timestamp")).alias("timestamp"), F.lit(None).cast("string").alias("generator_id"), F.when(F.col("event_id") % 3 == 0, F.lit(1)).cast("long").alias("version"),
+        F.when(k == 5, "x").otherwise(made).alias("id"), F.when(k == 1, 0).otherwise(F.col("event_id") + 1).cast("long").alias("sequence"),
+        F.when(k != 2, "Node-1").alias("node_id"), F.when(k == 7, "").otherwise(made).alias("job_id"),
+        F.when(k == 3, "OTHER").when(k != 4, "START").alias("type"), F.when(k != 6, F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.lit(None).cast("string").alias("generator_id"), F.when(F.col("event_id") % 3 == 0, F.lit(1)).cast("long").alias("version"),
     )
     found = codec.decode_events(codec.encode_events(events))
     return found.select("id", "sequence", "node_id", "job_id", "type", F.date_trunc("SECOND", "timestamp").cast("timestamp_ntz").alias("timestamp"), F.coalesce("version", F.lit(-1)).alias("version"), F.array_join("problems", ",").alias("problems"))

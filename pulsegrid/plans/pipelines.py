@@ -348,4 +348,17 @@ class Fail:
         raise RuntimeError("failed on purpose")
 
 
-PIPELINES = {"ingest": Ingest, "persist-signals": PersistSignals, "observed-signals": ObservedSignals, "persist-parquet": PersistParquet, "persist-rows": PersistRows, "produce": Produce, "cumulative": Cumulative, "window-aggregates": WindowAggregates, "topic-counts": TopicCounts, "log-offsets": LogOffsets, "rollup": Rollup, "fail": Fail}
+PIPELINES = {
+    "ingest": Ingest,
+    "persist-signals": PersistSignals,
+    "observed-signals": ObservedSignals,
+    "persist-parquet": PersistParquet,
+    "persist-rows": PersistRows,
+    "produce": Produce,
+    "cumulative": Cumulative,
+    "window-aggregates": WindowAggregates,
+    "topic-counts": TopicCounts,
+    "log-offsets": LogOffsets,
+    "rollup": Rollup,
+    "fail": Fail,
+}

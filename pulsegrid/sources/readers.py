@@ -70,7 +70,9 @@ def signal_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def configs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table `orders` as versions of metric configurations: five priorities play the intervals,
     status P plays None."""
-    return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("OPCMetricID"), F.col("o_custkey").alias("OPCTagID"), F.col("o_orderdate").alias("Timestamp"), F.col("o_orderpriority").alias("AggregationInterval"), F.when(F.col("o_orderstatus") == "P", "None").otherwise(F.col("o_orderstatus")).alias("AggregationType"))
+    names = {"o_custkey": ("OPCMetricID", "OPCTagID"), "o_orderdate": ("Timestamp",), "o_orderpriority": ("AggregationInterval",)}
+    kind = F.when(F.col("o_orderstatus") == "P", "None").otherwise(F.col("o_orderstatus")).alias("AggregationType")
+    return table(spark, sf_dir, "orders").select(*[F.col(c).alias(name) for c, own in names.items() for name in own], kind)
 
 
 def as_cycle(numbered: DataFrame) -> DataFrame:
@@ -84,7 +86,9 @@ def as_cycle(numbered: DataFrame) -> DataFrame:
 def random_events(spark: SparkSession, n: int, node_id: str = "Node-1", start_s: int = 0, step_s: int = 0) -> DataFrame:
     """n events `step_s` seconds apart, of type UNKNOWN."""
     ids = spark.range(n)
-    return ids.select(F.expr("uuid()").alias("id"), (F.col("id") + 1).alias("sequence"), F.lit(node_id).alias("node_id"), F.expr("uuid()").alias("job_id"), F.lit("UNKNOWN").alias("type"), F.timestamp_seconds(F.lit(start_s) + F.col("id") * step_s).alias("timestamp"), F.lit("generator").alias("generator_id"), F.lit(1).cast("long").alias("version"))
+    stamp = F.timestamp_seconds(F.lit(start_s) + F.col("id") * step_s).alias("timestamp")
+    own = [F.expr("uuid()").alias("id"), (F.col("id") + 1).alias("sequence"), F.lit(node_id).alias("node_id"), F.expr("uuid()").alias("job_id"), F.lit("UNKNOWN").alias("type")]
+    return ids.select(*own, stamp, F.lit("generator").alias("generator_id"), F.lit(1).cast("long").alias("version"))
 
 
 def cycle_events(spark: SparkSession, n: int, node_id: str = "Node-1", start_s: int = 0, step_s: int = 1) -> DataFrame:

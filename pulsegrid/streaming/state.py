@@ -48,6 +48,15 @@ _SESSION = "opc_tag_id long, started timestamp, ended timestamp, readings long,
 _OPEN = "started long, ended long, readings long, count long, sum double, min double, max double"
 
 
+def _with(held: tuple | None, at: int, value: float | None) -> tuple:
+    """An open session, or a new one, and one more reading."""
+    started, ended, readings, count, total, low, high = held or (at, at, 0, 0, None, None, None)
+    if value is not None and value == value:
+        total, low, high = (total + value, min(low, value), max(high, value)) if count else (value, value, value)
+        count += 1
+    return min(started, at), max(ended, at), readings + 1, count, total, low, high
+
+
 class _Idle(StatefulProcessor):
     """One tag's open session: a value, and a timer at the instant at which the tag will have been idle for too long."""
 
@@ -78,14 +87,7 @@ class _Idle(StatefulProcessor):
             if held and at - held[1] > self.idle_us:
                 out.append(self._row(key[0], held, "reading"))
                 held = None
-            n = int(value == value and value is not None)
-            some = (value,) if n else ()
-            if held is None:
-                held = (at, at, 1, n, value if n else None, value if n else None, value if n else None)
-            else:
-                started, ended, readings, count, total, low, high = held
-                fold = lambda how, so_far, some=some: how([x for x in (so_far, *some) if x is not None], default=None) if how is not sum else sum([x for x in (so_far, *some) if x is not None]) if some or so_far is not None else None
-                held = (min(started, at), max(ended, at), readings + 1, count + n, fold(sum, total), fold(min, low), fold(max, high))
+            held = _with(held, at, value)
         if before is not None:
             self.handle.deleteTimer(self._due(before[1]))
         self.open.update(held)
