@@ -186,8 +186,10 @@ def _texts(seed, n):
     return [(k, " ".join(r.choices(vocabulary, (9, 8, 4, 3, 2, 1, 6, 5, 2), k=r.randint(0, 60)))) for k in range(n)]
 
 
-@pytest.mark.parametrize(("window", "chunk"), [(3, 200), (10, 1 << 20), (4, 1)])
-def test_phrases_by_brute_force(spark, window, chunk):
+@pytest.mark.parametrize(("window", "chunk", "small"), [(3, 200, 0), (10, 1 << 20, 1 << 23), (4, 1, 1 << 23)])
+def test_phrases_by_brute_force(spark, monkeypatch, window, chunk, small):
+    """With words looked up in memory, and by a shuffle."""
+    monkeypatch.setattr(phrase_index, "SMALL", small)
     docs, items = _texts(1, 80), [*_texts(2, 12), (12, "the, of"), (13, "rare"), (None, "the"), (14, None), (15, "..."), (3, "zz zz zz zz zz")]
     docs += [(100, items[3][1]), (101, f"x {items[5][1]}. {items[5][1]}!"), (102, None), (None, items[4][1]), (3, docs[3][1])]
     d = spark.createDataFrame([(*x, "w", 1) for x in docs], "doc_id long, text string, word string, shard int").repartition(3)
