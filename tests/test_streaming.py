@@ -135,7 +135,7 @@ def test_an_idle_key_is_forgotten(spark, tmp_path):
     put = lambda k, *rows: _rows(spark, *rows).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
     put(0, (1, "2024-01-01 00:10:00", 1.0))
     s = spark.readStream.schema(schema).parquet(f"{tmp_path}/in/*")
-    q = idle_cumulative(s, idle_ms=3000).writeStream.format("memory").queryName("forgets").outputMode("update").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(processingTime="200 milliseconds").start()
+    q = idle_cumulative(s, idle_ms=15_000).writeStream.format("memory").queryName("forgets").outputMode("update").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(processingTime="200 milliseconds").start()
 
     def wait(n):
         for _ in range(300):
@@ -147,7 +147,7 @@ def test_an_idle_key_is_forgotten(spark, tmp_path):
         wait(1)
         put(1, (1, "2024-01-01 00:20:00", 2.0))
         wait(2)
-        time.sleep(6)
+        time.sleep(22)
         put(2, (1, "2024-01-01 00:30:00", 4.0))
         wait(3)
     finally:
