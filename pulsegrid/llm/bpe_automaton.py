@@ -271,7 +271,10 @@ def decode(df: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
 
 def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary_path: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode and decode in one pass, so that
-    neither ids nor decoded texts leave the worker."""
+    neither ids nor decoded texts leave the worker.
+
+    A null text counts as empty (no tokens, digests of nothing); a null id stays null; repeated rows stay
+    repeated; an empty table gives no rows; other columns are not read."""
     path = vocabulary_path or public_path(DEFAULT_VOCABULARY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -98,14 +98,19 @@ def token_batches(tokens: DataFrame, pad: int = 0, id_col: str = "doc_id", ids_c
     each, from a table of token ids such as `bpe_automaton.encode` gives.
 
     input_ids has one list for each row of the batch, padded with `pad` to bucket_len; a batch holds
-    `budget` ids at most (or one row), so none outgrows a task. Null lists count as empty; null ids and
-    repeated rows stay.
+    `budget` ids at most (or one row), so none outgrows a task. Ids stay int where they are; other kinds
+    become long. Null lists count as empty; null ids and repeated rows stay; an empty table gives no batch.
     """
-    ids = F.coalesce(F.col("ids").cast("array<long>"), F.array().cast("array<long>"))
-    rows = pick(tokens, doc_id=id_col, ids=ids_col).select(F.col("doc_id").cast("long"), ids.alias("ids"))
-    cut = rows.select("doc_id", "ids", F.explode(F.expr(f"sequence(0L, greatest(size(ids) - 1L, 0L) div {max_length})")).alias("piece"))
-    cut = cut.select("doc_id", "piece", (F.col("piece") * max_length).alias("start"), F.expr(f"slice(ids, cast(piece * {max_length} + 1 as int), {max_length})").alias("ids")).withColumn("n_tokens", F.size("ids").cast("long"))
-    filled = F.expr(f"concat(ids, array_repeat({int(pad)}L, cast(padding as int)))")
+    given = pick(tokens, doc_id=id_col, ids=ids_col)
+    kind = "int" if given.schema["ids"].dataType.simpleString() == "array<int>" else "bigint"
+    ids = F.coalesce(F.col("ids").cast(f"array<{kind}>"), F.array().cast(f"array<{kind}>"))
+    rows = given.select(F.col("doc_id").cast("long"), ids.alias("ids"))
+    n_pieces = F.expr(f"sequence(0L, greatest(size(ids) - 1L, 0L) div {max_length})")
+    cut = rows.select("doc_id", "ids", F.explode(n_pieces).alias("piece")).select(
+        "doc_id", "piece", (F.col("piece") * max_length).alias("start"),
+        F.expr(f"slice(ids, cast(piece * {max_length} + 1 as int), {max_length})").alias("ids"),
+    ).withColumn("n_tokens", F.size("ids").cast("long"))
+    filled = F.expr(f"concat(ids, array_repeat(cast({int(pad)} as {kind}), cast(padding as int)))")
     placed = _placed(cut, multiple, buckets, budget).select("bucket", "batch", "bucket_len", F.struct("slot", "doc_id", "piece", "n_tokens", filled.alias("ids")).alias("r"))
     found = placed.groupBy("bucket", "batch").agg(F.max("bucket_len").alias("bucket_len"), F.array_sort(F.collect_list("r")).alias("r"))
     return found.select("bucket", "batch", "bucket_len", F.col("r.doc_id").alias("doc_ids"), F.col("r.piece").alias("pieces"), F.col("r.n_tokens").alias("lengths"), F.col("r.ids").alias("input_ids"))

@@ -207,7 +207,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text", least: float = REJECT_BELOW) -> DataFrame:
-    """Rows, with all their columns, whose text scores at least `least`. Columns may have any names."""
+    """Rows, with all their columns, whose text scores at least `least`. A null text scores as an empty
+    one, repeated rows stay or go together, an empty table stays empty; columns may have any names."""
     spark, at = docs.sparkSession, docs.columns.index(text_col)
     sent = spark.sparkContext.broadcast(model)
 

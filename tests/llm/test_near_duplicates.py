@@ -1,5 +1,6 @@
 """Near-duplicates, components and the pipeline."""
 
+import itertools
 import random
 
 import pytest
@@ -8,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pulsegrid.llm import minhash_dedup, packing
+from pulsegrid.llm import bpe_automaton, minhash_dedup, packing, quality_nbsvm, secret_scan
 from pulsegrid.llm.components import components
 
 
@@ -103,18 +104,21 @@ def test_pipeline(spark, sf_dir, documents):
     clean = stages["secrets"](spark, documents, sf_dir)
     assert clean.schema == documents.schema and clean.count() == documents.count()
     assert clean.where(F.col("text").rlike("AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}") | (F.length("text") != F.col("n_chars"))).count() == 0
-    packed = stages["packing"](spark, clean, sf_dir)
-    assert packed.agg(F.sum("n_tokens")).first() == packing.word_counts(clean).agg(F.sum("n_tokens")).first()
+    packed = stages["packing"](spark, clean, sf_dir).select("bucket_len", F.explode(F.arrays_zip("doc_ids", "lengths", "input_ids")).alias("r")).cache()
+    want = bpe_automaton.encode(clean).agg(F.count("*"), F.sum(F.size("ids"))).first()
+    assert packed.select("r.doc_ids").distinct().count() == want[0] and packed.agg(F.sum("r.lengths")).first()[0] == want[1]
+    assert packed.where("bucket_len != size(r.input_ids) or r.lengths > bucket_len").count() == 0
     found = corpus_pipeline.run(spark, sf_dir)
-    assert 0 < found.select("doc_id").distinct().count() < once.count()
+    assert 0 < found.select(F.explode("doc_ids")).distinct().count() < once.count()
 
 
 def test_pipeline_by_brute_force(spark, sf_dir, documents):
-    """All four stages once more, row by row: which documents stay, and how many words each has in the end."""
-    import re
-
-    from pulsegrid.llm import quality_nbsvm, secret_scan
+    """All four stages once more, row by row: which documents stay, and the token ids of each in the end."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
 
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_truncation()
     rows = documents.select("doc_id", "text").collect()
     model = quality_nbsvm.train(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     good = [(r.doc_id, r.text) for r in rows if model.score(r.text) >= quality_nbsvm.REJECT_BELOW]
@@ -123,15 +127,21 @@ def test_pipeline_by_brute_force(spark, sf_dir, documents):
     want = {}
     for r in found.collect():
         if r.doc_id in kept:
-            text = [*(r.text or "")]
-            for s in r.s:
-                text[s.start : s.end] = ["\0"] * (s.end - s.start)
-            # overlapping spans are one stretch; adjacent ones are marked apart, which splits no word
-            want[r.doc_id] = len(re.findall(r"[^\x20\x09-\x0D]+", "".join(text)))
+            text = r.text or ""
+            hidden = {k for s in r.s for k in range(s.start, s.end)}
+            runs = itertools.groupby(enumerate(text), lambda kx: kx[0] in hidden)  # every stretch that spans cover is one mark
+            clean = "".join(secret_scan.MARK if h else "".join(x for _, x in run) for h, run in runs)
+            want[r.doc_id] = library.encode(clean, add_special_tokens=False).ids
     got = {}
-    for r in corpus_pipeline.run(spark, sf_dir).collect():
-        got[r.doc_id] = got.get(r.doc_id, 0) + r.n_tokens
-    assert got == want and 0 < len(got) < len(rows)
+    for b in corpus_pipeline.run(spark, sf_dir).collect():
+        assert len(b.doc_ids) * b.bucket_len <= packing.BUDGET and all(len(x) == b.bucket_len for x in b.input_ids)
+        for i, p, n, ids in zip(b.doc_ids, b.pieces, b.lengths, b.input_ids, strict=True):
+            assert not any(ids[n:]) and (i, p) not in got
+            got[i, p] = ids[:n]
+    joined = {}
+    for (i, _), ids in sorted(got.items()):
+        joined.setdefault(i, []).extend(ids)
+    assert joined == want and 0 < len(joined) < len(rows)
 
 
 def test_scratch_can_be_cleared(spark):
