@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import minhash_dedup, packing, quality_nbsvm, secret_scan
+from pulsegrid.llm import bpe_automaton, minhash_dedup, packing, quality_nbsvm, secret_scan
 from pulsegrid.llm.common import col, materialize, table
 
 
@@ -44,9 +44,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its length bucket, batch and place. Null and empty texts are
-    pieces without words; repeated rows are packed as often as they come."""
-    return packing.pack(packing.word_counts(docs))
+    """Batches of token ids in optimal length buckets, one row each, with the documents and pieces that they
+    hold. A null or empty text is a piece without tokens; repeated rows are packed as often as they come,
+    those without id as null."""
+    ids = bpe_automaton.encode(docs).withColumn("ids", F.col("ids").cast("array<int>"))
+    return packing.token_batches(ids)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
