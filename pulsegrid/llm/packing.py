@@ -110,8 +110,11 @@ def token_batches(tokens: DataFrame, pad: int = 0, id_col: str = "doc_id", ids_c
         "doc_id", "piece", (F.col("piece") * max_length).alias("start"),
         F.expr(f"slice(ids, cast(piece * {max_length} + 1 as int), {max_length})").alias("ids"),
     ).withColumn("n_tokens", F.size("ids").cast("long"))
+    # the ids are written once and meet their places by row, so that only lengths are put in order
+    held = materialize(cut.withColumn("_row", F.monotonically_increasing_id()), "packing-ids")
+    places = _placed(held.drop("ids"), multiple, buckets, budget).select("_row", "bucket", "batch", "bucket_len", "slot", "doc_id", "piece", "n_tokens", "padding")
     filled = F.expr(f"concat(ids, array_repeat(cast({int(pad)} as {kind}), cast(padding as int)))")
-    placed = _placed(cut, multiple, buckets, budget).select("bucket", "batch", "bucket_len", F.struct("slot", "doc_id", "piece", "n_tokens", filled.alias("ids")).alias("r"))
+    placed = held.select("_row", "ids").join(places, "_row").select("bucket", "batch", "bucket_len", F.struct("slot", "doc_id", "piece", "n_tokens", filled.alias("ids")).alias("r"))
     found = placed.groupBy("bucket", "batch").agg(F.max("bucket_len").alias("bucket_len"), F.array_sort(F.collect_list("r")).alias("r"))
     return found.select("bucket", "batch", "bucket_len", F.col("r.doc_id").alias("doc_ids"), F.col("r.piece").alias("pieces"), F.col("r.n_tokens").alias("lengths"), F.col("r.ids").alias("input_ids"))
 
