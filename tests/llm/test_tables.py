@@ -228,6 +228,43 @@ def test_ann_of_clusters_scans_few_rows(spark):
     assert np.mean([sizes[k].sum() for k in ann_ivfpq.probed(model, x[asked], sizes, 20, None)]) < 0.2 * len(x)
 
 
+def _queries_elsewhere(rng):
+    """Rows in clusters, asked for from anywhere."""
+    x = _clusters(4000)
+    x[::20] = rng.normal(size=(200, 24))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def _tight(rng):
+    """Clusters that are smaller than what a code tells apart."""
+    x = rng.normal(size=(20, 64))[rng.integers(20, size=8000)] * 0.125 + rng.normal(size=(8000, 64)) * 0.0025
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def _wide(rng):
+    """Many components for each part of a code."""
+    x = rng.normal(size=(3000, 384))
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def _few_long(rng):
+    """A few long rows, near to half of all queries, of which the drawn sample has hardly any."""
+    x = rng.normal(size=(8000, 24))
+    x[rng.choice(8000, 40, replace=False)] *= 50
+    return x
+
+
+@pytest.mark.parametrize("made", [_queries_elsewhere, _tight, _wide, _few_long])
+def test_ann_recall_on_other_rows(spark, made, monkeypatch):
+    monkeypatch.setattr(ann_ivfpq, "LEAST_SAMPLE", 2048)
+    monkeypatch.setattr(ann_ivfpq, "SAMPLE_A_LIST", 4)
+    x = made(np.random.default_rng(6))
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(4)
+    got = {(r.query_id, r.vec_id) for r in ann_ivfpq.search(df, lambda i: i % 20 == 0).collect()}
+    want = {(q, i) for q, _, i, _ in _near(x, range(0, len(x), 20), 20)}
+    assert len(got & want) >= 0.93 * len(want) and len(got) == len(want)
+
+
 @pytest.mark.parametrize("block", [64, 4096])
 def test_ann_can_be_exact(spark, block):
     x = _clusters(700, 3)
