@@ -110,7 +110,7 @@ def idle_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = runner.shared_folder(spark, "idle-sessions")
     rows = readers.signals(spark, sf_dir).select("opc_tag_id", "timestamp", "value", F.col("timestamp").cast("long").alias("s"))
     for part in [q for half in _halves(rows, "s") for q in _halves(half, "s")]:
-        part.drop("s").coalesce(1).write.mode("append").parquet(f"{at}/in")
+        part.drop("s").write.mode("append").parquet(f"{at}/in")
         stream = spark.readStream.schema(part.drop("s").schema).parquet(f"{at}/in")
         found = state.idle_sessions(stream, f"{IDLE_HOURS} hours")
         runner.start(found, runner.StreamConfig("idle-sessions", f"{at}/checkpoint", state="rocksdb"), path=f"{at}/out").awaitTermination()

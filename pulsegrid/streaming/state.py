@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,21 +45,42 @@ def idle_cumulative(readings: DataFrame, unit: str = "HOUR", idle_ms: int = 60_0
 
 
 _SESSION = "opc_tag_id long, started timestamp, ended timestamp, readings long, count long, sum double, min double, max double, closed_by string"
-#: Times as microseconds; `count`, `sum`, `min` and `max` are of the values that aren't null.
-_OPEN = "started long, ended long, readings long, count long, sum double, min double, max double"
-
-
-def _with(held: tuple | None, at: int, value: float | None) -> tuple:
-    """An open session, or a new one, and one more reading."""
-    started, ended, readings, count, total, low, high = held or (at, at, 0, 0, None, None, None)
-    if value is not None and value == value:
-        total, low, high = (total + value, min(low, value), max(high, value)) if count else (value, value, value)
-        count += 1
-    return min(started, at), max(ended, at), readings + 1, count, total, low, high
+_FIGURES = ("started", "ended", "readings", "count", "sum", "min", "max")
+#: The open sessions of a bucket's tags, an entry for each tag. Times as microseconds; `count`, `sum`, `min` and
+#: `max` are of the values that aren't null; without any the last three are NaN.
+_OPEN = "opc_tag_id array<long>, started array<long>, ended array<long>, readings array<long>, count array<long>, sum array<double>, min array<double>, max array<double>"
+#: Buckets that tags are dealt to: a call from Spark and its state cost far more than a reading, so each serves many tags.
+BUCKETS = 256
+
+
+def _folded(held: pd.DataFrame, new: pd.DataFrame, idle_us: int) -> tuple[pd.DataFrame, np.ndarray]:
+    """Sessions of open ones, one for a tag at most, and readings (`opc_tag_id`, `untagged`, `at`, `value`), by tag
+    and time; and which of them are their tag's last."""
+    one = pd.DataFrame({"opc_tag_id": new["opc_tag_id"].astype("Int64").mask(new["untagged"].astype(bool)), "started": new["at"], "ended": new["at"], "readings": 1, "count": new["value"].notna().astype("int64")})
+    rows = pd.concat([held, one.assign(**{c: new["value"].astype("float64") for c in ("sum", "min", "max")})], ignore_index=True)
+    tag, null = rows["opc_tag_id"].fillna(0).to_numpy("int64"), rows["opc_tag_id"].isna().to_numpy()
+    reading = np.arange(len(rows)) >= len(held)
+    at = rows["started"].to_numpy("int64")
+    order = np.lexsort((at, reading, tag, null))  # a tag's open session before its readings
+    rows, tag, null, at = rows.iloc[order], tag[order], null[order], at[order]
+    ended = rows["ended"].to_numpy("int64")
+    turn = np.concatenate([[True], (tag[1:] != tag[:-1]) | (null[1:] != null[:-1])])
+    first = np.flatnonzero(turn)
+    # readings come by time, so only the open session may have ended later than the last reading
+    before = np.maximum(np.concatenate([[0], ended[:-1]]), ended[first][np.cumsum(turn) - 1])
+    begin = np.flatnonzero(turn | (at - before > idle_us))
+    found = {"opc_tag_id": rows["opc_tag_id"].iloc[begin].reset_index(drop=True)}
+    ways = {"started": np.minimum, "ended": np.maximum, "min": np.fmin, "max": np.fmax}
+    for c in _FIGURES:
+        v = rows[c].to_numpy("float64" if c in ("sum", "min", "max") else "int64")
+        found[c] = ways.get(c, np.add).reduceat(np.where(rows["count"] > 0, v, 0.0) if c == "sum" else v, begin)
+    found["sum"] = np.where(found["count"] > 0, found["sum"], np.nan)
+    return pd.DataFrame(found), np.append(turn[begin][1:], True)
 
 
 class _Idle(StatefulProcessor):
-    """One tag's open session: a value, and a timer at the instant at which the tag will have been idle for too long."""
+    """The open sessions of a bucket's tags: one value, and one timer at the instant at which the first of the tags
+    will have been idle for too long."""
 
     def __init__(self, idle_us: int):
         self.idle_us = idle_us
@@ -67,53 +89,61 @@ class _Idle(StatefulProcessor):
         self.handle = handle
         self.open = handle.getValueState("open", _OPEN)
 
-    def _row(self, tag: int, held: tuple, closed_by: str) -> tuple:
-        started, ended, *figures = held
-        return (tag, pd.Timestamp(started, unit="us"), pd.Timestamp(ended, unit="us"), *figures, closed_by)
-
-    def _frame(self, rows: list[tuple]) -> Iterator[pd.DataFrame]:
-        if rows:
-            yield pd.DataFrame(rows, columns=[f.split()[0] for f in _SESSION.split(", ")])
+    def _held(self) -> pd.DataFrame:
+        columns = self.open.get() if self.open.exists() else ((),) * (1 + len(_FIGURES))
+        kinds = ("Int64", *["int64"] * 4, *["float64"] * 3)
+        return pd.DataFrame({c: pd.Series(list(v), dtype=k) for c, v, k in zip(("opc_tag_id", *_FIGURES), columns, kinds, strict=True)})
+
+    def _keep(self, held: pd.DataFrame, timer: int | None, running: bool) -> None:
+        """Store what is open; `timer` is the one at hand, which is `running` still or has run out."""
+        due = self._due(held["ended"]).min() if len(held) else None
+        if running and timer is not None and timer != due:
+            self.handle.deleteTimer(int(timer))
+        if due is None:
+            self.open.clear()
+            return
+        tags = [None if tag is pd.NA else tag for tag in held["opc_tag_id"].tolist()]
+        self.open.update((tags, *(held[c].tolist() for c in _FIGURES)))
+        if timer != due or not running:
+            self.handle.registerTimer(int(due))
 
-    def _due(self, ended: int) -> int:
-        """When a session that has ended so is over, in whole milliseconds, as timers count."""
+    def _due(self, ended: pd.Series) -> pd.Series:
+        """When sessions that have ended so are over, in whole milliseconds, as timers count."""
         return -(-(ended + self.idle_us) // 1000)
 
+    def _frame(self, over: pd.DataFrame, closed_by: str) -> Iterator[pd.DataFrame]:
+        if len(over):
+            yield over.assign(started=pd.to_datetime(over["started"], unit="us"), ended=pd.to_datetime(over["ended"], unit="us"), closed_by=closed_by)
+
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values("at", kind="stable")
-        held = self.open.get() if self.open.exists() else None
-        before, out = held, []
-        for at, value in zip(new["at"].tolist(), new["value"].tolist(), strict=True):
-            if held and at - held[1] > self.idle_us:
-                out.append(self._row(key[0], held, "reading"))
-                held = None
-            held = _with(held, at, value)
-        if before is not None:
-            self.handle.deleteTimer(self._due(before[1]))
-        self.open.update(held)
-        self.handle.registerTimer(self._due(held[1]))
-        return self._frame(out)
+        held = self._held()
+        found, last = _folded(held, pd.concat(list(rows)), self.idle_us)
+        self._keep(found[last], self._due(held["ended"]).min() if len(held) else None, True)
+        return self._frame(found[~last], "reading")
 
     def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
-        held = self.open.get() if self.open.exists() else None
-        if held is None or self._due(held[1]) > expiredTimerInfo.getExpiryTimeInMs():
-            return self._frame([])
-        self.open.clear()
-        return self._frame([self._row(key[0], held, "timer")])
+        held, now = self._held(), expiredTimerInfo.getExpiryTimeInMs()
+        over = self._due(held["ended"]) <= max(now, timerValues.getCurrentWatermarkInMs())
+        if not over.any():
+            return iter(())
+        self._keep(held[~over], now, False)
+        return self._frame(held[over], "timer")
 
     def close(self) -> None: ...
 
 
-def idle_sessions(readings: DataFrame, idle: str = "60 seconds", delay: str = "0 seconds") -> DataFrame:
+def idle_sessions(readings: DataFrame, idle: str = "60 seconds", delay: str = "0 seconds", buckets: int = BUCKETS) -> DataFrame:
     """A row for each session of a tag: readings no more than `idle` apart. It is emitted when a later
     reading shows that it is over, or when the watermark, `delay` behind the newest reading of all tags,
     has passed its end by `idle`; then the tag's state is cleared. So what is emitted depends on the
     readings only, not on the machine's speed.
 
     For a streaming table in append mode, with the state store in RocksDB (`StreamConfig.state`). A reading
-    that is earlier than the session at hand, but not behind the watermark, counts in that session. A tag's
-    readings of one micro-batch are held together. Null tags are a tag; null times are left out.
+    that is earlier than the session at hand, but not behind the watermark, counts in that session. Tags are dealt
+    by a hash to `buckets`, which a stream keeps: a bucket's readings of one micro-batch, and the open sessions of
+    its tags, are held together, and its state is written whole. Null tags are a tag; null times are left out.
     """
     micros = int(pd.Timedelta(idle).total_seconds() * 1_000_000)
-    rows = readings.where(F.col("timestamp").isNotNull()).select("opc_tag_id", "timestamp", F.unix_micros("timestamp").alias("at"), F.col("value").cast("double").alias("value"))
-    return rows.withWatermark("timestamp", delay).groupBy("opc_tag_id").transformWithStateInPandas(_Idle(micros), _SESSION, "Append", "EventTime")
+    # null tags go by a flag: beside nulls pandas would make doubles of large ids
+    rows = readings.where(F.col("timestamp").isNotNull()).select(F.coalesce("opc_tag_id", F.lit(0)).cast("long").alias("opc_tag_id"), F.col("opc_tag_id").isNull().alias("untagged"), "timestamp", F.unix_micros("timestamp").alias("at"), F.col("value").cast("double").alias("value"), F.pmod(F.xxhash64("opc_tag_id"), F.lit(buckets)).cast("int").alias("bucket"))
+    return rows.withWatermark("timestamp", delay).groupBy("bucket").transformWithStateInPandas(_Idle(micros), _SESSION, "Append", "EventTime")

@@ -136,6 +136,54 @@ def test_idle_sessions_end_by_readings_and_by_timers(spark, tmp_path):
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")  # the session's own is back
 
 
+def test_idle_sessions_keep_many_tags_in_few_states(spark, tmp_path):
+    """A call and a state entry serve many tags, large and null ones among them, over batches and a restart."""
+    r = random.Random(4)
+    tags = [None, *(2**60 + k for k in range(1500))]
+    schema = "opc_tag_id long, timestamp timestamp, value double"
+    batches = [[(t, T0 + timedelta(seconds=200 * k + r.randrange(200), microseconds=r.randrange(10**6)), r.choice([None, 1.0, float("nan"), 2.5])) for t in tags for _ in range(3)] for k in range(2)]
+    batches.append([(1, T0 + timedelta(hours=1), 1.0)])
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        query = runner.start(state.idle_sessions(stream), runner.StreamConfig("many", f"{tmp_path}/checkpoint", state="rocksdb"), path=f"{tmp_path}/out")
+        query.awaitTermination()
+        assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress) < len(tags)
+    seen = [row for rows in batches[:2] for row in rows]
+    want = [s for s, _ in sessions([(t or 0, x) for t, x, _ in seen], timedelta(seconds=60))]
+    found = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert sorted((f.opc_tag_id or 0, f.started, f.ended, f.readings) for f in found) == sorted(want)
+    values = [v for _, _, v in seen if v is not None and v == v]
+    assert sum(f["count"] for f in found) == len(values) and sum(f["sum"] or 0 for f in found) == sum(values)
+    assert all((f["sum"] is None) == (f["min"] is None) == (f["max"] is None) == (not f["count"]) for f in found)
+
+
+def test_sessions_are_folded_as_one_by_one():
+    """Against reading by reading: earlier readings than the open session's, ties, nulls, infinite values."""
+    r, order = random.Random(5), lambda row: (row[0] is None, row[0] or 0, row[1])
+    for _ in range(60):
+        held = {}
+        for _ in range(4):
+            new = sorted(((r.choice([None, 0, 1, 2]), r.randrange(120), r.choice([None, 1.0, -2.0, float("inf")])) for _ in range(r.randrange(1, 12))), key=lambda x: x[1])
+            before = state.pd.DataFrame([(t, *h) for t, h in held.items()], columns=["opc_tag_id", *state._FIGURES]).astype({"opc_tag_id": "Int64"} | {c: "float64" for c in ("sum", "min", "max")})
+            given = state.pd.DataFrame([(t or 0, t is None, x, v) for t, x, v in new], columns=["opc_tag_id", "untagged", "at", "value"])
+            found, last = state._folded(before, given, 10)
+            over = []
+            for t, x, v in new:
+                h = held.get(t)
+                if h and x - h[1] > 10:
+                    over.append((t, *h))
+                    h = None
+                a, b, n, k, total, low, high = h or (x, x, 0, 0, None, None, None)
+                if v is not None:
+                    total, low, high = (total + v, min(low, v), max(high, v)) if k else (v, v, v)
+                    k += 1
+                held[t] = (min(a, x), max(b, x), n + 1, k, total, low, high)
+            for got, exact in ((found[~last], over), (found[last], [(t, *h) for t, h in held.items()])):
+                rows = [tuple(None if state.pd.isna(v) else v for v in row) for row in got.itertuples(index=False)]
+                assert sorted(rows, key=order) == sorted(exact, key=order)
+
+
 def test_update_mode_needs_keys(spark, tmp_path):
     for k in (1, 2):
         spark.createDataFrame([(k, 1), (3, k)], "k long, v long").coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
